@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillstone.llm import rules, secrets, simhash, tokens, urls
+from quillstone.llm import rules, secrets, simhash, suffixes, tokens, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_token_counts": tokens.op1_token_counts,
         "op2_secret_scan": secrets.op2_secret_scan,
         "op3_quality_rules": rules.op3_quality_rules,
+        "op5_repeats": suffixes.op5_repeats,
         "op9_simhash": simhash.op9_simhash,
         "op10_url_filter": urls.op10_url_filter,
     }
