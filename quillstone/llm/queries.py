@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillstone.llm import rules, secrets, simhash, suffixes, tokens, urls
+from quillstone.llm import decontam, gam, mixing, pii, rules, secrets, simhash, suffixes, tokens, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,7 +14,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_token_counts": tokens.op1_token_counts,
         "op2_secret_scan": secrets.op2_secret_scan,
         "op3_quality_rules": rules.op3_quality_rules,
+        "op4_surrogates": pii.op4_surrogates,
         "op5_repeats": suffixes.op5_repeats,
+        "op6_decontaminate": decontam.op6_decontaminate,
+        "op7_quality_gam": gam.op7_quality_gam,
+        "op8_mixture": mixing.op8_mixture,
         "op9_simhash": simhash.op9_simhash,
         "op10_url_filter": urls.op10_url_filter,
     }
