@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import load
+from quillstone.llm.common import load, text_udf
 
 #: Edits allowed for each character of an item.
 EDIT_RATE = 0.06
@@ -170,5 +170,18 @@ def find_contamination(
     return reduce(DataFrame.unionByName, (one(b) for b in item_blocks(items, item_id, text, block_chars)), empty)
 
 
+def drop_contaminated(docs: DataFrame, items: DataFrame, rate: float = EDIT_RATE, item_id: str = "item_id", text: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of `docs` in which no item is found, as find_contamination() finds them; null texts stay. No shuffle."""
+    for block in item_blocks(items, item_id, text, block_chars):
+        sent = docs.sparkSession.sparkContext.broadcast(block)
+
+        def make(sent=sent):
+            match = matcher(sent.value, rate)
+            return lambda t: (bool(match(t)),)
+
+        docs = docs.where(~text_udf("hit boolean", make)(F.col(f"`{text}`")).getField("hit"))
+    return docs
+
+
 def op6_decontaminate(spark, sf_dir: str) -> DataFrame:
     return find_contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
