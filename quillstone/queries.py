@@ -2,57 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-Query = Callable[[SparkSession, str], DataFrame]
-_QUERIES: dict[str, Query] = {}
-_SQL: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
-    """Adds a query under a name, with its SQL if there is one."""
-
-    def add(query: Query) -> Query:
-        if name in _QUERIES:
-            raise ValueError(f"two queries are named {name}")
-        _QUERIES[name] = query
-        if sql:
-            _SQL[name] = sql
-        return query
-
-    return add
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-@register(
-    "a01_weights",
-    """
-    SELECT coalesce(nullif(trim(r_name), ''), 'Unknown') AS region, coalesce(nullif(trim(n_name), ''), 'Unknown') AS nation,
-           round(sum(coalesce(l_extendedprice, 0)), 2) AS weight
-    FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-    GROUP BY 1, 2
-    """,
-)
-def a01_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = (
-        table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    )
-    named = [F.coalesce(F.nullif(F.trim(c), F.lit("")), F.lit("Unknown")).alias(a) for c, a in (("r_name", "region"), ("n_name", "nation"))]
-    return rows.groupBy(*named).agg(F.round(F.sum(F.coalesce("l_extendedprice", F.lit(0.0))), 2).alias("weight"))
+from quillstone.plans import catalog, facts, series, texts  # noqa: F401  (each registers its queries)
+from quillstone.registry import QUERIES, SQL, Query
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return dict(SQL)
