@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import load, use_checkpoints
+from quillstone.llm.common import load, written
 
 LENGTH = 400
 #: Width of the zone in a window's middle where its anchor may lie.
@@ -62,8 +62,9 @@ def _anchors(data: bytes, length: int, zone: int) -> Iterator[tuple[np.ndarray,
         yield anchor + begin, first + begin, last + begin
 
 
-RUNS = "core long, run long, k1 long, k2 long, anchor int, first int, last int"
-BUCKETS = "core long, bucket int, digit long, rest binary, k1 long, k2 long, base int, low int, high int, own boolean"
+#: A run's windows start `back` bytes before its anchor and `width` more; 16 bits each make its reach.
+RUNS = "core long, run long, k1 long, k2 int, anchor int, reach int"
+BUCKETS = "core long, bucket int, digit long, rest binary, k1 long, k2 int, base int, low int, high int, own boolean"
 
 
 def _signed(x: int) -> int:
@@ -74,9 +75,9 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
-RUN_SCHEMA = pa.schema([("core", pa.int64()), ("run", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("anchor", pa.int32()), ("first", pa.int32()), ("last", pa.int32())])
+RUN_SCHEMA = pa.schema([("core", pa.int64()), ("run", pa.int64()), ("k1", pa.int64()), ("k2", pa.int32()), ("anchor", pa.int32()), ("reach", pa.int32())])
 BUCKET_SCHEMA = pa.schema(
-    [("core", pa.int64()), ("bucket", pa.int32()), ("digit", pa.int64()), ("rest", pa.binary()), ("k1", pa.int64()), ("k2", pa.int64())]
+    [("core", pa.int64()), ("bucket", pa.int32()), ("digit", pa.int64()), ("rest", pa.binary()), ("k1", pa.int64()), ("k2", pa.int32())]
     + [("base", pa.int32()), ("low", pa.int32()), ("high", pa.int32()), ("own", pa.bool_())]
 )
 
@@ -98,7 +99,7 @@ def _runs(length: int, zone: int):
                 k1, k2 = b.column(0)[i].as_py(), b.column(1)[i].as_py()
                 for anchors, firsts, lasts in _anchors(data, length, zone):
                     for a, p, q in zip(anchors.tolist(), firsts.tolist(), lasts.tolist(), strict=True):
-                        rows.append((_signed(digest(data[a - left : a + right])), _signed(digest(data[p : q + length])), k1, k2, a, p, q))
+                        rows.append((_signed(digest(data[a - left : a + right])), _signed(digest(data[p : q + length])), k1, k2, a, (a - p) << 16 | q - p))
                         if len(rows) >= 10_000:
                             yield _batch(rows, RUN_SCHEMA)
                             rows = []
@@ -120,7 +121,9 @@ def _buckets(length: int, zone: int):
             for i in range(b.num_rows):
                 k1, k2, data = b.column(0)[i].as_py(), b.column(1)[i].as_py(), b.column(2)[i].as_py().encode()
                 for r in b.column(3)[i].as_py():
-                    core, a, p, q, own = r["core"], r["anchor"], r["first"], r["last"], r["own"]
+                    core, a, own = r["core"], r["anchor"], r["own"]
+                    p = a - (r["reach"] >> 16)
+                    q = p + (r["reach"] & 0xFFFF)
                     for k in range((a - q - left) // STEP, (a - p - left) // STEP + 1):
                         base = a - left - STEP * k - side
                         low, high = max(p - base, 0), min(q - base, side)
@@ -148,63 +151,71 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def repeated_spans(df: DataFrame, text: str = "text", length: int = LENGTH, zone: int = ZONE) -> DataFrame:
-    """(k1, k2, begin, end): spans of bytes that repeated windows cover, by the row hashes of `keyed`.
+def repeated_spans(texts: DataFrame, length: int = LENGTH, zone: int = ZONE) -> DataFrame:
+    """(k1, k2, begin, end, mask): spans of bytes that repeated windows cover, by the row hashes of keyed().
 
-    `df` has k1, k2 and the text. Spans of one text may overlap. Each pass counts digits first
-    (summed before the shuffle), then keeps the rows whose digit is not alone; the joins are
-    plain equi-joins of written tables, so adaptive execution splits frequent digits.
+    With a mask, the windows that start at `begin` plus the number of one of its bits are meant.
+    Spans of one text may overlap. Each pass counts digits first (summed before the shuffle),
+    then keeps the rows whose digit is not alone. Frequent digits of the first passes meet
+    written tables in plain equi-joins, which adaptive execution splits.
     """
     if length - zone < STEP + 8 or zone < STEP:
         raise ValueError("the zone must be within the windows")
-    use_checkpoints(df.sparkSession)
-    texts = df.select("k1", "k2", F.col(f"`{text}`").alias("text"))
-    runs = texts.mapInArrow(_runs(length, zone), RUNS)
+    runs = texts.select("k1", "k2", "text").mapInArrow(_runs(length, zone), RUNS)
     # first digit: the core
-    cores = runs.groupBy("core").count().where("count > 1").select("core").checkpoint()
-    runs = runs.join(cores, "core", "left_semi").checkpoint()
+    cores = written(runs.groupBy("core").count().where("count > 1").select("core"))
+    runs = written(runs.join(cores, "core", "left_semi"))
     # second digit: the whole run
-    firsts = [F.first(c).alias(c) for c in ("k1", "k2", "anchor", "first", "last")]
-    kinds = runs.groupBy("core", "run").agg(F.count("*").alias("n"), *firsts).checkpoint()
+    firsts = [F.first(c).alias(c) for c in ("k1", "k2", "anchor", "reach")]
+    kinds = written(runs.groupBy("core", "run").agg(F.count("*").alias("n"), *firsts))
     settled = runs.join(kinds.where("n > 1").select("core", "run"), ["core", "run"], "left_semi")
-    whole = settled.select("k1", "k2", F.col("first").alias("begin"), (F.col("last") + length).alias("end"))
+    start = F.col("anchor") - F.shiftright("reach", 16)
+    whole = settled.select("k1", "k2", start.alias("begin"), (start + F.col("reach").bitwiseAND(0xFFFF) + length).alias("end"), F.lit(None).cast("int").alias("mask"))
     mixed = kinds.groupBy("core").count().where("count > 1").select("core")
-    open_runs = kinds.join(mixed, "core", "left_semi").select("k1", "k2", F.struct("core", "anchor", "first", "last", (F.col("n") == 1).alias("own")).alias("r"))
+    open_runs = kinds.join(mixed, "core", "left_semi").select("k1", "k2", F.struct("core", "anchor", "reach", (F.col("n") == 1).alias("own")).alias("r"))
     by_text = open_runs.groupBy("k1", "k2").agg(F.collect_list("r").alias("runs"))
-    # third digit: what the windows of a bucket have in common
-    buckets = texts.join(by_text, ["k1", "k2"]).select("k1", "k2", "text", "runs").mapInArrow(_buckets(length, zone), BUCKETS).checkpoint()
+    # third digit: what the windows of a bucket have in common; all columns of the texts are named, so that one shuffle of them serves twice
+    buckets = texts.join(by_text, ["k1", "k2"]).select("k1", "k2", "text", "runs", "doc_id").mapInArrow(_buckets(length, zone), BUCKETS)
     digit = ["core", "bucket", "digit"]
     shared = buckets.groupBy(*digit).count().where("count > 1").select(*digit)
-    left = buckets.join(shared, digit, "left_semi").checkpoint()
+    left = buckets.join(shared, digit, "left_semi")
     # last digit: the bytes of the window that the third did not hold
     windows = left.withColumn("at", F.explode(F.sequence("low", "high"))).withColumn("rest", F.expr(f"substring(rest, at + 1, {STEP - 1})"))
     last = [*digit, "at", "rest"]
     twice = windows.groupBy(*last).count().where("count > 1").select(*last)
     equal = windows.where("own").join(twice, last, "left_semi")
-    parts = equal.select("k1", "k2", (F.col("base") + F.col("at")).alias("begin"), (F.col("base") + F.col("at") + length).alias("end"))
-    return whole.unionByName(parts)
+    parts = equal.groupBy("k1", "k2", "base").agg(F.bit_or(F.expr("shiftleft(1, at)")).alias("mask"))
+    return whole.unionByName(parts.select("k1", "k2", F.col("base").alias("begin"), F.lit(None).cast("int").alias("end"), "mask"))
 
 
 def keyed(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """`df` with two row hashes, k1 and k2; equal rows share them, and their spans."""
-    return df.withColumn("k1", F.xxhash64(F.col(f"`{text}`"), F.col(f"`{doc_id}`"))).withColumn("k2", F.xxhash64(F.lit(1), F.col(f"`{doc_id}`")))
+    """(doc_id, text, k1, k2), the last two being row hashes; equal rows share them, and their spans."""
+    rows = df.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    return rows.select("doc_id", "text", F.xxhash64("text", "doc_id").alias("k1"), F.hash("doc_id").alias("k2"))
 
 
 CUT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 CUT_ARROW = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
 
 
-def _cut(with_text: bool):
-    """Applies spans: from doc_id, text, begins and ends to the columns of CUT, and the kept bytes if asked for."""
+def spread(span: dict, length: int) -> list[tuple[int, int]]:
+    """A row of repeated_spans() as spans."""
+    if span["mask"] is None:
+        return [(span["begin"], span["end"])]
+    return [(a := span["begin"] + i, a + length) for i in range(STEP) if span["mask"] >> i & 1]
+
+
+def _cut(length: int, with_text: bool):
+    """Applies spans: from doc_id, text and spans to the columns of CUT, and the kept bytes if asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for s in range(0, b.num_rows, 500):
                 part = b.slice(s, 500)
                 rows = []
-                for text, begins, ends in zip(*(part.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
+                for text, found in zip(*(part.column(i).to_pylist() for i in (1, 2)), strict=True):
                     data = (text or "").encode()
-                    spans = merged(list(zip(begins or [], ends or [], strict=True)))
+                    spans = merged([x for s in found or [] for x in spread(s, length)])
                     edges = [0, *(x for span in spans for x in span), len(data)]
                     kept = b"".join(data[i:j] for i, j in zip(edges[::2], edges[1::2], strict=True)) if spans else data
                     row = (len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest())
@@ -225,12 +236,12 @@ def remove_repeats(df: DataFrame, text: str = "text", doc_id: str = "doc_id", le
     `length` bytes stay whole. Other columns are not read. Windows are equal where their digits
     are, by two 64-bit hashes and the bytes of the last pass.
     """
-    rows = keyed(df.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")))
-    spans = repeated_spans(rows, "text", length, zone)
-    by_text = spans.groupBy("k1", "k2").agg(F.collect_list("begin").alias("begins"), F.collect_list("end").alias("ends"))
-    joined = rows.join(by_text, ["k1", "k2"], "left").select("doc_id", "text", "begins", "ends")
+    texts = keyed(df, text, doc_id)
+    spans = repeated_spans(texts, length, zone)
+    by_text = spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("begin", "end", "mask")).alias("spans"))
+    joined = texts.join(by_text, ["k1", "k2"], "left").select("doc_id", "text", "spans", "k1", "k2")
     kind = df.schema[doc_id].dataType.simpleString()
-    return joined.mapInArrow(_cut(with_text), f"doc_id {kind}, {CUT}" + (", kept binary" if with_text else ""))
+    return joined.mapInArrow(_cut(length, with_text), f"doc_id {kind}, {CUT}" + (", kept binary" if with_text else ""))
 
 
 def op5_repeats(spark, sf_dir: str) -> DataFrame:
