@@ -7,6 +7,7 @@ import html
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Where the narrative of a filing begins.
 NARRATIVE = (
@@ -20,7 +21,7 @@ NARRATIVE = (
 )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unescape(s: pd.Series) -> pd.Series:
     """Decodes character references; rows without an ampersand never need it."""
     return s.map(lambda x: None if x is None else html.unescape(x))
@@ -43,7 +44,7 @@ def snippet(c: Column, n: int = 500) -> Column:
     return F.coalesce(F.when(F.length(c) > start - 1 + n, F.concat(cut, F.lit("…"))).otherwise(cut), F.lit(""))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def title_case(s: pd.Series) -> pd.Series:
     """A capital after everything that is no letter."""
     return s.map(lambda x: None if x is None else x.title())
@@ -51,5 +52,5 @@ def title_case(s: pd.Series) -> pd.Series:
 
 def row_label(c: Column) -> Column:
     """A row's label: what stands before the first number, without edge punctuation, in title case."""
-    before = F.regexp_extract(c, r"(?U)^(.*?)(?:\s{2,}|\s*[$(]?\s*\d|\.{2,}|$)", 1)
+    before = F.regexp_extract(F.trim(c), r"(?U)^(.*?)(?:\s{2,}|\s*[$(]?\s*\d|\.{2,}|$)", 1)
     return title_case(F.regexp_replace(F.regexp_replace(before, r"^[ .:\t]+|[ .:\t]+$", ""), r"(?U)\s+", " "))

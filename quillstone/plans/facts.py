@@ -1 +1,195 @@
-"""Queries."""
+"""Filing facts and accounting checks over facts that orders and their lines stand for."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quillstone.operators import aggregate, checks, joins
+from quillstone.operators import rules as R
+from quillstone.registry import register, table
+
+
+def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order as a filing, with amounts of its lines as facts."""
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").cast("string").alias("accession")).agg(
+        F.sum("l_extendedprice").alias("ext"),
+        F.sum(F.col("l_extendedprice") * F.col("l_discount")).alias("disc"),
+        (F.sum(F.col("l_extendedprice") * F.col("l_tax")) * 1.01).alias("tax"),  # no difference is exactly at the tolerance
+        F.sum(F.when(F.col("l_returnflag") == "A", F.col("l_extendedprice")).otherwise(0.0)).alias("a"),
+        F.sum(F.when(F.col("l_returnflag") == "N", F.col("l_extendedprice")).otherwise(0.0)).alias("n"),
+        F.sum("l_quantity").alias("q"),
+        F.count("*").alias("k"),
+    )
+    facts = [
+        ("balance_sheet", "us-gaap:Assets", F.col("ext")),
+        ("balance_sheet", "us-gaap:Liabilities", F.col("a")),
+        ("balance_sheet", "us-gaap:StockholdersEquity", F.when(F.col("k") % 5 != 0, F.col("n"))),
+        ("balance_sheet", "us-gaap:AssetsCurrent", F.col("a")),
+        ("balance_sheet", "us-gaap:StockholdersEquity [CommonStock]", F.col("n") * 0.6),
+        ("balance_sheet", "us-gaap:StockholdersEquity [RetainedEarnings]", F.col("n") * 0.38),
+        ("balance_sheet", "us-gaap:StockholdersEquity [Parent]", F.col("n")),
+        ("income_stmt", R.REVENUE[1], F.col("ext")),
+        ("other", R.COST[1], F.col("disc")),
+        ("income_stmt", "us-gaap:GrossProfit", F.col("ext") - F.col("disc") - F.col("tax")),
+        ("income_stmt", "us-gaap:OperatingExpenses", F.col("tax")),
+        ("other", "us-gaap:OperatingIncomeLoss", F.col("ext") - F.col("disc") - F.col("tax") * 2),
+        ("income_stmt", R.PRETAX[2], F.col("ext")),
+        ("income_stmt", R.TAX[0], F.when(F.col("k") % 2 == 0, F.col("tax"))),
+        ("income_stmt", R.NET[0], F.col("ext") - F.col("tax")),
+        ("cashflow", R.OPERATING[0], F.col("a")),
+        ("cashflow", R.INVESTING[0], F.col("n")),
+        ("cashflow", R.FINANCING[0], -F.col("disc")),
+        ("other", R.CASH_CHANGE[0], F.col("ext")),
+    ]
+    listed = F.array(*[F.struct(F.lit(s).alias("section"), F.lit(c).alias("concept"), v.alias("value"), F.lit(i).alias("ord")) for i, (s, c, v) in enumerate(facts)])
+    return lines.select("accession", F.explode(listed).alias("f")).select("accession", "f.*")
+
+
+_ORDER_SUMS = """
+WITH s AS (
+  SELECT l_orderkey::VARCHAR AS accession, sum(l_extendedprice) AS ext, sum(l_extendedprice * l_discount) AS disc, sum(l_extendedprice * l_tax) * 1.01 AS tax,
+         sum(CASE WHEN l_returnflag = 'A' THEN l_extendedprice ELSE 0 END) AS a, sum(CASE WHEN l_returnflag = 'N' THEN l_extendedprice ELSE 0 END) AS n, count(*) AS k
+  FROM lineitem GROUP BY 1
+)
+"""
+
+
+@register(
+    "c01_balance_sheet",
+    _ORDER_SUMS
+    + """, v AS (SELECT accession, ext, a, CASE WHEN k % 5 <> 0 THEN n END AS n FROM s)
+    SELECT accession, n IS NOT NULL AND abs(ext - a - n) / greatest(ext, a + n, 1e-9) * 100 <= 5 AS passed, CASE WHEN n IS NULL THEN 'missing' ELSE 'checked' END AS status FROM v""",
+)
+def c01_balance_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.run_checks(order_facts(spark, sf_dir)).where("check_name = 'balance sheet identity'").select("accession", "passed", "status")
+
+
+@register(
+    "c04_gross_profit",
+    _ORDER_SUMS + "SELECT accession, abs(tax) / greatest(ext, disc, abs(ext - disc), abs(ext - disc - tax), 1e-9) * 100 <= 5 AS passed, round(-tax, 2) AS difference FROM s",
+)
+def c04_gross_profit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = checks.run_checks(order_facts(spark, sf_dir)).where("check_name = 'gross profit'")
+    return rows.select("accession", "passed", F.round("difference", 2).alias("difference"))
+
+
+@register(
+    "c08_net_income",
+    _ORDER_SUMS + "SELECT accession, (CASE WHEN k % 2 = 0 THEN 0 ELSE tax END) / greatest(ext, ext - tax, tax, 1e-9) * 100 <= 5 AS passed FROM s",
+)
+def c08_net_income(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.run_checks(order_facts(spark, sf_dir)).where("check_name = 'net income'").select("accession", "passed")
+
+
+@register(
+    "c10_cash_flow",
+    _ORDER_SUMS
+    + """SELECT accession, abs(a + n - disc - ext) / greatest(a, n, disc, abs(a + n - disc), ext, 1e-9) * 100 <= 5 AS passed,
+           abs(a + n - disc - ext) / greatest(abs(a + n - disc), ext, 1e-9) * 100 <= 5 AS passed_strict FROM s""",
+)
+def c10_cash_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.run_checks(order_facts(spark, sf_dir)).where("check_name = 'cash flow'").select("accession", "passed", "passed_strict")
+
+
+@register(
+    "c11_equity_components",
+    _ORDER_SUMS
+    + """SELECT accession, CASE WHEN k % 5 = 0 THEN 'missing' WHEN n = 0 THEN 'skipped' ELSE 'checked' END AS status, k % 5 <> 0 AS passed FROM s""",
+)
+def c11_equity_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.run_checks(order_facts(spark, sf_dir)).where("check_name = 'equity components'").select("accession", "status", "passed")
+
+
+@register(
+    "c17_failures",
+    _ORDER_SUMS
+    + """, v AS (SELECT accession, k % 5 = 0 OR abs(ext - a - n) / greatest(ext, a + n, 1e-9) * 100 > 5 AS bad FROM s)
+    SELECT accession FROM v WHERE bad""",
+)
+def c17_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    results = checks.run_checks(order_facts(spark, sf_dir)).where("check_name = 'balance sheet identity'")
+    return checks.check_failures(results).select("accession")
+
+
+@register("c00_all_checks")
+def c00_all_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.run_checks(order_facts(spark, sf_dir))
+
+
+@register(
+    "j21_best_subset",
+    """
+    WITH v AS (SELECT l_orderkey AS accession, l_extendedprice AS v, row_number() OVER (PARTITION BY l_orderkey ORDER BY abs(l_extendedprice) DESC, l_linenumber, l_partkey) AS n FROM lineitem),
+         t AS (SELECT * FROM v WHERE n <= 10), o AS (SELECT l_orderkey AS accession, round(sum(l_extendedprice) / 2, 2) AS target FROM lineitem GROUP BY 1),
+         sums AS (
+           SELECT accession, v AS s FROM t
+           UNION ALL SELECT a.accession, a.v + b.v FROM t a JOIN t b ON a.accession = b.accession AND a.n < b.n
+           UNION ALL SELECT a.accession, a.v + b.v + c.v FROM t a JOIN t b ON a.accession = b.accession AND a.n < b.n JOIN t c ON b.accession = c.accession AND b.n < c.n)
+    SELECT accession, target, round(min(abs(s - target)), 2) AS error FROM sums JOIN o USING (accession) GROUP BY 1, 2
+    """,
+)
+def j21_best_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("accession"), F.col("l_extendedprice").alias("v"), F.struct("l_linenumber", "l_partkey").alias("o"))
+    targets = lines.groupBy("accession").agg(F.round(F.sum("v") / 2, 2).alias("target"))
+    return joins.best_subset_sum(lines, targets, ["accession"], "v", "o").select("accession", "target", F.round("error", 2).alias("error"))
+
+
+@register(
+    "a06_pivot_facts",
+    """
+    WITH sets AS (SELECT l_orderkey AS accession, l_returnflag AS concept, l_linestatus AS dims, arg_max(l_quantity, l_linenumber * 100000 + l_partkey) AS value, min(l_linenumber * 100000 + l_partkey) AS f FROM lineitem GROUP BY 1, 2, 3)
+    SELECT accession, concept AS label, arg_max(value, f) AS value FROM sets GROUP BY 1, 2
+    """,
+)
+def a06_pivot_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem")
+    facts = lines.select(F.col("l_orderkey").alias("accession"), F.col("l_returnflag").alias("concept"), F.col("l_linestatus").alias("dims"), F.col("l_returnflag").alias("label"), F.col("l_quantity").alias("value"), (F.col("l_linenumber") * 100000 + F.col("l_partkey")).alias("ord"))
+    return aggregate.pivot_facts(facts).select("accession", "label", "value")
+
+
+@register(
+    "w06_topk_abs",
+    "SELECT o_custkey, o_orderkey, o_totalprice FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY abs(o_totalprice) DESC, o_orderkey) <= 10",
+)
+def w06_topk_abs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregate.topk_abs(table(spark, sf_dir, "orders"), ["o_custkey"], "o_totalprice", "o_orderkey").select("o_custkey", "o_orderkey", "o_totalprice")
+
+
+@register(
+    "a11_sum_matching",
+    "SELECT p_brand AS accession, sum(CASE WHEN (lower(p_name) LIKE '%red%' OR lower(p_name) LIKE '%ring%') AND lower(p_name) NOT LIKE '%small%' THEN p_retailprice END) AS total FROM part GROUP BY 1",
+)
+def a11_sum_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    facts = table(spark, sf_dir, "part").select(F.col("p_brand").alias("accession"), F.col("p_name").alias("concept"), F.col("p_retailprice").alias("value"))
+    return aggregate.sum_matching(facts, ["red", "ring"], ["small"])
+
+
+@register(
+    "a17_run_summary",
+    "SELECT count(*) FILTER (value >= 5) AS n_parsed, count(*) FILTER (value < 5) AS n_failed, count(*) FILTER (user_id % 4 > 0) AS n_with_failures, sum(user_id % 4) AS n_failed_checks FROM events",
+)
+def a17_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregate.run_summary(table(spark, sf_dir, "events").select((F.col("value") >= 5).alias("parsed"), (F.col("user_id") % 4).alias("failed_checks")))
+
+
+@register(
+    "w08_running_section",
+    "SELECT user_id, event_id, sum(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS section FROM events",
+)
+def w08_running_section(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type")
+    return aggregate.running_section(events, F.col("event_type") == "signup", ["user_id"], "event_id").select("user_id", "event_id", "section")
+
+
+@register(
+    "a20_collapse",
+    """
+    SELECT user_id AS doc, event_type AS metric, event_id FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY CASE WHEN value > 15 THEN 0 WHEN value > 5 THEN 1 ELSE 2 END, event_id) = 1
+    """,
+)
+def a20_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.when(F.col("value") > 15, "range").when(F.col("value") > 5, "exact").otherwise("about")
+    rows = table(spark, sf_dir, "events").select(F.col("user_id").alias("doc"), F.lit("p").alias("period"), F.col("event_type").alias("metric"), kind.alias("kind"), F.col("event_id").alias("ord"), "event_id")
+    return aggregate.collapse_guidance(rows).select("doc", "metric", "event_id")

@@ -1 +1,97 @@
-"""Queries."""
+"""Text queries: pages, matches with positions, and guidance in texts that rows stand for."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quillstone.functions.text import strip_tags
+from quillstone.operators import filing_text
+from quillstone.registry import register, table
+
+
+@register(
+    "f07_page_text",
+    r"""
+    SELECT page_id, length(trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g'))) AS n_text,
+           md5(trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g'))) AS text_md5 FROM pages
+    """,
+)
+def f07_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").withColumn("t", strip_tags(F.col("html"))).select("page_id", F.length("t").alias("n_text"), F.md5("t").alias("text_md5"))
+
+
+@register("t17_page_links", """SELECT page_id, nullif(regexp_extract(html, 'href="([^"]*th[^"]*)"', 1), '') AS link FROM pages""")
+def t17_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", F.nullif(F.regexp_extract("html", 'href="([^"]*th[^"]*)"', 1), F.lit("")).alias("link"))
+
+
+@register(
+    "t05_matches",
+    """
+    WITH RECURSIVE m AS (
+      SELECT doc_id, text, 0 AS ord, strpos(text, ' and ') AS p FROM documents WHERE strpos(text, ' and ') > 0
+      UNION ALL
+      SELECT doc_id, text, ord + 1, p + 4 + strpos(substr(text, p + 5), ' and ') FROM m WHERE strpos(substr(text, p + 5), ' and ') > 0
+    )
+    SELECT doc_id, ord, p - 1 AS start FROM m
+    """,
+)
+def t05_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return filing_text.regex_matches(docs, "text", " and ").select("doc_id", "ord", "start")
+
+
+_GUIDE = "'The company raised guidance. For full year ' || year(o_orderdate) || ' it expects revenue of $' || (o_orderkey % 900 + 100) || ' to $' || (o_orderkey % 900 + 150) || ' million and adjusted net income positive.'"
+
+
+def _guidance_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey") % 900
+    parts = [F.lit("The company raised guidance. For full year "), F.year("o_orderdate").cast("string"), F.lit(" it expects revenue of $"), (k + 100).cast("string"), F.lit(" to $"), (k + 150).cast("string"), F.lit(" million and adjusted net income positive.")]
+    late = F.col("o_orderdate") >= F.lit("2000-01-01")
+    return table(spark, sf_dir, "orders").where(late).select(F.col("o_orderkey").alias("doc"), F.concat(*parts).alias("text"))
+
+
+@register(
+    "t13_guidance",
+    """
+    SELECT o_orderkey AS doc, 'revenue' AS category, 'FY' || year(o_orderdate) AS period, 'revenue' AS metric, (o_orderkey % 900 + 100)::DOUBLE AS low, (o_orderkey % 900 + 150)::DOUBLE AS high, NULL AS qualitative, 'raised' AS vs_prior
+    FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01'
+    UNION ALL SELECT o_orderkey, 'earnings', 'FY' || year(o_orderdate), 'adjusted_net_income', NULL, NULL, 'positive', 'raised' FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01'
+    """,
+)
+def t13_guidance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = filing_text.extract_guidance(_guidance_texts(spark, sf_dir))
+    return found.select("doc", "category", "period", "metric", "low", "high", "qualitative", "vs_prior")
+
+
+@register(
+    "t06_periods",
+    "SELECT o_orderkey AS doc, 47 - 4 AS start, 'FY' || year(o_orderdate) AS period FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01'".replace("47 - 4", str(len("The company raised guidance. For "))),
+)
+def t06_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filing_text.period_mentions(_guidance_texts(spark, sf_dir))
+
+
+@register(
+    "t03_document_blocks",
+    """
+    SELECT c_custkey AS accession, 1 AS doc_no, 'EX-99.1' AS type, c_mktsegment AS description, c_name AS text FROM customer
+    UNION ALL SELECT c_custkey, 2, 'EX-99.2', '', c_mktsegment FROM customer WHERE c_custkey % 2 = 0
+    """,
+)
+def t03_document_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    closed = F.when(F.col("c_custkey") % 2 == 0, "</DOCUMENT>").otherwise("")
+    content = F.concat(F.lit("head <DOCUMENT>\n<TYPE>EX-99.1\n<DESCRIPTION>"), "c_mktsegment", F.lit("\n<TEXT>"), "c_name", F.lit("</TEXT></DOCUMENT><document><TYPE>EX-99.2\n<TEXT>"), "c_mktsegment", F.lit("</TEXT>"), closed)
+    rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("accession"), content.alias("content"))
+    return filing_text.document_blocks(rows).select("accession", "doc_no", "type", "description", "text")
+
+
+@register(
+    "t14_legacy_header",
+    "SELECT o_orderkey, o_orderkey::VARCHAR AS accession_number, '10-' || o_orderstatus AS form_type, strftime(o_orderdate, '%Y-%m-%d') AS period, 'Company ' || o_custkey AS company_name FROM orders",
+)
+def t14_legacy_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = [F.lit("-----BEGIN PRIVACY-ENHANCED MESSAGE-----\n\nACCESSION NUMBER:\t\t"), F.col("o_orderkey").cast("string"), F.lit("\nCONFORMED SUBMISSION TYPE:\t10-"), F.col("o_orderstatus"), F.lit("\nCONFORMED PERIOD OF REPORT:\t"), F.date_format("o_orderdate", "yyyyMMdd"), F.lit("\n\tCOMPANY CONFORMED NAME:\t\t\tCompany "), F.col("o_custkey").cast("string"), F.lit("\nend")]
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.concat(*parts).alias("content"))
+    return filing_text.legacy_header(rows).select("o_orderkey", "accession_number", "form_type", "period", "company_name")
