@@ -62,6 +62,13 @@ EPS_SINGLE = r"(?iU)(?:eps|earnings\s+per\s+share)[:\s]*(?:of\s+)?\$\s*([\d.]+)\
 INCOME_WORD = r"(?iU)(?:adjusted\s+)?(?:net\s+)?(?:income|earnings)\s+(positive|negative|profit|profitability|breakeven)"
 INCOME_RANGE = r"(?iU)(?:adjusted\s+)?(?:net\s+)?(?:income|earnings)[:\s]*(?:of\s+)?\$\s*([\d,]+(?:\.\d+)?)\s*(?:to|-)\$?\s*([\d,]+(?:\.\d+)?)\s*(million|billion|m|b)?"
 
+# Gross-margin patterns.
+MARGIN_BOTH = r"(?iU)GAAP\s+and\s+adjusted\s+gross\s+margin(?:\s+of)?\s+(?:approximately\s+)?([\d.]+)%\s+and\s+([\d.]+)%"
+MARGIN_RANGE = r"(?iU)adjusted\s+gross\s+margin(?:\s+of)?\s+([\d.]+)%\s+(?:to|-)\s+([\d.]+)%"
+MARGIN_SINGLE = r"(?iU)adjusted\s+gross\s+margin(?:\s+of)?\s+(?:approximately\s+)?([\d.]+)%(?!\s+(?:and|to)\s+[\d.]+%)"
+MARGIN_LEAST = r"(?iU)adjusted\s+gross\s+margin\s+at\s+least\s+([\d.]+)%"
+MARGIN_GAAP = r"(?iU)GAAP\s+gross\s+margin(?:\s+of)?\s+(?:approximately\s+)?([\d.]+)%"
+
 
 def _has(c: Column, pattern: str) -> Column:
     return F.coalesce(c.rlike(f"(?iU){pattern}"), F.lit(False))
@@ -217,7 +224,7 @@ def _guided(pattern: str, make: Callable[[Column], Column]) -> Column:
 
 
 def extract_guidance(df: DataFrame, text: str = "text") -> DataFrame:
-    """One row for each piece of revenue, per-share and net-income guidance in a document, with its columns but the text.
+    """One row for each piece of revenue, per-share, net-income and gross-margin guidance in a document, with its columns but the text.
 
     A match needs forward-looking surroundings. Its period is the one mentioned right behind it
     (revenue only), else the last one before it, else the one of the document's last revenue
@@ -270,6 +277,23 @@ def extract_guidance(df: DataFrame, text: str = "text") -> DataFrame:
         _guided(INCOME_WORD, lambda m: _entry(m, 4, "earnings", at(m), kind(m), "qualitative", qualitative=F.lower(F.regexp_extract(m["raw"], INCOME_WORD, 1)))),
         _guided(INCOME_RANGE, income_range),
     ]
+
+    def margin(m: Column, pattern: str, ord_: int, kind_: str, metric: str, group: int = 1) -> Column:
+        first = parse_num(F.regexp_extract(m["raw"], pattern, group))
+        if kind_ != "interval":
+            return _entry(m, ord_, "margins", at(m), F.lit(metric), kind_, value=first, unit=F.lit("percent"))
+        second = parse_num(F.regexp_extract(m["raw"], pattern, 2))
+        return _entry(m, ord_, "margins", at(m), F.lit(metric), kind_, value=(first + second) / 2, low=first, high=second, unit=F.lit("percent"))
+
+    adjusted, gaap = "adjusted_gross_margin", "gaap_gross_margin"
+    passes += [
+        _guided(MARGIN_BOTH, lambda m: margin(m, MARGIN_BOTH, 6, "exact", gaap)),
+        _guided(MARGIN_BOTH, lambda m: margin(m, MARGIN_BOTH, 6, "exact", adjusted, 2)),
+        _guided(MARGIN_RANGE, lambda m: margin(m, MARGIN_RANGE, 7, "interval", adjusted)),
+        _guided(MARGIN_SINGLE, lambda m: margin(m, MARGIN_SINGLE, 8, "exact", adjusted)),
+        _guided(MARGIN_LEAST, lambda m: margin(m, MARGIN_LEAST, 9, "min", adjusted)),
+        _guided(MARGIN_GAAP, lambda m: margin(m, MARGIN_GAAP, 10, "exact", gaap)),
+    ]
     every = F.filter(F.concat(F.col("_ranges"), *passes), lambda e: e["value"].isNotNull() | e["qualitative"].isNotNull())
     rows = rows.withColumn("_all", every)
 
