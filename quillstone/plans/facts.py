@@ -167,7 +167,7 @@ def a11_sum_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "a17_run_summary",
-    "SELECT count(*) FILTER (value >= 5) AS n_parsed, count(*) FILTER (value < 5) AS n_failed, count(*) FILTER (user_id % 4 > 0) AS n_with_failures, sum(user_id % 4) AS n_failed_checks FROM events",
+    "SELECT count(*) FILTER (value >= 5) AS n_parsed, count(*) FILTER (value < 5) AS n_failed, count(*) FILTER (user_id % 4 > 0) AS n_with_failures, sum(user_id % 4)::BIGINT AS n_failed_checks FROM events",
 )
 def a17_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregate.run_summary(table(spark, sf_dir, "events").select((F.col("value") >= 5).alias("parsed"), (F.col("user_id") % 4).alias("failed_checks")))
@@ -175,7 +175,7 @@ def a17_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "w08_running_section",
-    "SELECT user_id, event_id, sum(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS section FROM events",
+    "SELECT user_id, event_id, sum(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING)::BIGINT AS section FROM events",
 )
 def w08_running_section(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type")

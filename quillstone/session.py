@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 
@@ -22,3 +27,18 @@ def build_session(master: str = "local[*]", app: str = "quillstone", partitions:
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once a context, unless they find it by their search path or folder."""
+    root = Path(__file__).resolve().parents[1]
+    context = spark.sparkContext
+    reached = {Path(p).resolve() for p in (os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)) if p}
+    if root in reached or getattr(context, "_quillstone_shipped", False):
+        return
+    archive = Path(tempfile.mkdtemp(prefix="spark-")) / "quillstone.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for p in sorted((root / "quillstone").rglob("*.py")):
+            z.write(p, p.relative_to(root))
+    context.addPyFile(str(archive))
+    context._quillstone_shipped = True
