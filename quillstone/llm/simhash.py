@@ -258,12 +258,11 @@ def near_duplicate_classes(prints: DataFrame, radius: int = RADIUS, block: int =
     return points.withColumnRenamed("label", "root")
 
 
-def _classified(df: DataFrame, text: str, doc_id: str, radius: int, shingle: int) -> DataFrame:
-    """(doc_id, key, fp, root) for each row; key is a hash of doc_id and text."""
+def _prints(df: DataFrame, text: str, doc_id: str, shingle: int) -> DataFrame:
+    """(doc_id, key, fp) for each row; key is a hash of doc_id and text."""
     use_checkpoints(df.sparkSession)
     texts = df.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("_text"))
-    rows = with_fingerprints(texts, "_text", shingle).select("doc_id", F.xxhash64("doc_id", "_text").alias("key"), "fp").checkpoint()
-    return rows.join(near_duplicate_classes(rows, radius), "fp")
+    return with_fingerprints(texts, "_text", shingle).select("doc_id", F.xxhash64("doc_id", "_text").alias("key"), "fp").checkpoint()
 
 
 def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
@@ -271,11 +270,14 @@ def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", r
 
     Fingerprints within `radius` differing bits link. Null and empty texts have the fingerprint
     0, which links like any other. Repeated rows stay. A row without a doc_id takes part; a class
-    without any doc_id has a null component_id.
+    without any doc_id has a null component_id. Classes are named by distinct fingerprints; rows
+    meet their fingerprint's name last, in a join of two written tables that can be split.
     """
-    rows = _classified(df, text, doc_id, radius, shingle)
-    named = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return rows.join(named, "root").select("doc_id", "fp", "component_id")
+    rows = _prints(df, text, doc_id, shingle)
+    classes = near_duplicate_classes(rows, radius)
+    named = rows.groupBy("fp").agg(F.min("doc_id").alias("_m")).join(classes, "fp").groupBy("root").agg(F.min("_m").alias("component_id"))
+    names = classes.join(named, "root").select("fp", "component_id").checkpoint()
+    return rows.join(names, "fp").select("doc_id", "fp", "component_id")
 
 
 def one_of_each(df: DataFrame, text: str = "text", doc_id: str = "doc_id", radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
@@ -284,8 +286,10 @@ def one_of_each(df: DataFrame, text: str = "text", doc_id: str = "doc_id", radiu
     It is the row of the smallest doc_id, rows without one last; the smallest hash of the text
     decides between rows of one doc_id. Of repeated rows one stays.
     """
-    rows = _classified(df, text, doc_id, radius, shingle)
-    firsts = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("_first")).select(F.col("_first.key").alias("_key"))
+    rows = _prints(df, text, doc_id, shingle)
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
+    by_print = rows.groupBy("fp").agg(F.min(first).alias("_first")).join(near_duplicate_classes(rows, radius), "fp")
+    firsts = by_print.groupBy("root").agg(F.min("_first").alias("_first")).select(F.col("_first.key").alias("_key")).checkpoint()
     keyed = df.withColumn("_key", F.xxhash64(F.col(f"`{doc_id}`"), F.col(f"`{text}`")))
     each = Window.partitionBy("_key").orderBy("_key")
     return keyed.join(firsts, "_key").withColumn("_n", F.row_number().over(each)).where("_n = 1").drop("_n", "_key")
