@@ -55,9 +55,23 @@ def use_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
 
 
+#: Whether Spark removes a query's shuffle files when the query ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame) -> DataFrame:
-    """`df` as a Parquet table in the checkpoint folder: its lineage is cut, and it takes less room than a checkpoint."""
-    use_checkpoints(df.sparkSession)
-    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """`df` as a Parquet table in the checkpoint folder.
+
+    Its lineage is cut, it takes less room than a checkpoint, and the shuffle files that made it
+    go once it is there: a lost executor takes nothing with it that the table would need.
+    """
+    spark = df.sparkSession
+    use_checkpoints(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)

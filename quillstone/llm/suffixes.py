@@ -180,8 +180,11 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, zone: int = ZONE) ->
     shared = buckets.groupBy(*digit).count().where("count > 1").select(*digit)
     left = buckets.join(shared, digit, "left_semi")
     # last digit: the bytes of the window that the third did not hold
-    windows = left.withColumn("at", F.explode(F.sequence("low", "high"))).withColumn("rest", F.expr(f"substring(rest, at + 1, {STEP - 1})"))
-    last = [*digit, "at", "rest"]
+    each = left.withColumn("at", F.explode(F.sequence("low", "high"))).withColumn("rest", F.expr(f"substring(rest, at + 1, {STEP - 1})"))
+    # all digits as two hashes, which take half the room
+    window = [F.xxhash64(*digit, "at", "rest").alias("w1"), F.xxhash64("rest", "at", *digit).alias("w2")]
+    windows = each.select(*window, "k1", "k2", "base", "at", "own")
+    last = ["w1", "w2"]
     twice = windows.groupBy(*last).count().where("count > 1").select(*last)
     equal = windows.where("own").join(twice, last, "left_semi")
     parts = equal.groupBy("k1", "k2", "base").agg(F.bit_or(F.expr("shiftleft(1, at)")).alias("mask"))
@@ -234,7 +237,7 @@ def remove_repeats(df: DataFrame, text: str = "text", doc_id: str = "doc_id", le
     A byte goes if a string of `length` bytes that covers it starts anywhere else too, in the
     same text or another; repeated rows count as other texts. Null texts are empty; texts under
     `length` bytes stay whole. Other columns are not read. Windows are equal where their digits
-    are, by two 64-bit hashes and the bytes of the last pass.
+    are, by two 64-bit hashes in each pass.
     """
     texts = keyed(df, text, doc_id)
     spans = repeated_spans(texts, length, zone)
