@@ -121,30 +121,30 @@ def c00_all_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     "j21_best_subset",
     """
     WITH v AS (SELECT l_orderkey AS accession, l_extendedprice AS v, row_number() OVER (PARTITION BY l_orderkey ORDER BY abs(l_extendedprice) DESC, l_linenumber, l_partkey) AS n FROM lineitem),
-         t AS (SELECT * FROM v WHERE n <= 10), o AS (SELECT l_orderkey AS accession, round(sum(l_extendedprice) / 2, 2) AS target FROM lineitem GROUP BY 1),
+         t AS (SELECT * FROM v WHERE n <= 10), o AS (SELECT l_orderkey AS accession, round(sum(l_extendedprice), 2) / 2 AS target FROM lineitem GROUP BY 1),
          sums AS (
            SELECT accession, v AS s FROM t
            UNION ALL SELECT a.accession, a.v + b.v FROM t a JOIN t b ON a.accession = b.accession AND a.n < b.n
            UNION ALL SELECT a.accession, a.v + b.v + c.v FROM t a JOIN t b ON a.accession = b.accession AND a.n < b.n JOIN t c ON b.accession = c.accession AND b.n < c.n)
-    SELECT accession, target, round(min(abs(s - target)), 2) AS error FROM sums JOIN o USING (accession) GROUP BY 1, 2
+    SELECT accession, target, round(min(abs(s - target)), 3) AS error FROM sums JOIN o USING (accession) GROUP BY 1, 2
     """,
 )
 def j21_best_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("accession"), F.col("l_extendedprice").alias("v"), F.struct("l_linenumber", "l_partkey").alias("o"))
-    targets = lines.groupBy("accession").agg(F.round(F.sum("v") / 2, 2).alias("target"))
-    return joins.best_subset_sum(lines, targets, ["accession"], "v", "o").select("accession", "target", F.round("error", 2).alias("error"))
+    targets = lines.groupBy("accession").agg((F.round(F.sum("v"), 2) / 2).alias("target"))
+    return joins.best_subset_sum(lines, targets, ["accession"], "v", "o").select("accession", "target", F.round("error", 3).alias("error"))
 
 
 @register(
     "a06_pivot_facts",
     """
-    WITH sets AS (SELECT l_orderkey AS accession, l_returnflag AS concept, l_linestatus AS dims, arg_max(l_quantity, l_linenumber * 100000 + l_partkey) AS value, min(l_linenumber * 100000 + l_partkey) AS f FROM lineitem GROUP BY 1, 2, 3)
+    WITH sets AS (SELECT l_orderkey AS accession, l_returnflag AS concept, l_linestatus AS dims, arg_max(l_quantity, (l_linenumber * 100000 + l_partkey) * 100000 + l_suppkey) AS value, min((l_linenumber * 100000 + l_partkey) * 100000 + l_suppkey) AS f FROM lineitem GROUP BY 1, 2, 3)
     SELECT accession, concept AS label, arg_max(value, f) AS value FROM sets GROUP BY 1, 2
     """,
 )
 def a06_pivot_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
-    facts = lines.select(F.col("l_orderkey").alias("accession"), F.col("l_returnflag").alias("concept"), F.col("l_linestatus").alias("dims"), F.col("l_returnflag").alias("label"), F.col("l_quantity").alias("value"), (F.col("l_linenumber") * 100000 + F.col("l_partkey")).alias("ord"))
+    facts = lines.select(F.col("l_orderkey").alias("accession"), F.col("l_returnflag").alias("concept"), F.col("l_linestatus").alias("dims"), F.col("l_returnflag").alias("label"), F.col("l_quantity").alias("value"), ((F.col("l_linenumber") * 100000 + F.col("l_partkey")) * 100000 + F.col("l_suppkey")).alias("ord"))
     return aggregate.pivot_facts(facts).select("accession", "label", "value")
 
 
