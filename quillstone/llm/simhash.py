@@ -280,6 +280,13 @@ def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", r
     return rows.join(names, "fp").select("doc_id", "fp", "component_id")
 
 
+def first_rows(df: DataFrame, firsts: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """The rows of `df` that `firsts` (_key) names by a hash of doc_id and text, one for each."""
+    keyed = df.withColumn("_key", F.xxhash64(F.col(f"`{doc_id}`"), F.col(f"`{text}`")))
+    each = Window.partitionBy("_key").orderBy("_key")
+    return keyed.join(firsts, "_key").withColumn("_n", F.row_number().over(each)).where("_n = 1").drop("_n", "_key")
+
+
 def one_of_each(df: DataFrame, text: str = "text", doc_id: str = "doc_id", radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
     """The rows of `df` without near-duplicates: one row of each class stays, with all its columns.
 
@@ -290,9 +297,7 @@ def one_of_each(df: DataFrame, text: str = "text", doc_id: str = "doc_id", radiu
     first = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
     by_print = rows.groupBy("fp").agg(F.min(first).alias("_first")).join(near_duplicate_classes(rows, radius), "fp")
     firsts = by_print.groupBy("root").agg(F.min("_first").alias("_first")).select(F.col("_first.key").alias("_key")).checkpoint()
-    keyed = df.withColumn("_key", F.xxhash64(F.col(f"`{doc_id}`"), F.col(f"`{text}`")))
-    each = Window.partitionBy("_key").orderBy("_key")
-    return keyed.join(firsts, "_key").withColumn("_n", F.row_number().over(each)).where("_n = 1").drop("_n", "_key")
+    return first_rows(df, firsts, text, doc_id)
 
 
 def op9_simhash(spark, sf_dir: str) -> DataFrame:
