@@ -1,17 +1,19 @@
 """Personal data: detected entities are replaced by keyed surrogates of the same type and format.
 
-A surrogate comes from a keyed permutation of all strings of the entity's shape (digits stay
-digits, vowels vowels of the same script and case, names names of the same gender and script),
-so different entities get different surrogates and one entity gets the same one in every
-document. What a permutation cannot promise is that an entity changes at all, or that it stays
-apart from one that had to be permuted again: the collision check looks at all entities found
-and permutes the few that clash under another key.
+A surrogate is the next in a keyed order of all strings of the entity's shape (digits stay digits,
+vowels vowels of the same script and case, names names of the same gender and script), so every
+entity changes, different entities get different surrogates and one entity gets the same one in
+every document, however many of a shape are in use. A check over all entities found holds the
+surrogates against that.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import sys
+import unicodedata
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -22,10 +24,6 @@ from pyspark.sql import functions as F
 from quillstone.llm.common import load, text_udf, use_checkpoints, with_struct
 
 KEY = "surrogates-1"
-#: Entities that may need another key; permutations leave about one for each kind and shape.
-MAX_CLASHES = 50_000
-MAX_ATTEMPTS = 12
-
 KINDS = ("email", "phone", "ip", "card", "ssn", "name")
 
 # Given names by script and gender, and titles by gender.
@@ -98,7 +96,7 @@ def _emails(text: str) -> Iterator[Entity]:
         local, domain = LOCAL.search(text[max(0, at - 64) : at]), DOMAIN.match(text, at + 1)
         if local and domain and (start := local.group().lstrip(".%+-")):
             a, b = at - len(start), domain.end()
-            yield "email", text[a:b].lower(), [(a, b)]
+            yield "email", "".join(c.lower() if len(c.lower()) == 1 else c for c in text[a:b]), [(a, b)]
         at = text.find("@", at + 1)
 
 
@@ -116,7 +114,7 @@ def _numbers(text: str) -> Iterator[Entity]:
                 if any(c.isalnum() or c == "_" for c in word) or kind == "ip" and any(int(x) > 255 for x in k.group().split(".")):
                     continue
                 taken.append((a, b))
-                canonical = k.group() if kind == "ip" else re.sub(r"\D", "", k.group())
+                canonical = ".".join(str(int(x)) for x in k.group().split(".")) if kind == "ip" else re.sub(r"\D", "", k.group())
                 yield kind, canonical, [(a, b)]
 
 
@@ -132,47 +130,83 @@ def detect(text: str) -> list[Entity]:
     return out
 
 
-def _alphabet(c: str) -> str:
+def _listed(c: str) -> str:
+    """The fixed alphabet of a character, or nothing."""
     if c in DIGITS:
         return DIGITS
     low = c.lower()
     for letters in (*VOWELS, *CONSONANTS):
-        if low in letters:
-            return letters if c == low else "".join(x.upper() for x in letters if len(x.upper()) == 1 and x.upper().lower() == x)
-    return c
+        if len(low) == 1 and low in letters:
+            same = letters if c == low else "".join(x.upper() for x in letters if len(x.upper()) == 1 and x.upper().lower() == x)
+            return same if c in same else ""
+    return ""
+
+
+@lru_cache(maxsize=1)
+def _unlisted() -> dict[str, str]:
+    """The alphabets of letters and numerals outside the lists: by script, category and case, vowels apart.
+
+    Those alone in theirs share one for each category and case.
+    """
+    groups: dict[tuple, list[str]] = defaultdict(list)
+    for c in map(chr, range(sys.maxunicode + 1)):
+        if (c.isalpha() or c.isalnum()) and not _listed(c):
+            vowel = any(unicodedata.normalize("NFD", c)[0].lower() in v for v in VOWELS)
+            # characters that lower() changes stay apart from those of a canonical form
+            kind = (unicodedata.category(c), c.isupper(), c.islower(), len(c.lower()), c.lower() == c)
+            groups[(unicodedata.name(c, "").split(" ")[0], vowel, *kind)].append(c)
+    alone: dict[tuple, list[str]] = defaultdict(list)
+    for key, letters in groups.items():
+        if len(letters) == 1:
+            alone[key[2:]] += letters
+    sets = [*(x for x in groups.values() if len(x) > 1), *alone.values()]
+    return {c: letters for x in sets for letters in ["".join(x)] for c in x}
+
+
+@lru_cache(maxsize=10_000)
+def _alphabet(c: str) -> str:
+    return _listed(c) or (_unlisted().get(c, c) if c.isalnum() else c)
+
 
+def _mixed(half: int, part: int, turn: int, key: bytes) -> int:
+    data = part.to_bytes((half + 7) // 8, "big")
+    return int.from_bytes(hashlib.blake2b(data, key=key, person=turn.to_bytes(2, "big"), digest_size=min(64, (half + 7) // 8 + 8)).digest(), "big") & (1 << half) - 1
 
-def permute(value: int, size: int, key: bytes) -> int:
-    """A keyed permutation of the numbers under `size`: a Feistel network, walked until it is within."""
+
+def permute(value: int, size: int, key: bytes, back: bool = False) -> int:
+    """A keyed permutation of the numbers under `size`, or its inverse: a Feistel network, walked until it is within."""
     if size < 2:
         return value
     half = max(1, ((size - 1).bit_length() + 1) // 2)
     mask = (1 << half) - 1
     while True:
         left, right = value >> half, value & mask
-        for turn in range(6):
-            data = right.to_bytes((half + 7) // 8, "big")
-            mixed = int.from_bytes(hashlib.blake2b(data, key=key, person=turn.to_bytes(2, "big"), digest_size=min(64, (half + 7) // 8 + 8)).digest(), "big")
-            left, right = right, left ^ mixed & mask
+        for turn in reversed(range(6)) if back else range(6):
+            if back:
+                left, right = right ^ _mixed(half, left, turn, key), left
+            else:
+                left, right = right, left ^ _mixed(half, right, turn, key)
         value = left << half | right
         if value < size:
             return value
 
 
+def following(value: int, size: int, key: bytes) -> int:
+    """The next of the numbers under `size` in a keyed order, the first after the last: one cycle, so none stays from a size of 2."""
+    return permute((permute(value, size, key) + 1) % size, size, key, back=True)
+
+
 def permute_shape(text: str, key: bytes) -> str:
-    """The text permuted among all texts of its shape."""
+    """The next text in a keyed order of all texts of its shape."""
     alphabets = [_alphabet(c) for c in text]
     value, size = 0, 1
     for c, letters in zip(text, alphabets, strict=True):
-        if len(letters) > 1 and c in letters:
-            value, size = value * len(letters) + letters.index(c), size * len(letters)
-    value = permute(value, size, key)
+        value, size = value * len(letters) + letters.index(c), size * len(letters)
+    value = following(value, size, key)
     out = []
-    for c, letters in zip(reversed(text), reversed(alphabets), strict=True):
-        if len(letters) > 1 and c in letters:
-            value, i = divmod(value, len(letters))
-            c = letters[i]
-        out.append(c)
+    for letters in reversed(alphabets):
+        value, i = divmod(value, len(letters))
+        out.append(letters[i])
     return "".join(reversed(out))
 
 
@@ -182,7 +216,7 @@ def luhn(digits: str) -> bool:
 
 
 def _walk(value: str, step: Callable[[str], str], fits: Callable[[str], bool]) -> str:
-    """Steps from a fitting value to the next fitting one; a permutation stays one on the values that fit."""
+    """Steps from a fitting value to the next fitting one; a cycle stays one on the values that fit."""
     value = step(value)
     while not fits(value):
         value = step(value)
@@ -196,17 +230,24 @@ def _cycle(script: str, gender: str, key: bytes) -> dict[str, str]:
     return dict(zip(order, order[1:] + order[:1], strict=True))
 
 
-def surrogate(kind: str, canonical: str, secret: str, attempt: int = 0) -> str:
+def surrogate(kind: str, canonical: str, secret: str) -> str:
     """The canonical form's replacement, in canonical form."""
-    key = hashlib.blake2b(f"{secret}/{kind}/{attempt}".encode(), digest_size=32).digest()
+    key = hashlib.blake2b(f"{secret}/{kind}/0".encode(), digest_size=32).digest()
     if kind == "email":
         local, _, domain = canonical.partition("@")
         labels = domain.split(".")
-        stay = 2 if labels[-2] == "example" else 1  # names reserved for examples stay
-        return permute_shape(local, key) + "@" + ".".join([*(permute_shape(x, key) for x in labels[:-stay]), *labels[-stay:]])
+        free = any(len(_alphabet(c)) > 1 for c in local)
+        step = lambda x: permute_shape(x, key)
+        new = [step(x) for x in labels[:-2]]
+        if not free:  # then the domain has to change
+            new.append(step(labels[-2]))
+        elif labels[-2] == "example":  # names reserved for examples stay, and others do not become one
+            new.append("example")
+        else:
+            new.append(_walk(labels[-2], step, lambda x: x != "example"))
+        return step(local) + "@" + ".".join([*new, labels[-1]])
     if kind == "ip":
-        shape = lambda s: ".".join(map(str, permute(int.from_bytes(bytes(map(int, s.split("."))), "big"), 1 << 32, key).to_bytes(4, "big")))
-        return shape(canonical)
+        return ".".join(map(str, following(int.from_bytes(bytes(map(int, canonical.split("."))), "big"), 1 << 32, key).to_bytes(4, "big")))
     if kind == "card":
         valid = luhn(canonical)
         return _walk(canonical, lambda s: permute_shape(s, key), lambda s: luhn(s) == valid)
@@ -230,12 +271,15 @@ def _spelled(original: str, canonical: str, kind: str) -> str:
     return canonical
 
 
-def replacer(secret: str, attempts: dict[tuple[str, str], int]) -> Callable[[str], tuple]:
-    """A function from a text to the rewritten text, the number of entities and the kinds with spans before rewriting."""
+def replacer(secret: str, given: dict[tuple[str, str], str]) -> Callable[[str], tuple]:
+    """A function from a text to the rewritten text, the number of entities and the kinds with spans before rewriting.
+
+    `given` has surrogates by kind and canonical form that go before the keyed ones.
+    """
 
     @lru_cache(maxsize=50_000)
     def made(kind: str, canonical: str) -> str:
-        return surrogate(kind, canonical, secret, attempts.get((kind, canonical), 0))
+        return given.get((kind, canonical)) or surrogate(kind, canonical, secret)
 
     def rewrite(text: str) -> tuple[str, int, str]:
         entities = detect(text)
@@ -253,11 +297,11 @@ def replacer(secret: str, attempts: dict[tuple[str, str], int]) -> Callable[[str
     return rewrite
 
 
-ENTITIES = "kind string, canonical string, attempt int, surrogate string"
+ENTITIES = "kind string, canonical string, surrogate string"
 
 
 def entities_of(df: DataFrame, text: str = "text", secret: str = KEY) -> DataFrame:
-    """The distinct entities of all texts with their first surrogates: kind, canonical, attempt, surrogate."""
+    """The distinct entities of all texts with their surrogates: kind, canonical, surrogate."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -265,43 +309,17 @@ def entities_of(df: DataFrame, text: str = "text", secret: str = KEY) -> DataFra
             if found:
                 kinds, canonical = zip(*found, strict=True)
                 made = [surrogate(k, c, secret) for k, c in found]
-                yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(canonical), pa.array([0] * len(made), pa.int32()), pa.array(made)], names=["kind", "canonical", "attempt", "surrogate"])
+                yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(canonical), pa.array(made)], names=["kind", "canonical", "surrogate"])
 
     return df.select(F.col(f"`{text}`")).mapInArrow(run, ENTITIES).distinct()
 
 
-def resolve_clashes(entities: DataFrame, secret: str = KEY) -> dict[tuple[str, str], int]:
-    """Attempts above 0 for the entities that a first surrogate leaves as they are, or that then clash with others.
-
-    The check is a join of all entities on their surrogates; only the few that clash come to the driver.
-    """
-    entities = entities.checkpoint()
-    open_ones = [(r.kind, r.canonical) for r in entities.where("canonical = surrogate").select("kind", "canonical").limit(MAX_CLASHES + 1).collect()]
-    twice = entities.groupBy("kind", "surrogate").agg(F.count("*").alias("n"), F.min("canonical").alias("keeps")).where("n > 1")
-    later = entities.join(twice, ["kind", "surrogate"]).where("canonical <> keeps")
-    open_ones += [(r.kind, r.canonical) for r in later.select("kind", "canonical").limit(MAX_CLASHES + 1).collect()]
-    if len(open_ones) > MAX_CLASHES:
-        raise ValueError("too many entities clash")
-    done: dict[tuple[str, str], int] = {}
-    used: set[tuple[str, str]] = set()
-    tries = dict.fromkeys(sorted(open_ones), 1)
-    while tries:
-        wanted = {(k, surrogate(k, c, secret, n)): (k, c) for (k, c), n in tries.items()}
-        schema = "kind string, surrogate string"
-        asked = entities.sparkSession.createDataFrame(list(wanted), schema)
-        taken = {tuple(r) for r in entities.join(F.broadcast(asked), ["kind", "surrogate"], "left_semi").select("kind", "surrogate").distinct().collect()}
-        again: dict[tuple[str, str], int] = {}
-        for e, n in tries.items():
-            new = (e[0], surrogate(*e, secret, n))
-            if new[1] == e[1] or new in taken or new in used:
-                if n >= MAX_ATTEMPTS:
-                    raise ValueError(f"no free surrogate for an entity of kind {e[0]}")
-                again[e] = n + 1
-            else:
-                done[e] = n
-                used.add(new)
-        tries = again
-    return done
+def check_surrogates(entities: DataFrame) -> None:
+    """Raises an error if an entity stays as it is or shares its surrogate; the keyed orders rule both out."""
+    by_surrogate = entities.groupBy("kind", "surrogate").agg(F.count("*").alias("n"), F.max(F.col("canonical") == F.col("surrogate")).alias("stays"))
+    wrong = by_surrogate.where("n > 1 or stays").select("kind").first()
+    if wrong:
+        raise RuntimeError(f"an entity of kind {wrong[0]} stays or shares its surrogate")
 
 
 def replace_entities(df: DataFrame, text: str = "text", secret: str = KEY) -> DataFrame:
@@ -312,9 +330,9 @@ def replace_entities(df: DataFrame, text: str = "text", secret: str = KEY) -> Da
     surrogates, different ones different ones. Texts are read twice and never shuffled.
     """
     use_checkpoints(df.sparkSession)
-    attempts = resolve_clashes(entities_of(df, text, secret), secret)
+    check_surrogates(entities_of(df, text, secret))
     names = ["_new", "n_entities", "entities"]
-    made = with_struct(df, text_udf("_new string, n_entities int, entities string", lambda: replacer(secret, attempts))(F.col(f"`{text}`")), names)
+    made = with_struct(df, text_udf("_new string, n_entities int, entities string", lambda: replacer(secret, {}))(F.col(f"`{text}`")), names)
     new = F.when(F.col(f"`{text}`").isNotNull(), F.col("_new")).alias(text)
     return made.select(*[new if c == text else F.col(f"`{c}`") for c in made.columns if c != "_new"])
 
