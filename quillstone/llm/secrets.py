@@ -33,6 +33,8 @@ UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 #: Numbers, and words or names of letters with short numbers, joined by . - _ / or a change of case.
 NUMBER = re.compile(r"[0-9.+=/_-]+")
 IDENTIFIER = re.compile(r"(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[A-Za-z]?[0-9]{1,8})(?:[._/=+-]*(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[A-Za-z]?[0-9]{1,8}(?![A-Za-z0-9])))*")
+#: The words of an identifier.
+WORD = re.compile(r"[A-Z]?[a-z]{2,}|[A-Z]{2,}(?![a-z])|[A-Z]{2,}")
 
 MAX_CHARS_PER_TOKEN = 2.2
 
@@ -54,11 +56,19 @@ def encoder(path: str | None = None):
     return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def is_known(s: str) -> bool:
-    """A digest, a UUID, a number or an identifier made of words."""
+def _tokens(word: str, encode: Callable[[str], list[int]]) -> int:
+    """Tokens of a word in its own case or in lower case, the fewer of both."""
+    return min(len(encode(word)), len(encode(word.lower())))
+
+
+def is_known(s: str, encode: Callable[[str], list[int]], limit: float) -> bool:
+    """A digest, a UUID, a number, or an identifier whose words are tokens or compress well, each and all together."""
     if len(s) in DIGEST_LENGTHS and DIGEST.fullmatch(s) or UUID.fullmatch(s) or NUMBER.fullmatch(s):
         return True
-    return s.isascii() and bool(IDENTIFIER.fullmatch(s)) and sum(c.isdigit() for c in s) * 4 < len(s)
+    if not (s.isascii() and IDENTIFIER.fullmatch(s) and sum(c.isdigit() for c in s) * 4 < len(s)):
+        return False
+    counts = [(len(w), _tokens(w, encode)) for w in WORD.findall(s)]
+    return all(k == 1 or n >= limit * k for n, k in counts) and sum(n for n, _ in counts) >= limit * sum(k for _, k in counts)
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -73,9 +83,9 @@ def random_spans(text: str, taken: list[tuple[int, int, int]], encode: Callable[
     for m in CANDIDATE.finditer(text):
         s = m.group().strip("=._-/+")
         start = m.start() + m.group().index(s) if s else 0
-        if len(s) < 20 or s.isalpha() or is_known(s) or any(a < start + len(s) and start < b for a, b, _ in taken):
+        if len(s) < 20 or any(a < start + len(s) and start < b for a, b, _ in taken):
             continue
-        if len(s) < limit * len(encode(s)):
+        if len(s) < limit * len(encode(s)) and not is_known(s, encode, limit):
             found.append((start, start + len(s), 3))
     return found
 
