@@ -88,7 +88,7 @@ def adjust_filings(facts: DataFrame, contexts: DataFrame, units: DataFrame) -> D
 
 
 def resolve_listing(filings: DataFrame, facts: DataFrame, index: DataFrame, companies: DataFrame) -> DataFrame:
-    """(accession, ticker, exchange): of the filing's facts, else of tags in its text, else of its file name, else of the index; NONE without any.
+    """(accession, ticker, exchange): of the filing's facts, else of tags in its text, else of its file name, title or description, else of the index; NONE without any.
 
     A filing that says it has no trading symbol has the ticker NONE.
     """
@@ -100,12 +100,21 @@ def resolve_listing(filings: DataFrame, facts: DataFrame, index: DataFrame, comp
     silent = no_symbol_filers(facts).withColumn("_none", F.lit(True))
     known = exchange_for_accessions(index, companies, filings).withColumnRenamed("exchange", "_x")
     rows = filings.join(told, "accession", "left").join(silent, "accession", "left").join(known, "accession", "left")
-    tag = F.nullif(F.regexp_extract("content", r"(?is)name=[\"']dei:TradingSymbol[\"'][^>]*>\s*([A-Za-z0-9]{2,5})\s*<", 1), F.lit(""))
-    place = F.nullif(F.regexp_extract("content", r"(?is)name=[\"']dei:SecurityExchangeName[\"'][^>]*>\s*([^<]+?)\s*<", 1), F.lit(""))
-    file = F.nullif(F.regexp_extract("content", r"(?i)<FILENAME>([a-z]{2,5})-\d{8}", 1), F.lit(""))
-    options = [F.when(ids.is_ticker(c), F.upper(c)) for c in (F.col("_t"), tag, file)]
+
+    def found(pattern: str, group: int = 1) -> Column:
+        return F.nullif(F.trim(F.regexp_extract("content", pattern, group)), F.lit(""))
+
+    def element(name: str) -> Column:
+        value = found(rf"<(\w+):{name}[^>]*>([^<]+)</\1:{name}>", 2)
+        return F.when(~value.contains("(ix"), value)
+
+    tag = found(r"(?is)name=[\"']dei:TradingSymbol[\"'][^>]*>\s*([A-Za-z0-9]{2,5})\s*<")
+    place = found(r"(?is)name=[\"']dei:SecurityExchangeName[\"'][^>]*>\s*([^<]+?)\s*<")
+    file = found(r"(?i)<FILENAME>([a-z]{2,5})-\d{8}")
+    title, description = found(r"<title>([a-zA-Z]+)-\d{8}</title>"), found(r"<DESCRIPTION>\s*([A-Z]{2,5})\s+\d{4}")
+    options = [F.when(ids.is_ticker(c), F.upper(c)) for c in (F.col("_t"), element("TradingSymbol"), tag, file, title, description)]
     ticker = F.when(F.col("_none"), "NONE").otherwise(F.coalesce(*options, F.lit("NONE")))
-    return rows.select("accession", ticker.alias("ticker"), F.coalesce("_e", place, "_x", F.lit("NONE")).alias("exchange"))
+    return rows.select("accession", ticker.alias("ticker"), F.coalesce("_e", element("SecurityExchangeName"), place, "_x", F.lit("NONE")).alias("exchange"))
 
 
 def link_tables(raw: DataFrame) -> dict[str, DataFrame]:
