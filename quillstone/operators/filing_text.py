@@ -10,6 +10,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from quillstone.functions.numbers import magnitude, parse_num
 from quillstone.functions.text import snippet, strip_html
@@ -351,3 +352,44 @@ def parse_check_logs(lines: DataFrame, line: str = "line") -> DataFrame:
     pattern = r"^\s*(FAIL|SMALL CAP|WARNING|ERROR)\s*:\s*(\d{10}-\d{2}-\d{6})\s*-\s*(.*)$"
     rows = lines.select(*[F.regexp_extract(line, pattern, i).alias(n) for i, n in ((1, "level"), (2, "accession"), (3, "message"))])
     return rows.where("level <> ''")
+
+
+#: Patterns of the scraper's logs by kind of line, each with the names of its groups.
+LOG_LINES = {
+    "small_cap": (r"^(\S+)\s+ticker=(\S+)\s+exchange=([^:]+):\s*mkt_cap=(\S+)\s+\((\d+)/\d+\s+failed\)$", ("accession", "ticker", "exchange", "mkt_cap", "failed")),
+    "main_cap": (r"^(\S+)\s+ticker=(\S+)\s+exchange=(.+?)\s+mkt_cap=([^:]+):\s*(\d+)/\d+\s+failed$", ("accession", "ticker", "exchange", "mkt_cap", "failed")),
+    "main": (r"^(\S+)\s+ticker=(\S+)\s+exchange=([^:]+):\s*(\d+)/\d+\s+failed$", ("accession", "ticker", "exchange", "failed")),
+    "error": (r"^(\S+)\s+\[([^\]]+)\]:\s*(.*)$", ("accession", "stage", "message")),
+    "warning": (r"^(\S+):\s+(.+)$", ("accession", "message")),
+}
+SMALL_CAP_HEADER = "--- Check failures with market cap < $1B ---"
+
+
+def parse_integrity_logs(lines: DataFrame) -> DataFrame:
+    """(file, line_no, kind, accession, ticker, exchange, mkt_cap_mln, failed, small_cap, stage, message) of the scraper's log lines.
+
+    `lines` has file, line_no and line. Files are told apart by check_failures, check_warnings or
+    scrape_errors in their names. Failures after the section header are small caps. N/A is null;
+    other lines go.
+    """
+    so_far = Window.partitionBy("file").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = lines.select("file", "line_no", F.regexp_replace("line", r"\s+$", "").alias("_l")).withColumn("_s", F.coalesce(F.max(F.col("_l").contains(SMALL_CAP_HEADER)).over(so_far), F.lit(False)))
+
+    def fits(kind: str) -> Column:
+        return F.col("_l").rlike(LOG_LINES[kind][0])
+
+    failures = F.when(F.col("_s"), F.when(fits("small_cap"), "small_cap")).when(fits("main_cap"), "main_cap").when(fits("main"), "main")
+    kind = F.when(F.col("file").contains("check_failures"), failures).when(F.col("file").contains("check_warnings") & fits("warning"), "warning").when(F.col("file").contains("scrape_errors") & fits("error"), "error")
+    rows = rows.withColumn("_k", kind).where("_k is not null")
+
+    def field(name: str) -> Column:
+        options = [F.when(F.col("_k") == k, F.trim(F.regexp_extract("_l", p, names.index(name) + 1))) for k, (p, names) in LOG_LINES.items() if name in names]
+        return F.nullif(F.coalesce(*options), F.lit("N/A"))
+
+    cap, pattern = F.replace(field("mkt_cap"), F.lit(","), F.lit("")), r"(?i)^\$?([\d.]+)\s*([KMB])?$"
+    unit = F.upper(F.regexp_extract(cap, pattern, 2))
+    millions = F.regexp_extract(cap, pattern, 1).try_cast("double") * F.when(unit == "K", 0.001).when(unit == "B", 1000.0).otherwise(1.0)
+    return rows.select(
+        "file", "line_no", F.when(F.col("_k") == "main_cap", "main").otherwise(F.col("_k")).alias("kind"), field("accession").alias("accession"), field("ticker").alias("ticker"), field("exchange").alias("exchange"),
+        millions.alias("mkt_cap_mln"), field("failed").cast("int").alias("failed"), (F.col("_k") == "small_cap").alias("small_cap"), field("stage").alias("stage"), field("message").alias("message"),
+    )
