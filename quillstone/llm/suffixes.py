@@ -32,6 +32,8 @@ STEP = 16
 #: Long texts are taken in pieces of so many windows.
 PIECE = 1 << 20
 POSITION_BITS = 21
+#: A run repeated by more than one in so many rows (and over HEAVY_ROWS times) is matched by a broadcast: there are at most so many.
+HEAVY_KINDS, HEAVY_ROWS = 10_000, 1000
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -157,7 +159,8 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, zone: int = ZONE) ->
     With a mask, the windows that start at `begin` plus the number of one of its bits are meant.
     Spans of one text may overlap. Each pass counts digits first (summed before the shuffle),
     then keeps the rows whose digit is not alone. Frequent digits of the first passes meet
-    written tables in plain equi-joins, which adaptive execution splits.
+    written tables in plain equi-joins, which adaptive execution splits; runs that are repeated
+    very often are few, and meet a broadcast.
     """
     if length - zone < STEP + 8 or zone < STEP:
         raise ValueError("the zone must be within the windows")
@@ -168,7 +171,10 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, zone: int = ZONE) ->
     # second digit: the whole run
     firsts = [F.first(c).alias(c) for c in ("k1", "k2", "anchor", "reach")]
     kinds = written(runs.groupBy("core", "run").agg(F.count("*").alias("n"), *firsts))
-    settled = runs.join(kinds.where("n > 1").select("core", "run"), ["core", "run"], "left_semi")
+    key, most = ["core", "run"], max(runs.count() // HEAVY_KINDS, HEAVY_ROWS)
+    heavy = F.broadcast(kinds.where(F.col("n") > most).select(*key))
+    others = kinds.where((F.col("n") > 1) & (F.col("n") <= most)).select(*key)
+    settled = runs.join(heavy, key, "left_semi").unionByName(runs.join(heavy, key, "left_anti").join(others, key, "left_semi"))
     start = F.col("anchor") - F.shiftright("reach", 16)
     whole = settled.select("k1", "k2", start.alias("begin"), (start + F.col("reach").bitwiseAND(0xFFFF) + length).alias("end"), F.lit(None).cast("int").alias("mask"))
     mixed = kinds.groupBy("core").count().where("count > 1").select("core")
@@ -248,4 +254,6 @@ def remove_repeats(df: DataFrame, text: str = "text", doc_id: str = "doc_id", le
 
 
 def op5_repeats(spark, sf_dir: str) -> DataFrame:
-    return remove_repeats(load(spark, sf_dir, "documents"))
+    """The contract's columns, and text: the remaining bytes, where those of a cut character become U+FFFD."""
+    out = remove_repeats(load(spark, sf_dir, "documents"), with_text=True)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))
