@@ -15,7 +15,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -210,7 +210,9 @@ def links(points: DataFrame, choices: Sequence[Sequence[int]], radius: int = RAD
     Cells are read in sorted order, one at a time; a cell over `block` rows becomes pairs of
     blocks, which are dealt out anew, so no task holds more than that.
     """
-    spread = points.withColumn("_cell", F.explode(cell_columns(choices))).select(F.col("_cell.choice").alias("choice"), F.col("_cell.key").alias("key"), "fp", "label")
+    # a table of distinct fingerprints is small, and each gives many rows: they are dealt to as many tasks as a shuffle has
+    dealt_out = points.repartition(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    spread = dealt_out.withColumn("_cell", F.explode(cell_columns(choices))).select(F.col("_cell.choice").alias("choice"), F.col("_cell.key").alias("key"), "fp", "label")
     sorted_cells = spread.repartition("choice", "key").sortWithinPartitions("choice", "key")
     work = sorted_cells.mapInArrow(_cell_edges(radius, block), WORK).checkpoint()
     dealt = work.where("a is not null").select("la", "a", "lb", "b").repartition(F.rand(SEED))
@@ -259,10 +261,10 @@ def near_duplicate_classes(prints: DataFrame, radius: int = RADIUS, block: int =
 
 
 def _prints(df: DataFrame, text: str, doc_id: str, shingle: int) -> DataFrame:
-    """(doc_id, key, fp) for each row; key is a hash of doc_id and text."""
+    """(doc_id, key, fp) for each row; key is its row_key()."""
     use_checkpoints(df.sparkSession)
     texts = df.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("_text"))
-    return with_fingerprints(texts, "_text", shingle).select("doc_id", F.xxhash64("doc_id", "_text").alias("key"), "fp").checkpoint()
+    return with_fingerprints(texts, "_text", shingle).select("doc_id", row_key(F.col("_text")).alias("key"), "fp").checkpoint()
 
 
 def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
@@ -275,16 +277,23 @@ def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", r
     """
     rows = _prints(df, text, doc_id, shingle)
     classes = near_duplicate_classes(rows, radius)
-    named = rows.groupBy("fp").agg(F.min("doc_id").alias("_m")).join(classes, "fp").groupBy("root").agg(F.min("_m").alias("component_id"))
+    # written, so that the join by root is one of two plain tables, which can be split where a class is large
+    named = rows.groupBy("fp").agg(F.min("doc_id").alias("_m")).join(classes, "fp").groupBy("root").agg(F.min("_m").alias("component_id")).checkpoint()
     names = classes.join(named, "root").select("fp", "component_id").checkpoint()
     return rows.join(names, "fp").select("doc_id", "fp", "component_id")
 
 
+def row_key(text: Column) -> Column:
+    """What tells a row of one doc_id from others: two hashes of its text, 96 bits in all."""
+    return F.struct(F.xxhash64(text).alias("h1"), F.hash(text).alias("h2"))
+
+
 def first_rows(df: DataFrame, firsts: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """The rows of `df` that `firsts` (_key) names by a hash of doc_id and text, one for each."""
-    keyed = df.withColumn("_key", F.xxhash64(F.col(f"`{doc_id}`"), F.col(f"`{text}`")))
-    each = Window.partitionBy("_key").orderBy("_key")
-    return keyed.join(firsts, "_key").withColumn("_n", F.row_number().over(each)).where("_n = 1").drop("_n", "_key")
+    """The rows of `df` that `firsts` (_id, _key) names by doc_id and row_key(), one for each; of repeated rows one."""
+    rows = df.select(F.struct("*").alias("_row"), F.col(f"`{doc_id}`").alias("_own"), row_key(F.col(f"`{text}`")).alias("_k"))
+    named = rows.join(firsts, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_key")), "left_semi")
+    each = Window.partitionBy("_own", "_k").orderBy("_k")
+    return named.withColumn("_n", F.row_number().over(each)).where("_n = 1").select("_row.*")
 
 
 def one_of_each(df: DataFrame, text: str = "text", doc_id: str = "doc_id", radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
@@ -296,7 +305,7 @@ def one_of_each(df: DataFrame, text: str = "text", doc_id: str = "doc_id", radiu
     rows = _prints(df, text, doc_id, shingle)
     first = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
     by_print = rows.groupBy("fp").agg(F.min(first).alias("_first")).join(near_duplicate_classes(rows, radius), "fp")
-    firsts = by_print.groupBy("root").agg(F.min("_first").alias("_first")).select(F.col("_first.key").alias("_key")).checkpoint()
+    firsts = by_print.groupBy("root").agg(F.min("_first").alias("_first")).select(F.col("_first.doc_id").alias("_id"), F.col("_first.key").alias("_key")).checkpoint()
     return first_rows(df, firsts, text, doc_id)
 
 
