@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillstone.llm.common import load, with_struct
-from quillstone.llm.rules import MAX_LABELLED, RATIOS, labelled_sample, with_statistics
+from quillstone.llm.rules import MAX_LABELLED, RATIOS, labelled_statistics, with_statistics
 
 FEATURES = ("n_words", *RATIOS)
 BINS, COARSE = 48, 8
@@ -146,8 +146,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 def fit_quality(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED, **how) -> Model:
     """The model of quality from a bounded sample of the labelled rows that are not held out."""
-    rows = with_statistics(labelled_sample(docs, labels.where(~held_out()), most))
-    frame = rows.select("doc_id", *FEATURES, "quality").toPandas().sort_values(["doc_id", *FEATURES, "quality"])
+    frame = labelled_statistics(docs, labels.where(~held_out()), most)
     return fit_gam(frame[list(FEATURES)].to_numpy(float), frame["quality"].to_numpy(float), FEATURES, **how)
 
 

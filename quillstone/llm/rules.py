@@ -21,6 +21,8 @@ BLANKS = b" \t\n\x0b\x0c\r"
 SYMBOLS, MARKS, UPPER = b"#*$%&|<>", b"!?|", bytes(range(ord("A"), ord("Z") + 1))
 #: Labelled rows that a fit takes at most; the ones with the smallest hashes of doc_id.
 MAX_LABELLED = 20_000
+#: The base conditions: words that a text has at least, and the share of them in repeated windows, in percent, at most.
+LEAST_WORDS, MOST_REPEATED_PCT = 50, 50
 
 BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 RATIOS = ("symbols_per_word", "dup_line_share", "repeat_share", "mean_word", "upper_share", "mark_share", "distinct_share", "twin_share")
@@ -178,7 +180,7 @@ def rejecting_rule(rules: Sequence[Rule]) -> Column:
 
 def base_failed() -> Column:
     """Under 50 words, or over half of the words in repeated windows."""
-    return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PCT * F.col("n_words"))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> DataFrame:
@@ -191,13 +193,25 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED
     return docs.select("doc_id", "text").join(F.broadcast(few), "doc_id")
 
 
+def labelled_statistics(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED):
+    """A pandas frame of doc_id, STATS and quality of the labelled sample: `most` rows at most, one for each doc_id.
+
+    Of several rows or labels of a doc_id the smallest statistics count. They are computed of
+    sampled rows only, and summed up before any shuffle.
+    """
+    rows = with_statistics(labelled_sample(docs, labels, most))
+    one = rows.groupBy("doc_id").agg(F.min(F.struct(*STAT_NAMES, "quality")).alias("_s")).select("doc_id", "_s.*")
+    return one.toPandas().sort_values("doc_id", ignore_index=True)
+
+
 def fit_rules(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED, **how) -> list[Rule]:
     """The decision list for quality 0, learned from a bounded sample of the labelled documents.
 
-    Documents that the base conditions fail are left out, as no rule is asked about them.
+    Documents that the base conditions fail are left out, as no rule is asked about them; that is
+    done with the fetched sample, so that no filter computes statistics of other documents.
     """
-    rows = with_statistics(labelled_sample(docs, labels, most)).where(~base_failed())
-    frame = rows.select("doc_id", *STAT_NAMES, "quality").toPandas().sort_values(["doc_id", *STAT_NAMES, "quality"])
+    frame = labelled_statistics(docs, labels, most)
+    frame = frame[(frame["n_words"] >= LEAST_WORDS) & (100 * frame["n_repeat_words"] <= MOST_REPEATED_PCT * frame["n_words"])]
     names = [n for n in STAT_NAMES if n not in ("word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
     return learn_rules(frame[names].to_numpy(float), frame["quality"].to_numpy() == 0, names, **how)
 
@@ -222,5 +236,3 @@ def op3_quality_rules(spark, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     judged = quality_rules(docs, load(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule_no")
-
-
