@@ -1,7 +1,7 @@
 """URL filter: host-suffix and path-prefix expressions joined to rules on short hash prefixes.
 
 DataFrame functions only. A URL becomes one expression for each pair of a host suffix (cut at
-dots) and a path prefix (of the lengths that rules have). Expressions meet rules on the first
+dots) and a path prefix, of the sizes that rules have. Expressions meet rules on the first
 digits of a SHA-256 digest; the full digest is compared afterwards, and the longest rule wins.
 """
 
@@ -46,11 +46,14 @@ def url_path(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
-def host_suffixes(host: Column) -> Column:
-    """The host and its parent domains; none for an empty host."""
-    labels = F.split(host, r"\.", -1)
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    return F.when(host == "", F.array().cast("array<string>")).otherwise(suffixes)
+def host_suffixes(host: Column, sizes: Sequence[int]) -> Column:
+    """The host's suffixes of these numbers of labels, as far as it has so many; none for an empty host.
+
+    Only numbers that rules have can fit, so a long host makes no more suffixes than a short one.
+    """
+    labels = F.length(host) - F.length(F.translate(host, ".", "")) + 1
+    each = F.array(*[F.when(labels >= n, F.substring_index(host, ".", -n)) for n in sizes]).cast("array<string>")
+    return F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_compact(each))
 
 
 def path_prefixes(path: Column, lengths: Sequence[int]) -> Column:
@@ -91,9 +94,9 @@ def judge_urls(
     rows = df.select(*[df[f"`{c}`"].alias(o) for c, o in zip(keep, own, strict=True)], df[f"`{url}`"].alias("_url"))
     rows = rows.select(*own, url_host(F.col("_url")).alias("host"), url_path(F.col("_url")).alias("path")).withColumn("_row", F.monotonically_increasing_id())
 
-    lengths = sorted({len(r.path) for r in ranked})
+    lengths, sizes = sorted({len(r.path) for r in ranked}), sorted({r.host.count(".") + 1 for r in ranked})
     pairs = F.flatten(
-        F.transform(host_suffixes(F.col("host")), lambda h: F.transform(path_prefixes(F.col("path"), lengths), lambda p: _digest(h, p)))
+        F.transform(host_suffixes(F.col("host"), sizes), lambda h: F.transform(path_prefixes(F.col("path"), lengths), lambda p: _digest(h, p)))
     )
     expressions = rows.withColumn("_digest", F.explode_outer(pairs)).withColumn("_short", F.substring("_digest", 1, PREFIX_DIGITS))
     hits = expressions.join(small(table.select("short", "digest", "rule_no")), F.col("_short") == F.col("short"), "left")
