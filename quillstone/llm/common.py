@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -12,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from quillstone.operators.checkpoints import new_folder, use_checkpoints  # noqa: F401  (used by the operators too)
+
 #: Texts are taken from an Arrow batch so many at a time, to bound what a worker holds.
 SLICE = 500
 
@@ -49,12 +49,6 @@ def with_struct(df: DataFrame, struct: Column, names: list[str], hold: str = "_c
     return made.select(*[made[f"`{c}`"] for c in kept], *[F.col(f"{hold}.{n}").alias(n) for n in names])
 
 
-def use_checkpoints(spark: SparkSession) -> None:
-    """Makes checkpoint() usable: the cluster's folder if it names one, else a temporary one (tests)."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
-
-
 #: Whether Spark removes a query's shuffle files when the query ends.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -64,10 +58,10 @@ def written(df: DataFrame) -> DataFrame:
 
     Its lineage is cut, it takes less room than a checkpoint, and the shuffle files that made it
     go once it is there: a lost executor takes nothing with it that the table would need.
+    operators.checkpoints.drop_folders() deletes such tables when a result is stored.
     """
     spark = df.sparkSession
-    use_checkpoints(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    path = new_folder(spark, "table")
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:

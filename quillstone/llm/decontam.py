@@ -21,7 +21,7 @@ from quillstone.llm.common import load, text_udf
 EDIT_RATE = 0.06
 #: Items are matched in blocks of at most so many characters; a block is what is broadcast.
 BLOCK_CHARS = 4_000_000
-#: Normalised items under this length are not matched: they say nothing.
+#: Items under this length (normalised) say nothing inside a text: they match a text only as a whole.
 LEAST_CHARS = 20
 
 
@@ -67,14 +67,21 @@ def best_match(pattern: str, text: str) -> tuple[int, int]:
     return best, end
 
 
-def matcher(items: list[tuple[int, str]], rate: float) -> Callable[[str], list[tuple[int, int, int]]]:
-    """A function from a text to (item number, distance, end in the normalised text), the best match of each item."""
+def matcher(items: list[tuple[int, str]], rate: float, least: int = LEAST_CHARS) -> Callable[[str], list[tuple[int, int, int]]]:
+    """A function from a text to (item number, distance, end in the normalised text), the best match of each item.
+
+    Items under `least` characters match texts that are equal to them.
+    """
     import ahocorasick
 
     finder = ahocorasick.Automaton()
     budgets = [budget(t, rate) for _, t in items]
     held: dict[str, list[tuple[int, int]]] = defaultdict(list)
+    short: dict[str, list[int]] = defaultdict(list)
     for n, ((_, t), k) in enumerate(zip(items, budgets, strict=True)):
+        if len(t) < least:
+            short[t].append(n)
+            continue
         for offset, piece in pieces(t, k):
             held[piece].append((n, offset))
     for piece, places in held.items():
@@ -85,10 +92,10 @@ def matcher(items: list[tuple[int, str]], rate: float) -> Callable[[str], list[t
     def match(text: str) -> list[tuple[int, int, int]]:
         line = normalised(text)
         starts: dict[int, list[int]] = defaultdict(list)
-        for end, (size, places) in finder.iter(line):
+        for end, (size, places) in finder.iter(line) if held else ():
             for n, offset in places:
                 starts[n].append(end + 1 - size - offset)
-        found = []
+        found = [(n, 0, len(line)) for n in short.get(line, ())] if line else []
         for n, at in starts.items():
             item, k = items[n][1], budgets[n]
             best = (k + 1, 0)
@@ -122,7 +129,7 @@ def item_blocks(items: DataFrame, item_id: str, text: str, chars: int) -> Iterat
     size = 0
     for i, t in items.select(item_id, text).where(F.col(text).isNotNull()).distinct().orderBy(item_id, text).toLocalIterator():
         t = normalised(t)
-        if len(t) < LEAST_CHARS:
+        if not t:
             continue
         if block and size + len(t) > chars:
             yield block
@@ -134,13 +141,14 @@ def item_blocks(items: DataFrame, item_id: str, text: str, chars: int) -> Iterat
 
 
 def find_contamination(
-    docs: DataFrame, items: DataFrame, rate: float = EDIT_RATE, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text", block_chars: int = BLOCK_CHARS
+    docs: DataFrame, items: DataFrame, rate: float = EDIT_RATE, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text", block_chars: int = BLOCK_CHARS, least: int = LEAST_CHARS
 ) -> DataFrame:
     """(doc_id, item_id, distance, end) for each document and item within `rate` edits a character.
 
     Distances and ends are of normalised texts (lower case, single spaces); the best match of each
-    pair is given, the first end on ties. Null and empty texts match nothing, and null items, or
-    items under LEAST_CHARS, are not looked for. Repeated rows give repeated results. Items
+    pair is given, the first end on ties. Null and empty texts match nothing, and null and empty
+    items are not looked for; items under `least` characters match texts that consist of them, so
+    that a short answer does not mark every text that mentions it. Repeated rows give repeated results. Items
     are matched in blocks, each with its own pass over the documents; nothing is shuffled.
     """
     kinds = docs.schema[doc_id].dataType, items.schema[item_id].dataType
@@ -151,7 +159,7 @@ def find_contamination(
         sent = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            match = matcher(sent.value, rate)
+            match = matcher(sent.value, rate, least)
             for b in batches:
                 ids, found = b.column(0), ([], [], [], [])
                 for i in range(b.num_rows):
@@ -170,13 +178,13 @@ def find_contamination(
     return reduce(DataFrame.unionByName, (one(b) for b in item_blocks(items, item_id, text, block_chars)), empty)
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, rate: float = EDIT_RATE, item_id: str = "item_id", text: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
+def drop_contaminated(docs: DataFrame, items: DataFrame, rate: float = EDIT_RATE, item_id: str = "item_id", text: str = "text", block_chars: int = BLOCK_CHARS, least: int = LEAST_CHARS) -> DataFrame:
     """The rows of `docs` in which no item is found, as find_contamination() finds them; null texts stay. No shuffle."""
     for block in item_blocks(items, item_id, text, block_chars):
         sent = docs.sparkSession.sparkContext.broadcast(block)
 
         def make(sent=sent):
-            match = matcher(sent.value, rate)
+            match = matcher(sent.value, rate, least)
             return lambda t: (bool(match(t)),)
 
         docs = docs.where(~text_udf("hit boolean", make)(F.col(f"`{text}`")).getField("hit"))

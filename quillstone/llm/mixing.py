@@ -8,7 +8,7 @@ seeded order.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -88,10 +88,12 @@ def mix_sources(
     seed: int = 17,
     text: str = "text",
     doc_id: str = "doc_id",
+    count: Callable[[Column], Column] = word_count,
 ) -> DataFrame:
     """The rows chosen for the mixture, with n_tokens and epoch (from 0); a row may come once in each epoch.
 
-    The budget is `share` of all tokens (words between blanks). `weights` maps a level to the
+    The budget is `share` of all tokens as `count` counts them (words between blanks;
+    tokens.token_count() takes a vocabulary's). `weights` maps a level to the
     weights of its names, 1 where none is given. Nulls in a level are a name of their own (empty
     text). Of a partial epoch, the rows in seeded order are taken while their sum stays within
     the budget; equal rows share a place and are taken together or not at all. Rows without
@@ -103,8 +105,8 @@ def mix_sources(
     given = {n: (weights or {}).get(c, {}) for n, c in zip(names, levels, strict=True)}
     key = F.xxhash64(F.col(f"`{doc_id}`"), F.col(f"`{text}`"))
     own = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)]).alias("_own")
-    rows = df.select(own, *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(n) for n, c in zip(names, levels, strict=True)], key.alias("_key"), word_count(F.col(f"`{text}`")).alias("_tokens"))
-    sizes = rows.select(*names, "_key", "_tokens").checkpoint()
+    rows = df.select(own, *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(n) for n, c in zip(names, levels, strict=True)], key.alias("_key"), F.col(f"`{text}`").alias("_text"))
+    sizes = rows.select(*names, "_key", count(F.col("_text")).alias("_tokens")).checkpoint()
     leaves = sizes.groupBy(*names).agg(F.sum("_tokens").alias("_tokens"), F.count("*").alias("_rows"))
     budgets = leaf_budgets(leaves, names, F.col("_all") * share, given, epochs)
     # whole epochs, and what is left for the last one
@@ -128,7 +130,8 @@ def mix_sources(
 
     chosen = rows.join(small(cuts), names).withColumn("_last", F.when(_place(seed, F.col("_whole"), F.col("_key")) < F.col("_cut"), 1).otherwise(0))
     times = F.col("_whole") + F.col("_last")
-    copies = chosen.where(times > 0).withColumn("_epoch", F.explode(F.sequence(F.lit(0), times - 1)))
+    # only what is chosen is counted again
+    copies = chosen.where(times > 0).withColumn("_tokens", count(F.col("_text"))).withColumn("_epoch", F.explode(F.sequence(F.lit(0), times - 1)))
     kept = [(i, c) for i, c in enumerate(df.columns) if c.lower() not in ("n_tokens", "epoch")]
     return copies.select(*[F.col(f"_own.c{i}").alias(c) for i, c in kept], F.col("_tokens").alias("n_tokens"), F.col("_epoch").alias("epoch"))
 

@@ -10,20 +10,23 @@ surrogates against that.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 import sys
 import unicodedata
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from secrets import token_hex
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import load, text_udf, use_checkpoints, with_struct
+from quillstone.llm.common import load, text_udf, with_struct
 
-KEY = "surrogates-1"
+#: Where the key is looked for: a setting of the session, then a variable of the driver's environment.
+KEY_SETTING, KEY_VARIABLE = "spark.quillstone.surrogate.key", "QUILLSTONE_SURROGATE_KEY"
 KINDS = ("email", "phone", "ip", "card", "ssn", "name")
 
 # Given names by script and gender, and titles by gender.
@@ -36,6 +39,8 @@ GIVEN = {
     ("cyrillic", "m"): ("Алексей", "Борис", "Виктор", "Дмитрий", "Иван", "Николай", "Павел", "Сергей"),
 }
 TITLES = {"f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra"), "m": ("Mr", "Sir", "Herr", "Monsieur", "Señor", "Sr"), "": ("Dr", "Prof")}
+# Words after which a name of two words stands.
+CUES = ("name is", "name:", "Name:", "NAME:", "Name ist", "heiße", "m'appelle", "nom est", "llamo", "nombre es")
 # Letters by script; vowels stand for vowels and consonants for consonants.
 VOWELS = ("aeiou", "äöüáéíóúàèìòùâêîôû", "αεηιουω", "άέήίόύώ", "аеёиоуыэюя")
 CONSONANTS = ("bcdfghjklmnpqrstvwxyz", "çñß", "βγδζθκλμνξπρσςτφχψ", "бвгджзйклмнпрстфхцчшщъь")
@@ -52,7 +57,11 @@ LOCAL = re.compile(r"[\w.%+-]{1,64}\Z")
 DOMAIN = re.compile(r"(?:[^\W_](?:[\w-]*[^\W_])?\.)+[^\W\d_]{2,}")
 _NAMED = "|".join(re.escape(n) for names in GIVEN.values() for n in names)
 _TITLED = "|".join(re.escape(t) for titles in TITLES.values() for t in titles)
-NAME = re.compile(rf"(?:(?P<title>{_TITLED})\b\.?[ ](?P<one>[^\W\d_]+)(?:[ ](?P<two>[^\W\d_]+))?|(?P<given>{_NAMED})\b[ ](?P<family>[^\W\d_]+))")
+_CUED = "|".join(re.escape(c) for c in CUES)
+NAME = re.compile(
+    rf"(?:(?P<title>{_TITLED})\b\.?[ ](?P<one>[^\W\d_]+)(?:[ ](?P<two>[^\W\d_]+))?|(?P<given>{_NAMED})\b[ ](?P<family>[^\W\d_]+)"
+    rf"|(?:{_CUED})[ ]{{1,4}}(?P<first>[^\W\d_]+)[ ](?P<last>[^\W\d_]+))"
+)
 GENDER = {t: g for g, titles in TITLES.items() for t in titles}
 POOL = {n: k for k, names in GIVEN.items() for n in names}
 
@@ -69,7 +78,7 @@ def _name_finder():
     import ahocorasick
 
     finder = ahocorasick.Automaton()
-    for word in (*POOL, *GENDER):
+    for word in (*POOL, *GENDER, *CUES):
         finder.add_word(word, len(word))
     finder.make_automaton()
     return finder
@@ -81,13 +90,13 @@ def _names(text: str) -> Iterator[Entity]:
         if start and text[start - 1].isalnum() or not (m := NAME.match(text, start)):
             continue
         if m["given"]:
-            if _proper(m["family"]):
-                yield "name", f"{m['given']} {m['family']}", [m.span("given"), m.span("family")]
-        elif _proper(m["one"]):
-            if m["one"] in POOL and _proper(m["two"]):
-                yield "name", f"{m['one']} {m['two']}", [m.span("one"), m.span("two")]
-            else:
-                yield "name", m["one"], [m.span("one")]
+            parts = ("given", "family") if _proper(m["family"]) else ()
+        elif m["first"]:
+            parts = ("first", "last") if _proper(m["first"]) and _proper(m["last"]) and m["first"] not in GENDER else ()
+        else:
+            parts = (("one", "two") if _proper(m["two"]) else ("one",)) if _proper(m["one"]) else ()
+        if parts:
+            yield "name", " ".join(m[p] for p in parts), [m.span(p) for p in parts]
 
 
 def _emails(text: str) -> Iterator[Entity]:
@@ -230,6 +239,21 @@ def _cycle(script: str, gender: str, key: bytes) -> dict[str, str]:
     return dict(zip(order, order[1:] + order[:1], strict=True))
 
 
+def configured_key(spark: SparkSession) -> str:
+    """The key of the session's setting, else of the environment, else one drawn at random for this application.
+
+    A drawn key is held in the driver's memory only: surrogates are then the same throughout the
+    application, differ in the next one, and nobody can undo them afterwards.
+    """
+    given = spark.conf.get(KEY_SETTING, None) or os.environ.get(KEY_VARIABLE)
+    if given:
+        return given
+    context = spark.sparkContext
+    if not hasattr(context, "_quillstone_drawn_key"):
+        context._quillstone_drawn_key = token_hex(32)
+    return context._quillstone_drawn_key
+
+
 def surrogate(kind: str, canonical: str, secret: str) -> str:
     """The canonical form's replacement, in canonical form."""
     key = hashlib.blake2b(f"{secret}/{kind}/0".encode(), digest_size=32).digest()
@@ -252,12 +276,10 @@ def surrogate(kind: str, canonical: str, secret: str) -> str:
         valid = luhn(canonical)
         return _walk(canonical, lambda s: permute_shape(s, key), lambda s: luhn(s) == valid)
     if kind == "name":
-        parts = canonical.split(" ")
-        if len(parts) == 2 and parts[0] in POOL:
-            return _cycle(*POOL[parts[0]], key)[parts[0]] + " " + permute_shape(parts[1], key)
-        if canonical in POOL:
-            return _cycle(*POOL[canonical], key)[canonical]
-        return _walk(canonical, lambda s: permute_shape(s, key), lambda s: s not in POOL)
+        # word by word, so that a family name has one surrogate with and without a given name
+        return " ".join(
+            _cycle(*POOL[w], key)[w] if w in POOL else _walk(w, lambda x: permute_shape(x, key), lambda x: x not in POOL) for w in canonical.split(" ")
+        )
     return permute_shape(canonical, key)
 
 
@@ -271,15 +293,12 @@ def _spelled(original: str, canonical: str, kind: str) -> str:
     return canonical
 
 
-def replacer(secret: str, given: dict[tuple[str, str], str]) -> Callable[[str], tuple]:
-    """A function from a text to the rewritten text, the number of entities and the kinds with spans before rewriting.
-
-    `given` has surrogates by kind and canonical form that go before the keyed ones.
-    """
+def replacer(secret: str) -> Callable[[str], tuple]:
+    """A function from a text to the rewritten text, the number of entities and the kinds with spans before rewriting."""
 
     @lru_cache(maxsize=50_000)
     def made(kind: str, canonical: str) -> str:
-        return given.get((kind, canonical)) or surrogate(kind, canonical, secret)
+        return surrogate(kind, canonical, secret)
 
     def rewrite(text: str) -> tuple[str, int, str]:
         entities = detect(text)
@@ -300,7 +319,7 @@ def replacer(secret: str, given: dict[tuple[str, str], str]) -> Callable[[str],
 ENTITIES = "kind string, canonical string, surrogate string"
 
 
-def entities_of(df: DataFrame, text: str = "text", secret: str = KEY) -> DataFrame:
+def entities_of(df: DataFrame, secret: str, text: str = "text") -> DataFrame:
     """The distinct entities of all texts with their surrogates: kind, canonical, surrogate."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,20 +341,23 @@ def check_surrogates(entities: DataFrame) -> None:
         raise RuntimeError(f"an entity of kind {wrong[0]} stays or shares its surrogate")
 
 
-def replace_entities(df: DataFrame, text: str = "text", secret: str = KEY) -> DataFrame:
+def replace_entities(df: DataFrame, secret: str, text: str = "text") -> DataFrame:
     """`df` with the text rewritten, n_entities, and entities (kind:start:end in the old text, by commas).
 
-    Null texts stay null and have no entities. Rows and other columns stay; columns named like a
+    `secret` is the key of the surrogates; who has it can undo them, so it belongs to the
+    application's secrets and has no default; an empty one is an error. Null texts stay null and have no entities. Rows and other columns stay; columns named like a
     new one are replaced. Entities are compared over all rows of `df`: equal ones get equal
     surrogates, different ones different ones. Texts are read twice and never shuffled.
     """
-    use_checkpoints(df.sparkSession)
-    check_surrogates(entities_of(df, text, secret))
+    if not secret:
+        raise ValueError("surrogates need a key")
+    check_surrogates(entities_of(df, secret, text))
     names = ["_new", "n_entities", "entities"]
-    made = with_struct(df, text_udf("_new string, n_entities int, entities string", lambda: replacer(secret, {}))(F.col(f"`{text}`")), names)
+    made = with_struct(df, text_udf("_new string, n_entities int, entities string", lambda: replacer(secret))(F.col(f"`{text}`")), names)
     new = F.when(F.col(f"`{text}`").isNotNull(), F.col("_new")).alias(text)
     return made.select(*[new if c == text else F.col(f"`{c}`") for c in made.columns if c != "_new"])
 
 
 def op4_surrogates(spark, sf_dir: str) -> DataFrame:
-    return replace_entities(load(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "text", "n_entities", "entities")
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return replace_entities(docs, configured_key(spark)).select("doc_id", "text", "n_entities", "entities")

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillstone.llm.common import text_udf, with_struct
@@ -176,6 +176,16 @@ def counter(model: str | None = None) -> Callable[[str], int]:
     return count
 
 
+def token_count(text: Column, model: str | None = None) -> Column:
+    """The number of tokens of a text column; 0 for null."""
+
+    def make():
+        count = counter(model)
+        return lambda t: (count(t),)
+
+    return text_udf("n long", make)(text).getField("n")
+
+
 def count_tokens(df: DataFrame, text: str = "text", limit: int = 4096, model: str | None = None) -> DataFrame:
     """`df` with n_bytes, n_tokens and over_limit (n_tokens > limit).
 
