@@ -177,7 +177,8 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, zone: int = ZONE) ->
     settled = runs.join(heavy, key, "left_semi").unionByName(runs.join(heavy, key, "left_anti").join(others, key, "left_semi"))
     start = F.col("anchor") - F.shiftright("reach", 16)
     whole = settled.select("k1", "k2", start.alias("begin"), (start + F.col("reach").bitwiseAND(0xFFFF) + length).alias("end"), F.lit(None).cast("int").alias("mask"))
-    mixed = kinds.groupBy("core").count().where("count > 1").select("core")
+    # written, so that the join is one of two plain tables, which adaptive execution splits
+    mixed = written(kinds.groupBy("core").count().where("count > 1").select("core"))
     open_runs = kinds.join(mixed, "core", "left_semi").select("k1", "k2", F.struct("core", "anchor", "reach", (F.col("n") == 1).alias("own")).alias("r"))
     by_text = open_runs.groupBy("k1", "k2").agg(F.collect_list("r").alias("runs"))
     # third digit: what the windows of a bucket have in common; all columns of the texts are named, so that one shuffle of them serves twice
