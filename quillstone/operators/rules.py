@@ -43,6 +43,21 @@ EQUITY_COMPONENTS = (
     "TreasuryStockCommonAndPreferred",
     "CommonStockIncludingAdditionalPaidInCapital",
 )
+# The same for quarterly reports.
+QUARTERLY_EQUITY_COMPONENTS = (
+    "CommonStock",
+    "PreferredStock",
+    "AdditionalPaidInCapital",
+    "RetainedEarnings",
+    "AccumulatedOtherComprehensiveIncome",
+    "TreasuryStockCommon",
+    "ReserveforESOPDebtRetirement",
+    "TreasuryStockCommonAndPreferred",
+    "CommonStockIncludingAdditionalPaidInCapital",
+    "AccumulatedDistributionsInExcessOfNetIncome",
+)
+# Forms that are judged by the annual rules, besides those that begin with 10-K.
+ANNUAL_FORMS = ("20-F", "40-F")
 AOCI_PARENTS = ("AccumulatedOtherComprehensiveIncome", "AociIncludingPortionAttributableToNoncontrollingInterest")
 AOCI_CHILDREN = (
     "AccumulatedNetInvestmentGainLossIncludingPortionAttributableToNoncontrollingInterest",
