@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import re
 
 import pandas as pd
 from pyspark.sql import Column
@@ -21,12 +22,25 @@ NARRATIVE = (
 )
 
 
+# Character references that are decoded by expressions; the ampersand's comes last, as what it makes is no reference.
+REFERENCES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&nbsp;", "\u00a0"), ("&copy;", "\u00a9"), ("&middot;", "\u00b7"), ("&mdash;", "\u2014"), ("&ndash;", "\u2013"), ("&amp;", "&"))
+
+
 @F.pandas_udf(T.StringType())
-def unescape(s: pd.Series) -> pd.Series:
-    """Decodes character references; rows without an ampersand never need it."""
+def _unescape_all(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else html.unescape(x))
 
 
+def unescape(c: Column) -> Column:
+    """Decodes character references: the common ones by expressions, and only texts that have others in Python."""
+    names = "|".join(re.escape(r[1:]) for r, _ in REFERENCES)
+    other = F.when(c.rlike(f"&(?!(?:{names}))[#A-Za-z]"), c)
+    plain = c
+    for reference, character in REFERENCES:
+        plain = F.replace(plain, F.lit(reference), F.lit(character))
+    return F.coalesce(_unescape_all(other), plain)
+
+
 def strip_tags(c: Column) -> Column:
     """Tags to blanks, runs of blanks to one, trimmed; no character reference is decoded."""
     return F.trim(F.regexp_replace(F.regexp_replace(c, "<[^>]+>", " "), r"(?U)\s+", " "))

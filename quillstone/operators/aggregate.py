@@ -96,8 +96,11 @@ def modal_period(facts: DataFrame, by: Sequence[str] = ("accession",)) -> DataFr
 
 
 def collapse_guidance(df: DataFrame, by: Sequence[str] = ("doc", "period", "metric")) -> DataFrame:
-    """The most precise entry of each key: a range before an exact value before others, then the first."""
-    rank = F.when(F.col("kind") == "range", 0).when(F.col("kind") == "exact", 1).otherwise(2)
+    """The most precise entry of each key: an interval before an exact value before others, then the first.
+
+    `kind` and `ord` are those of extract_guidance (its type_value and start).
+    """
+    rank = F.when(F.col("kind") == "interval", 0).when(F.col("kind") == "exact", 1).otherwise(2)
     first = Window.partitionBy(*by).orderBy(rank, "ord")
     return df.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
 

@@ -6,10 +6,14 @@ row and shuffle nothing.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
+from functools import lru_cache
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from quillstone.functions.numbers import magnitude, parse_num
@@ -63,6 +67,10 @@ EPS_SINGLE = r"(?iU)(?:eps|earnings\s+per\s+share)[:\s]*(?:of\s+)?\$\s*([\d.]+)\
 INCOME_WORD = r"(?iU)(?:adjusted\s+)?(?:net\s+)?(?:income|earnings)\s+(positive|negative|profit|profitability|breakeven)"
 INCOME_RANGE = r"(?iU)(?:adjusted\s+)?(?:net\s+)?(?:income|earnings)[:\s]*(?:of\s+)?\$\s*([\d,]+(?:\.\d+)?)\s*(?:to|-)\$?\s*([\d,]+(?:\.\d+)?)\s*(million|billion|m|b)?"
 
+# Headings of items, and types of documents without text.
+ITEM_HEADING = r"(?i)ITEM\s+(\d+[A-Z]?)\s*[.\-]?\s*[A-Z][A-Z0-9\s\&'\u2019\-]{0,70}(?=\s+[A-Z][a-z])"
+BINARY_TYPES = ("GRAPHIC", "XML", "JSON", "ZIP", "PDF", "EXCEL")
+
 # Gross-margin patterns.
 MARGIN_BOTH = r"(?iU)GAAP\s+and\s+adjusted\s+gross\s+margin(?:\s+of)?\s+(?:approximately\s+)?([\d.]+)%\s+and\s+([\d.]+)%"
 MARGIN_RANGE = r"(?iU)adjusted\s+gross\s+margin(?:\s+of)?\s+([\d.]+)%\s+(?:to|-)\s+([\d.]+)%"
@@ -114,14 +122,59 @@ def flag_guidance(df: DataFrame, description: str = "description", text: str = "
     return df.withColumn("has_guidance", found & ~binary)
 
 
+@F.arrow_udf(T.MapType(T.StringType(), T.StringType()))
+def item_sections(texts: pa.Array) -> pa.Array:
+    """The sections of plain texts by item (item_1a …): from a heading's end to the next heading; blank ones go, of one item the last stays."""
+    heading, out = re.compile(ITEM_HEADING), []
+    for t in texts.to_pylist():
+        found = list(heading.finditer(t or ""))
+        ends = [m.start() for m in found[1:]] + [len(t or "")]
+        bodies = [(f"item_{m.group(1).lower()}", t[m.end() : end].strip()) for m, end in zip(found, ends, strict=True)]
+        out.append(list({k: body for k, body in bodies if body}.items()))
+    return pa.array(out, pa.map_(pa.string(), pa.string()))
+
+
 def narrative(df: DataFrame, content: str = "content") -> DataFrame:
-    """Document blocks with plain text, a snippet and the guidance flag."""
-    rows = document_blocks(df, content).where(~F.col("is_xbrl")).withColumn("text", strip_html(F.col("text")))
-    return flag_guidance(rows).withColumn("snippet", snippet(F.col("text")))
+    """Document blocks of text with plain text, a snippet, their sections and the guidance flag; blocks of facts and binary ones go."""
+    blocks = document_blocks(df, content).where(~F.col("is_xbrl") & ~F.upper(F.trim("type")).isin(*BINARY_TYPES))
+    rows = blocks.withColumn("text", strip_html(F.col("text")))
+    return flag_guidance(rows).withColumns({"snippet": snippet(F.col("text")), "sections": item_sections(F.col("text"))})
+
+
+#: Characters before and after a match that its context holds.
+BEFORE, AFTER = 500, 200
+
+
+@lru_cache(maxsize=64)
+def _finder(pattern: str, context: bool) -> Callable[[Column], Column]:
+    """A vectorised function from texts to all matches, so that a text is passed over once."""
+    found = re.compile(pattern.replace("(?iU)", "(?i)").replace("(?U)", ""))  # Python's classes are those of Unicode anyway
+    fields = [("raw", pa.string()), ("start", pa.int32()), ("stop", pa.int32()), *([("left", pa.string()), ("right", pa.string())] if context else [])]
+    kind = pa.list_(pa.struct(fields))
+
+    def one(t: str, m: re.Match) -> dict:
+        a, b = m.span()
+        out = {"raw": m.group(), "start": a, "stop": b}
+        return out | {"left": t[max(0, a - BEFORE) : a], "right": t[b : b + AFTER]} if context else out
+
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else [one(t, m) for m in found.finditer(t)] for t in texts.to_pylist()], kind)
+
+    run.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    return F.arrow_udf(f"array<struct<raw:string,start:int,stop:int{',left:string,right:string' if context else ''}>>")(run)
+
+
+def matches(text: Column, pattern: str, context: bool = False) -> Column:
+    """All matches in order, as (raw, start, stop): positions count from 0, the stop is exclusive.
+
+    With `context`, also the text before (left) and after it (right), so that nobody looks for a
+    match's place again. Linear in the text.
+    """
+    return _finder(pattern, context)(text)
 
 
-def matches(text: Column, pattern: str) -> Column:
-    """All matches in order, as (raw, start, stop): positions count from 0, the stop is exclusive."""
+def matches_in_window(text: Column, pattern: str) -> Column:
+    """matches() of a short text, by expressions that may stand inside a lambda; its time grows with the square of the number of matches."""
     found, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
 
     def length(xs: Column) -> Column:
@@ -170,21 +223,20 @@ def _period_after(position: Column, most: int = 45) -> Column:
     return F.when(first["start"] - position <= most, first["period"])
 
 
-def _around(start: Column, stop: Column, before: int, after: int) -> Column:
-    """The text from `before` characters before a match to `after` behind it."""
-    begin = F.greatest(start - before, F.lit(0))
-    return F.substring(F.col("_t"), begin + 1, stop + after - begin)
+def _around(m: Column, before: int, after: int) -> Column:
+    """A match with the text from `before` characters before it to `after` behind it."""
+    return F.concat(F.right(m["left"], F.lit(before)), m["raw"], F.left(m["right"], F.lit(after)))
 
 
 def forward_looking(m: Column) -> Column:
     """Whether a match's surroundings speak of guidance and not of results."""
-    context = _around(m["start"], m["stop"], 500, 100)
+    context = _around(m, 500, 100)
     return ~_has_any(context, RESULTS_CONTEXT) & _has_any(context, GUIDANCE_CONTEXT)
 
 
 def vs_prior(m: Column) -> Column:
     """How guidance changed, by the first pattern in order; a change told of the past is maintained."""
-    context = _around(m["start"], m["stop"], 200, 200)
+    context = _around(m, 200, 200)
     case = F.lit(None).cast("string")
     for label, pattern in reversed(CHANGES):
         value = F.when(_has(context, HISTORICAL), "maintained").otherwise(label) if label in ("raised", "lowered") else F.lit(label)
@@ -194,15 +246,14 @@ def vs_prior(m: Column) -> Column:
 
 def _distance(m: Column, pattern: str) -> Column:
     """Characters between the last mention that ends before a match and the match; null without one in reach."""
-    begin = F.greatest(m["start"] - 150, F.lit(0))
-    before = F.substring(F.col("_t"), begin + 1, m["start"] - begin)
-    last = F.try_element_at(matches(before, pattern), F.lit(-1))
-    return m["start"] - begin - last["stop"]
+    before = F.right(m["left"], F.lit(150))
+    last = F.try_element_at(matches_in_window(before, pattern), F.lit(-1))
+    return F.length(before) - last["stop"]
 
 
 def revenue_metric(m: Column) -> Column:
     """The revenue metric mentioned next before a match; null without one, or if the match goes on to another subject."""
-    after = F.substring(F.col("_t"), m["stop"] + 1, F.lit(35))
+    after = F.left(m["right"], F.lit(35))
     special, plain = _distance(m, SPECIAL_METRIC[1]), _distance(m, PLAIN_METRIC[1])
     name = F.when((special < 70) | plain.isNull() | (special <= plain), F.when(special.isNotNull(), SPECIAL_METRIC[0])).otherwise(PLAIN_METRIC[0])
     return F.when(~_has_any(after, METRIC_STOPS), F.coalesce(name, F.when(plain.isNotNull(), PLAIN_METRIC[0])))
@@ -221,7 +272,7 @@ def _entry(m: Column, ord_: int, category: str, period: Column, metric: Column,
 
 
 def _guided(pattern: str, make: Callable[[Column], Column]) -> Column:
-    return F.transform(F.filter(matches(F.col("_t"), pattern), forward_looking), make)
+    return F.transform(F.filter(matches(F.col("_t"), pattern, context=True), forward_looking), make)
 
 
 def extract_guidance(df: DataFrame, text: str = "text") -> DataFrame:

@@ -5,25 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstone.functions.text import strip_tags
+from quillstone.functions.text import strip_html, strip_tags
 from quillstone.operators import filing_text
 from quillstone.registry import register, table
 
 
-@register(
-    "f07_page_text",
-    r"""
-    SELECT page_id, length(trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g'))) AS n_text,
-           md5(trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g'))) AS text_md5 FROM pages
-    """,
-)
+_PLAIN = r"trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g'))"
+_DECODED = f"trim(replace(replace(replace(replace(replace(replace(replace(replace({_PLAIN}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', chr(39)), '&nbsp;', chr(160)), '&copy;', chr(169)), '&middot;', chr(183)), '&amp;', '&'))"
+
+
+@register("f07_page_text", f"SELECT page_id, length({_DECODED}) AS n_text, md5({_DECODED}) AS text_md5, md5({_PLAIN}) AS tags_only_md5 FROM pages")
 def f07_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").withColumn("t", strip_tags(F.col("html"))).select("page_id", F.length("t").alias("n_text"), F.md5("t").alias("text_md5"))
+    rows = table(spark, sf_dir, "pages").select("page_id", strip_html(F.col("html")).alias("t"), F.md5(strip_tags(F.col("html"))).alias("tags_only_md5"))
+    return rows.select("page_id", F.length("t").alias("n_text"), F.md5("t").alias("text_md5"), "tags_only_md5")
 
 
-@register("t17_page_links", """SELECT page_id, nullif(regexp_extract(html, 'href="([^"]*th[^"]*)"', 1), '') AS link FROM pages""")
+@register("t17_page_links", """SELECT page_id, '/' || nullif(regexp_extract(html, 'href="/(t[a-z]*)"', 1), '') || '.csv?a=1&b=2' AS link FROM pages""")
 def t17_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", F.nullif(F.regexp_extract("html", 'href="([^"]*th[^"]*)"', 1), F.lit("")).alias("link"))
+    """Links of words that begin with t stand for the pages' data files."""
+    pages = table(spark, sf_dir, "pages").select("page_id", F.regexp_replace("html", 'href="/(t[a-z]*)"', 'href="/$1.csv?a=1&amp;b=2"').alias("html"))
+    return filing_text.extract_links(pages, "html", "csv")
 
 
 @register(
@@ -42,22 +43,19 @@ def t05_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filing_text.regex_matches(docs, "text", " and ").select("doc_id", "ord", "start")
 
 
-_GUIDE = "'The company raised guidance. For full year ' || year(o_orderdate) || ' it expects revenue of $' || (o_orderkey % 900 + 100) || ' to $' || (o_orderkey % 900 + 150) || ' million and adjusted net income positive.'"
-
-
 def _guidance_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A text for each order; its year is ten on, as the patterns take years from 2000."""
     k = F.col("o_orderkey") % 900
-    parts = [F.lit("The company raised guidance. For full year "), F.year("o_orderdate").cast("string"), F.lit(" it expects revenue of $"), (k + 100).cast("string"), F.lit(" to $"), (k + 150).cast("string"), F.lit(" million and adjusted net income positive.")]
-    late = F.col("o_orderdate") >= F.lit("2000-01-01")
-    return table(spark, sf_dir, "orders").where(late).select(F.col("o_orderkey").alias("doc"), F.concat(*parts).alias("text"))
+    parts = [F.lit("The company raised guidance. For full year "), (F.year("o_orderdate") + 10).cast("string"), F.lit(" it expects revenue of $"), (k + 100).cast("string"), F.lit(" to $"), (k + 150).cast("string"), F.lit(" million and adjusted net income positive.")]
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc"), F.concat(*parts).alias("text"))
 
 
 @register(
     "t13_guidance",
     """
-    SELECT o_orderkey AS doc, 'revenue' AS category, 'FY' || year(o_orderdate) AS period, 'revenue' AS metric, (o_orderkey % 900 + 100)::DOUBLE AS low, (o_orderkey % 900 + 150)::DOUBLE AS high, NULL AS qualitative, 'raised' AS vs_prior
-    FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01'
-    UNION ALL SELECT o_orderkey, 'earnings', 'FY' || year(o_orderdate), 'adjusted_net_income', NULL, NULL, 'positive', 'raised' FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01'
+    SELECT o_orderkey AS doc, 'revenue' AS category, 'FY' || (year(o_orderdate) + 10) AS period, 'revenue' AS metric, (o_orderkey % 900 + 100)::DOUBLE AS low, (o_orderkey % 900 + 150)::DOUBLE AS high, NULL AS qualitative, 'raised' AS vs_prior
+    FROM orders
+    UNION ALL SELECT o_orderkey, 'earnings', 'FY' || (year(o_orderdate) + 10), 'adjusted_net_income', NULL, NULL, 'positive', 'raised' FROM orders
     """,
 )
 def t13_guidance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +65,7 @@ def t13_guidance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "t06_periods",
-    "SELECT o_orderkey AS doc, 47 - 4 AS start, 'FY' || year(o_orderdate) AS period FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01'".replace("47 - 4", str(len("The company raised guidance. For "))),
+    "SELECT o_orderkey AS doc, 47 - 4 AS start, 'FY' || (year(o_orderdate) + 10) AS period FROM orders".replace("47 - 4", str(len("The company raised guidance. For "))),
 )
 def t06_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filing_text.period_mentions(_guidance_texts(spark, sf_dir))
