@@ -6,6 +6,7 @@ publishes a result beside the version it was computed from.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
@@ -150,8 +151,8 @@ def write_version(df: DataFrame, root: str, partition_by: Sequence[str] = ()) ->
 
 
 def export_csv(df: DataFrame, columns: Sequence[str], path: str) -> None:
-    """The columns as CSV with a header; nulls are empty."""
-    df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns]).write.option("emptyValue", "").csv(path, header=True)
+    """The columns as CSV with a header; nulls are empty, and quotes in a cell are doubled."""
+    df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns]).write.option("emptyValue", "").option("escape", '"').csv(path, header=True)
 
 
 def export_per_key(df: DataFrame, key: str, path: str, fmt: str = "parquet") -> None:
@@ -167,6 +168,31 @@ def write_adj_json(df: DataFrame, path: str, by: Sequence[str] = ("form_type", "
     rows.write.partitionBy(*by).text(path)
 
 
+def write_files(df: DataFrame, root: str, name: str = "name", value: str = "value") -> int:
+    """One text file for each row, of the name in the folder `root`; returns their number.
+
+    Tasks write through the file system of the folder's address; a task that is run again writes
+    the same files. A file is complete once it has its name.
+    """
+
+    def run(batches):
+        import pyarrow as pa
+        from pyarrow import fs
+
+        system, inner = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", root.rstrip("/")))
+        for b in batches:
+            for n, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                path = f"{inner}/{n}"
+                part = f"{path}.{uuid.uuid4().hex}.part"
+                system.create_dir(path.rsplit("/", 1)[0])
+                with system.open_output_stream(part) as out:
+                    out.write(text if isinstance(text, bytes) else (text or "").encode())
+                system.move(part, path)
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], names=["n"])
+
+    return df.select(name, value).mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def register_views(spark: SparkSession, views: Mapping[str, DataFrame]) -> None:
     """Registers views in the given order."""
     for name, df in views.items():

@@ -17,6 +17,11 @@ from quillstone.operators.select import sanitised
 from quillstone.schemas import DOCUMENT_SCHEMAS, TABLES
 
 
+def file_name() -> Column:
+    """The name of the file that a row was read from; Spark gives it as part of an address, with signs encoded."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
 def with_year_quarter(df: DataFrame, path: Column | None = None) -> DataFrame:
     """`df` with year and quarter from a path <year>/QTR<n>_… or <year>/QTR<n>/…; null for other paths."""
     p = F.col("_metadata.file_path") if path is None else path
@@ -68,6 +73,11 @@ def read_bls_observations(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.col("seriesID").alias("series_id"), day.alias("date"), F.col("d.year").try_cast("int").alias("year"), F.col("d.period").alias("period"), numbers.parse_num(F.col("d.value")).alias("value"), F.coalesce(notes, F.lit("")).alias("footnotes"))
 
 
+def in_date_order(observations: DataFrame, by: Sequence[str] = ("series_id",)) -> DataFrame:
+    """Parsed observations by series and date, for an export; a table needs no order."""
+    return observations.orderBy(*by, "date")
+
+
 def read_sdmx_json(spark: SparkSession, path: str, code: str) -> DataFrame:
     """Observations whose keys are positions in the dimensions' code lists: (code, date, value, dimensions, dimension_key).
 
@@ -174,7 +184,7 @@ def read_two_section_csv(spark: SparkSession, path: str) -> DataFrame:
 
     A header is a line that starts with Name or Ticker and names Sector, Weight or Asset Class.
     """
-    lines = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+?)(?:\.csv)?$", 1).alias("file"), F.posexplode(F.split("value", r"\r?\n", -1)).alias("line_no", "line"))
+    lines = spark.read.text(path, wholetext=True).select(F.regexp_extract(file_name(), r"^(.*?)(?:\.csv)?$", 1).alias("file"), F.posexplode(F.split("value", r"\r?\n", -1)).alias("line_no", "line"))
     is_header = F.col("line").rlike('^"?(Name|Ticker)"?,') & F.col("line").rlike("Sector|Weight|Asset Class")
     from quillstone.operators.aggregate import running_section
 
@@ -195,7 +205,7 @@ def section_records(rows: DataFrame, section: int) -> DataFrame:
 
 def read_symbol_documents(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """(symbol, document) of one JSON file for each symbol, named by it; unreadable files have a null document and go."""
-    text = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.json)?$", 1).alias("symbol"), "value")
+    text = spark.read.text(path, wholetext=True).select(F.regexp_extract(file_name(), r"^(.*?)(\.json)?$", 1).alias("symbol"), "value")
     return text.select("symbol", F.from_json("value", DOCUMENT_SCHEMAS[kind]).alias("document")).where("document is not null")
 
 
@@ -204,7 +214,7 @@ def read_ohlcv(spark: SparkSession, path: str, symbol: Column | None = None, sou
     df = spark.read.csv(path, header=True)
     names = {sanitised(c): c for c in reversed(df.columns)}
     day = next((names[n] for n in ("date", "index") if n in names), df.columns[0])
-    stem = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.csv)?$", 1)
+    stem = F.regexp_extract(file_name(), r"^(.*?)(\.csv)?$", 1)
     out = [(stem if symbol is None else symbol).alias("symbol"), F.substring(F.col(f"`{day}`"), 1, 10).try_cast("date").alias("date")]
     for f in TABLES["ohlcv"].schema()[2:-1]:
         raw = F.col(f"`{names[f.name]}`") if f.name in names else F.lit(None).cast("string")
@@ -237,6 +247,12 @@ def read_candles(spark: SparkSession, path: str) -> DataFrame:
     return records.select(get("t").try_cast("long").alias("t"), get("T").try_cast("long").alias("T_end"), get("s").alias("s"), get("i").alias("i"), *numbers_, get("n").try_cast("long").alias("n"), F.timestamp_millis(get("t").try_cast("long")).alias("start"))
 
 
+def read_coins(spark: SparkSession, path: str) -> DataFrame:
+    """(coin, ord): the coin universe of metadata documents, in its order; entries without a name go."""
+    meta = spark.read.schema("universe array<struct<name:string>>").json(path, multiLine=True)
+    return meta.select(F.posexplode("universe").alias("ord", "u")).select(F.col("u.name").alias("coin"), "ord").where("coin is not null")
+
+
 def read_trades(spark: SparkSession, path: str) -> DataFrame:
     """Trades, with their time as a timestamp."""
     rows = spark.read.schema("coin string, side string, px string, sz string, time long, tid long").json(path)
@@ -246,26 +262,48 @@ def read_trades(spark: SparkSession, path: str) -> DataFrame:
 def read_filings(spark: SparkSession, root: str, year: int, quarter: str, form: str) -> DataFrame:
     """(accession, content) of the loose texts of one year, quarter and form; only that folder is read."""
     text = spark.read.option("pathGlobFilter", "*.txt").text(f"{root}/{year}/{quarter}/{form.replace('/', '_')}", wholetext=True)
-    return text.select(F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.txt$", 1).alias("accession"), F.col("value").alias("content"))
+    return text.select(F.regexp_extract(file_name(), r"^(.*)\.txt$", 1).alias("accession"), F.col("value").alias("content"))
 
 
-def read_filings_zip(spark: SparkSession, path: str) -> DataFrame:
-    """(archive, accession, content) of the text members of archives; folders of other systems and other members go."""
+def read_filings_zip(spark: SparkSession, path: str | Sequence[str], members_at_once: int = 500) -> DataFrame:
+    """(archive, accession, content) of the text members of archives; folders of other systems and other members go.
 
-    def members(batches):
-        import io
+    Archives are opened by their path, through the file system that Spark reads with, and never
+    held whole: the lists of members come first, and ranges of `members_at_once` members are dealt
+    to tasks, each of which reads its members only. An archive may so be larger than a row can be.
+    """
+    from pyarrow import fs
+
+    folder = spark.read.format("binaryFile").load(path).select(F.col("path").alias("archive"))
+
+    def opened(name: str):
+        import re
         import zipfile
 
+        system, inner = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", name))
+        return zipfile.ZipFile(system.open_input_file(inner))
+
+    def listed(batches):
+        import pandas as pd
+
+        for b in batches:
+            for name in b["archive"]:
+                with opened(name) as z:
+                    texts = sum(m.filename.endswith(".txt") and not m.filename.startswith("__MACOSX/") for m in z.infolist())
+                yield pd.DataFrame({"archive": name, "begin": range(0, texts, members_at_once)})
+
+    def members(batches):
         import pandas as pd
 
         for b in batches:
-            for name, data in zip(b["path"], b["content"], strict=True):
-                with zipfile.ZipFile(io.BytesIO(data)) as z:
-                    for m in z.infolist():
-                        if m.filename.endswith(".txt") and not m.filename.startswith("__MACOSX/"):
-                            yield pd.DataFrame({"archive": [name], "accession": [m.filename.rsplit("/", 1)[-1][:-4]], "content": [z.read(m).decode("utf-8", "ignore")]})
+            for name, begin in zip(b["archive"], b["begin"], strict=True):
+                with opened(name) as z:
+                    texts = [m for m in z.infolist() if m.filename.endswith(".txt") and not m.filename.startswith("__MACOSX/")]
+                    for m in texts[begin : begin + members_at_once]:
+                        yield pd.DataFrame({"archive": [name], "accession": [m.filename.rsplit("/", 1)[-1][:-4]], "content": [z.read(m).decode("utf-8", "ignore")]})
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(members, "archive string, accession string, content string")
+    ranges = folder.mapInPandas(listed, "archive string, begin long").repartition(spark.sparkContext.defaultParallelism, "archive", "begin")
+    return ranges.mapInPandas(members, "archive string, accession string, content string")
 
 
 FACT = "struct<concept:string,contextRef:string,unitRef:string,decimals:string,format:string,label:string,value:string>"
@@ -277,7 +315,7 @@ def read_xbrl_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
     """Facts (accession, section, ord, …), contexts and units of raw fact files, one file for each filing."""
     sections = ("balance_sheet", "income_statement", "cash_flow", "other")
     schema = ", ".join(f"{s} array<{FACT}>" for s in sections) + f", contexts map<string,{CONTEXT}>, units map<string,{UNIT}>"
-    text = spark.read.text(path, wholetext=True).select(F.regexp_replace(F.col("_metadata.file_name"), r"(\.xbrl)?\.json$", "").alias("accession"), F.from_json("value", f"struct<{', '.join(x.replace(' ', ':', 1) for x in schema.split(', '))}>").alias("d"))
+    text = spark.read.text(path, wholetext=True).select(F.regexp_replace(file_name(), r"(\.xbrl)?\.json$", "").alias("accession"), F.from_json("value", f"struct<{', '.join(x.replace(' ', ':', 1) for x in schema.split(', '))}>").alias("d"))
     each = F.array(*[F.struct(F.lit(s).alias("section"), F.col(f"d.{s}").alias("facts")) for s in sections])
     facts = text.select("accession", F.posexplode(each).alias("_n", "_s")).select("accession", "_n", "_s.section", F.posexplode("_s.facts").alias("_i", "f"))
     contexts = text.select("accession", F.explode("d.contexts").alias("contextRef", "c")).select("accession", "contextRef", "c.entity.scheme", "c.entity.identifier", "c.period.instant", "c.period.startDate", "c.period.endDate", "c.dimensions")
@@ -287,7 +325,7 @@ def read_xbrl_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
 
 def read_adj_json(spark: SparkSession, path: str) -> DataFrame:
     """(accession, period, section, concept, value) of adjusted files; ticker, exchange and dei are no periods."""
-    text = spark.read.text(path, wholetext=True).select(F.regexp_replace(F.col("_metadata.file_name"), r"(\.xbrl)?(\.adj)?\.json$", "").alias("accession"), F.explode(F.variant_get(F.try_parse_json("value"), "$", "map<string,variant>")).alias("period", "v"))
+    text = spark.read.text(path, wholetext=True).select(F.regexp_replace(file_name(), r"(\.xbrl)?(\.adj)?\.json$", "").alias("accession"), F.explode(F.variant_get(F.try_parse_json("value"), "$", "map<string,variant>")).alias("period", "v"))
     sections = text.where(~F.col("period").isin("ticker", "exchange", "dei")).select("accession", "period", F.explode(F.try_variant_get("v", "$", "map<string,variant>")).alias("section", "w"))
     return sections.select("accession", "period", "section", F.explode(F.try_variant_get("w", "$", "map<string,string>")).alias("concept", "value"))
 
