@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructType
 
 
 def stream_landing(spark: SparkSession, path: str, schema: StructType | str, fmt: str = "parquet", glob: str = "*", files_per_trigger: int = 1000) -> DataFrame:
@@ -23,7 +23,8 @@ def land_available(stream: DataFrame, target: str, checkpoint: str) -> Streaming
 def stream_upsert(stream: DataFrame, read: Callable[[], DataFrame], publish: Callable[[DataFrame], None], keys: Sequence[str], order: str, checkpoint: str) -> StreamingQuery:
     """Upserts each micro-batch: its last row of each key goes into what `read` returns, and the result to `publish`.
 
-    A batch that is run again after a failure has the same effect as once.
+    A batch that is run again after a failure has the same effect as once. The whole table is read
+    and published for every batch; stream_upsert_table() touches parts of it only.
     """
     from quillstone.operators.maintain import latest_by_key, upsert
 
@@ -33,18 +34,75 @@ def stream_upsert(stream: DataFrame, read: Callable[[], DataFrame], publish: Cal
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def stream_upsert_table(stream: DataFrame, root: str, keys: Sequence[str], order: str, checkpoint: str, buckets: int = 256) -> StreamingQuery:
+    """Upserts each micro-batch into a Parquet table in folders by `bucket`, a hash of the keys.
+
+    Of a key's rows the last in `order` stays, whichever batch it came with, the later batch's on
+    ties. Only the folders of the batch's keys are read and replaced (dynamic partition overwrite), so a
+    batch costs what it touches. What replaces them is in the checkpoint folder before, so a batch
+    that broke off is run again with the same effect.
+    """
+    from quillstone.operators.checkpoints import use_checkpoints
+    from quillstone.operators.maintain import latest_by_key
+    from quillstone.sources.landed import read_parquet_or_empty
+
+    schema = StructType(list(stream.schema)).add("bucket", IntegerType())
+
+    def apply(batch: DataFrame, _: int) -> None:
+        spark = batch.sparkSession
+        use_checkpoints(spark)
+        last = latest_by_key(batch, keys, [F.col(order)]).withColumn("bucket", bucket_of(keys, buckets)).checkpoint()
+        touched = [r.bucket for r in last.select("bucket").distinct().collect()]  # at most `buckets` numbers
+        old = read_parquet_or_empty(spark, root, schema).where(F.col("bucket").isin(touched))
+        both = old.withColumn("_new", F.lit(0)).unionByName(last.withColumn("_new", F.lit(1)))
+        rows = latest_by_key(both, [*keys, "bucket"], [F.col(order), F.col("_new")]).drop("_new").checkpoint()
+        rows.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(root)
+
+    return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 # Candle intervals.
-INTERVALS = {"1m": "1 minute", "5m": "5 minutes", "15m": "15 minutes", "1h": "1 hour", "4h": "4 hours", "1d": "1 day"}
+INTERVALS = {
+    "1m": "1 minute",
+    "3m": "3 minutes",
+    "5m": "5 minutes",
+    "15m": "15 minutes",
+    "30m": "30 minutes",
+    "1h": "1 hour",
+    "2h": "2 hours",
+    "4h": "4 hours",
+    "8h": "8 hours",
+    "12h": "12 hours",
+    "1d": "1 day",
+    "3d": "3 days",
+    "1w": "1 week",
+    "1M": "1 month",
+}
+#: Weeks begin on Mondays; a window's start is counted from 1970-01-01, a Thursday.
+WEEK_OFFSET = "4 days"
 
 
 def candles(trades: DataFrame, interval: str, lateness: str | None = None) -> DataFrame:
     """Bars of trades (coin, time, px, sz, tid): start, end, open, high, low, close, volume and number; batch or stream.
 
     With a lateness, a stream closes a bar when the watermark has passed it; later trades are left out.
+    Weeks begin on Mondays. Months differ in length and so are no windows: they are grouped by
+    their first day, in batches only.
     """
+    if interval == "1M":
+        if trades.isStreaming:
+            raise ValueError("bars of months are built from batches")
+        first = F.date_trunc("month", "time")
+        window = F.struct(first.alias("start"), (first + F.expr("interval 1 month")).cast("timestamp").alias("end"))
+    else:
+        window = F.window("time", INTERVALS[interval], startTime=WEEK_OFFSET if interval == "1w" else None)
     rows = trades.withColumn("time", F.col("time").cast("timestamp")).withWatermark("time", lateness) if lateness else trades
     first = F.struct("time", "tid")
-    bars = rows.groupBy("coin", F.window("time", INTERVALS[interval]).alias("w")).agg(
+    bars = rows.groupBy("coin", window.alias("w")).agg(
         F.min_by("px", first).alias("open"), F.max("px").alias("high"), F.min("px").alias("low"), F.max_by("px", first).alias("close"), F.sum("sz").alias("volume"), F.count("*").alias("n")
     )
     return bars.select("coin", F.lit(interval).alias("interval"), F.col("w.start").alias("start"), F.col("w.end").alias("end"), "open", "high", "low", "close", "volume", "n")
