@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -38,8 +39,16 @@ def select_filings(df: DataFrame, limit: int | None = None, **filters: object) -
 
 
 def select_filings_sql(spark: SparkSession, sql: str) -> DataFrame:
-    """Distinct file names, in order, of a query over the registered views."""
-    return spark.sql(sql.rstrip().rstrip(";")).select("filename").distinct().orderBy("filename")
+    """File names of a query over the registered views.
+
+    A query of all columns gives distinct names in order. Any other is run as it is written: its
+    own order stays, and without one the names are in order.
+    """
+    query = sql.rstrip().rstrip(";")
+    if re.match(r"(?is)\s*select\s+\*\s", query):
+        return spark.sql(query).select("filename").distinct().orderBy("filename")
+    names = spark.sql(query).select("filename")
+    return names if re.search(r"(?is)\border\s+by\b", query) else names.orderBy("filename")
 
 
 def series_from_sql(spark: SparkSession, sql: str) -> DataFrame:
@@ -118,8 +127,6 @@ def apply_schema(df: DataFrame, fields: Mapping[str, str], properties: str = "pr
 
 def sanitised(name: str) -> str:
     """A header as a column name: lower case, runs of other characters than letters and digits as one underscore."""
-    import re
-
     return re.sub(r"[^0-9a-z]+", "_", name.strip().lower().replace("%", " pct ")).strip("_")
 
 
@@ -154,7 +161,7 @@ def default_required(df: DataFrame, stamp: str | None = None) -> DataFrame:
     return df.select(*out)
 
 
-def stale_keys(requested: DataFrame, catalog: DataFrame, key: str, today: str, stamp: str = "updated_at") -> DataFrame:
+def stale_keys(requested: DataFrame, catalog: DataFrame, key: str, today: str | Column, stamp: str = "updated_at") -> DataFrame:
     """Requested keys that were not updated today, unknown ones included."""
     done = catalog.where(F.to_date(stamp) >= F.lit(today).cast("date")).select(key)
     return requested.select(key).distinct().join(done, key, "left_anti")

@@ -87,7 +87,7 @@ def j08_leaf_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _changed(orders: DataFrame) -> DataFrame:
-    changed = orders.where("o_orderkey % 10 = 0").withColumn("o_totalprice", F.round(F.col("o_totalprice") * 1.1, 2))
+    changed = orders.where("o_orderkey % 10 = 0").withColumn("o_totalprice", F.col("o_totalprice") * 2)
     fresh = orders.where("o_orderkey % 10 = 1").withColumn("o_orderkey", -F.col("o_orderkey"))
     return changed.unionByName(fresh)
 
@@ -96,7 +96,7 @@ def _changed(orders: DataFrame) -> DataFrame:
     "k01_upsert",
     """
     WITH batch AS (
-      SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice * 1.1, 2) AS o_totalprice, o_orderdate, o_orderpriority FROM orders WHERE o_orderkey % 10 = 0
+      SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice * 2 AS o_totalprice, o_orderdate, o_orderpriority FROM orders WHERE o_orderkey % 10 = 0
       UNION ALL SELECT -o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders WHERE o_orderkey % 10 = 1
     )
     SELECT * FROM batch UNION ALL SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM batch)

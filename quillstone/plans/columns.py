@@ -13,16 +13,16 @@ from quillstone.registry import register, table
 @register(
     "f01_identifiers",
     """
-    SELECT o_orderkey, lpad(o_custkey::VARCHAR, 10, '0') AS cik, lpad(o_custkey::VARCHAR, 10, '0') || '-96-' || lpad(o_orderkey::VARCHAR, 6, '0') AS accession,
-           'edgar/data/' || o_custkey || '/' || lpad(o_custkey::VARCHAR, 10, '0') || '96' || lpad(o_orderkey::VARCHAR, 6, '0') || '/' || lpad(o_custkey::VARCHAR, 10, '0') || '-96-' || lpad(o_orderkey::VARCHAR, 6, '0') || '.txt' AS path,
+    SELECT o_orderkey, lpad(o_custkey::VARCHAR, 10, '0') AS cik, lpad(o_custkey::VARCHAR, 10, '0') || '-96-' || lpad((o_orderkey % 1000000)::VARCHAR, 6, '0') AS accession,
+           'edgar/data/' || o_custkey || '/' || lpad(o_custkey::VARCHAR, 10, '0') || '96' || lpad((o_orderkey % 1000000)::VARCHAR, 6, '0') || '/' || lpad(o_custkey::VARCHAR, 10, '0') || '-96-' || lpad((o_orderkey % 1000000)::VARCHAR, 6, '0') || '.txt' AS path,
            '10-' || o_orderstatus || '_A' AS slug, year(o_orderdate) AS path_year, '10-' || o_orderstatus AS path_form
-    FROM orders WHERE o_orderkey < 1000000
+    FROM orders
     """,
 )
 def f01_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "orders").where("o_orderkey < 1000000")
+    rows = table(spark, sf_dir, "orders")
     cik = ids.norm_cik(F.concat(F.lit("00"), F.col("o_custkey").cast("string")))
-    name = F.concat(cik, F.lit("-96-"), F.lpad(F.col("o_orderkey").cast("string"), 6, "0"), F.lit(".txt"))
+    name = F.concat(cik, F.lit("-96-"), F.lpad((F.col("o_orderkey") % 1000000).cast("string"), 6, "0"), F.lit(".txt"))
     parts = ids.quarter_path(F.concat(F.lit("/x/"), F.year("o_orderdate").cast("string"), F.lit("/QTR1/10-"), F.col("o_orderstatus")))
     return rows.select("o_orderkey", cik.alias("cik"), ids.accession_of(name).alias("accession"), ids.archive_path(name).alias("path"), ids.slug(F.concat(F.lit("10-"), "o_orderstatus", F.lit("/A"))).alias("slug"), parts.year.alias("path_year"), parts.form_type.alias("path_form"))
 

@@ -21,7 +21,7 @@ def a02_high_water(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def p16_stale_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    today = str(events.agg(F.to_date(F.max("ts"))).first()[0])
+    today = events.agg(F.to_date(F.max("ts"))).scalar()
     catalog = events.groupBy("user_id").agg(F.max("ts").alias("updated_at"))
     return select.stale_keys(events, catalog, "user_id", today)
 
@@ -104,13 +104,13 @@ def f16_sdmx_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     "f17_month_ends",
     """
     SELECT o_orderkey, strftime(last_day(o_orderdate), '%Y-%m-%d') AS month_end, strftime(last_day(o_orderdate), '%Y-%m-%d') || 'T00:00:00' AS with_time,
-           year(o_orderdate - INTERVAL 3 MONTH) AS prev_year, 'QTR' || quarter(date_trunc('quarter', o_orderdate) - INTERVAL 1 DAY) AS prev_quarter
-    FROM (SELECT * FROM orders WHERE day(o_orderdate) < 29)
+           year(date_trunc('quarter', o_orderdate) - INTERVAL 1 DAY) AS prev_year, 'QTR' || quarter(date_trunc('quarter', o_orderdate) - INTERVAL 1 DAY) AS prev_quarter
+    FROM orders
     """,
 )
 def f17_month_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = F.col("o_orderdate")
-    rows = table(spark, sf_dir, "orders").where(F.dayofmonth(d) < 29)
+    rows = table(spark, sf_dir, "orders")
     q = dates.previous_quarter(F.to_date(d))
     day = F.date_format(d, "yyyy-MM-dd")
     return rows.select("o_orderkey", dates.period_key(F.lit(None).cast("string"), day).alias("month_end"), dates.period_key(F.concat(day, F.lit("T00:00:00")), day).alias("with_time"), q.year.alias("prev_year"), q.quarter.alias("prev_quarter"))
@@ -200,17 +200,27 @@ def a18_modal_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregate.modal_period(table(spark, sf_dir, "events").select(F.col("user_id").alias("accession"), F.col("event_type").alias("period"), F.col("event_id").alias("ord")))
 
 
+#: Ids of series made of a customer's number, with one of the codes, a code inside a word, or none.
+_IDS = ("US", "AUS", "CAN", "CHN", "DEU", "FRA", "GBR", "ITA", "JPN", "MEX", "BRA", "IND", "KOR", "RUS", "ZAF", "XX")
+
+
 @register(
     "f31_series_country",
-    """
-    SELECT n_nationkey, CASE WHEN upper(n_name) LIKE '%US%' THEN 'United States' WHEN upper(n_name) LIKE '%CAN%' THEN 'Canada' WHEN upper(n_name) LIKE '%CHN%' THEN 'China'
-      WHEN upper(n_name) LIKE '%FRA%' THEN 'France' WHEN upper(n_name) LIKE '%IND%' THEN 'India' WHEN upper(n_name) LIKE '%BRA%' THEN 'Brazil' ELSE 'United States' END AS country
-    FROM nation WHERE NOT regexp_matches(n_name, 'AUS|DEU|GBR|ITA|JPN|MEX|KOR|RUS|ZAF')
+    f"""
+    SELECT c_custkey, CASE
+      WHEN code LIKE '%US%' THEN 'United States' WHEN code LIKE '%CAN%' THEN 'Canada' WHEN code LIKE '%CHN%' THEN 'China' WHEN code LIKE '%DEU%' THEN 'Germany'
+      WHEN code LIKE '%FRA%' THEN 'France' WHEN code LIKE '%GBR%' THEN 'United Kingdom' WHEN code LIKE '%ITA%' THEN 'Italy' WHEN code LIKE '%JPN%' THEN 'Japan'
+      WHEN code LIKE '%MEX%' THEN 'Mexico' WHEN code LIKE '%BRA%' THEN 'Brazil' WHEN code LIKE '%IND%' THEN 'India' WHEN code LIKE '%KOR%' THEN 'South Korea'
+      WHEN code LIKE '%ZAF%' THEN 'South Africa' ELSE 'United States' END AS country,
+      CASE code WHEN 'AUS' THEN 'Australia' WHEN 'RUS' THEN 'Russia' END AS strict_country
+    FROM (SELECT c_custkey, ({list(_IDS)})[(c_custkey % {len(_IDS)} + 1)::INT] AS code FROM customer)
     """,
 )
 def f31_series_country(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nations = table(spark, sf_dir, "nation").where(~F.col("n_name").rlike("AUS|DEU|GBR|ITA|JPN|MEX|KOR|RUS|ZAF"))
-    return nations.select("n_nationkey", ids.series_country(F.col("n_name")).alias("country"))
+    code = F.element_at(F.array(*map(F.lit, _IDS)), (F.col("c_custkey") % len(_IDS) + 1).cast("int"))
+    series = F.concat(F.lit("gdp"), F.lower(code), F.lit("_"), F.col("c_custkey").cast("string"))
+    strict = F.when(code.isin("AUS", "RUS"), ids.series_country(series, strict=True))
+    return table(spark, sf_dir, "customer").select("c_custkey", ids.series_country(series).alias("country"), strict.alias("strict_country"))
 
 
 @register(

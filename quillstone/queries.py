@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillstone.plans import catalog, columns, facts, series, streams, texts  # noqa: F401  (each registers its queries)
+from quillstone.plans import catalog, columns, facts, filing_views, guidance, landing, series, streams, texts, upkeep  # noqa: F401  (each registers its queries)
 from quillstone.registry import QUERIES, SQL, Query
 
 
