@@ -128,7 +128,7 @@ def item_sections(texts: pa.Array) -> pa.Array:
     heading, out = re.compile(ITEM_HEADING), []
     for t in texts.to_pylist():
         found = list(heading.finditer(t or ""))
-        ends = [m.start() for m in found[1:]] + [len(t or "")]
+        ends = [m.start() for m in found[1:]] + [len(t or "")] * bool(found)
         bodies = [(f"item_{m.group(1).lower()}", t[m.end() : end].strip()) for m, end in zip(found, ends, strict=True)]
         out.append(list({k: body for k, body in bodies if body}.items()))
     return pa.array(out, pa.map_(pa.string(), pa.string()))
@@ -398,13 +398,6 @@ def extract_links(df: DataFrame, html: str = "html", suffix: str = "csv") -> Dat
     return df.select(*[c for c in df.columns if c != html], F.nullif(F.replace(link, F.lit("&amp;"), F.lit("&")), F.lit("")).alias("link"))
 
 
-def parse_check_logs(lines: DataFrame, line: str = "line") -> DataFrame:
-    """(level, accession, message) of log lines 'LEVEL: accession - message'; other lines go."""
-    pattern = r"^\s*(FAIL|SMALL CAP|WARNING|ERROR)\s*:\s*(\d{10}-\d{2}-\d{6})\s*-\s*(.*)$"
-    rows = lines.select(*[F.regexp_extract(line, pattern, i).alias(n) for i, n in ((1, "level"), (2, "accession"), (3, "message"))])
-    return rows.where("level <> ''")
-
-
 #: Patterns of the scraper's logs by kind of line, each with the names of its groups.
 LOG_LINES = {
     "small_cap": (r"^(\S+)\s+ticker=(\S+)\s+exchange=([^:]+):\s*mkt_cap=(\S+)\s+\((\d+)/\d+\s+failed\)$", ("accession", "ticker", "exchange", "mkt_cap", "failed")),

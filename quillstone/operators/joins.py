@@ -131,16 +131,33 @@ def tickers_to_refresh(tickers: DataFrame, updated: DataFrame) -> DataFrame:
     return tickers.select("ticker").distinct().join(updated.select("ticker"), "ticker", "left_anti").orderBy("ticker")
 
 
-def asof_backward(left: DataFrame, right: DataFrame, by: Sequence[str], at: str, value: str, name: str) -> DataFrame:
+def asof_backward(left: DataFrame, right: DataFrame, by: Sequence[str], at: str, value: str, name: str, ranges: int | None = None) -> DataFrame:
     """Left rows with the right side's last value at or before their position, by one window and no range join.
 
-    Of right rows at one position the largest value counts.
+    Of right rows at one position the largest value counts. With `ranges`, rows are dealt by key
+    and position to so many ranges, so that a key with most of the rows is shared by many tasks:
+    each range looks for values of its own, and takes the last one of the ranges before it.
     """
-    order = Window.partitionBy(*by).orderBy(at, F.col("_side"), F.col("_v").asc_nulls_first())
     r = right.where(F.col(value).isNotNull()).select(*by, at, F.col(value).alias("_v"), F.lit(0).alias("_side"), F.lit(None).cast(left_struct := _struct_type(left)).alias("_row"))
     rows = left.select(*by, at, F.lit(None).cast(right.schema[value].dataType).alias("_v"), F.lit(1).alias("_side"), F.struct(*left.columns).cast(left_struct).alias("_row"))
-    last = F.last("_v", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    return rows.unionByName(r).withColumn("_last", last).where("_side = 1").select("_row.*", F.col("_last").alias(name))
+    both, keys = rows.unionByName(r), list(by)
+    if ranges is not None:
+        from quillstone.operators.checkpoints import use_checkpoints
+
+        use_checkpoints(left.sparkSession)
+        # written, as the numbers of the ranges are used twice
+        both = both.repartitionByRange(ranges, *by, at).withColumn("_range", F.spark_partition_id()).checkpoint()
+        keys.append("_range")
+    order = Window.partitionBy(*keys).orderBy(at, F.col("_side"), F.col("_v").asc_nulls_first())
+    out = both.withColumn("_last", F.last("_v", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))).where("_side = 1")
+    if ranges is not None:
+        # one row for each key and range: as many for a key as there are ranges at most
+        ends = both.groupBy(*keys).agg(F.max_by("_v", F.when(F.col("_v").isNotNull(), F.struct(at, "_v"))).alias("_end"))
+        before = F.last("_end", ignorenulls=True).over(Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+        carried = ends.select(*keys, before.alias("_before")).where("_before is not null")
+        same = [out[k].eqNullSafe(carried[k]) for k in keys]
+        out = out.join(carried, same, "left").withColumn("_last", F.coalesce("_last", "_before"))
+    return out.select("_row.*", F.col("_last").alias(name))
 
 
 def _struct_type(df: DataFrame):

@@ -6,7 +6,6 @@ publishes a result beside the version it was computed from.
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
@@ -177,9 +176,10 @@ def write_files(df: DataFrame, root: str, name: str = "name", value: str = "valu
 
     def run(batches):
         import pyarrow as pa
-        from pyarrow import fs
 
-        system, inner = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", root.rstrip("/")))
+        from quillstone.sources.files import file_system
+
+        system, inner = file_system(root.rstrip("/"))
         for b in batches:
             for n, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 path = f"{inner}/{n}"

@@ -15,6 +15,7 @@ from quillstone.functions import dates, ids, numbers
 from quillstone.operators.maintain import dedupe_first
 from quillstone.operators.select import sanitised
 from quillstone.schemas import DOCUMENT_SCHEMAS, TABLES
+from quillstone.sources.files import file_system
 
 
 def file_name() -> Column:
@@ -272,15 +273,12 @@ def read_filings_zip(spark: SparkSession, path: str | Sequence[str], members_at_
     held whole: the lists of members come first, and ranges of `members_at_once` members are dealt
     to tasks, each of which reads its members only. An archive may so be larger than a row can be.
     """
-    from pyarrow import fs
-
     folder = spark.read.format("binaryFile").load(path).select(F.col("path").alias("archive"))
 
     def opened(name: str):
-        import re
         import zipfile
 
-        system, inner = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", name))
+        system, inner = file_system(name)
         return zipfile.ZipFile(system.open_input_file(inner))
 
     def listed(batches):

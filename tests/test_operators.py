@@ -181,7 +181,7 @@ def test_shapes(spark):
 def check(spark, facts, name):
     rows = [("f", s, c, float(v), i) for i, (s, c, v) in enumerate(facts)]
     df = spark.createDataFrame(rows, "accession string, section string, concept string, value double, ord int")
-    return next(r for r in checks.run_checks(df).collect() if r.check_name == name)
+    return checks.run_checks(df, [name]).first()
 
 
 BS, INC, CF, OTHER = "balance_sheet", "income_stmt", "cashflow", "other"
@@ -222,6 +222,63 @@ def test_checks(spark, name, facts, passed, status):
     assert (got.passed, got.status) == (passed, status), got
 
 
+def test_equity_is_judged_by_the_form(spark):
+    """A class of shares counts in annual filings, distributions in excess of income in quarterly ones."""
+    base = [(BS, R.EQUITY[0], 100.0), (BS, f"{R.EQUITY[0]} [CommonStock]", 80.0), (BS, f"{R.EQUITY[0]} [CommonClassA]", 20.0), (BS, f"{R.EQUITY[0]} [AccumulatedDistributionsInExcessOfNetIncome]", -40.0)]
+    forms = {"a": "10-K/A", "b": "20-F", "c": "10-Q", "d": None, "e": "10-kt"}
+    rows = [(f, form, s, c, v, i) for f, form in forms.items() for i, (s, c, v) in enumerate(base)]
+    df = spark.createDataFrame(rows, "accession string, form_type string, section string, concept string, value double, ord int")
+    got = {r.accession: (r.passed, r.difference) for r in checks.run_checks(df, ["equity components"]).collect()}
+    assert got == {"a": (True, 0.0), "b": (True, 0.0), "e": (True, 0.0), "c": (False, 60.0), "d": (False, 60.0)}
+
+
+def test_chosen_checks_equal_all_of_them(spark):
+    facts = [(BS, "us-gaap:Assets", 100.0), (BS, "us-gaap:Liabilities", 60.0), (INC, R.REVENUE[0], 100.0), (INC, f"{R.REVENUE[0]} [Product]", 70.0), (INC, f"{R.REVENUE[0]} [Service]", 20.0)]
+    df = spark.createDataFrame([("f", s, c, v, i) for i, (s, c, v) in enumerate(facts)], "accession string, section string, concept string, value double, ord int")
+    every = {r.check_name: tuple(r) for r in checks.run_checks(df).collect()}
+    assert tuple(every) == checks.CHECKS
+    some = checks.run_checks(df, ["revenue by kind", "balance sheet identity"]).collect()
+    assert [tuple(r) for r in some] == [every["balance sheet identity"], every["revenue by kind"]]
+    with pytest.raises(ValueError):
+        checks.run_checks(df, ["no such check"])
+
+
+def test_asof_in_ranges_equals_one_window(spark):
+    import random
+
+    r = random.Random(3)
+    left = spark.createDataFrame([(i, r.choice(["hot", "hot", "hot", "k", None]), r.randint(0, 300)) for i in range(800)], "id int, k string, at int")
+    right = spark.createDataFrame([(r.choice(["hot", "k", None]), r.randint(0, 300), r.choice([None, r.random()])) for _ in range(120)], "k string, at int, v double")
+    plain, spread = (joins.asof_backward(left, right, ["k"], "at", "v", "last", ranges=n) for n in (None, 9))
+    assert sorted(map(tuple, plain.collect()), key=repr) == sorted(map(tuple, spread.collect()), key=repr)
+    assert plain.where("last is not null").count() > 500
+
+
+def test_contexts_of_matches_stand_beside_them(spark):
+    t = "x" * 700 + " revenue $5 million " + "y" * 300
+    m = spark.createDataFrame([(t,), (None,), ("",)], "t string").select(filing_text.matches(F.col("t"), r"\$\d", context=True).alias("m")).collect()
+    assert m[0].m[0].left == t[709 - 500 : 709] and m[0].m[0].right == t[711:911] and m[1].m is None and m[2].m == []
+
+
+def test_many_matches_take_linear_time(spark):
+    import time
+
+    df = spark.createDataFrame([(1, "x and y " * 100_000)], "doc int, text string")
+    filing_text.regex_matches(df, "text", " and ").count()
+    begin = time.perf_counter()
+    assert filing_text.regex_matches(df, "text", " and ").count() == 100_000 and time.perf_counter() - begin < 10
+
+
+def test_references_are_decoded_once(spark):
+    import html
+
+    from quillstone.functions.text import unescape
+
+    texts = ["a &amp;lt; b", "&lt;p&gt; &quot;x&quot; &#39;", "&eacute;&amp;&nbsp;", "R&D; AT&T", "&copy; 5 &middot; 6 &amp;copy;", "no", None, "&#x41;&amp;amp;"]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", unescape(F.col("t")).alias("u")).orderBy("i").collect()
+    assert [r.u for r in got] == [None if t is None else html.unescape(t) for t in texts]
+
+
 def test_legacy_checks_and_failures(spark):
     rows = [("f", "Total Assets", 100.0, 1), ("f", "Total Liabilities And Equity", 90.0, 2), ("f", "Income Before Income Taxes", 50.0, 3), ("f", "Income Taxes [Costs]", 10.0, 4), ("f", "Net Income", 40.0, 5)]
     got = checks.run_legacy_checks(spark.createDataFrame(rows, "accession string, label string, value double, ord int"))
@@ -258,6 +315,4 @@ def test_filing_kinds_and_narrative(spark):
     assert [r.is_inline for r in filing_text.is_inline_xbrl(df).orderBy("accession").collect()] == [True, False, False, False, False]
     doc = "<DOCUMENT><TYPE>EX-99.1\n<DESCRIPTION>Press\n<TEXT><p>We expect fiscal year 2026 &amp; more</p></TEXT></DOCUMENT><DOCUMENT><TYPE>GRAPHIC\n<TEXT>guidance</TEXT></DOCUMENT>"
     rows = filing_text.narrative(spark.createDataFrame([("a", doc)], "accession string, content string")).orderBy("doc_no").collect()
-    assert [(r.type, r.has_guidance) for r in rows] == [("EX-99.1", True), ("GRAPHIC", False)] and rows[0].text == "We expect fiscal year 2026 & more"
-    log = spark.createDataFrame([("WARNING: 0000000001-20-000001 - odd",), ("noise",)], "line string")
-    assert [tuple(r) for r in filing_text.parse_check_logs(log).collect()] == [("WARNING", "0000000001-20-000001", "odd")]
+    assert [(r.type, r.has_guidance) for r in rows] == [("EX-99.1", True)] and rows[0].text == "We expect fiscal year 2026 & more"

@@ -7,6 +7,7 @@ import gzip
 import json
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from quillstone.operators import maintain
@@ -164,3 +165,55 @@ def test_landing_takes_a_file_once_and_upserts_hold(spark, tmp_path):
 
     landing.stream_upsert(landing.stream_landing(spark, src, schema), lambda: held["t"], publish, ["k"], "at", str(tmp_path / "cp2")).awaitTermination()
     assert {tuple(r) for r in held["t"].collect()} == {(1, "b", 2), (2, "x", 0)}
+
+
+def test_upserts_touch_their_buckets_only(spark, tmp_path):
+    schema = "k long, v string, at long"
+    src, root, cp = (str(tmp_path / n) for n in ("src", "table", "cp"))
+
+    def land(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        stream = landing.stream_landing(spark, src, spark.createDataFrame([], schema).schema)
+        landing.stream_upsert_table(stream, root, ["k"], "at", cp, buckets=16).awaitTermination()
+        return {str(p): p.stat().st_mtime_ns for p in (tmp_path / "table").rglob("*.parquet")}
+
+    before = land([(i, "a", 1) for i in range(200)])
+    after = land([(7, "b", 2), (8, "late", 0), (900, "new", 1)])
+    got = {r.k: r.v for r in spark.read.parquet(root).collect()}
+    assert len(got) == 201 and got[7] == "b" and got[8] == "a" and got[900] == "new"
+    assert sum(p in after for p in before) >= len({p.rsplit("/", 1)[0] for p in before}) - 3
+
+
+def test_archives_are_read_by_ranges_of_members(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "many #1.zip", "w") as z:
+        for i in range(25):
+            z.writestr(f"q/{i:04d}.txt", f"text {i}")
+    got = landed.read_filings_zip(spark, str(tmp_path / "*.zip"), members_at_once=4).collect()
+    assert {(r.accession, r.content) for r in got} == {(f"{i:04d}", f"text {i}") for i in range(25)} and len(got) == 25
+
+
+def test_coins_and_file_names_with_signs(spark, tmp_path):
+    m = put(tmp_path / "m.json", {"universe": [{"name": "BTC"}, {"x": 1}, {"name": "ETH"}]})
+    assert [tuple(r) for r in landed.read_coins(spark, m).orderBy("ord").collect()] == [("BTC", 0), ("ETH", 2)]
+    put(tmp_path / "d/A+B #1%.json", [{"period": "0m", "buy": 3}])
+    assert landed.read_symbol_documents(spark, str(tmp_path / "d"), "analyst_recommendations").first().symbol == "A+B #1%"
+
+
+def test_files_are_written_by_name(spark, tmp_path):
+    df = spark.createDataFrame([("a/x 1.txt", "one"), ("b#.txt", None)], "name string, value string")
+    for _ in range(2):
+        assert maintain.write_files(df, str(tmp_path / "out")) == 2
+    assert (tmp_path / "out/a/x 1.txt").read_text() == "one" and (tmp_path / "out/b#.txt").read_text() == "" and len([p for p in (tmp_path / "out").rglob("*") if p.is_file()]) == 2
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    from types import SimpleNamespace
+
+    from quillstone.operators.checkpoints import use_checkpoints
+
+    held = []
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None, setCheckpointDir=held.append)
+    with pytest.raises(ValueError):
+        use_checkpoints(SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *a: None)))
+    use_checkpoints(SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *a: "hdfs:/shared")))
+    assert held == ["hdfs:/shared"]
