@@ -56,7 +56,12 @@ def _or(a: Column, b: Column) -> Column:
 
 def _entries(section: str, fits: Callable[[Column], Column]) -> Column:
     """The (k, v) of a section's concepts that fit, in order of appearance."""
-    mine = F.filter("_e", lambda e: (e["section"] == section) & fits(e["concept"]))
+    return _where(section, lambda e: fits(e["concept"]))
+
+
+def _where(section: str, fits: Callable[[Column], Column]) -> Column:
+    """The (k, v) of a section's entries that fit, in order of appearance."""
+    mine = F.filter("_e", lambda e: (e["section"] == section) & fits(e))
     return F.transform(mine, lambda e: F.struct(e["concept"].alias("k"), e["value"].alias("v")))
 
 
@@ -93,6 +98,11 @@ def is_nonop_component(k: Column) -> Column:
     return ~k.contains("[") & ~_any(R.COMPONENT_EXCLUDES, k) & is_statement_concept(k)
 
 
+def is_nonop_extension(k: Column) -> Column:
+    """Is named nonoperating: undimensioned, and no tax or pretax item."""
+    return ~k.contains("[") & k.rlike("Non[oO]perating") & ~k.rlike("IncomeTax|BeforeIncomeTaxes")
+
+
 def filings(facts: DataFrame) -> DataFrame:
     """One row for each accession: _m, a map from section|concept to the value, _e, the entries in order of appearance, and _annual.
 
@@ -105,7 +115,8 @@ def filings(facts: DataFrame) -> DataFrame:
     star = F.when(F.col("concept").contains(" ["), F.concat(F.substring_index("concept", " [", 1), F.lit(" [*]")))
     twice = one.withColumn("k", F.explode(F.array_compact(F.array(F.col("concept"), star))))
     summed = twice.groupBy("accession", "section", "k").agg(F.sum("value").alias("value"), F.min("ord").alias("ord"), F.max("_annual").alias("_annual"))
-    entry, key = F.struct("ord", "section", F.col("k").alias("concept"), "value"), F.struct(F.concat("section", F.lit("|"), "k").alias("key"), "value")
+    # patterns are matched here, once for each fact, and not in the checks
+    entry, key = F.struct("ord", "section", F.col("k").alias("concept"), "value", is_nonop_component(F.col("k")).alias("nonop"), is_nonop_extension(F.col("k")).alias("extension")), F.struct(F.concat("section", F.lit("|"), "k").alias("key"), "value")
     return summed.groupBy("accession").agg(F.array_sort(F.collect_list(F.when(~F.col("k").endswith(" [*]"), entry))).alias("_e"), F.map_from_entries(F.collect_list(key)).alias("_m"), F.max("_annual").alias("_annual"))
 
 
@@ -203,12 +214,12 @@ def nonoperating_total() -> Column:
         seen.append((k, _component(k).isNotNull() & (F.coalesce(*earlier).isNull() if earlier else F.lit(True))))
     names = F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in seen if re.search("Non[oO]perating", k)]))
 
-    def extension(k: Column) -> Column:
-        return ~k.contains("[") & k.rlike("Non[oO]perating") & ~k.rlike("IncomeTax|BeforeIncomeTaxes") & ~F.array_contains(names, k)
+    def extension(e: Column) -> Column:
+        return e["extension"] & ~F.array_contains(names, e["concept"])
 
-    outer = _entries(OTHER, lambda k: extension(k) & is_nonop_component(k))
+    outer = _where(OTHER, lambda e: extension(e) & e["nonop"])
     outer_names = F.transform(outer, lambda e: e["k"])
-    inner = F.filter(_entries(INC, extension), lambda e: ~F.array_contains(outer_names, e["k"]))
+    inner = F.filter(_where(INC, extension), lambda e: ~F.array_contains(outer_names, e["k"]))
     total = total + F.aggregate(F.concat(outer, inner), zero, lambda s, e: s + signed_component(e["k"], e["v"]))
     for k in R.EXTRA_NONOP:  # none of these has a name that the extension rule takes
         v = _signed(k, _component(k))
@@ -218,7 +229,7 @@ def nonoperating_total() -> Column:
 
 def best_subset(target: Column, most: int = 10) -> Column:
     """The sum of one to three of the largest plausible components that comes closest to the target, the first on ties."""
-    parts = F.concat(*[_entries(s, is_nonop_component) for s in (INC, OTHER)])
+    parts = F.concat(*[_where(s, lambda e: e["nonop"]) for s in (INC, OTHER)])
     signed = F.transform(parts, lambda e, i: F.struct((-F.abs(signed_component(e["k"], e["v"]))).alias("rank"), i.alias("i"), signed_component(e["k"], e["v"]).alias("v")))
     top = F.slice(F.array_sort(signed), 1, most)
     picks = [c for n in (1, 2, 3) for c in combinations(range(most), n)]
@@ -228,9 +239,8 @@ def best_subset(target: Column, most: int = 10) -> Column:
         s = F.aggregate(c, F.lit(0.0), lambda a, p: a + F.get(F.col("_top"), p)["v"])
         return F.struct(F.abs(s - target).alias("err"), i.alias("i"), s.alias("s"))
 
-    # no combination is tried where there is nothing to combine
-    chosen = F.when(F.size("_top") > 0, chosen).otherwise(F.array().cast("array<array<int>>"))
-    sums = F.filter(F.transform(chosen, scored), lambda x: x["s"].isNotNull())
+    # only combinations of the components that there are
+    sums = F.transform(F.filter(chosen, lambda c: F.element_at(c, -1) < F.size("_top")), scored)
     return top, F.array_min(sums)["s"]
 
 
@@ -320,6 +330,7 @@ def layers(steps: list[tuple[str, Column]]) -> list[dict[str, Column]]:
     return out
 
 
+@lru_cache(maxsize=1)
 def suite() -> list[tuple[str, Column]]:
     """Intermediate columns and checks, in order; later ones may use earlier ones by name (checks are named check_…)."""
     c = F.col
@@ -372,8 +383,8 @@ def suite() -> list[tuple[str, Column]]:
     options = [first_of([OTHER, INC], ["us-gaap:NonoperatingIncomeExpense"]), first_of([OTHER, INC], R.NONOP_TOTALS[1:]), nonoperating_total()]
     listed = [let(f"_nonop{i}", F.when(v.isNotNull(), F.struct(F.abs(v - implied).alias("err"), F.lit(i).alias("i"), v.alias("v")))) for i, v in enumerate(options)]
     told = let("_told", F.array_min(F.array(*listed)))
-    # combinations are searched where no reported total is exact
-    found = let("_found", F.when(told.isNull() | (told["err"] > 0), subset))
+    # combinations are searched where no reported total is exact, but for what rounding leaves
+    found = let("_found", F.when((F.size("_top") > 0) & (told.isNull() | (told["err"] > F.abs(implied) * 1e-12)), subset))
     last = F.when(found.isNotNull(), F.struct(F.abs(found - implied).alias("err"), F.lit(3).alias("i"), found.alias("v")))
     nonop = let("_nonop", F.coalesce(F.array_min(F.array(told, last))["v"], F.lit(0.0)))
     let("check_07", _two_sides("pretax income", pretax, opinc + nonop, [opinc, nonop], skipped=_null(pretax, opinc)))
