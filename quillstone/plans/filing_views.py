@@ -302,8 +302,8 @@ def f08_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("f09_row_labels", "SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN 'Net Sales' WHEN 1 THEN 'Cost Of Goods''S' ELSE 'Total' END AS label FROM supplier".replace("Goods''S", "Goods"))
 def f09_row_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = F.concat(_pick(F.col("s_suppkey"), "  net sales: $ ", "Cost of  goods   ", "TOTAL.....  "), _text("s_acctbal"))
-    return table(spark, sf_dir, "supplier").select("s_suppkey", text.row_label(F.when(F.col("s_suppkey") % 3 == 1, F.concat(F.lit("cost of goods   "), _text("s_acctbal"))).otherwise(line)).alias("label"))
+    line = F.concat(_pick(F.col("s_suppkey"), "  net sales: $ ", "Cost of  goods   ", "TOTAL.....  "), _text(F.abs("s_acctbal")))
+    return table(spark, sf_dir, "supplier").select("s_suppkey", text.row_label(F.when(F.col("s_suppkey") % 3 == 1, F.concat(F.lit("cost of goods   "), _text(F.abs("s_acctbal")))).otherwise(line)).alias("label"))
 
 
 @register("f12_magnitudes", "SELECT p_partkey, [1e9, 1e9, 1e6, 1e6, 1e6, 1e6][(p_partkey % 6 + 1)::INT] AS factor FROM part")
