@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillstone.llm import decontam, gam, mixing, pii, rules, secrets, simhash, suffixes, tokens, urls
+from quillstone.llm import clusters, decontam, divergence, gam, mixing, oneperm, pii, rules, secrets, simhash, suffixes, tokens, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,8 +21,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixture": mixing.op8_mixture,
         "op9_simhash": simhash.op9_simhash,
         "op10_url_filter": urls.op10_url_filter,
+        "op11_centroids": clusters.op11_centroids,
+        "op12_divergence": divergence.op12_divergence,
+        "op13_fingerprints": oneperm.op13_fingerprints,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_url_filter": urls.OP10_SQL}
+    return {"op10_url_filter": urls.OP10_SQL, "op11_centroids": clusters.OP11_SQL, "op12_divergence": divergence.OP12_SQL}
