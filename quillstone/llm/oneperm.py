@@ -1,10 +1,10 @@
 """Document fingerprints: one-permutation MinHash with DataFrame functions only.
 
 Each shingle is hashed once. The first bits of a hash name its bin, and a bin keeps its smallest
-hash. An empty bin takes the value of another one, the first with a value in an order of bins
-that is its own (optimal densification); a bin's digit is then the low bits of its value hashed
-with the bin's number, so that bins which share a value still agree by chance alone only once in
-2^BITS. Digits are packed into longs. The share of equal digits, corrected for chance, estimates
+hash. An empty bin takes the value of another one, which it draws by hashes of its own number
+until one has a value (optimal densification); a bin's digit is then the low bits of its value
+hashed with the bin's number, so that bins which share a value still agree by chance alone only
+once in 2^BITS. Digits are packed into longs. The share of equal digits, corrected for chance, estimates
 the Jaccard similarity of the shingles.
 """
 
@@ -19,6 +19,8 @@ from quillstone.llm.common import load
 
 #: Words of a shingle, bins (a power of two, up to 256) and bits of a digit (whole hex digits: 4, 8 or 16).
 WORDS, BINS, BITS = 5, 128, 4
+#: Other bins that an empty bin draws before it takes the first in its order of all that have a value.
+ATTEMPTS = 8
 #: White space that parts words.
 SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
 
@@ -46,32 +48,34 @@ def bin_of(h: Column, bins: int = BINS) -> Column:
 
 def bin_minima(hashes: Column, bins: int = BINS) -> Column:
     """The smallest hash of each bin that has one, in the bins' order."""
-    # the first bits are the bin, so in the sorted hashes a bin's smallest comes first
+    low = 64 - (bins.bit_length() - 1)
+    # the first bits are the bin, so in the sorted hashes a bin's smallest is the first that differs from the one before in them
     return bind(
         F.sort_array(hashes),
-        lambda s: F.filter(s, lambda h, i: (i == 0) | (bin_of(h, bins) != bin_of(F.get(s, F.greatest(i - 1, F.lit(0))), bins))),
+        lambda s: F.filter(s, lambda h, i: F.coalesce(F.shiftrightunsigned(h.bitwiseXOR(F.get(s, i - 1)), low) != 0, F.lit(True))),
     )
 
 
 def digits(minima: Column, bins: int = BINS, bits: int = BITS) -> Column:
     """The digit of each bin, empty bins densified."""
+    every, low = F.sequence(F.lit(0), F.lit(bins - 1)), F.lit(2**bits - 1).cast("long")
 
-    def of_bins(m: Column) -> Column:
-        places = F.transform(m, lambda h: bin_of(h, bins))
+    def of_minima(m: Column) -> Column:
+        def of_places(at: Column) -> Column:
+            def of_bins(d: Column) -> Column:
+                def value(b: Column) -> Column:
+                    tried = [F.get(d, F.xxhash64(b, F.lit(k)).bitwiseAND(F.lit(bins - 1)).cast("int")) for k in range(ATTEMPTS)]
+                    orders = F.transform(at, lambda j, k: F.xxhash64(b, j).bitwiseAND(F.lit(-256)).bitwiseOR(k.cast("long")))
+                    rest = F.get(m, F.array_min(orders).bitwiseAND(F.lit(255)).cast("int"))
+                    return F.coalesce(F.get(d, b), *tried, rest)  # stops at the first with a value
 
-        def value(b: Column, own: Column) -> Column:
-            # the place in m of the bin that comes first in the order of bin b
-            orders = F.transform(m, lambda h, k: F.xxhash64(b, bin_of(h, bins)).bitwiseAND(F.lit(-256)).bitwiseOR(k.cast("long")))
-            return F.get(m, F.when(own > 0, own.cast("int") - 1).otherwise(F.array_min(orders).bitwiseAND(F.lit(255)).cast("int")))
+                return F.transform(every, lambda b: F.xxhash64(value(b), b).bitwiseAND(low))
 
-        every = F.sequence(F.lit(0), F.lit(bins - 1))
-        low = F.lit(2**bits - 1).cast("long")
-        return bind(
-            places,
-            lambda at: F.transform(every, lambda b: F.xxhash64(value(b, F.array_position(at, b)), b).bitwiseAND(low)),
-        )
+            return bind(F.transform(every, lambda b: F.get(m, F.array_position(at, b).cast("int") - 1)), of_bins)
 
-    return bind(minima, of_bins)
+        return bind(F.transform(m, lambda h: bin_of(h, bins)), of_places)
+
+    return bind(minima, of_minima)
 
 
 def packed(values: Column, bins: int = BINS, bits: int = BITS) -> Column:
