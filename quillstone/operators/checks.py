@@ -1,22 +1,24 @@
-"""Accounting checks of filings: one aggregation by filing, then expressions.
+"""Accounting checks of filings: rules compiled to expressions over the slots of one aggregation.
 
 `facts` has accession, section (balance_sheet, income_stmt, cashflow, other), concept, value and
-ord; a concept's last value in a section counts. A filing's values become one map, so all
-checks of all filings cost one shuffle on the accession.
+ord; a concept's last value in a section counts. A rule set (see `rulesets`) is compiled once: it
+says which concepts have a slot, which patterns are matched, and how the checks follow. Facts
+that no rule names are dropped within their task; what is left of a filing becomes one row by a
+single shuffle on the accession, with the values by slot (a 64-bit hash of section and concept)
+and a short list of the facts that patterns match, marked with the bits of those patterns.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from functools import lru_cache
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillstone.functions.numbers import difference_of, signed_component
-from quillstone.operators import rules as R
+from quillstone.operators.rulesets import RuleSet, Term, shipped
 
 BS, INC, CF, OTHER = "balance_sheet", "income_stmt", "cashflow", "other"
 #: The checks of period-keyed filings, in order.
@@ -38,64 +40,33 @@ CHECKS = (
 )
 #: A check: the sides compared, its difference, and the other numbers that its percentage is of.
 CHECK = "struct<check_name:string,passed:boolean,passed_strict:boolean,status:string,difference:double,difference_pct:double>"
-
-
-def _value(section: str, concept: str) -> Column:
-    return F.try_element_at("_m", F.lit(f"{section}|{concept}"))
-
-
-def first_of(sections: Sequence[str], concepts: Sequence[str]) -> Column:
-    """The first value of the concepts, section by section."""
-    return F.coalesce(*[_value(s, c) for s in sections for c in concepts])
-
-
-def _or(a: Column, b: Column) -> Column:
-    """`a`, or `b` if `a` is null or zero."""
-    return F.when(a.isNotNull() & (a != 0), a).otherwise(b)
-
-
-def _entries(section: str, fits: Callable[[Column], Column]) -> Column:
-    """The (k, v) of a section's concepts that fit, in order of appearance."""
-    return _where(section, lambda e: fits(e["concept"]))
-
-
-def _where(section: str, fits: Callable[[Column], Column]) -> Column:
-    """The (k, v) of a section's entries that fit, in order of appearance."""
-    mine = F.filter("_e", lambda e: (e["section"] == section) & fits(e))
-    return F.transform(mine, lambda e: F.struct(e["concept"].alias("k"), e["value"].alias("v")))
-
-
-def _total(entries: Column) -> Column:
-    return F.aggregate(entries, F.lit(0.0), lambda s, e: s + e["v"])
-
-
-def _sum(section: str, fits: Callable[[Column], Column]) -> Column:
-    return _total(_entries(section, fits))
-
-
-def _all_in(k: Column, *words: str) -> Column:
-    out = ~k.contains("[")
-    for w in words:
-        out = out & k.contains(w)
-    return out
-
-
-def _near(a: Column, b: Column) -> Column:
-    return F.coalesce(difference_of(a - b, [a, b]) <= R.TOLERANCE_PCT, F.lit(False))
+#: Totals that the checks are made of, by the name of their step.
+PARTS = {
+    "temporary equity": "_te",
+    "other operating expenses": "_more",
+    "nonoperating total": "_nt",
+    "equity": "_s0",
+    "equity with noncontrolling interests": "_s1",
+}
+#: The figures of early statements; their labels are the rules LEGACY_....
+LEGACY = ("assets", "liabilities_and_equity", "revenue", "cost", "gross", "operating", "pretax", "tax", "net", "cfo", "cfi", "cff", "cash_change")
+#: Components among which the best sum is searched.
+MOST = 10
 
 
 def _any(words: Sequence[str], k: Column) -> Column:
     return F.lower(k).rlike("|".join(w.replace(" ", r"\x20") for w in words))
 
 
-def is_statement_concept(k: Column) -> Column:
+def is_statement_concept(k: Column, rules: RuleSet | None = None) -> Column:
     """Looks like an income-statement item."""
-    return ~_any(R.STATEMENT_EXCLUDES, k) & _any(R.STATEMENT_INCLUDES, k)
+    r = rules or shipped()
+    return ~_any(r.STATEMENT_EXCLUDES, k) & _any(r.STATEMENT_INCLUDES, k)
 
 
-def is_nonop_component(k: Column) -> Column:
+def is_nonop_component(k: Column, rules: RuleSet | None = None) -> Column:
     """May be a part of nonoperating income: undimensioned, no subtotal, no cash flow."""
-    return ~k.contains("[") & ~_any(R.COMPONENT_EXCLUDES, k) & is_statement_concept(k)
+    return ~k.contains("[") & ~_any((rules or shipped()).COMPONENT_EXCLUDES, k) & is_statement_concept(k, rules)
 
 
 def is_nonop_extension(k: Column) -> Column:
@@ -103,409 +74,521 @@ def is_nonop_extension(k: Column) -> Column:
     return ~k.contains("[") & k.rlike("Non[oO]perating") & ~k.rlike("IncomeTax|BeforeIncomeTaxes")
 
 
-def filings(facts: DataFrame) -> DataFrame:
-    """One row for each accession: _m, a map from section|concept to the value, _e, the entries in order of appearance, and _annual.
-
-    The map also has, under section|concept [*], the sum of a concept's dimensioned values.
-    Filings without a form_type are not annual.
-    """
-    form = F.upper(F.trim("form_type")) if "form_type" in facts.columns else F.lit(None).cast("string")
-    facts = facts.withColumn("_annual", F.coalesce(form.startswith("10-K") | form.isin(*R.ANNUAL_FORMS), F.lit(False)))
-    one = facts.where(F.col("value").isNotNull()).repartition("accession").groupBy("accession", "section", "concept").agg(F.max_by("value", "ord").alias("value"), F.min("ord").alias("ord"), F.max("_annual").alias("_annual"))
-    star = F.when(F.col("concept").contains(" ["), F.concat(F.substring_index("concept", " [", 1), F.lit(" [*]")))
-    twice = one.withColumn("k", F.explode(F.array_compact(F.array(F.col("concept"), star))))
-    summed = twice.groupBy("accession", "section", "k").agg(F.sum("value").alias("value"), F.min("ord").alias("ord"), F.max("_annual").alias("_annual"))
-    # patterns are matched here, once for each fact, and not in the checks
-    entry, key = F.struct("ord", "section", F.col("k").alias("concept"), "value", is_nonop_component(F.col("k")).alias("nonop"), is_nonop_extension(F.col("k")).alias("extension")), F.struct(F.concat("section", F.lit("|"), "k").alias("key"), "value")
-    return summed.groupBy("accession").agg(F.array_sort(F.collect_list(F.when(~F.col("k").endswith(" [*]"), entry))).alias("_e"), F.map_from_entries(F.collect_list(key)).alias("_m"), F.max("_annual").alias("_annual"))
-
-
-# parts
-
-
-def equity() -> Column:
-    return first_of([BS], R.EQUITY)
-
-
-def temporary_equity() -> Column:
-    """A primary concept, else dimensioned primary, mezzanine and alternative amounts together."""
-    parts = _sum(BS, lambda k: k.contains("[") & (k.contains(R.TEMPORARY_PARTS[0]) | k.contains(R.TEMPORARY_PARTS[1])))
-    listed = [F.coalesce(_value(BS, k), F.lit(0.0)) for k in (*R.TEMPORARY_MEZZANINE, *R.TEMPORARY_OTHER)]
-    return F.coalesce(*[_value(BS, k) for k in R.TEMPORARY_PRIMARY], sum(listed, parts))
+def _is_deducted(k: Column) -> Column:
+    """An expense or loss, but no net total and no tax."""
+    name = F.lower(k)
+    return ~name.contains("incometax") & ~name.contains("incomeexpense") & (name.contains("expense") | (name.contains("loss") & ~name.contains("gainloss")))
 
 
-def temporary_equity_elsewhere() -> Column:
-    """Alternative amounts outside the balance sheet that it does not hold itself."""
-    return sum((F.when(_value(BS, k).isNull(), F.coalesce(_value(OTHER, k), F.lit(0.0))).otherwise(0.0) for k in R.TEMPORARY_OTHER), F.lit(0.0))
-
-
-def liabilities() -> Column:
-    """Reported, else assets (or the total of the other side) less equity and temporary equity."""
-    rest = equity() + F.coalesce(temporary_equity(), F.lit(0.0))
-    return F.coalesce(_value(BS, "us-gaap:Liabilities"), _value(BS, "us-gaap:Assets") - rest, _value(BS, "us-gaap:LiabilitiesAndStockholdersEquity") - rest)
-
+def _contains(k: Column, words: Sequence[str]) -> Column:
+    """Undimensioned, with all of the words but those that begin with !."""
+    out = ~k.contains("[")
+    for w in words:
+        out = out & (~k.contains(w[1:]) if w.startswith("!") else k.contains(w))
+    return out
 
-def _noncurrent(total: Column, current: Column, kind: str, other_kind: Callable[[Column], Column] | None, exclusive: bool) -> Column:
-    """A noncurrent amount: reported; sums of names, replaced by total less current where they do not fit; derived from parts."""
-    def settled(s: Column) -> Column:
-        known = total.isNotNull() & current.isNotNull()
-        return F.when(s != 0, F.when(known & ~_near(total, current + s), total - current).otherwise(s))
 
-    def is_noncurrent(k: Column) -> Column:
-        return _all_in(k, kind, "Noncurrent") & (~k.contains("Current") if exclusive else F.lit(True))
+# SQL text
 
-    cur = sum((_sum(s, lambda k: _all_in(k, kind, "Current") & ~k.contains("Noncurrent")) for s in (BS, OTHER)), F.lit(0.0))
-    non = sum((_sum(s, is_noncurrent) for s in (BS, OTHER)), F.lit(0.0))
-    options = [_value(BS, f"us-gaap:{kind}Noncurrent"), settled(_sum(BS, lambda k: _all_in(k, kind, "Noncurrent")))]
-    if other_kind is not None:
-        options.append(settled(_sum(OTHER, other_kind)))
-    options += [total - current, F.when(cur > 0, total - cur), F.when((non > 0) & total.isNotNull(), non)]
-    return F.coalesce(*options)
 
+def _quoted(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-def _current_parts(kind: str) -> Column:
-    return sum((_sum(s, lambda k: _all_in(k, kind, "Current") & ~k.contains("Noncurrent")) for s in (BS, OTHER)), F.lit(0.0))
 
+def _in(x: str, names: Sequence[str]) -> str:
+    return f"{x} IN ({', '.join(map(_quoted, names))})"
 
-def other_opex() -> Column:
-    """Listed concepts, and undimensioned extension concepts named Opex, each once (the income statement first)."""
-    listed = sum((F.coalesce(first_of([INC, OTHER], [k]), F.lit(0.0)) for k in R.OTHER_OPEX), F.lit(0.0))
 
-    def fits(k: Column) -> Column:
-        return _all_in(k, "Opex") & ~k.contains("ResearchAndDevelopmentExpense") & ~k.contains("SellingGeneralAndAdministrativeExpense")
+def _coalesce(*xs: str) -> str:
+    return f"coalesce({', '.join(xs)})" if len(xs) > 1 else xs[0]
 
-    inc = _entries(INC, fits)
-    names = F.transform(inc, lambda e: e["k"])
-    extra = F.filter(_entries(OTHER, fits), lambda e: ~F.array_contains(names, e["k"]))
-    return listed + _total(inc) + _total(extra)
 
+def _plus(*xs: str) -> str:
+    return f"({' + '.join(xs)})"
 
-def _component(k: str) -> Column:
-    """A concept's value (other first), else the sum of its dimensioned values, null if zero."""
-    return F.coalesce(first_of([OTHER, INC], [k]), _or(_value(OTHER, f"{k} [*]"), _value(INC, f"{k} [*]")))
 
+def _or(a: str, b: str) -> str:
+    """`a`, or `b` if `a` is null or zero."""
+    return f"CASE WHEN {a} IS NOT NULL AND {a} <> 0D THEN {a} ELSE {b} END"
 
-def _signed(k: str, v: Column) -> Column:
-    """signed_component() for a name that is known now."""
-    name = k.lower()
-    deducted = "incometax" not in name and "incomeexpense" not in name and ("expense" in name or ("loss" in name and "gainloss" not in name))
-    return -F.abs(v) if deducted else v
 
+def _null(*xs: str) -> str:
+    return f"({' OR '.join(f'{x} IS NULL' for x in xs)})"
 
-def _plausible(k: str) -> bool:
-    """is_nonop_component() for a name that is known now."""
-    name = k.lower()
-    return "[" not in name and not any(w in name for w in (*R.COMPONENT_EXCLUDES, *R.STATEMENT_EXCLUDES)) and any(w in name for w in R.STATEMENT_INCLUDES)
 
+def _percent(difference: str, others: Sequence[str]) -> str:
+    """difference_of() as text."""
+    return f"(abs({difference}) / greatest({', '.join(f'abs({x})' for x in others)}, 1e-9D) * 100D)"
 
-def nonoperating_total() -> Column:
-    """A reported total, else interest, investment income, other items, extension items and extras, signed, each name once; zero is null."""
-    zero = F.lit(0.0)
-    net = first_of([OTHER, INC], R.INTEREST_NET)
-    seen = [(k, net.isNotNull()) for k in R.INTEREST_NET]  # names, with the condition under which they were counted
-    seen += [(k, net.isNull() & _component(k).isNotNull()) for k in R.INTEREST_PARTS]
-    total = F.coalesce(net, sum((F.coalesce(_signed(k, _component(k)), zero) for k in R.INTEREST_PARTS), zero))
-    for k in R.INVESTMENT_INCOME:
-        total = total + F.coalesce(_signed(k, _component(k)), zero)
-        seen.append((k, _component(k).isNotNull()))
-    total = total + F.coalesce(*[_signed(k, _component(k)) for k in R.OTHER_NONOP], zero)
-    for i, k in enumerate(R.OTHER_NONOP):
-        earlier = [_component(x) for x in R.OTHER_NONOP[:i]]
-        seen.append((k, _component(k).isNotNull() & (F.coalesce(*earlier).isNull() if earlier else F.lit(True))))
-    names = F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in seen if re.search("Non[oO]perating", k)]))
 
-    def extension(e: Column) -> Column:
-        return e["extension"] & ~F.array_contains(names, e["concept"])
+def _array(*xs: str) -> str:
+    return f"array_compact(array({', '.join(xs)}))"
 
-    outer = _where(OTHER, lambda e: extension(e) & e["nonop"])
-    outer_names = F.transform(outer, lambda e: e["k"])
-    inner = F.filter(_where(INC, extension), lambda e: ~F.array_contains(outer_names, e["k"]))
-    total = total + F.aggregate(F.concat(outer, inner), zero, lambda s, e: s + signed_component(e["k"], e["v"]))
-    for k in R.EXTRA_NONOP:  # none of these has a name that the extension rule takes
-        v = _signed(k, _component(k))
-        total = total + F.coalesce(v if _plausible(k) else F.when(_value(INC, k).isNotNull() | _value(OTHER, k).isNull(), v), zero)
-    return F.coalesce(first_of([OTHER, INC], R.NONOP_TOTALS), F.nullif(total, zero))
 
+def _check(name: str, tolerance: str, gap: str, pct: str, status: str, strict: str) -> str:
+    """A check as a struct."""
+    done = f"{status} = 'checked'"
+    fields = {
+        "check_name": _quoted(name),
+        "passed": f"if({done}, coalesce({pct} <= {tolerance}, false), {status} = 'skipped')",
+        "passed_strict": f"if({done}, coalesce({strict}, false), {status} = 'skipped')",
+        "status": status,
+        "difference": f"if({done}, {gap}, NULL)",
+        "difference_pct": f"if({done}, round({pct}, 2), NULL)",
+    }
+    return f"CAST(named_struct({', '.join(f'{_quoted(k)}, {v}' for k, v in fields.items())}) AS {CHECK})"
 
-def best_subset(target: Column, most: int = 10) -> Column:
-    """The sum of one to three of the largest plausible components that comes closest to the target, the first on ties."""
-    parts = F.concat(*[_where(s, lambda e: e["nonop"]) for s in (INC, OTHER)])
-    signed = F.transform(parts, lambda e, i: F.struct((-F.abs(signed_component(e["k"], e["v"]))).alias("rank"), i.alias("i"), signed_component(e["k"], e["v"]).alias("v")))
-    top = F.slice(F.array_sort(signed), 1, most)
-    picks = [c for n in (1, 2, 3) for c in combinations(range(most), n)]
-    chosen = F.expr(f"array({','.join(f'array({','.join(map(str, c))})' for c in picks)})")
 
-    def scored(c: Column, i: Column) -> Column:
-        s = F.aggregate(c, F.lit(0.0), lambda a, p: a + F.get(F.col("_top"), p)["v"])
-        return F.struct(F.abs(s - target).alias("err"), i.alias("i"), s.alias("s"))
+def _merged(entries: str, fields: Sequence[str]) -> str:
+    """Of sorted entries (fields, ord, value, more) one for each of the fields' combinations: its last value, in the order of first appearance."""
+    def edge(step: str) -> str:
+        return "coalesce(" + " OR ".join(f"get({entries}, i {step} 1).{f} <> e.{f}" for f in fields) + ", true)"
 
-    # only combinations of the components that there are
-    sums = F.transform(F.filter(chosen, lambda c: F.element_at(c, -1) < F.size("_top")), scored)
-    return top, F.array_min(sums)["s"]
+    return f"array_sort(zip_with(filter({entries}, (e, i) -> {edge('+')}), filter({entries}, (e, i) -> {edge('-')}), (l, f) -> named_struct('ord', f.ord, 'last', l)))"
 
 
-def equity_components(section: str = BS) -> tuple[Column, Column, Column]:
-    """Sums of dimensioned equity by concept (parent's, then with noncontrolling interests), and whether there are any.
+class Compiled:
+    """A rule set's slots, patterns and steps.
 
-    Totals go where components are known, and so do segments; of accumulated other income either
-    the children or the first of the parents counts.
+    Steps are (column, SQL text), later ones may name earlier ones; checks are named check_....
+    A pattern is a bit and a condition on a fact's section and concept.
     """
-    def base(k: Column) -> Column:
-        return F.when(k.startswith(f"{R.EQUITY[1]} ["), R.EQUITY[1]).when(k.startswith(f"{R.EQUITY[0]} ["), R.EQUITY[0])
-
-    rows = F.filter("_e", lambda e: (e["section"] == section) & base(e["concept"]).isNotNull())
-    items = F.transform(rows, lambda e: F.struct(base(e["concept"]).alias("base"), F.trim(F.regexp_extract(e["concept"], r"\[(.*)\]", 1)).alias("dim"), e["value"].alias("v")))
-    children = F.array(*map(F.lit, R.AOCI_CHILDREN))
-
-    def by_form(*more: str) -> Column:
-        annual, quarterly = (F.array(*map(F.lit, (*names, *R.AOCI_CHILDREN, *more))) for names in (R.EQUITY_COMPONENTS, R.QUARTERLY_EQUITY_COMPONENTS))
-        return F.when(F.col("_annual"), annual).otherwise(quarterly)
-
-    components, known = by_form(), by_form("NoncontrollingInterest", *R.EQUITY_TOTALS)
-    parents, totals = F.array(*map(F.lit, R.AOCI_PARENTS)), F.array(*map(F.lit, R.EQUITY_TOTALS))
-    has_children = F.exists(items, lambda x: F.array_contains(children, x["dim"]))
-    has_parts = F.exists(items, lambda x: F.array_contains(components, x["dim"]))
-
-    def stays(x: Column) -> Column:
-        first = F.trim(F.substring_index(x["dim"], ",", 1))
-        alone = ~x["dim"].contains(",")
-        return ~(has_parts & alone & F.array_contains(totals, first)) & ~(has_parts & ~F.array_contains(known, first)) & ~(has_children & F.array_contains(parents, x["dim"]))
-
-    kept = F.filter(items, stays)
-    indexed = F.transform(kept, lambda x, i: F.struct(x["base"].alias("base"), x["dim"].alias("dim"), x["v"].alias("v"), i.alias("i")))
-    first_parent = F.array_min(F.transform(F.filter(indexed, lambda x: F.array_contains(parents, x["dim"])), lambda x: x["i"]))
-    once = F.filter(indexed, lambda x: ~F.array_contains(parents, x["dim"]) | (x["i"] == first_parent))
-
-    def total(concept: str) -> Column:
-        return F.nullif(F.aggregate(F.filter(once, lambda x: x["base"] == concept), F.lit(0.0), lambda s, x: s + x["v"]), F.lit(0.0))
-
-    a, b = total(R.EQUITY[0]), total(R.EQUITY[1])
-    return a, b, a.isNotNull() | b.isNotNull()
-
-
-# checks
 
+    def __init__(self, rules: RuleSet):
+        self.rules = rules
+        self.patterns: list[tuple[str, tuple[str, ...], Column]] = []  # a key, the sections, the condition
+        self.steps: list[tuple[str, str]] = []
+        self.names = (*CHECKS, *(c.name for c in rules.added))
+        if len(set(self.names)) < len(self.names):
+            raise ValueError("two checks have one name")
+        self._suite()
+
+    def let(self, name: str, value: str) -> str:
+        self.steps.append((name, value))
+        return name
+
+    def value(self, section: str, concept: str) -> str:
+        """The concept's last value in the section."""
+        return f"try_element_at(_m, xxhash64({_quoted(section)}, {_quoted(concept)}))"
+
+    def first(self, sections: Sequence[str], concepts: Sequence[str]) -> str:
+        """The first value of the concepts, section by section."""
+        return _coalesce(*[self.value(s, c) for s in sections for c in concepts])
+
+    def bit(self, key: str, sections: Sequence[str], fits: Column) -> str:
+        """The bit of a pattern, which is matched in these sections."""
+        keys = [k for k, _, _ in self.patterns]
+        if key not in keys:
+            self.patterns.append((key, tuple(sections), fits))
+            keys.append(key)
+        return f"{1 << keys.index(key)}L"
+
+    def has(self, e: str, bit: str) -> str:
+        return f"({e}.bits & {bit}) <> 0L"
+
+    def total(self, section: str, key: str, fits: Column) -> str:
+        """The sum of a section's concepts that fit, computed once."""
+        name = f"_c{section[:1]}_{re.sub('[^a-z]', '', key)}"
+        if name not in dict(self.steps):
+            bit = self.bit(f"{section} {key}", [section], fits)
+            self.let(name, f"aggregate(_e, 0D, (s, e) -> if({self.has('e', bit)}, s + e.value, s))")
+        return name
+
+    def near(self, a: str, b: str) -> str:
+        return f"coalesce({_percent(f'({a}) - ({b})', [a, b])} <= {self.rules.tolerance_pct!r}D, false)"
+
+    def closest(self, values: str, computed: str) -> str:
+        """The first candidate that is about the computed value, else the first."""
+        return f"coalesce(try_element_at(filter({values}, v -> {self.near('v', computed)}), 1), try_element_at({values}, 1))"
+
+    def result(self, n: int, strict: str | None, left: str, right: str, others: Sequence[str], skipped: str = "false", missing: str = "false") -> None:
+        """A check: skipped ones pass, ones that miss a required value fail, others pass within the tolerance of their largest number."""
+        name, tolerance = self.names[n - 1], f"{self.rules.tolerance(self.names[n - 1])!r}D"
+        gap, status = self.let(f"_gap{n}", f"{left} - {right}"), self.let(f"_status{n}", f"CASE WHEN {skipped} THEN 'skipped' WHEN {missing} THEN 'missing' ELSE 'checked' END")
+        pct = self.let(f"_pct{n}", _percent(gap, others))
+        strict = strict or f"{_percent(gap, [left, right])} <= {tolerance}"
+        self.let(f"check_{n:02d}", _check(name, tolerance, gap, pct, status, strict))
+
+    def sides(self, n: int, left: str, right: str, others: Sequence[str], skipped: str = "false", missing: str = "false") -> None:
+        self.result(n, None, left, f"({right})", [left, right, *others], skipped, missing)
+
+    # parts
+
+    def temporary_equity(self) -> str:
+        """A primary concept, else dimensioned primary, mezzanine and alternative amounts together."""
+        r, k = self.rules, F.col("concept")
+        parts = self.total(BS, "temporary", k.contains("[") & (k.contains(r.TEMPORARY_PARTS[0]) | k.contains(r.TEMPORARY_PARTS[1])))
+        listed = [f"coalesce({self.value(BS, c)}, 0D)" for c in (*r.TEMPORARY_MEZZANINE, *r.TEMPORARY_OTHER)]
+        return _coalesce(*[self.value(BS, c) for c in r.TEMPORARY_PRIMARY], _plus(parts, *listed))
+
+    def temporary_equity_elsewhere(self) -> str:
+        """Alternative amounts outside the balance sheet that it does not hold itself."""
+        return _plus("0D", *[f"if({self.value(BS, c)} IS NULL, coalesce({self.value(OTHER, c)}, 0D), 0D)" for c in self.rules.TEMPORARY_OTHER])
+
+    def _parts_of(self, kind: str, key: str, *words: str) -> str:
+        """The sum of undimensioned concepts of that kind, on the balance sheet and elsewhere."""
+        return _plus("0D", *[self.total(s, f"{kind.lower()} {key}", _contains(F.col("concept"), (kind, *words))) for s in (BS, OTHER)])
+
+    def noncurrent(self, total: str, current: str, kind: str, elsewhere: Column | None, exclusive: bool) -> str:
+        """A noncurrent amount: reported; sums of names, replaced by total less current where they do not fit; derived from parts."""
+        def settled(s: str) -> str:
+            return f"CASE WHEN {s} <> 0D THEN CASE WHEN {total} IS NOT NULL AND {current} IS NOT NULL AND NOT {self.near(total, f'{current} + {s}')} THEN {total} - {current} ELSE {s} END END"
+
+        cur = self._parts_of(kind, "current", "Current", "!Noncurrent")
+        words = ("Noncurrent", "!Current") if exclusive else ("Noncurrent",)
+        non = self._parts_of(kind, "noncurrent only" if exclusive else "noncurrent", *words)
+        options = [self.value(BS, f"us-gaap:{kind}Noncurrent"), settled(self.total(BS, f"{kind.lower()} noncurrent", _contains(F.col("concept"), (kind, "Noncurrent"))))]
+        if elsewhere is not None:
+            options.append(settled(self.total(OTHER, f"{kind.lower()} elsewhere", elsewhere)))
+        options += [f"{total} - {current}", f"CASE WHEN {cur} > 0D THEN {total} - {cur} END", f"CASE WHEN {non} > 0D AND {total} IS NOT NULL THEN {non} END"]
+        return _coalesce(*options)
+
+    def other_opex(self) -> str:
+        """Listed concepts, and undimensioned extension concepts named Opex, each once (the income statement first)."""
+        listed = [f"coalesce({self.first([INC, OTHER], [c])}, 0D)" for c in self.rules.OTHER_OPEX]
+        bit = self.bit("opex", [INC, OTHER], _contains(F.col("concept"), ("Opex", "!ResearchAndDevelopmentExpense", "!SellingGeneralAndAdministrativeExpense")))
+        found = self.let("_ox", f"filter(_e, e -> {self.has('e', bit)})")
+        inc = self.let("_oxi", f"filter({found}, e -> e.section = '{INC}')")
+        extra = f"filter({found}, e -> e.section = '{OTHER}' AND NOT exists({inc}, x -> x.concept = e.concept))"
+        added = [f"aggregate({a}, 0D, (s, e) -> s + e.value)" for a in (inc, extra)]
+        return _plus("0D", *listed, *added)
+
+    def component(self, concept: str) -> str:
+        """The step of a concept's value (other first), else of the sum of its dimensioned values, null if there is none."""
+        r = self.rules
+        listed = list(dict.fromkeys((*r.INTEREST_NET, *r.INTEREST_PARTS, *r.INVESTMENT_INCOME, *r.OTHER_NONOP, *r.EXTRA_NONOP)))
+        name = f"_k{listed.index(concept)}"
+        if name in dict(self.steps):
+            return name
+        bases = F.substring_index("concept", " [", 1)
+        stars = "_stars"
+        if stars not in dict(self.steps):
+            bit = self.bit("star", [INC, OTHER], F.col("concept").contains(" [") & bases.isin(*listed))
+            self.let(stars, f"filter(_e, e -> {self.has('e', bit)})")
+
+        def star(section: str) -> str:
+            return f"aggregate({stars}, CAST(NULL AS DOUBLE), (s, e) -> if(e.section = '{section}' AND startswith(e.concept, {_quoted(concept + ' [')}), coalesce(s, 0D) + e.value, s))"
+
+        return self.let(name, _coalesce(self.first([OTHER, INC], [concept]), f"CASE WHEN size({stars}) > 0 THEN coalesce(nullif({star(OTHER)}, 0D), {star(INC)}) END"))
+
+    def nonoperating_total(self) -> str:
+        """A reported total, else interest, investment income, other items, extension items and extras, signed, each name once; zero is null."""
+        r, comp = self.rules, self.component
+
+        def signed(k: str) -> str:
+            name = k.lower()
+            deducted = "incometax" not in name and "incomeexpense" not in name and ("expense" in name or ("loss" in name and "gainloss" not in name))
+            return f"-abs({comp(k)})" if deducted else comp(k)
+
+        def plausible(k: str) -> bool:
+            """is_nonop_component() for a name that is known now."""
+            name = k.lower()
+            return "[" not in name and not any(w in name for w in (*r.COMPONENT_EXCLUDES, *r.STATEMENT_EXCLUDES)) and any(w in name for w in r.STATEMENT_INCLUDES)
+
+        net = self.let("_interest", self.first([OTHER, INC], r.INTEREST_NET))
+        seen = [(k, f"{net} IS NOT NULL") for k in r.INTEREST_NET]  # names, with the condition under which they were counted
+        seen += [(k, f"{net} IS NULL AND {comp(k)} IS NOT NULL") for k in r.INTEREST_PARTS]
+        terms = [f"coalesce({net}, {_plus('0D', *[f'coalesce({signed(k)}, 0D)' for k in r.INTEREST_PARTS])})"]
+        for k in r.INVESTMENT_INCOME:
+            terms.append(f"coalesce({signed(k)}, 0D)")
+            seen.append((k, f"{comp(k)} IS NOT NULL"))
+        terms.append(_coalesce(*[signed(k) for k in r.OTHER_NONOP], "0D"))
+        for i, k in enumerate(r.OTHER_NONOP):
+            earlier = [comp(x) for x in r.OTHER_NONOP[:i]]
+            seen.append((k, f"{comp(k)} IS NOT NULL" + "".join(f" AND {x} IS NULL" for x in earlier)))
+        named = [f"CASE WHEN {c} THEN {_quoted(k)} END" for k, c in seen if re.search("Non[oO]perating", k)]
+        names = self.let("_counted", f"CAST({_array(*named)} AS ARRAY<STRING>)")
+        extension = self.bit("extension", [INC, OTHER], is_nonop_extension(F.col("concept")))
+        found = self.let("_ext", f"filter(_e, e -> {self.has('e', extension)} AND NOT array_contains({names}, e.concept))")
+        outer = self.let("_exto", f"filter({found}, e -> e.section = '{OTHER}' AND {self.has('e', self.plausible())})")
+        inner = f"filter({found}, e -> e.section = '{INC}' AND NOT exists({outer}, x -> x.concept = e.concept))"
+        terms.append(f"aggregate(concat({outer}, {inner}), 0D, (s, e) -> s + {self.signed_entry('e')})")
+        for k in r.EXTRA_NONOP:  # none of these has a name that the extension rule takes
+            v = signed(k)
+            terms.append(f"coalesce({v if plausible(k) else f'CASE WHEN {self.value(INC, k)} IS NOT NULL OR {self.value(OTHER, k)} IS NULL THEN {v} END'}, 0D)")
+        return _coalesce(self.first([OTHER, INC], r.NONOP_TOTALS), f"nullif({_plus(*terms)}, 0D)")
+
+    def plausible(self) -> str:
+        return self.bit("component", [INC, OTHER], is_nonop_component(F.col("concept"), self.rules))
+
+    def signed_entry(self, e: str) -> str:
+        """signed_component() of an entry."""
+        deducted = self.bit("deducted", [INC, OTHER], _is_deducted(F.col("concept")))
+        return f"if({self.has(e, deducted)} AND {e}.value > 0D, -abs({e}.value), {e}.value)"
+
+    def best_subset(self, target: str) -> str:
+        """The sum of one to three of the largest plausible components that comes closest to the target, the first on ties."""
+        mine = ", ".join(f"filter(_e, e -> e.section = '{s}' AND {self.has('e', self.plausible())})" for s in (INC, OTHER))
+        signed = f"transform(concat({mine}), (e, i) -> named_struct('rank', -abs(e.value), 'i', i, 'v', {self.signed_entry('e')}))"
+        self.let("_top", f"slice(array_sort({signed}), 1, {MOST})")
+        picks = ", ".join(f"array({', '.join(map(str, c))})" for n in (1, 2, 3) for c in combinations(range(MOST), n))
+        score = "aggregate(c, 0D, (a, p) -> a + get(_top, p).v)"
+        # only combinations of the components that there are
+        sums = f"transform(filter(array({picks}), c -> element_at(c, -1) < size(_top)), (c, i) -> named_struct('err', abs({score} - {target}), 'i', i, 's', {score}))"
+        return f"array_min({sums}).s"
+
+    def equity_components(self) -> tuple[str, str]:
+        """Sums of dimensioned equity by concept: the parent's, then with noncontrolling interests.
+
+        Totals go where components are known, and so do segments; of accumulated other income either
+        the children or the first of the parents counts.
+        """
+        r, k = self.rules, F.col("concept")
+        bit = self.bit("equity", [BS], k.startswith(f"{r.EQUITY[1]} [") | k.startswith(f"{r.EQUITY[0]} ["))
+        item = f"named_struct('base', if(startswith(e.concept, {_quoted(r.EQUITY[1] + ' [')}), 1, 0), 'dim', trim(regexp_extract(e.concept, '\\\\[(.*)\\\\]', 1)), 'v', e.value)"
+        items = self.let("_qi", f"transform(filter(_e, e -> {self.has('e', bit)}), e -> {item})")
+
+        def by_form(x: str, *more: str) -> str:
+            return f"if(_annual, {_in(x, (*r.EQUITY_COMPONENTS, *r.AOCI_CHILDREN, *more))}, {_in(x, (*r.QUARTERLY_EQUITY_COMPONENTS, *r.AOCI_CHILDREN, *more))})"
+
+        some, children = self.let("_qp", f"exists({items}, x -> {by_form('x.dim')})"), self.let("_qc", f"exists({items}, x -> {_in('x.dim', r.AOCI_CHILDREN)})")
+        first = "trim(substring_index(x.dim, ',', 1))"
+        total_alone = f"NOT contains(x.dim, ',') AND {_in(first, r.EQUITY_TOTALS)}"
+        unknown = f"NOT {by_form(first, 'NoncontrollingInterest', *r.EQUITY_TOTALS)}"
+        parent = _in("x.dim", r.AOCI_PARENTS)
+        kept = self.let("_qk", f"transform(filter({items}, x -> NOT ({some} AND ({total_alone} OR {unknown})) AND NOT ({children} AND {parent})), (x, i) -> named_struct('base', x.base, 'dim', x.dim, 'v', x.v, 'i', i))")
+        only = self.let("_qf", f"array_min(transform(filter({kept}, x -> {parent}), x -> x.i))")
+        once = self.let("_qo", f"filter({kept}, x -> NOT {parent} OR x.i = {only})")
+        sums = [f"nullif(aggregate(filter({once}, x -> x.base = {n}), 0D, (s, x) -> s + x.v), 0D)" for n in (0, 1)]
+        return self.let("_s0", sums[0]), self.let("_s1", sums[1])
+
+    # checks
+
+    def _suite(self) -> None:
+        r, let, value, first, k = self.rules, self.let, self.value, self.first, F.col("concept")
+        assets, equity = let("_assets", value(BS, r.ASSETS)), let("_equity", first([BS], r.EQUITY))
+        te = let("_te", self.temporary_equity())
+        temp = let("_temp", f"{te} + {self.temporary_equity_elsewhere()}")
+        rest = f"({equity} + coalesce({te}, 0D))"
+        liab = let("_liab", _coalesce(value(BS, r.LIABILITIES), f"{assets} - {rest}", f"{value(BS, r.LIABILITIES_AND_EQUITY)} - {rest}"))
+        self.sides(1, assets, f"{liab} + {equity} + {temp}", [liab, equity, temp], missing=_null(assets, liab, equity))
+
+        cur = let("_acur", value(BS, "us-gaap:AssetsCurrent"))
+        non = let("_anon", self.noncurrent(assets, cur, "Assets", None, False))
+        derived = let("_ader", self._parts_of("Assets", "current", "Current", "!Noncurrent"))
+        cur2 = let("_acur2", _coalesce(cur, f"CASE WHEN {derived} > 0D THEN {derived} END", f"{assets} - {non}"))
+        non2 = let("_anon2", _coalesce(non, f"{assets} - {cur2}"))
+        self.sides(2, assets, f"{cur2} + {non2}", [cur2, non2], f"{assets} IS NOT NULL AND {_null(cur2, non2)}", _null(assets))
+
+        lcur0 = let("_lcur0", value(BS, "us-gaap:LiabilitiesCurrent"))
+        lcur = let("_lcur", _coalesce(lcur0, f"nullif({self._parts_of('Liabilities', 'current', 'Current', '!Noncurrent')}, 0D)"))
+        elsewhere = ~k.contains("[") & (k.contains("PayableNoncurrent") | (k.contains("Liabilities") & k.contains("Noncurrent")))
+        lnon = let("_lnon", self.noncurrent(liab, lcur0, "Liabilities", elsewhere, True))
+        self.sides(3, liab, f"{lcur} + {lnon}", [lcur, lnon], _null(liab, lcur, lnon))
+
+        gross = let("_gross", _or(value(INC, r.GROSS_PROFIT), value(OTHER, r.GROSS_PROFIT)))
+        revenues, costs = let("_revs", _array(*[first([INC, OTHER], [c]) for c in r.REVENUE])), let("_costs", _array(*[first([OTHER, INC], [c]) for c in r.COST]))
+        pairs = f"flatten(transform({revenues}, a -> transform({costs}, b -> named_struct('revenue', a, 'cost', b))))"
+        pair = let("_pair", f"try_element_at(filter({pairs}, p -> {_percent(f'p.revenue - p.cost - {gross}', ['p.revenue - p.cost', gross])} <= {r.tolerance_pct!r}D), 1)")
+        rev, cost = let("_rev", _coalesce(f"{pair}.revenue", f"try_element_at({revenues}, 1)")), let("_cost", _coalesce(f"{pair}.cost", f"try_element_at({costs}, 1)"))
+        self.sides(4, gross, f"{rev} - {cost}", [rev, cost], _null(gross, rev, cost))
+
+        opex = let("_opex", _or(value(INC, r.OPERATING_EXPENSES), value(OTHER, r.OPERATING_EXPENSES)))
+        ops = let("_ops", _array(*[value(s, r.OPERATING_INCOME) for s in (INC, OTHER)]))
+        op = let("_op", self.closest(ops, f"{gross} - {opex}"))
+        self.sides(5, op, f"{gross} - {opex}", [gross, opex], _null(gross, opex, op))
+
+        rd, sga = let("_rd", first([OTHER, INC], [r.RESEARCH])), let("_sga", first([OTHER, INC], [r.SELLING]))
+        more = let("_more", self.other_opex())
+        self.sides(6, opex, f"{rd} + {sga} + {more}", [rd, sga, more], _null(opex, rd, sga))
+
+        pretax, opinc = let("_pretax", first([INC, OTHER], r.PRETAX)), let("_opinc", first([INC, OTHER], [r.OPERATING_INCOME]))
+        implied = let("_implied", f"{pretax} - {opinc}")
+        options = [first([OTHER, INC], r.NONOP_TOTALS[:1]), first([OTHER, INC], r.NONOP_TOTALS[1:]), let("_nt", self.nonoperating_total())]
+        told = let("_told", f"array_min({_array(*[f'CASE WHEN {v} IS NOT NULL THEN named_struct({_quoted("err")}, abs({v} - {implied}), {_quoted("i")}, {i}, {_quoted("v")}, {v}) END' for i, v in enumerate(options)])})")
+        subset = self.best_subset(implied)
+        # combinations are searched where no reported total is exact, but for what rounding leaves
+        found = let("_found", f"CASE WHEN size(_top) > 0 AND ({told} IS NULL OR {told}.err > abs({implied}) * 1e-12D) THEN {subset} END")
+        # of equally close ones a reported total counts
+        nonop = let("_nonop", f"coalesce(CASE WHEN {found} IS NOT NULL AND coalesce(abs({found} - {implied}) < {told}.err, {told} IS NULL OR {told}.err IS NULL) THEN {found} ELSE {told}.v END, 0D)")
+        self.sides(7, pretax, f"{opinc} + {nonop}", [opinc, nonop], _null(pretax, opinc))
+
+        tax = let("_tax", _coalesce(first([OTHER, INC], r.TAX), "0D"))
+        nets = let("_nets", _array(*[value(s, c) for s in (INC, OTHER) for c in r.NET]))
+        net = let("_net", self.closest(nets, f"{pretax} - {tax}"))
+        self.sides(8, net, f"{pretax} - {tax}", [pretax, tax], _null(pretax, net))
+
+        net9, oci = let("_net9", first([INC, OTHER], r.NET)), let("_oci", _coalesce(first([INC, OTHER], r.OCI), "0D"))
+        comps = let("_comps", _array(*[value(s, c) for c in r.COMPREHENSIVE for s in (INC, OTHER)]))
+        comp = let("_comp", self.closest(comps, f"{net9} + {oci}"))
+        self.sides(9, comp, f"{net9} + {oci}", [net9, oci], _null(net9, comp))
+
+        o, i, f = (let(n, first([CF], c)) for n, c in (("_cfo", r.OPERATING), ("_cfi", r.INVESTING), ("_cff", r.FINANCING)))
+        continuing = f"{_coalesce(*[value(CF, c[0]) for c in (r.OPERATING, r.INVESTING, r.FINANCING)])} IS NULL"
+        gone = _coalesce(value(CF, r.DISCONTINUED), _plus("0D", *[f"coalesce({value(CF, c)}, 0D)" for c in r.DISCONTINUED_PARTS]))
+        flow = let("_flow", f"{o} + {i} + {f} + if({continuing}, {gone}, 0D)")
+        change, fx = let("_change", first([OTHER, CF], r.CASH_CHANGE)), let("_fx", _coalesce(first([OTHER, CF], r.EXCHANGE_EFFECT), "0D"))
+        best = let("_flowx", f"if(abs({flow} + {fx} - {change}) < abs({flow} - {change}), {flow} + {fx}, {flow})")
+        self.result(10, f"{self.near(flow, change)} OR {self.near(f'{flow} + {fx}', change)}", best, change, [o, i, f, best, change], _null(o, i, f, change))
+
+        s0, s1 = self.equity_components()
+        e0, e1 = (let(n, value(BS, c)) for n, c in (("_e0", r.EQUITY[0]), ("_e1", r.EQUITY[1])))
+        both = [f"named_struct('err', {_percent(f'{t} - {s}', [t, s])}, 'n', {n}, 't', {t}, 's', {s})" for n, (t, s) in enumerate(((e0, s0), (e1, s1)))]
+        pick = let("_pick", f"array_min(filter(array({', '.join(both)}), x -> x.t IS NOT NULL AND x.s IS NOT NULL))")
+        total, parts = let("_etot", _coalesce(f"{pick}.t", e0, e1)), let("_eparts", _coalesce(f"{pick}.s", f"nullif(coalesce({s0}, 0D) + coalesce({s1}, 0D), 0D)"))
+        self.sides(11, total, parts, [], f"{total} IS NOT NULL AND {parts} IS NULL", _null(total))
+
+        for n, concepts, order, stem in ((12, r.REVENUE, (INC, OTHER), r.REVENUE[0]), (13, r.COST, (OTHER, INC), r.COST[0])):
+            whole = let(f"_t{n}", first(order, concepts))
+            product, service = (let(f"_{x.lower()}{n}", _or(value(order[0], f"{stem} [{x}]"), value(order[1], f"{stem} [{x}]"))) for x in ("Product", "Service"))
+            self.sides(n, whole, f"{product} + {service}", [product, service], _null(whole, product, service))
+
+        whole = let("_t14", value(INC, r.REVENUE[0]))
+        segments = let("_seg", _plus(*[value(INC, f"{r.REVENUE[0]} [{s}]") for s in r.SEGMENTS]))
+        self.sides(14, whole, segments, [], _null(whole, segments))
+
+        for n, check in enumerate(r.added, len(CHECKS) + 1):
+            left, right = ([let(f"_{side}{n}_{i}", self.term(t, f"added {n} {side} {i}")) for i, t in enumerate(terms)] for side, terms in (("left", check.left), ("right", check.right)))
+            a, b = let(f"_lhs{n}", _plus(*left)), let(f"_rhs{n}", _plus(*right))
+            self.sides(n, a, b, [*left, *right], _null(a, b))
+
+    def term(self, t: Term, key: str) -> str:
+        """A term of an added check."""
+        if t.op == "first":
+            found = self.first(t.sections, t.values)
+        else:
+            bits = self.bit(key, t.sections, _contains(F.col("concept"), t.values))
+            found = f"aggregate(_e, CAST(NULL AS DOUBLE), (s, e) -> if({self.has('e', bits)}, coalesce(s, 0D) + e.value, s))"
+        found = f"coalesce({found}, 0D)" if t.optional else found
+        return f"-({found})" if t.sign < 0 else found
+
+    # running
+
+    def needed(self, wanted: Sequence[str]) -> list[dict[str, str]]:
+        """The wanted steps and those that they need, in layers that need earlier layers only, as a plan is analysed again with each."""
+        need, names = set(wanted), {name for name, _ in self.steps}
+        uses = {name: names & set(re.findall(r"\b_[A-Za-z]\w*", value)) for name, value in self.steps}
+        for name, _ in reversed(self.steps):
+            if name in need:
+                need |= uses[name]
+        level: dict[str, int] = {}
+        out: list[dict[str, str]] = []
+        for name, value in self.steps:
+            if name in need:
+                level[name] = 1 + max((level[x] for x in uses[name]), default=-1)
+                if level[name] == len(out):
+                    out.append({})
+                out[level[name]][name] = value
+        return out
+
+
+@lru_cache(maxsize=16)
+def compiled(rules: RuleSet) -> Compiled:
+    return Compiled(rules)
+
+
+def filings(facts: DataFrame, of: Compiled, text: str) -> DataFrame:
+    """One row for each accession: _m, the last value by slot, _e, the facts that patterns match in order of appearance, and _annual.
+
+    `text` is what will be made of it: the concepts it names have slots, and the patterns whose
+    bits it tests are matched. Other facts leave no trace but the accession, which the first half
+    of the aggregation keeps within their task. Filings without a form_type are not annual.
+    """
+    named, tested = set(re.findall(r"xxhash64\('[^']*', ('[^']*')\)", text)), set(map(int, re.findall(r"& (\d+)L", text)))
+    form = F.upper(F.trim("form_type")) if "form_type" in facts.columns else F.lit(None).cast("string")
+    annual = F.coalesce(form.startswith("10-K") | form.isin(*of.rules.ANNUAL_FORMS), F.lit(False))
+    # patterns are matched here, once for each fact, and not in the checks
+    bits = F.lit(0).cast("long")
+    for n, (_, sections, fits) in enumerate(of.patterns):
+        if 1 << n in tested:
+            bits = bits.bitwiseOR(F.when(F.col("section").isin(*sections) & fits, F.lit(1 << n).cast("long")).otherwise(F.lit(0).cast("long")))
+    rows = facts.where(F.col("value").isNotNull()).select("accession", "section", "concept", "ord", "value", annual.alias("_annual"), bits.alias("bits"))
+    slot = F.when(F.expr(f"concept IN ({', '.join(sorted(named))})") if named else F.lit(False), F.struct(F.xxhash64("section", "concept").alias("key"), "ord", "value"))
+    entry = F.when(F.col("bits") != 0, F.struct("section", "concept", "ord", "value", "bits"))
+    one = rows.groupBy("accession").agg(F.array_sort(F.collect_list(slot)).alias("_n"), F.array_sort(F.collect_list(entry)).alias("_l"), F.max("_annual").alias("_annual"))
+    slots = "map_from_entries(transform(filter(_n, (e, i) -> coalesce(get(_n, i + 1).key <> e.key, true)), e -> named_struct('key', e.key, 'value', e.value)))"
+    entries = f"transform({_merged('_l', ['section', 'concept'])}, x -> x.last)"
+    return one.select("accession", "_annual", F.expr(slots).alias("_m"), F.expr(entries).alias("_e"))
+
+
+def _stepped(facts: DataFrame, of: Compiled, wanted: Sequence[str]) -> DataFrame:
+    steps = of.needed(wanted)
+    rows = filings(facts, of, " ".join(value for layer in steps for value in layer.values()))
+    for layer in steps:
+        rows = rows.withColumns({name: F.expr(value) for name, value in layer.items()})
+    return rows
+
+
+def run_checks(facts: DataFrame, names: Sequence[str] | None = None, rules: RuleSet | None = None) -> DataFrame:
+    """(accession, check_name, passed, passed_strict, status, difference, difference_pct): one row for each filing and check.
 
-def _result(name: str, strict: Column, difference: Column, others: Sequence[Column], skipped: Column | None = None, missing: Column | None = None) -> Column:
-    """A check's struct: skipped ones pass, ones that miss a required value fail, others pass within the tolerance of their largest number."""
-    pct = difference_of(difference, others)
-    status = F.when(missing, "missing") if missing is not None else F.when(F.lit(False), "")
-    status = F.when(skipped, "skipped").otherwise(F.coalesce(status, F.lit("checked"))) if skipped is not None else F.coalesce(status, F.lit("checked"))
-    done = status == "checked"
-    return F.struct(
-        F.lit(name).alias("check_name"),
-        F.when(done, F.coalesce(pct <= R.TOLERANCE_PCT, F.lit(False))).otherwise(status == "skipped").alias("passed"),
-        F.when(done, F.coalesce(strict, F.lit(False))).otherwise(status == "skipped").alias("passed_strict"),
-        status.alias("status"),
-        F.when(done, difference).alias("difference"),
-        F.when(done, F.round(pct, 2)).alias("difference_pct"),
-    ).cast(CHECK)
+    `rules` are the shipped ones, or others from rulesets.rule_set(). `names` chooses among CHECKS
+    and the checks that the rules add; only what the chosen ones need is computed. `facts` may
+    have a form_type: the equity components of 10-K, 20-F and 40-F filings are judged by the annual
+    list, all others, and filings without a form, by the quarterly one. `passed` goes by the
+    difference in percent of the largest number involved, `passed_strict` by the two sides alone.
+    A filing without facts has no rows.
+    """
+    of = compiled(rules or shipped())
+    if unknown := set(names or ()) - set(of.names):
+        raise ValueError(f"unknown checks: {sorted(unknown)}")
+    wanted = [f"check_{n:02d}" for n, name in enumerate(of.names, 1) if names is None or name in names]
+    rows = _stepped(facts, of, wanted)
+    return rows.select("accession", F.explode(F.array(*wanted)).alias("r")).select("accession", "r.*")
 
 
-def _two_sides(name: str, left: Column, right: Column, others: Sequence[Column], skipped: Column | None = None, missing: Column | None = None) -> Column:
-    return _result(name, _near(left, right), left - right, [left, right, *others], skipped, missing)
+def filing_parts(facts: DataFrame, parts: Sequence[str], rules: RuleSet | None = None) -> DataFrame:
+    """(accession, and a column for each of the PARTS asked for): totals that the checks are made of."""
+    of = compiled(rules or shipped())
+    return _stepped(facts, of, [PARTS[p] for p in parts]).select("accession", *[F.col(PARTS[p]).alias(p) for p in parts])
 
 
-def _closest(values: Column, computed: Column) -> Column:
-    """The first candidate that is about the computed value, else the first."""
-    return F.coalesce(F.try_element_at(F.filter(values, lambda v: _near(v, computed)), F.lit(1)), F.try_element_at(values, F.lit(1)))
+def first_values(facts: DataFrame, wanted: dict[str, tuple[Sequence[str], Sequence[str]]]) -> DataFrame:
+    """(accession, and a column for each name): the first value of its concepts, section by section."""
+    of = compiled(shipped())
+    values = {name: of.first(sections, concepts) for name, (sections, concepts) in wanted.items()}
+    return filings(facts, of, " ".join(values.values())).select("accession", *[F.expr(v).alias(name) for name, v in values.items()])
 
 
-def _null(*cs: Column) -> Column:
-    out = cs[0].isNull()
-    for c in cs[1:]:
-        out = out | c.isNull()
-    return out
+def run_all_checks(facts: DataFrame, statements: DataFrame, rules: RuleSet | None = None) -> DataFrame:
+    """The checks of every filing by its shape: period-keyed ones by run_checks(), early statements of labelled rows by run_legacy_checks()."""
+    return run_checks(facts, rules=rules).unionByName(run_legacy_checks(statements))
 
 
-def layers(steps: list[tuple[str, Column]]) -> list[dict[str, Column]]:
-    """The steps in groups that need earlier groups only, as a plan is analysed again with each group."""
-    level: dict[str, int] = {}
-    out: list[dict[str, Column]] = []
-    for name, value in steps:
-        level[name] = 1 + max((level[x] for x in set(re.findall(r"_[A-Za-z]\w*", str(value))) if x in level), default=-1)
-        if level[name] == len(out):
-            out.append({})
-        out[level[name]][name] = value
-    return out
+def _legacy_text(candidates: Sequence[str]) -> str:
+    exact = [f"try_element_at(_l, {_quoted(c.lower())})" for c in candidates]
+    return _coalesce(*exact, *[f"try_element_at(filter(_r, r -> startswith(r.label, {_quoted(c.lower() + ' ')})), 1).value" for c in candidates])
 
 
-@lru_cache(maxsize=1)
-def suite() -> list[tuple[str, Column]]:
-    """Intermediate columns and checks, in order; later ones may use earlier ones by name (checks are named check_…)."""
-    c = F.col
-    steps: list[tuple[str, Column]] = []
-
-    def let(name: str, value: Column) -> Column:
-        steps.append((name, value))
-        return c(name)
-
-    assets, eq = let("_assets", _value(BS, "us-gaap:Assets")), let("_equity", equity())
-    temp = let("_temp", temporary_equity() + temporary_equity_elsewhere())
-    liab = let("_liab", liabilities())
-    let("check_01", _two_sides("balance sheet identity", assets, liab + eq + temp, [liab, eq, temp], missing=_null(assets, liab, eq)))
-
-    cur = let("_acur", _value(BS, "us-gaap:AssetsCurrent"))
-    non = let("_anon", _noncurrent(assets, cur, "Assets", None, False))
-    derived = let("_ader", _current_parts("Assets"))
-    cur2 = let("_acur2", F.coalesce(cur, F.when(derived > 0, derived), assets - non))
-    non2 = let("_anon2", F.coalesce(non, assets - cur2))
-    let("check_02", _two_sides("assets by term", assets, cur2 + non2, [cur2, non2], skipped=assets.isNotNull() & _null(cur2, non2), missing=assets.isNull()))
-
-    lcur0 = let("_lcur0", _value(BS, "us-gaap:LiabilitiesCurrent"))
-    lcur = let("_lcur", F.coalesce(lcur0, F.nullif(_current_parts("Liabilities"), F.lit(0.0))))
-    lnon = let("_lnon", _noncurrent(liab, lcur0, "Liabilities", lambda k: ~k.contains("[") & (k.contains("PayableNoncurrent") | (k.contains("Liabilities") & k.contains("Noncurrent"))), True))
-    let("check_03", _two_sides("liabilities by term", liab, lcur + lnon, [lcur, lnon], skipped=_null(liab, lcur, lnon)))
-
-    gross = let("_gross", _or(_value(INC, "us-gaap:GrossProfit"), _value(OTHER, "us-gaap:GrossProfit")))
-    revenues = let("_revs", F.array_compact(F.array(*[first_of([INC, OTHER], [k]) for k in R.REVENUE])))
-    costs = let("_costs", F.array_compact(F.array(*[first_of([OTHER, INC], [k]) for k in R.COST])))
-    from quillstone.operators.joins import first_reconciling_pair
-
-    pair = let("_pair", first_reconciling_pair(revenues, costs, gross, R.TOLERANCE_PCT))
-    rev = let("_rev", F.coalesce(pair["revenue"], F.try_element_at(revenues, F.lit(1))))
-    cost = let("_cost", F.coalesce(pair["cost"], F.try_element_at(costs, F.lit(1))))
-    let("check_04", _two_sides("gross profit", gross, rev - cost, [rev, cost], skipped=_null(gross, rev, cost)))
-
-    opex = let("_opex", _or(_value(INC, "us-gaap:OperatingExpenses"), _value(OTHER, "us-gaap:OperatingExpenses")))
-    ops = let("_ops", F.array_compact(F.array(*[_value(s, "us-gaap:OperatingIncomeLoss") for s in (INC, OTHER)])))
-    op = let("_op", _closest(ops, gross - opex))
-    let("check_05", _two_sides("operating income", op, gross - opex, [gross, opex], skipped=_null(gross, opex, op)))
-
-    rd, sga = let("_rd", first_of([OTHER, INC], [R.RESEARCH])), let("_sga", first_of([OTHER, INC], [R.SELLING]))
-    more = let("_more", other_opex())
-    let("check_06", _two_sides("operating expenses", opex, rd + sga + more, [rd, sga, more], skipped=_null(opex, rd, sga)))
-
-    pretax, opinc = let("_pretax", first_of([INC, OTHER], R.PRETAX)), let("_opinc", first_of([INC, OTHER], ["us-gaap:OperatingIncomeLoss"]))
-    implied = let("_implied", pretax - opinc)
-    top, subset = best_subset(c("_implied"))
-    let("_top", top)
-    options = [first_of([OTHER, INC], ["us-gaap:NonoperatingIncomeExpense"]), first_of([OTHER, INC], R.NONOP_TOTALS[1:]), nonoperating_total()]
-    listed = [let(f"_nonop{i}", F.when(v.isNotNull(), F.struct(F.abs(v - implied).alias("err"), F.lit(i).alias("i"), v.alias("v")))) for i, v in enumerate(options)]
-    told = let("_told", F.array_min(F.array(*listed)))
-    # combinations are searched where no reported total is exact, but for what rounding leaves
-    found = let("_found", F.when((F.size("_top") > 0) & (told.isNull() | (told["err"] > F.abs(implied) * 1e-12)), subset))
-    last = F.when(found.isNotNull(), F.struct(F.abs(found - implied).alias("err"), F.lit(3).alias("i"), found.alias("v")))
-    nonop = let("_nonop", F.coalesce(F.array_min(F.array(told, last))["v"], F.lit(0.0)))
-    let("check_07", _two_sides("pretax income", pretax, opinc + nonop, [opinc, nonop], skipped=_null(pretax, opinc)))
-
-    tax = let("_tax", F.coalesce(first_of([OTHER, INC], R.TAX), F.lit(0.0)))
-    nets = let("_nets", F.array_compact(F.array(*[_value(s, k) for s in (INC, OTHER) for k in R.NET])))
-    net = let("_net", _closest(nets, pretax - tax))
-    let("check_08", _two_sides("net income", net, pretax - tax, [pretax, tax], skipped=_null(pretax, net)))
-
-    net9, oci = let("_net9", first_of([INC, OTHER], R.NET)), let("_oci", F.coalesce(first_of([INC, OTHER], R.OCI), F.lit(0.0)))
-    comps = let("_comps", F.array_compact(F.array(*[_value(s, k) for k in R.COMPREHENSIVE for s in (INC, OTHER)])))
-    comp = let("_comp", _closest(comps, net9 + oci))
-    let("check_09", _two_sides("comprehensive income", comp, net9 + oci, [net9, oci], skipped=_null(net9, comp)))
-
-    o, i, f = (let(n, first_of([CF], k)) for n, k in (("_cfo", R.OPERATING), ("_cfi", R.INVESTING), ("_cff", R.FINANCING)))
-    continuing = F.coalesce(*[_value(CF, k[0]) for k in (R.OPERATING, R.INVESTING, R.FINANCING)]).isNull()
-    gone = F.coalesce(_value(CF, R.DISCONTINUED), sum((F.coalesce(_value(CF, k), F.lit(0.0)) for k in R.DISCONTINUED_PARTS), F.lit(0.0)))
-    flow = let("_flow", o + i + f + F.when(continuing, gone).otherwise(0.0))
-    change = let("_change", first_of([OTHER, CF], R.CASH_CHANGE))
-    fx = let("_fx", F.coalesce(first_of([OTHER, CF], R.EXCHANGE_EFFECT), F.lit(0.0)))
-    best = let("_flow2", F.when(F.abs(flow + fx - change) < F.abs(flow - change), flow + fx).otherwise(flow))
-    let("check_10", _result("cash flow", _near(flow, change) | _near(flow + fx, change), best - change, [o, i, f, best, change], skipped=_null(o, i, f, change)))
-
-    s0, s1, some = equity_components()
-    e0, e1 = (let(n, _value(BS, k)) for n, k in (("_e0", R.EQUITY[0]), ("_e1", R.EQUITY[1])))
-    s0, s1 = let("_s0", s0), let("_s1", s1)
-    both = F.array(*[F.struct(difference_of(t - s, [t, s]).alias("err"), F.lit(n).alias("n"), t.alias("t"), s.alias("s")) for n, (t, s) in enumerate(((e0, s0), (e1, s1)))])
-    pick = let("_pick", F.array_min(F.filter(both, lambda x: x["t"].isNotNull() & x["s"].isNotNull())))
-    total, parts = let("_etot", F.coalesce(pick["t"], e0, e1)), let("_eparts", F.coalesce(pick["s"], F.nullif(F.coalesce(s0, F.lit(0.0)) + F.coalesce(s1, F.lit(0.0)), F.lit(0.0))))
-    let("check_11", _two_sides("equity components", total, parts, [], skipped=total.isNotNull() & parts.isNull(), missing=total.isNull()))
-
-    for n, name, concepts, order, stem in (("12", "revenue by kind", R.REVENUE, (INC, OTHER), R.REVENUE[0]), ("13", "cost by kind", R.COST, (OTHER, INC), R.COST[0])):
-        whole = let(f"_t{n}", first_of(order, concepts))
-        product, service = (let(f"_{k.lower()}{n}", _or(_value(order[0], f"{stem} [{k}]"), _value(order[1], f"{stem} [{k}]"))) for k in ("Product", "Service"))
-        let(f"check_{n}", _two_sides(name, whole, product + service, [product, service], skipped=_null(whole, product, service)))
-
-    whole = let("_t14", _value(INC, R.REVENUE[0]))
-    segments = let("_seg", sum((_value(INC, f"{R.REVENUE[0]} [{s}]") for s in R.SEGMENTS[1:]), _value(INC, f"{R.REVENUE[0]} [{R.SEGMENTS[0]}]")))
-    let("check_14", _two_sides("revenue by segment", whole, segments, [], skipped=_null(whole, segments)))
-    return steps
-
-
-def _needed(steps: list[tuple[str, Column]], wanted: Sequence[str]) -> list[tuple[str, Column]]:
-    """The wanted steps and those that they need, directly or not."""
-    need = set(wanted)
-    for name, value in reversed(steps):
-        if name in need:
-            need |= set(re.findall(r"_[A-Za-z]\w*", str(value)))
-    return [(name, value) for name, value in steps if name in need]
-
-
-@lru_cache(maxsize=32)
-def _layers(numbers: tuple[int, ...]) -> list[dict[str, Column]]:
-    return layers(_needed(suite(), [f"check_{n:02d}" for n in numbers]))
-
-
-def run_checks(facts: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
-    """(accession, check_name, passed, passed_strict, status, difference, difference_pct): one row for each filing and check.
+def legacy_value(candidates: Sequence[str]) -> Column:
+    """The value of the first candidate label that a legacy statement has, else of the first row whose label starts with one.
 
-    `names` chooses among CHECKS; only what the chosen ones need is computed. `facts` may have a
-    form_type: the equity components of 10-K, 20-F and 40-F filings are judged by the annual
-    list, all others, and filings without a form, by the quarterly one. `passed` goes by the
-    difference in percent of the largest number involved, `passed_strict` by the two sides alone.
-    A filing without facts has no rows.
+    _l maps the lower-cased labels to values, and _r has the rows in their order.
     """
-    if unknown := set(names or ()) - set(CHECKS):
-        raise ValueError(f"unknown checks: {sorted(unknown)}")
-    numbers = tuple(n for n, name in enumerate(CHECKS, 1) if names is None or name in names)
-    rows = filings(facts)
-    for layer in _layers(numbers):
-        rows = rows.withColumns(layer)
-    return rows.select("accession", F.explode(F.array(*[f"check_{n:02d}" for n in numbers])).alias("r")).select("accession", "r.*")
+    return F.expr(_legacy_text(candidates))
 
 
-def run_all_checks(facts: DataFrame, statements: DataFrame) -> DataFrame:
-    """The checks of every filing by its shape: period-keyed ones by run_checks(), early statements of labelled rows by run_legacy_checks()."""
-    return run_checks(facts).unionByName(run_legacy_checks(statements))
+def run_legacy_checks(rows: DataFrame, rules: RuleSet | None = None) -> DataFrame:
+    """The same result columns for statements of labelled rows (accession, label, value, ord).
 
-
-def legacy_value(candidates: Sequence[str]) -> Column:
-    """The value of the first candidate label that a legacy statement has, else of the first row whose label starts with one."""
-    exact = [F.try_element_at("_l", F.lit(c.lower())) for c in candidates]
-
-    def starts(c: str) -> Column:
-        return F.try_element_at(F.filter("_r", lambda r: F.lower(r["label"]).startswith(f"{c.lower()} ")), F.lit(1))["value"]
-
-    return F.coalesce(*exact, *[starts(c) for c in candidates])
-
-
-def run_legacy_checks(rows: DataFrame) -> DataFrame:
-    """The same result columns for statements of labelled rows (accession, label, value, ord)."""
-    one = rows.where("value is not null").groupBy("accession", F.lower("label").alias("label")).agg(F.max_by("value", "ord").alias("value"), F.min("ord").alias("ord"))
-    f = one.groupBy("accession").agg(F.array_sort(F.collect_list(F.struct("ord", "label", "value"))).alias("_r"))
-    f = f.withColumn("_l", F.map_from_entries(F.transform("_r", lambda r: F.struct(r["label"].alias("key"), r["value"].alias("value")))))
-    v = legacy_value
-    named = {
-        "a": v(["Total Assets"]),
-        "le": v(["Total Liabilities And Stockholders' Equity", "Total Liabilities And Shareholders' Equity", "Total Liabilities And Equity"]),
-        "rev": v(["Total Revenues", "Net Sales", "Revenues", "Revenue"]),
-        "cost": v(["Cost Of Goods Sold", "Cost Of Sales", "Cost Of Revenues", "Costs And Expenses"]),
-        "gross": v(["Gross Profit", "Gross Margin"]),
-        "op": v(["Operating Income", "Income From Operations"]),
-        "pre": v(["Income Before Income Taxes", "Income Before Taxes"]),
-        "tax": v(["Income Taxes", "Provision For Income Taxes", "Income Tax Expense"]),
-        "net": v(["Net Income", "Net Loss", "Net Earnings"]),
-        "cfo": v(["Net Cash Provided By Operating Activities", "Net Cash Provided By Used In Operating Activities"]),
-        "cfi": v(["Net Cash Used In Investing Activities", "Net Cash Provided By Used In Investing Activities"]),
-        "cff": v(["Net Cash Used In Financing Activities", "Net Cash Provided By Financing Activities", "Net Cash Provided By Used In Financing Activities"]),
-        "chg": v(["Net Increase In Cash", "Net Decrease In Cash", "Net Increase Decrease In Cash"]),
-    }
-    for name, value in named.items():
-        f = f.withColumn(f"_{name}", value)
-    c = {n: F.col(f"_{n}") for n in named}
-    checks = [
-        _two_sides("assets = liabilities and equity", c["a"], c["le"], [], skipped=_null(c["a"], c["le"])),
-        _two_sides("revenue - cost = gross profit", c["gross"], c["rev"] - c["cost"], [c["rev"], c["cost"]], skipped=_null(c["gross"], c["rev"], c["cost"])),
-        _two_sides("revenue - cost = operating income", c["op"], c["rev"] - c["cost"], [c["rev"], c["cost"]], skipped=_null(c["op"], c["rev"], c["cost"])),
-        _two_sides("pretax - tax = net income", c["net"], c["pre"] - c["tax"], [c["pre"], c["tax"]], skipped=_null(c["net"], c["pre"], c["tax"])),
-        _two_sides("cash flow", c["cfo"] + c["cfi"] + c["cff"], c["chg"], [c["cfo"], c["cfi"], c["cff"]], skipped=_null(c["cfo"], c["cfi"], c["cff"], c["chg"])),
+    Rows whose labels no rule names are dropped within their task, as in run_checks().
+    """
+    r = rules or shipped()
+    figures = {name: getattr(r, f"LEGACY_{name.upper()}") for name in LEGACY}
+    label = F.lower("label")
+    known = [c.lower() for cs in figures.values() for c in cs]
+    hit = label.isin(*known)
+    for c in known:
+        hit = hit | label.startswith(f"{c} ")
+    held = F.collect_list(F.when(hit, F.struct(label.alias("label"), "ord", "value")))
+    f = rows.where("value is not null").groupBy("accession").agg(F.array_sort(held).alias("_n"))
+    f = f.select("accession", F.expr(f"transform({_merged('_n', ['label'])}, x -> x.last)").alias("_r"))
+    f = f.withColumn("_l", F.expr("map_from_entries(transform(_r, r -> named_struct('key', r.label, 'value', r.value)))"))
+    f = f.withColumns({f"_{n}": F.expr(_legacy_text(cs)) for n, cs in figures.items()})
+    sides = [  # the name, what must be there, the two sides, the other numbers
+        ("assets = liabilities and equity", "_assets", "_liabilities_and_equity", []),
+        ("revenue - cost = gross profit", "_gross", "_revenue - _cost", ["_revenue", "_cost"]),
+        ("revenue - cost = operating income", "_operating", "_revenue - _cost", ["_revenue", "_cost"]),
+        ("pretax - tax = net income", "_net", "_pretax - _tax", ["_pretax", "_tax"]),
+        ("cash flow", "_cfo + _cfi + _cff", "_cash_change", ["_cfo", "_cfi", "_cff"]),
     ]
-    return f.select("accession", F.explode(F.array(*checks)).alias("r")).select("accession", "r.*")
+    found = []
+    for name, left, right, others in sides:
+        needed = sorted(set(re.findall(r"_\w+", f"{left} {right}")))
+        gap, tolerance = f"({left} - ({right}))", f"{r.tolerance(name)!r}D"
+        strict = f"{_percent(gap, [left, right])} <= {tolerance}"
+        found.append(_check(name, tolerance, gap, _percent(gap, [left, right, *others]), f"if({_null(*needed)}, 'skipped', 'checked')", strict))
+    return f.select("accession", F.explode(F.array(*map(F.expr, found))).alias("r")).select("accession", "r.*")
 
 
 def check_failures(results: DataFrame) -> DataFrame:

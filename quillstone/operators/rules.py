@@ -4,6 +4,10 @@ from __future__ import annotations
 
 TOLERANCE_PCT = 5.0
 
+# Single concepts.
+ASSETS, LIABILITIES, LIABILITIES_AND_EQUITY = "us-gaap:Assets", "us-gaap:Liabilities", "us-gaap:LiabilitiesAndStockholdersEquity"
+GROSS_PROFIT, OPERATING_EXPENSES, OPERATING_INCOME = "us-gaap:GrossProfit", "us-gaap:OperatingExpenses", "us-gaap:OperatingIncomeLoss"
+
 # Temporary equity.
 TEMPORARY_PRIMARY = (
     "us-gaap:TemporaryEquityCarryingAmountAttributableToParent",
@@ -220,3 +224,18 @@ COMPONENT_EXCLUDES = (
 
 # Segments.
 SEGMENTS = ("AmericasSegment", "EuropeSegment", "GreaterChinaSegment", "JapanSegment", "RestOfAsiaPacificSegment")
+
+# Labels of early statements.
+LEGACY_ASSETS = ("Total Assets",)
+LEGACY_LIABILITIES_AND_EQUITY = ("Total Liabilities And Stockholders' Equity", "Total Liabilities And Shareholders' Equity", "Total Liabilities And Equity")
+LEGACY_REVENUE = ("Total Revenues", "Net Sales", "Revenues", "Revenue")
+LEGACY_COST = ("Cost Of Goods Sold", "Cost Of Sales", "Cost Of Revenues", "Costs And Expenses")
+LEGACY_GROSS = ("Gross Profit", "Gross Margin")
+LEGACY_OPERATING = ("Operating Income", "Income From Operations")
+LEGACY_PRETAX = ("Income Before Income Taxes", "Income Before Taxes")
+LEGACY_TAX = ("Income Taxes", "Provision For Income Taxes", "Income Tax Expense")
+LEGACY_NET = ("Net Income", "Net Loss", "Net Earnings")
+LEGACY_CFO = ("Net Cash Provided By Operating Activities", "Net Cash Provided By Used In Operating Activities")
+LEGACY_CFI = ("Net Cash Used In Investing Activities", "Net Cash Provided By Used In Investing Activities")
+LEGACY_CFF = ("Net Cash Used In Financing Activities", "Net Cash Provided By Financing Activities", "Net Cash Provided By Used In Financing Activities")
+LEGACY_CASH_CHANGE = ("Net Increase In Cash", "Net Decrease In Cash", "Net Increase Decrease In Cash")

@@ -201,23 +201,39 @@ def c18_flat_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.flatten_facts(table(spark, sf_dir, "customer").select(F.col("c_name").alias("accession"), ticker.alias("ticker"), nested.alias("periods")))
 
 
-def _part_query(value):
+def _part_query(part: str, value):
     """A query of one total that the checks are made of."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return checks.filings(order_facts(spark, sf_dir)).select("accession", value().alias("value"))
+        return checks.filing_parts(order_facts(spark, sf_dir), [part]).select("accession", value(F.col(part)).alias("value"))
 
     return query
 
 
 _PART_SQL = _ORDER_SUMS + "SELECT accession, {} AS value FROM v"
-register("a12_temporary_equity", _PART_SQL.format("0.0::DOUBLE"))(_part_query(checks.temporary_equity))
-register("a13_equity_components", _PART_SQL.format("CASE WHEN n > 0 THEN annual END"))(_part_query(lambda: checks.equity_components()[0] > checks.first_of([checks.BS], ["us-gaap:AssetsNoncurrent"])))
-register("a15_other_opex", _PART_SQL.format("CASE WHEN tax = 0 THEN 0 ELSE 1 END"))(_part_query(lambda: (checks.other_opex() > 0).cast("int")))
+register("a12_temporary_equity", _PART_SQL.format("0.0::DOUBLE"))(_part_query("temporary equity", lambda v: v))
+register("a15_other_opex", _PART_SQL.format("CASE WHEN tax = 0 THEN 0 ELSE 1 END"))(_part_query("other operating expenses", lambda v: (v > 0).cast("int")))
 register("a16_nonoperating_total", _PART_SQL.format("CASE WHEN k % 2 = 0 THEN 'reported' WHEN tax = 0 THEN 'none' ELSE 'interest' END"))(
-    _part_query(lambda: F.when(checks.nonoperating_total().isNull(), "none").when(checks.nonoperating_total() > 0, "reported").otherwise("interest"))
+    _part_query("nonoperating total", lambda v: F.when(v.isNull(), "none").when(v > 0, "reported").otherwise("interest"))
 )
-register("f27_first_values", _PART_SQL.format("ext > a AND n >= 0"))(_part_query(lambda: (checks.first_of([checks.OTHER, checks.INC], R.REVENUE) > checks.first_of([checks.CF, checks.BS], [R.OPERATING[0], "us-gaap:Assets"])) & (checks.first_of([checks.BS], ["us-gaap:Gone", "us-gaap:AssetsNoncurrent"]) >= 0)))
+
+
+@register("a13_equity_components", _PART_SQL.format("CASE WHEN n > 0 THEN annual END"))
+def a13_equity_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the components are more than what the balance sheet names as noncurrent assets."""
+    facts = order_facts(spark, sf_dir)
+    parts, other = checks.filing_parts(facts, ["equity"]), checks.first_values(facts, {"noncurrent": ([checks.BS], ["us-gaap:AssetsNoncurrent"])})
+    return parts.join(other, "accession").select("accession", (F.col("equity") > F.col("noncurrent")).alias("value"))
+
+
+@register("f27_first_values", _PART_SQL.format("ext > a AND n >= 0"))
+def f27_first_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wanted = {
+        "revenue": ([checks.OTHER, checks.INC], R.REVENUE),
+        "flow": ([checks.CF, checks.BS], [R.OPERATING[0], "us-gaap:Assets"]),
+        "noncurrent": ([checks.BS], ["us-gaap:Gone", "us-gaap:AssetsNoncurrent"]),
+    }
+    return checks.first_values(order_facts(spark, sf_dir), wanted).select("accession", ((F.col("revenue") > F.col("flow")) & (F.col("noncurrent") >= 0)).alias("value"))
 
 
 @register(
