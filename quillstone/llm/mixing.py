@@ -89,6 +89,7 @@ def mix_sources(
     text: str = "text",
     doc_id: str = "doc_id",
     count: Callable[[Column], Column] = word_count,
+    place_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """The rows chosen for the mixture, with n_tokens and epoch (from 0); a row may come once in each epoch.
 
@@ -96,14 +97,15 @@ def mix_sources(
     tokens.token_count() takes a vocabulary's). `weights` maps a level to the
     weights of its names, 1 where none is given. Nulls in a level are a name of their own (empty
     text). Of a partial epoch, the rows in seeded order are taken while their sum stays within
-    the budget; equal rows share a place and are taken together or not at all. Rows without
+    the budget; a row's place is drawn from the columns `place_by` (doc_id and text if none are
+    named), and rows that are equal in them are taken together or not at all. Rows without
     tokens take no budget and come in whenever their place does. No text is shuffled: places are
     ranged by hash, and only the range in which a leaf's budget ends is sorted.
     """
     use_checkpoints(df.sparkSession)
     names = [f"_level{i}" for i in range(len(levels))]
     given = {n: (weights or {}).get(c, {}) for n, c in zip(names, levels, strict=True)}
-    key = F.xxhash64(F.col(f"`{doc_id}`"), F.col(f"`{text}`"))
+    key = F.xxhash64(*[F.col(f"`{c}`") for c in place_by or (doc_id, text)])
     own = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)]).alias("_own")
     rows = df.select(own, *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(n) for n, c in zip(names, levels, strict=True)], key.alias("_key"), F.col(f"`{text}`").alias("_text"))
     sizes = rows.select(*names, "_key", count(F.col("_text")).alias("_tokens")).checkpoint()

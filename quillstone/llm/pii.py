@@ -111,18 +111,18 @@ def _emails(text: str) -> Iterator[Entity]:
 
 def _numbers(text: str) -> Iterator[Entity]:
     for m in NUMBERS.finditer(text):
-        taken: list[tuple[int, int]] = []
         shift = max(0, m.start() - 2)  # for a plus sign or a bracket
         near = text[shift : m.end() + 1]
+        taken = bytearray(len(near))  # a one where a find stands
         for kind, pattern in PATTERNS:
             for k in pattern.finditer(near):
                 a, b = k.start() + shift, k.end() + shift
-                if any(s < b and a < e for s, e in taken):
+                if taken.find(1, k.start(), k.end()) >= 0:
                     continue
                 word = (text[a - 1 : a], text[b : b + 1])
                 if any(c.isalnum() or c == "_" for c in word) or kind == "ip" and any(int(x) > 255 for x in k.group().split(".")):
                     continue
-                taken.append((a, b))
+                taken[k.start() : k.end()] = b"\x01" * (b - a)
                 canonical = ".".join(str(int(x)) for x in k.group().split(".")) if kind == "ip" else re.sub(r"\D", "", k.group())
                 yield kind, canonical, [(a, b)]
 

@@ -198,6 +198,11 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, zone: int = ZONE) ->
     return whole.unionByName(parts.select("k1", "k2", F.col("base").alias("begin"), F.lit(None).cast("int").alias("end"), "mask"))
 
 
+def span_sets(spans: DataFrame) -> DataFrame:
+    """(k1, k2, spans): each span once, although every copy of a row brings those that all of them share."""
+    return spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("begin", "end", "mask")).alias("spans"))
+
+
 def keyed(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, text, k1, k2), the last two being row hashes; equal rows share them, and their spans."""
     rows = df.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
@@ -248,8 +253,7 @@ def remove_repeats(df: DataFrame, text: str = "text", doc_id: str = "doc_id", le
     """
     texts = keyed(df, text, doc_id)
     spans = repeated_spans(texts, length, zone)
-    by_text = spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("begin", "end", "mask")).alias("spans"))
-    joined = texts.join(by_text, ["k1", "k2"], "left").select("doc_id", "text", "spans", "k1", "k2")
+    joined = texts.join(span_sets(spans), ["k1", "k2"], "left").select("doc_id", "text", "spans", "k1", "k2")
     kind = df.schema[doc_id].dataType.simpleString()
     return joined.mapInArrow(_cut(length, with_text), f"doc_id {kind}, {CUT}" + (", kept binary" if with_text else ""))
 
