@@ -12,7 +12,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
-from functools import lru_cache
+from dataclasses import dataclass
+from functools import lru_cache, reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -54,38 +55,79 @@ LEGACY = ("assets", "liabilities_and_equity", "revenue", "cost", "gross", "opera
 MOST = 10
 
 
-def _any(words: Sequence[str], k: Column) -> Column:
-    return F.lower(k).rlike("|".join(w.replace(" ", r"\x20") for w in words))
+@dataclass(frozen=True)
+class Pattern:
+    """A condition on a concept's name: dimensioned or not, of one of the bases, without any word of `none`, and with all words of one group of `some`.
+
+    A word that begins with ! must not be there. With `lower` the words are looked for in the lower-cased name.
+    """
+
+    some: tuple[tuple[str, ...], ...] = ()
+    none: tuple[str, ...] = ()
+    dimensioned: bool | None = None
+    bases: tuple[str, ...] = ()
+    lower: bool = False
+
+    def fits(self, concept: str) -> bool:
+        """For a name that is known now."""
+        name = concept.lower() if self.lower else concept
+        has = lambda w: (w[1:] not in name) if w.startswith("!") else (w in name)
+        return (
+            (self.dimensioned is None or ("[" in concept) == self.dimensioned)
+            and (not self.bases or " [" in concept and concept.split(" [")[0] in self.bases)
+            and not any(map(has, self.none))
+            and (not self.some or any(all(map(has, words)) for words in self.some))
+        )
+
+    def condition(self, concept: Column, lowered: Column | None = None) -> Column:
+        """For a column; with the lower-cased column at hand, long word lists are literal arrays, which keeps the generated code small."""
+        name = (F.lower(concept) if lowered is None else lowered) if self.lower else concept
+        has = lambda w: ~name.contains(w[1:]) if w.startswith("!") else name.contains(w)
+        out = [concept.contains("[") if self.dimensioned else ~concept.contains("[")] if self.dimensioned is not None else []
+        out += [concept.contains(" [") & F.substring_index(concept, " [", 1).isin(*self.bases)] if self.bases else []
+        groups = [reduce(Column.__and__, map(has, words)) for words in self.some]
+        # what must be there is looked for first, as most names lack it
+        if self.lower and lowered is not None and all(len(words) == 1 and words[0][0] != "!" for words in self.some):
+            any_of = lambda words: F.exists(F.array(*map(F.lit, words)), lambda w: name.contains(w))
+            out += [any_of([w for (w,) in self.some])] if self.some else []
+            out += [~any_of(self.none)] if self.none else []
+        else:
+            out += [reduce(Column.__or__, groups)] if groups else []
+            out += [~reduce(Column.__or__, map(has, self.none))] if self.none else []
+        return reduce(Column.__and__, out)
+
+
+def _words(*words: str) -> Pattern:
+    """Undimensioned, with all of the words."""
+    return Pattern((words,), dimensioned=False)
+
+
+def _statement(r: RuleSet) -> Pattern:
+    return Pattern(tuple((w,) for w in r.STATEMENT_INCLUDES), r.STATEMENT_EXCLUDES, lower=True)
+
+
+def _component(r: RuleSet) -> Pattern:
+    return Pattern(tuple((w,) for w in r.STATEMENT_INCLUDES), tuple(dict.fromkeys((*r.COMPONENT_EXCLUDES, *r.STATEMENT_EXCLUDES))), False, lower=True)
+
+
+EXTENSION = Pattern((("Nonoperating", "!IncomeTax", "!BeforeIncomeTaxes"), ("NonOperating", "!IncomeTax", "!BeforeIncomeTaxes")), dimensioned=False)
+#: An expense or loss, but no net total and no tax.
+DEDUCTED = Pattern((("expense",), ("loss", "!gainloss")), ("incometax", "incomeexpense"), lower=True)
 
 
 def is_statement_concept(k: Column, rules: RuleSet | None = None) -> Column:
     """Looks like an income-statement item."""
-    r = rules or shipped()
-    return ~_any(r.STATEMENT_EXCLUDES, k) & _any(r.STATEMENT_INCLUDES, k)
+    return _statement(rules or shipped()).condition(k)
 
 
 def is_nonop_component(k: Column, rules: RuleSet | None = None) -> Column:
     """May be a part of nonoperating income: undimensioned, no subtotal, no cash flow."""
-    return ~k.contains("[") & ~_any((rules or shipped()).COMPONENT_EXCLUDES, k) & is_statement_concept(k, rules)
+    return _component(rules or shipped()).condition(k)
 
 
 def is_nonop_extension(k: Column) -> Column:
     """Is named nonoperating: undimensioned, and no tax or pretax item."""
-    return ~k.contains("[") & k.rlike("Non[oO]perating") & ~k.rlike("IncomeTax|BeforeIncomeTaxes")
-
-
-def _is_deducted(k: Column) -> Column:
-    """An expense or loss, but no net total and no tax."""
-    name = F.lower(k)
-    return ~name.contains("incometax") & ~name.contains("incomeexpense") & (name.contains("expense") | (name.contains("loss") & ~name.contains("gainloss")))
-
-
-def _contains(k: Column, words: Sequence[str]) -> Column:
-    """Undimensioned, with all of the words but those that begin with !."""
-    out = ~k.contains("[")
-    for w in words:
-        out = out & (~k.contains(w[1:]) if w.startswith("!") else k.contains(w))
-    return out
+    return EXTENSION.condition(k)
 
 
 # SQL text
@@ -151,12 +193,12 @@ class Compiled:
     """A rule set's slots, patterns and steps.
 
     Steps are (column, SQL text), later ones may name earlier ones; checks are named check_....
-    A pattern is a bit and a condition on a fact's section and concept.
+    A pattern has a bit and is matched in some sections.
     """
 
     def __init__(self, rules: RuleSet):
         self.rules = rules
-        self.patterns: list[tuple[str, tuple[str, ...], Column]] = []  # a key, the sections, the condition
+        self.patterns: list[tuple[tuple[str, ...], Pattern]] = []
         self.steps: list[tuple[str, str]] = []
         self.names = (*CHECKS, *(c.name for c in rules.added))
         if len(set(self.names)) < len(self.names):
@@ -175,24 +217,20 @@ class Compiled:
         """The first value of the concepts, section by section."""
         return _coalesce(*[self.value(s, c) for s in sections for c in concepts])
 
-    def bit(self, key: str, sections: Sequence[str], fits: Column) -> str:
+    def bit(self, sections: Sequence[str], pattern: Pattern) -> str:
         """The bit of a pattern, which is matched in these sections."""
-        keys = [k for k, _, _ in self.patterns]
-        if key not in keys:
-            self.patterns.append((key, tuple(sections), fits))
-            keys.append(key)
-        return f"{1 << keys.index(key)}L"
+        if (tuple(sections), pattern) not in self.patterns:
+            self.patterns.append((tuple(sections), pattern))
+        return f"{1 << self.patterns.index((tuple(sections), pattern))}L"
 
     def has(self, e: str, bit: str) -> str:
         return f"({e}.bits & {bit}) <> 0L"
 
-    def total(self, section: str, key: str, fits: Column) -> str:
+    def total(self, section: str, pattern: Pattern) -> str:
         """The sum of a section's concepts that fit, computed once."""
-        name = f"_c{section[:1]}_{re.sub('[^a-z]', '', key)}"
-        if name not in dict(self.steps):
-            bit = self.bit(f"{section} {key}", [section], fits)
-            self.let(name, f"aggregate(_e, 0D, (s, e) -> if({self.has('e', bit)}, s + e.value, s))")
-        return name
+        bit = self.bit([section], pattern)
+        name = f"_sum{bit[:-1]}"
+        return name if name in dict(self.steps) else self.let(name, f"aggregate(_e, 0D, (s, e) -> if({self.has('e', bit)}, s + e.value, s))")
 
     def near(self, a: str, b: str) -> str:
         return f"coalesce({_percent(f'({a}) - ({b})', [a, b])} <= {self.rules.tolerance_pct!r}D, false)"
@@ -216,8 +254,8 @@ class Compiled:
 
     def temporary_equity(self) -> str:
         """A primary concept, else dimensioned primary, mezzanine and alternative amounts together."""
-        r, k = self.rules, F.col("concept")
-        parts = self.total(BS, "temporary", k.contains("[") & (k.contains(r.TEMPORARY_PARTS[0]) | k.contains(r.TEMPORARY_PARTS[1])))
+        r = self.rules
+        parts = self.total(BS, Pattern(tuple((w,) for w in r.TEMPORARY_PARTS), dimensioned=True))
         listed = [f"coalesce({self.value(BS, c)}, 0D)" for c in (*r.TEMPORARY_MEZZANINE, *r.TEMPORARY_OTHER)]
         return _coalesce(*[self.value(BS, c) for c in r.TEMPORARY_PRIMARY], _plus(parts, *listed))
 
@@ -225,28 +263,28 @@ class Compiled:
         """Alternative amounts outside the balance sheet that it does not hold itself."""
         return _plus("0D", *[f"if({self.value(BS, c)} IS NULL, coalesce({self.value(OTHER, c)}, 0D), 0D)" for c in self.rules.TEMPORARY_OTHER])
 
-    def _parts_of(self, kind: str, key: str, *words: str) -> str:
+    def _parts_of(self, kind: str, *words: str) -> str:
         """The sum of undimensioned concepts of that kind, on the balance sheet and elsewhere."""
-        return _plus("0D", *[self.total(s, f"{kind.lower()} {key}", _contains(F.col("concept"), (kind, *words))) for s in (BS, OTHER)])
+        return _plus("0D", *[self.total(s, _words(kind, *words)) for s in (BS, OTHER)])
 
-    def noncurrent(self, total: str, current: str, kind: str, elsewhere: Column | None, exclusive: bool) -> str:
+    def noncurrent(self, total: str, current: str, kind: str, elsewhere: Pattern | None, exclusive: bool) -> str:
         """A noncurrent amount: reported; sums of names, replaced by total less current where they do not fit; derived from parts."""
         def settled(s: str) -> str:
             return f"CASE WHEN {s} <> 0D THEN CASE WHEN {total} IS NOT NULL AND {current} IS NOT NULL AND NOT {self.near(total, f'{current} + {s}')} THEN {total} - {current} ELSE {s} END END"
 
-        cur = self._parts_of(kind, "current", "Current", "!Noncurrent")
+        cur = self._parts_of(kind, "Current", "!Noncurrent")
         words = ("Noncurrent", "!Current") if exclusive else ("Noncurrent",)
-        non = self._parts_of(kind, "noncurrent only" if exclusive else "noncurrent", *words)
-        options = [self.value(BS, f"us-gaap:{kind}Noncurrent"), settled(self.total(BS, f"{kind.lower()} noncurrent", _contains(F.col("concept"), (kind, "Noncurrent"))))]
+        non = self._parts_of(kind, *words)
+        options = [self.value(BS, f"us-gaap:{kind}Noncurrent"), settled(self.total(BS, _words(kind, "Noncurrent")))]
         if elsewhere is not None:
-            options.append(settled(self.total(OTHER, f"{kind.lower()} elsewhere", elsewhere)))
+            options.append(settled(self.total(OTHER, elsewhere)))
         options += [f"{total} - {current}", f"CASE WHEN {cur} > 0D THEN {total} - {cur} END", f"CASE WHEN {non} > 0D AND {total} IS NOT NULL THEN {non} END"]
         return _coalesce(*options)
 
     def other_opex(self) -> str:
         """Listed concepts, and undimensioned extension concepts named Opex, each once (the income statement first)."""
         listed = [f"coalesce({self.first([INC, OTHER], [c])}, 0D)" for c in self.rules.OTHER_OPEX]
-        bit = self.bit("opex", [INC, OTHER], _contains(F.col("concept"), ("Opex", "!ResearchAndDevelopmentExpense", "!SellingGeneralAndAdministrativeExpense")))
+        bit = self.bit([INC, OTHER], _words("Opex", "!ResearchAndDevelopmentExpense", "!SellingGeneralAndAdministrativeExpense"))
         found = self.let("_ox", f"filter(_e, e -> {self.has('e', bit)})")
         inc = self.let("_oxi", f"filter({found}, e -> e.section = '{INC}')")
         extra = f"filter({found}, e -> e.section = '{OTHER}' AND NOT exists({inc}, x -> x.concept = e.concept))"
@@ -260,10 +298,9 @@ class Compiled:
         name = f"_k{listed.index(concept)}"
         if name in dict(self.steps):
             return name
-        bases = F.substring_index("concept", " [", 1)
         stars = "_stars"
         if stars not in dict(self.steps):
-            bit = self.bit("star", [INC, OTHER], F.col("concept").contains(" [") & bases.isin(*listed))
+            bit = self.bit([INC, OTHER], Pattern(bases=tuple(listed)))
             self.let(stars, f"filter(_e, e -> {self.has('e', bit)})")
 
         def star(section: str) -> str:
@@ -276,14 +313,7 @@ class Compiled:
         r, comp = self.rules, self.component
 
         def signed(k: str) -> str:
-            name = k.lower()
-            deducted = "incometax" not in name and "incomeexpense" not in name and ("expense" in name or ("loss" in name and "gainloss" not in name))
-            return f"-abs({comp(k)})" if deducted else comp(k)
-
-        def plausible(k: str) -> bool:
-            """is_nonop_component() for a name that is known now."""
-            name = k.lower()
-            return "[" not in name and not any(w in name for w in (*r.COMPONENT_EXCLUDES, *r.STATEMENT_EXCLUDES)) and any(w in name for w in r.STATEMENT_INCLUDES)
+            return f"-abs({comp(k)})" if DEDUCTED.fits(k) else comp(k)
 
         net = self.let("_interest", self.first([OTHER, INC], r.INTEREST_NET))
         seen = [(k, f"{net} IS NOT NULL") for k in r.INTEREST_NET]  # names, with the condition under which they were counted
@@ -298,22 +328,22 @@ class Compiled:
             seen.append((k, f"{comp(k)} IS NOT NULL" + "".join(f" AND {x} IS NULL" for x in earlier)))
         named = [f"CASE WHEN {c} THEN {_quoted(k)} END" for k, c in seen if re.search("Non[oO]perating", k)]
         names = self.let("_counted", f"CAST({_array(*named)} AS ARRAY<STRING>)")
-        extension = self.bit("extension", [INC, OTHER], is_nonop_extension(F.col("concept")))
+        extension = self.bit([INC, OTHER], EXTENSION)
         found = self.let("_ext", f"filter(_e, e -> {self.has('e', extension)} AND NOT array_contains({names}, e.concept))")
         outer = self.let("_exto", f"filter({found}, e -> e.section = '{OTHER}' AND {self.has('e', self.plausible())})")
         inner = f"filter({found}, e -> e.section = '{INC}' AND NOT exists({outer}, x -> x.concept = e.concept))"
         terms.append(f"aggregate(concat({outer}, {inner}), 0D, (s, e) -> s + {self.signed_entry('e')})")
         for k in r.EXTRA_NONOP:  # none of these has a name that the extension rule takes
             v = signed(k)
-            terms.append(f"coalesce({v if plausible(k) else f'CASE WHEN {self.value(INC, k)} IS NOT NULL OR {self.value(OTHER, k)} IS NULL THEN {v} END'}, 0D)")
+            terms.append(f"coalesce({v if _component(r).fits(k) else f'CASE WHEN {self.value(INC, k)} IS NOT NULL OR {self.value(OTHER, k)} IS NULL THEN {v} END'}, 0D)")
         return _coalesce(self.first([OTHER, INC], r.NONOP_TOTALS), f"nullif({_plus(*terms)}, 0D)")
 
     def plausible(self) -> str:
-        return self.bit("component", [INC, OTHER], is_nonop_component(F.col("concept"), self.rules))
+        return self.bit([INC, OTHER], _component(self.rules))
 
     def signed_entry(self, e: str) -> str:
         """signed_component() of an entry."""
-        deducted = self.bit("deducted", [INC, OTHER], _is_deducted(F.col("concept")))
+        deducted = self.bit([INC, OTHER], DEDUCTED)
         return f"if({self.has(e, deducted)} AND {e}.value > 0D, -abs({e}.value), {e}.value)"
 
     def best_subset(self, target: str) -> str:
@@ -333,8 +363,8 @@ class Compiled:
         Totals go where components are known, and so do segments; of accumulated other income either
         the children or the first of the parents counts.
         """
-        r, k = self.rules, F.col("concept")
-        bit = self.bit("equity", [BS], k.startswith(f"{r.EQUITY[1]} [") | k.startswith(f"{r.EQUITY[0]} ["))
+        r = self.rules
+        bit = self.bit([BS], Pattern(bases=r.EQUITY))
         item = f"named_struct('base', if(startswith(e.concept, {_quoted(r.EQUITY[1] + ' [')}), 1, 0), 'dim', trim(regexp_extract(e.concept, '\\\\[(.*)\\\\]', 1)), 'v', e.value)"
         items = self.let("_qi", f"transform(filter(_e, e -> {self.has('e', bit)}), e -> {item})")
 
@@ -355,7 +385,7 @@ class Compiled:
     # checks
 
     def _suite(self) -> None:
-        r, let, value, first, k = self.rules, self.let, self.value, self.first, F.col("concept")
+        r, let, value, first = self.rules, self.let, self.value, self.first
         assets, equity = let("_assets", value(BS, r.ASSETS)), let("_equity", first([BS], r.EQUITY))
         te = let("_te", self.temporary_equity())
         temp = let("_temp", f"{te} + {self.temporary_equity_elsewhere()}")
@@ -365,14 +395,14 @@ class Compiled:
 
         cur = let("_acur", value(BS, "us-gaap:AssetsCurrent"))
         non = let("_anon", self.noncurrent(assets, cur, "Assets", None, False))
-        derived = let("_ader", self._parts_of("Assets", "current", "Current", "!Noncurrent"))
+        derived = let("_ader", self._parts_of("Assets", "Current", "!Noncurrent"))
         cur2 = let("_acur2", _coalesce(cur, f"CASE WHEN {derived} > 0D THEN {derived} END", f"{assets} - {non}"))
         non2 = let("_anon2", _coalesce(non, f"{assets} - {cur2}"))
         self.sides(2, assets, f"{cur2} + {non2}", [cur2, non2], f"{assets} IS NOT NULL AND {_null(cur2, non2)}", _null(assets))
 
         lcur0 = let("_lcur0", value(BS, "us-gaap:LiabilitiesCurrent"))
-        lcur = let("_lcur", _coalesce(lcur0, f"nullif({self._parts_of('Liabilities', 'current', 'Current', '!Noncurrent')}, 0D)"))
-        elsewhere = ~k.contains("[") & (k.contains("PayableNoncurrent") | (k.contains("Liabilities") & k.contains("Noncurrent")))
+        lcur = let("_lcur", _coalesce(lcur0, f"nullif({self._parts_of('Liabilities', 'Current', '!Noncurrent')}, 0D)"))
+        elsewhere = Pattern((("PayableNoncurrent",), ("Liabilities", "Noncurrent")), dimensioned=False)
         lnon = let("_lnon", self.noncurrent(liab, lcur0, "Liabilities", elsewhere, True))
         self.sides(3, liab, f"{lcur} + {lnon}", [lcur, lnon], _null(liab, lcur, lnon))
 
@@ -438,16 +468,16 @@ class Compiled:
         self.sides(14, whole, segments, [], _null(whole, segments))
 
         for n, check in enumerate(r.added, len(CHECKS) + 1):
-            left, right = ([let(f"_{side}{n}_{i}", self.term(t, f"added {n} {side} {i}")) for i, t in enumerate(terms)] for side, terms in (("left", check.left), ("right", check.right)))
+            left, right = ([let(f"_{side}{n}_{i}", self.term(t)) for i, t in enumerate(terms)] for side, terms in (("left", check.left), ("right", check.right)))
             a, b = let(f"_lhs{n}", _plus(*left)), let(f"_rhs{n}", _plus(*right))
             self.sides(n, a, b, [*left, *right], _null(a, b))
 
-    def term(self, t: Term, key: str) -> str:
+    def term(self, t: Term) -> str:
         """A term of an added check."""
         if t.op == "first":
             found = self.first(t.sections, t.values)
         else:
-            bits = self.bit(key, t.sections, _contains(F.col("concept"), t.values))
+            bits = self.bit(t.sections, _words(*t.values))
             found = f"aggregate(_e, CAST(NULL AS DOUBLE), (s, e) -> if({self.has('e', bits)}, coalesce(s, 0D) + e.value, s))"
         found = f"coalesce({found}, 0D)" if t.optional else found
         return f"-({found})" if t.sign < 0 else found
@@ -487,13 +517,18 @@ def filings(facts: DataFrame, of: Compiled, text: str) -> DataFrame:
     named, tested = set(re.findall(r"xxhash64\('[^']*', ('[^']*')\)", text)), set(map(int, re.findall(r"& (\d+)L", text)))
     form = F.upper(F.trim("form_type")) if "form_type" in facts.columns else F.lit(None).cast("string")
     annual = F.coalesce(form.startswith("10-K") | form.isin(*of.rules.ANNUAL_FORMS), F.lit(False))
-    # patterns are matched here, once for each fact, and not in the checks
+    # patterns are matched here, once for each fact, and not in the checks; for names that the rules know they were matched before
+    concept = F.col("concept")
+    known = F.expr(f"concept IN ({', '.join(sorted(named))})") if named else F.lit(False)
     bits = F.lit(0).cast("long")
-    for n, (_, sections, fits) in enumerate(of.patterns):
+    for n, (sections, pattern) in enumerate(of.patterns):
         if 1 << n in tested:
+            fitting = [k for k in named if pattern.fits(k[1:-1])]
+            fits = F.when(F.col("_known"), F.expr(f"concept IN ({', '.join(sorted(fitting))})") if fitting else F.lit(False)).otherwise(pattern.condition(concept, F.col("_lower")))
             bits = bits.bitwiseOR(F.when(F.col("section").isin(*sections) & fits, F.lit(1 << n).cast("long")).otherwise(F.lit(0).cast("long")))
-    rows = facts.where(F.col("value").isNotNull()).select("accession", "section", "concept", "ord", "value", annual.alias("_annual"), bits.alias("bits"))
-    slot = F.when(F.expr(f"concept IN ({', '.join(sorted(named))})") if named else F.lit(False), F.struct(F.xxhash64("section", "concept").alias("key"), "ord", "value"))
+    rows = facts.where(F.col("value").isNotNull()).select("accession", "section", "concept", "ord", "value", annual.alias("_annual"), known.alias("_known"), F.lower("concept").alias("_lower"))
+    rows = rows.select("*", bits.alias("bits"))
+    slot = F.when(F.col("_known"), F.struct(F.xxhash64("section", "concept").alias("key"), "ord", "value"))
     entry = F.when(F.col("bits") != 0, F.struct("section", "concept", "ord", "value", "bits"))
     one = rows.groupBy("accession").agg(F.array_sort(F.collect_list(slot)).alias("_n"), F.array_sort(F.collect_list(entry)).alias("_l"), F.max("_annual").alias("_annual"))
     slots = "map_from_entries(transform(filter(_n, (e, i) -> coalesce(get(_n, i + 1).key <> e.key, true)), e -> named_struct('key', e.key, 'value', e.value)))"

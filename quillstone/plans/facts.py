@@ -85,28 +85,29 @@ def _within(left: str, right: str, *others: str) -> str:
     return f"abs(({left}) - ({right})) / greatest({', '.join(f'abs({x})' for x in (left, right, *others))}, 1e-9) * 100 <= 5"
 
 
-#: SQL of each check: whether it is passed if it is checked, and its status.
+#: SQL of each check: its two sides, the other numbers involved, and its status.
 _CHECKED = "'checked'"
 _CHECK_SQL = {
-    "balance sheet identity": (_within("ext", "a + eq", "a", "eq"), "CASE WHEN eq IS NULL THEN 'missing' ELSE 'checked' END"),
-    "assets by term": (_within("ext", "a + n", "a", "n"), _CHECKED),
-    "liabilities by term": (_within("a", "a * 0.5 + lnon", "a * 0.5", "lnon"), _CHECKED),
-    "gross profit": (_within("gross", "ext - disc", "ext", "disc"), _CHECKED),
-    "operating income": (_within("op", "gross - opex", "gross", "opex"), "CASE WHEN opex = 0 THEN 'skipped' ELSE 'checked' END"),
-    "operating expenses": (_within("opex", "tax", "tax * 0.5"), "CASE WHEN opex = 0 THEN 'skipped' ELSE 'checked' END"),
-    "pretax income": (_within("ext", "op + nonop", "op", "nonop"), _CHECKED),
-    "net income": (_within("ext - tax", "ext - paid", "ext", "paid"), _CHECKED),
-    "comprehensive income": (_within("comp", "ext", "ext - tax", "tax"), _CHECKED),
-    "cash flow": (_within("a + n - disc", "ext", "a", "n", "disc"), _CHECKED),
-    "equity components": (_within("eq", "parts"), "CASE WHEN eq IS NULL THEN 'missing' WHEN n = 0 THEN 'skipped' ELSE 'checked' END"),
-    "revenue by kind": (_within("ext", "ext * 0.6 + service", "ext * 0.6", "service"), _CHECKED),
-    "cost by kind": (_within("disc", "disc * 0.5 + served", "disc * 0.5", "served"), "CASE WHEN disc = 0 THEN 'skipped' ELSE 'checked' END"),
-    "revenue by segment": (_within("ext", "segments"), "CASE WHEN k % 6 = 0 THEN 'skipped' ELSE 'checked' END"),
+    "balance sheet identity": ("ext", "a + eq", ("a", "eq",), "CASE WHEN eq IS NULL THEN 'missing' ELSE 'checked' END"),
+    "assets by term": ("ext", "a + n", ("a", "n",), _CHECKED),
+    "liabilities by term": ("a", "a * 0.5 + lnon", ("a * 0.5", "lnon",), _CHECKED),
+    "gross profit": ("gross", "ext - disc", ("ext", "disc",), _CHECKED),
+    "operating income": ("op", "gross - opex", ("gross", "opex",), "CASE WHEN opex = 0 THEN 'skipped' ELSE 'checked' END"),
+    "operating expenses": ("opex", "tax", ("tax * 0.5",), "CASE WHEN opex = 0 THEN 'skipped' ELSE 'checked' END"),
+    "pretax income": ("ext", "op + nonop", ("op", "nonop",), _CHECKED),
+    "net income": ("ext - tax", "ext - paid", ("ext", "paid",), _CHECKED),
+    "comprehensive income": ("comp", "ext", ("ext - tax", "tax",), _CHECKED),
+    "cash flow": ("a + n - disc", "ext", ("a", "n", "disc",), _CHECKED),
+    "equity components": ("eq", "parts", (), "CASE WHEN eq IS NULL THEN 'missing' WHEN n = 0 THEN 'skipped' ELSE 'checked' END"),
+    "revenue by kind": ("ext", "ext * 0.6 + service", ("ext * 0.6", "service",), _CHECKED),
+    "cost by kind": ("disc", "disc * 0.5 + served", ("disc * 0.5", "served",), "CASE WHEN disc = 0 THEN 'skipped' ELSE 'checked' END"),
+    "revenue by segment": ("ext", "segments", (), "CASE WHEN k % 6 = 0 THEN 'skipped' ELSE 'checked' END"),
 }
 
 
 def _check_select(name: str) -> str:
-    good, status = _CHECK_SQL[name]
+    left, right, others, status = _CHECK_SQL[name]
+    good = _within(left, right, *others)
     return f"SELECT accession, '{name}' AS check_name, status, CASE status WHEN 'checked' THEN good ELSE status = 'skipped' END AS passed FROM (SELECT accession, {status} AS status, {good} AS good FROM v)"
 
 
@@ -123,6 +124,28 @@ for _n, _name in enumerate(checks.CHECKS, 1):
 _ALL = " UNION ALL ".join(map(_check_select, checks.CHECKS))
 
 
+#: Differences are given in units without a tie at the last digit kept.
+_UNIT = 7919.13
+
+
+def _difference_select(name: str) -> str:
+    left, right, others, status = _CHECK_SQL[name]
+    gap = f"({left}) - ({right})"
+    pct = f"abs({gap}) / greatest({', '.join(f'abs({x})' for x in (left, right, *others))}, 1e-9) * 100"
+    return f"""SELECT accession, '{name}' AS check_name, CASE WHEN ({status}) = 'checked' THEN round({gap} + 0.0, 6) END AS d, CASE WHEN ({status}) = 'checked' THEN {pct} END AS pct FROM v"""
+
+
+_DIFFERENCES = " UNION ALL ".join(map(_difference_select, checks.CHECKS))
+
+
+@register("c15_differences", f"{_ORDER_SUMS} SELECT accession, check_name, CASE WHEN abs(d) < 1e-3 THEN 0 ELSE round(d / {_UNIT}, 4) END AS difference, round(pct, 2) AS difference_pct FROM ({_DIFFERENCES})")
+def c15_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the two sides of every check differ by, and that in percent of the largest number involved."""
+    found = checks.run_checks(order_facts(spark, sf_dir))
+    difference = F.when(F.abs("difference") < 1e-3, 0.0).otherwise(F.round(F.col("difference") / _UNIT, 4))
+    return found.select("accession", "check_name", difference.alias("difference"), "difference_pct")
+
+
 @register(
     "c10_strict_cash_flow",
     _ORDER_SUMS + "SELECT accession, abs(a + n - disc - ext) / greatest(abs(a + n - disc), ext, 1e-9) * 100 <= 5 AS passed_strict, a + n - disc - ext > 0 AS above FROM v",
