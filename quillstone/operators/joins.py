@@ -33,30 +33,53 @@ def listed_with_exchange(other: DataFrame, exchanges: DataFrame) -> DataFrame:
     return other.join(names, other["exchange"] == F.col("_code"), "left").withColumn("exchange_name", F.coalesce("_name", "exchange")).drop("_code", "_name")
 
 
-def _tree(categories: DataFrame, most: int = 100) -> DataFrame:
+def _tree(categories: DataFrame) -> DataFrame:
     """(category_id, name, parent_id, full_path, path, depth): one row for each way from a root.
 
-    Each level is one join with the level above; a level is computed once, from its written form.
-    Roots have no parent or are category 0 itself. Cycles that no root reaches do not appear.
+    Roots have no parent or are category 0 itself. Each row holds the piece of its way that is known
+    and points to the category above the piece; a round joins every open piece with the pieces of
+    that category, which doubles it, so the rounds are the logarithm of the depth. Rows that
+    reach no root, by a missing parent or a cycle, do not appear; a cycle that a root reaches is an
+    error that names it.
     """
     from quillstone.operators.checkpoints import use_checkpoints
 
     use_checkpoints(categories.sparkSession)
     rows = categories.select("category_id", "name", "parent_id")
     root = F.col("parent_id").isNull() | ((F.col("parent_id") == 0) & (F.col("category_id") == 0))
-    level = rows.where(root).select("*", F.col("name").alias("full_path"), F.array("category_id").alias("path"), F.lit(0).alias("depth")).checkpoint()
-    out = level
-    for _ in range(most):
-        above = level.select(F.col("category_id").alias("_up"), F.col("full_path").alias("_full"), F.col("path").alias("_path"), F.col("depth").alias("_depth"))
-        level = (
-            rows.join(above, (F.col("parent_id") == F.col("_up")) & (F.col("category_id") != F.col("_up")))
-            .select("category_id", "name", "parent_id", F.concat("_full", F.lit(" / "), "name").alias("full_path"), F.concat("_path", F.array("category_id")).alias("path"), (F.col("_depth") + 1).alias("depth"))
-            .checkpoint()
+    own = F.array("category_id")
+    # `loop` holds a cycle's categories: such a row only looks whether a root is above it
+    pieces = rows.where(root | (F.col("category_id") != F.col("parent_id"))).select(
+        "*", F.when(root, None).otherwise(F.col("parent_id")).alias("up"), root.alias("done"), F.col("name").alias("full_path"), own.alias("path"), F.when(F.lit(False), own).alias("loop")
+    )
+    state = pieces.checkpoint()
+    rounds = max(1, state.count()).bit_length() + 1
+    for _ in range(rounds):
+        ended = state.where("done")
+        left = state.where("not done")
+        if left.isEmpty():
+            break
+        above = state.where("loop IS NULL").select(F.col("category_id").alias("_id"), F.col("up").alias("_up"), F.col("done").alias("_done"), F.col("full_path").alias("_full"), F.col("path").alias("_path"))
+        met = left.join(above, F.col("up") == F.col("_id"))
+        again = F.arrays_overlap("_path", "path") & F.col("loop").isNull()
+        loop = F.when(again, F.array_distinct(F.concat("_path", "path"))).otherwise(F.col("loop"))
+        longer = met.select(
+            "category_id",
+            "name",
+            "parent_id",
+            F.col("_up").alias("up"),
+            F.col("_done").alias("done"),
+            F.when(loop.isNull(), F.concat("_full", F.lit(" / "), "full_path")).alias("full_path"),
+            F.when(loop.isNull(), F.concat("_path", "path")).otherwise(F.col("path")).alias("path"),
+            loop.alias("loop"),
         )
-        if level.isEmpty():
-            return out
-        out = out.unionByName(level)
-    raise ValueError(f"the tree is deeper than {most} levels, or has a cycle")
+        # of the rows that look for a root from one cycle, one is enough
+        searching = longer.where("loop IS NOT NULL").dropDuplicates(["category_id", "up", "done"])
+        state = ended.unionByName(longer.where("loop IS NULL")).unionByName(searching).checkpoint()
+    cycle = state.where("done AND loop IS NOT NULL").select("loop").limit(1).collect()
+    if cycle:
+        raise ValueError(f"the tree has a cycle: {cycle[0].loop}")
+    return state.where("done").select("category_id", "name", "parent_id", "full_path", "path", (F.size("path") - 1).alias("depth"))
 
 
 def category_paths(categories: DataFrame) -> DataFrame:
@@ -131,32 +154,42 @@ def tickers_to_refresh(tickers: DataFrame, updated: DataFrame) -> DataFrame:
     return tickers.select("ticker").distinct().join(updated.select("ticker"), "ticker", "left_anti").orderBy("ticker")
 
 
-def asof_backward(left: DataFrame, right: DataFrame, by: Sequence[str], at: str, value: str, name: str, ranges: int | None = None) -> DataFrame:
-    """Left rows with the right side's last value at or before their position, by one window and no range join.
+def _last_before(both: DataFrame, by: Sequence[str], order: Sequence[Column], ranges: int | None) -> DataFrame:
+    """Rows of _side 1 with _last: the last _v that is not null at or before them in the order, key by key.
 
-    Of right rows at one position the largest value counts. With `ranges`, rows are dealt by key
-    and position to so many ranges, so that a key with most of the rows is shared by many tasks:
-    each range looks for values of its own, and takes the last one of the ranges before it.
+    With `ranges`, rows are dealt by key and order to so many ranges, so that a key with most of
+    the rows is shared by many tasks: each range looks for values of its own, and takes the last
+    one of the ranges before it.
     """
-    r = right.where(F.col(value).isNotNull()).select(*by, at, F.col(value).alias("_v"), F.lit(0).alias("_side"), F.lit(None).cast(left_struct := _struct_type(left)).alias("_row"))
-    rows = left.select(*by, at, F.lit(None).cast(right.schema[value].dataType).alias("_v"), F.lit(1).alias("_side"), F.struct(*left.columns).cast(left_struct).alias("_row"))
-    both, keys = rows.unionByName(r), list(by)
+    keys = list(by)
     if ranges is not None:
         from quillstone.operators.checkpoints import use_checkpoints
 
-        use_checkpoints(left.sparkSession)
+        use_checkpoints(both.sparkSession)
         # written, as the numbers of the ranges are used twice
-        both = both.repartitionByRange(ranges, *by, at).withColumn("_range", F.spark_partition_id()).checkpoint()
+        both = both.repartitionByRange(ranges, *by, *order).withColumn("_range", F.spark_partition_id()).checkpoint()
         keys.append("_range")
-    order = Window.partitionBy(*keys).orderBy(at, F.col("_side"), F.col("_v").asc_nulls_first())
-    out = both.withColumn("_last", F.last("_v", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))).where("_side = 1")
+    upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    out = both.withColumn("_last", F.last("_v", ignorenulls=True).over(upto)).where("_side = 1")
     if ranges is not None:
         # one row for each key and range: as many for a key as there are ranges at most
-        ends = both.groupBy(*keys).agg(F.max_by("_v", F.when(F.col("_v").isNotNull(), F.struct(at, "_v"))).alias("_end"))
+        numbered = both.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+        ends = numbered.groupBy(*keys).agg(F.max_by("_v", F.when(F.col("_v").isNotNull(), F.col("_n"))).alias("_end"))
         before = F.last("_end", ignorenulls=True).over(Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
         carried = ends.select(*keys, before.alias("_before")).where("_before is not null")
         same = [out[k].eqNullSafe(carried[k]) for k in keys]
         out = out.join(carried, same, "left").withColumn("_last", F.coalesce("_last", "_before"))
+    return out
+
+
+def asof_backward(left: DataFrame, right: DataFrame, by: Sequence[str], at: str, value: str, name: str, ranges: int | None = None) -> DataFrame:
+    """Left rows with the right side's last value at or before their position, by one window and no range join.
+
+    Of right rows at one position the largest value counts. `ranges` deals hot keys out, see _last_before().
+    """
+    r = right.where(F.col(value).isNotNull()).select(*by, at, F.col(value).alias("_v"), F.lit(0).alias("_side"), F.lit(None).cast(left_struct := _struct_type(left)).alias("_row"))
+    rows = left.select(*by, at, F.lit(None).cast(right.schema[value].dataType).alias("_v"), F.lit(1).alias("_side"), F.struct(*left.columns).cast(left_struct).alias("_row"))
+    out = _last_before(rows.unionByName(r), by, [F.asc_nulls_first(at), F.col("_side"), F.asc_nulls_first("_v")], ranges)
     return out.select("_row.*", F.col("_last").alias(name))
 
 
@@ -166,19 +199,18 @@ def _struct_type(df: DataFrame):
     return T.StructType([T.StructField(f.name, f.dataType) for f in df.schema])
 
 
-def asof_forward(left: DataFrame, right: DataFrame, by: Sequence[str], start: str, at: str, value: str, tolerance: object, name: str) -> DataFrame:
+def asof_forward(left: DataFrame, right: DataFrame, by: Sequence[str], start: str, at: str, value: str, tolerance: object, name: str, ranges: int | None = None) -> DataFrame:
     """Left rows with the right side's first value at or after `start`, no further than the tolerance (a number or an interval).
 
     Of right rows at one position the smallest value counts; without one the value is null.
+    `ranges` deals hot keys out, see _last_before().
     """
     kind = _struct_type(left)
-    order = Window.partitionBy(*by).orderBy(F.col("_at").desc(), F.col("_side"), F.col("_v")["v"].desc_nulls_last())
     r = right.where(F.col(value).isNotNull()).select(*by, F.col(at).alias("_at"), F.struct(F.col(at).alias("at"), F.col(value).alias("v")).alias("_v"), F.lit(0).alias("_side"), F.lit(None).cast(kind).alias("_row"))
     rows = left.select(*by, F.col(start).alias("_at"), F.lit(None).cast(r.schema["_v"].dataType).alias("_v"), F.lit(1).alias("_side"), F.struct(*left.columns).cast(kind).alias("_row"))
-    found = F.last("_v", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    out = rows.unionByName(r).withColumn("_f", found).where("_side = 1")
+    out = _last_before(rows.unionByName(r), by, [F.desc_nulls_last("_at"), F.col("_side"), F.col("_v")["v"].desc_nulls_last()], ranges)
     far = F.expr(tolerance) if isinstance(tolerance, str) else F.lit(tolerance)
-    return out.select("_row.*", F.when(F.col("_f.at") <= F.col("_at") + far, F.col("_f.v")).alias(name))
+    return out.select("_row.*", F.when(F.col("_last.at") <= F.col("_at") + far, F.col("_last.v")).alias(name))
 
 
 def first_reconciling_pair(revenues: Column, costs: Column, target: Column, pct: float = 5.0) -> Column:

@@ -29,6 +29,30 @@ def _old(c: str) -> str:
     return f"_old_{c}"
 
 
+#: Words of 64 bits of the filter that a batch's keys make: it has so many rows at most, whatever the batch has.
+FILTER_WORDS = 1 << 17
+
+
+def split_by_keys(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The target's rows that a batch cannot touch, and those that it may.
+
+    The hashes of the batch's keys set bits of a filter of fixed size, which is broadcast; a target
+    row whose bit is not set has no key of the batch. So the first part needs no shuffle, and the
+    second holds all rows with a key of the batch and, as the filter fills, some others.
+    """
+    def hashed(df: DataFrame) -> Column:
+        return F.xxhash64(*[df[k].cast(target.schema[k].dataType) for k in keys])
+
+    def word(h: Column) -> Column:
+        return F.pmod(F.shiftrightunsigned(h, 6), F.lit(FILTER_WORDS))
+
+    few = batch.select(hashed(batch).alias("_h")).select(word(F.col("_h")).alias("_word"), F.expr("shiftleft(1L, CAST(_h & 63 AS INT))").alias("_bit"))
+    bits = F.broadcast(few.groupBy("_word").agg(F.bit_or("_bit").alias("_bits")))
+    h = hashed(target)
+    may = (word(h) == bits["_word"]) & (F.call_function("getbit", bits["_bits"], h.bitwiseAND(F.lit(63)).cast("int")) == 1)
+    return target.join(bits, may, "left_anti"), target.join(bits, may, "left_semi")
+
+
 def upsert(
     target: DataFrame,
     batch: DataFrame,
@@ -40,9 +64,11 @@ def upsert(
 
     By default all columns that are neither keys nor created_at are updated. `expressions` gives a
     function of (old, new) for a column. A batch has a key once at most (see latest_by_key).
-    Null keys are equal to each other.
+    Null keys are equal to each other. Only rows that the batch may touch are joined with it (see
+    split_by_keys); the others pass without a shuffle.
     """
     batch = batch.select(*target.columns)
+    untouched, target = split_by_keys(target, batch, keys)
     update = [c for c in target.columns if c not in keys and c != "created_at"] if update is None else update
     old = target.select(*[F.col(c).alias(_old(c)) for c in target.columns], F.lit(True).alias("_had"))
     new = batch.withColumn("_has", F.lit(True))
@@ -59,13 +85,14 @@ def upsert(
         else:
             value = F.when(F.col("_had"), was).otherwise(now)
         out.append(value.cast(target.schema[c].dataType).alias(c))
-    return both.select(*out)
+    return untouched.unionByName(both.select(*out))
 
 
 def insert_ignore(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None) -> DataFrame:
     """The target with the batch's rows of new keys; of rows with one key the first in order is taken."""
     fresh = dedupe_first(batch, keys, order) if order else batch.dropDuplicates(list(keys))
-    return target.unionByName(fresh.select(*target.columns).join(target, list(keys), "left_anti").select(*target.columns))
+    held = split_by_keys(target, fresh, keys)[1].select(*keys)
+    return target.unionByName(fresh.select(*target.columns).join(held, list(keys), "left_anti").select(*target.columns))
 
 
 def append_new(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
@@ -80,7 +107,9 @@ def replace_all(df: DataFrame, stamp: str | None = None) -> DataFrame:
 
 def replace_keys(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     """The target with all rows of the batch's keys replaced by the batch."""
-    return target.join(batch.select(key).distinct(), key, "left_anti").unionByName(batch.select(*target.columns))
+    untouched, maybe = split_by_keys(target, batch, [key])
+    kept = maybe.join(batch.select(key).distinct(), key, "left_anti").select(*target.columns)
+    return untouched.unionByName(kept).unionByName(batch.select(*target.columns))
 
 
 def set_meta(meta: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -10,6 +10,11 @@ from quillstone.operators import aggregate, joins, select
 from quillstone.registry import register, table
 
 
+def _ranges(spark: SparkSession) -> int:
+    """Ranges that a hot key of an as-of join is dealt to."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 @register("a02_high_water", "SELECT user_id, event_type, max(ts)::DATE AS last_date, max(ts)::DATE + 1 AS next_start FROM events GROUP BY 1, 2")
 def a02_high_water(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregate.high_water(table(spark, sf_dir, "events"), ["user_id", "event_type"], "ts")
@@ -143,7 +148,7 @@ def j16_asof_backward(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     purchases = events.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
     signups = events.where("event_type = 'signup'").select("user_id", "ts", F.col("ts").alias("signup"))
-    return joins.asof_backward(purchases, signups, ["user_id"], "ts", "signup", "last_signup").drop("ts")
+    return joins.asof_backward(purchases, signups, ["user_id"], "ts", "signup", "last_signup", ranges=_ranges(spark)).drop("ts")
 
 
 @register(
@@ -157,7 +162,7 @@ def j17_asof_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     views = events.where("event_type = 'view'").select("event_id", "user_id", "ts")
     clicks = events.where("event_type = 'click'").select("user_id", "ts", F.col("ts").alias("click"))
-    return joins.asof_forward(views, clicks, ["user_id"], "ts", "ts", "click", "interval 12 hours", "next_click").drop("ts")
+    return joins.asof_forward(views, clicks, ["user_id"], "ts", "ts", "click", "interval 12 hours", "next_click", ranges=_ranges(spark)).drop("ts")
 
 
 @register(

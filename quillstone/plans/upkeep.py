@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstone.operators import joins, maintain, select, sets
+from quillstone.operators import joins, maintain, select, sets, views
 from quillstone.operators.checkpoints import new_folder
 from quillstone.registry import register, table
 
@@ -82,6 +82,29 @@ def k14_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table("upkeep_large").groupBy("o_custkey").agg(F.count("*").alias("n"))
 
 
+@register(
+    "k14_kept_views",
+    """
+    WITH o AS (SELECT * FROM orders WHERE o_orderkey % 7 <> 0),
+         c AS (SELECT o_custkey, count(*) AS n, round(sum(o_totalprice), 2) AS total, min(o_totalprice) AS lowest, max(o_totalprice) AS highest FROM o GROUP BY 1),
+         k AS (SELECT n, count(*) AS customers, max(highest) AS top FROM c GROUP BY 1)
+    SELECT o_custkey, n, total, lowest, highest, customers, top FROM c JOIN k USING (n)
+    """,
+)
+def k14_kept_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored view by customer and one on top of it, after a first load, a second one and a deletion."""
+    root, orders = new_folder(spark, "views"), table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    by_customer = views.View("upkeep_customers", "orders", ("o_custkey",), {"total": "o_totalprice"}, {"lowest": "o_totalprice"}, {"highest": "o_totalprice"})
+    by_number = views.View("upkeep_numbers", "upkeep_customers", ("n",), most={"top": "highest"}, rows="customers")
+    first, second, gone = orders.where("o_orderkey % 3 <> 0"), orders.where("o_orderkey % 3 = 0"), orders.where("o_orderkey % 7 = 0")
+    both, none = [by_number, by_customer], orders.limit(0)
+    paths = views.create_views(spark, both, {"orders": first}, root)
+    paths = views.refresh_views(spark, both, paths, {"orders": orders}, {"orders": views.Delta(second, none)}, root)
+    views.refresh_views(spark, both, paths, {"orders": orders.where("o_orderkey % 7 <> 0")}, {"orders": views.Delta(none, gone)}, root)
+    kept = spark.table("upkeep_customers").withColumn("total", F.round("total", 2))
+    return kept.join(spark.table("upkeep_numbers"), "n").select("o_custkey", "n", "total", "lowest", "highest", "customers", "top")
+
+
 @register("p03_series_from_sql", "SELECT o_orderkey::VARCHAR AS series_id, 'id' AS source FROM orders WHERE o_totalprice > 100000 UNION ALL SELECT o_custkey::VARCHAR, 'first' FROM orders WHERE o_totalprice > 200000")
 def p03_series_from_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     table(spark, sf_dir, "orders").createOrReplaceTempView("upkeep_series")
