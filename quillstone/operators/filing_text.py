@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.window import Window
 
 from quillstone.functions.numbers import magnitude, parse_num
@@ -79,6 +80,26 @@ MARGIN_LEAST = r"(?iU)adjusted\s+gross\s+margin\s+at\s+least\s+([\d.]+)%"
 MARGIN_GAAP = r"(?iU)GAAP\s+gross\s+margin(?:\s+of)?\s+(?:approximately\s+)?([\d.]+)%"
 
 
+#: The patterns that are looked for together, with the words that a match begins with, in small letters; none is the beginning of another.
+GUIDANCE = {
+    "fiscal_year": (FISCAL_YEAR, ("full", "fy", "fiscal")),
+    "quarter": (QUARTER, ("q", "first", "second", "third", "fourth")),
+    "revenue_range": (REVENUE_RANGE, ("$",)),
+    "revenue_single": (REVENUE_SINGLE, ("$",)),
+    "eps_range": (EPS_RANGE, ("eps", "earnings")),
+    "eps_single": (EPS_SINGLE, ("eps", "earnings")),
+    "income_word": (INCOME_WORD, ("adjusted", "net", "income", "earnings")),
+    "income_range": (INCOME_RANGE, ("adjusted", "net", "income", "earnings")),
+    "margin_both": (MARGIN_BOTH, ("gaap",)),
+    "margin_range": (MARGIN_RANGE, ("adjusted",)),
+    "margin_single": (MARGIN_SINGLE, ("adjusted",)),
+    "margin_least": (MARGIN_LEAST, ("adjusted",)),
+    "margin_gaap": (MARGIN_GAAP, ("gaap",)),
+}
+#: Of these only the places count.
+PERIOD_PATTERNS = ("fiscal_year", "quarter")
+
+
 def _has(c: Column, pattern: str) -> Column:
     return F.coalesce(c.rlike(f"(?iU){pattern}"), F.lit(False))
 
@@ -145,23 +166,81 @@ def narrative(df: DataFrame, content: str = "content") -> DataFrame:
 BEFORE, AFTER = 500, 200
 
 
+def _compiled(pattern: str) -> re.Pattern:
+    return re.compile(pattern.replace("(?iU)", "(?i)").replace("(?U)", ""))  # Python's classes are those of Unicode anyway
+
+
+def together(patterns: Sequence[tuple[str, Sequence[str]]]) -> Callable[[str], list[list[re.Match]]]:
+    """A function from a text to all matches of each (pattern, words that its matches begin with).
+
+    One pass finds where any of the words stands, and a pattern is tried there only. A pattern
+    without words passes over the whole text, and so do all in texts beyond ASCII, where case
+    is more than small letters.
+    """
+    found = [_compiled(p) for p, _ in patterns]
+    begins: dict[str, list[int]] = {}
+    for k, (_, words) in enumerate(patterns):
+        for w in words:
+            begins.setdefault(w, []).append(k)
+    if any(a != b and b.startswith(a) for a in begins for b in begins):
+        raise ValueError("a word is the beginning of another")
+    anchor = re.compile("|".join(map(re.escape, begins))) if begins else None
+
+    def scan(text: str) -> list[list[re.Match]]:
+        if not text.isascii():
+            return [list(p.finditer(text)) for p in found]
+        out = [[] if words else list(p.finditer(text)) for p, (_, words) in zip(found, patterns, strict=True)]
+        low, at, free = text.lower(), 0, [0] * len(found)
+        while anchor and (hit := anchor.search(low, at)):
+            begin = hit.start()
+            at = begin + 1
+            for k in begins[hit.group()]:
+                if begin >= free[k] and (m := found[k].match(text, begin)):
+                    out[k].append(m)
+                    free[k] = m.end()
+        return out
+
+    return scan
+
+
+def _as_row(t: str, m: re.Match, context: bool) -> dict:
+    a, b = m.span()
+    out = {"raw": m.group(), "start": a, "stop": b}
+    return out | {"left": t[max(0, a - BEFORE) : a], "right": t[b : b + AFTER]} if context else out
+
+
+def _row_type(context: bool) -> str:
+    return f"array<struct<raw:string,start:int,stop:int{',left:string,right:string' if context else ''}>>"
+
+
+@lru_cache(maxsize=1)
+def _guidance_finder() -> Callable[[Column], Column]:
+    """A vectorised function from texts to a struct with the matches of every pattern of GUIDANCE."""
+    scan = together(list(GUIDANCE.values()))
+    with_context = [n not in PERIOD_PATTERNS for n in GUIDANCE]
+    struct = T._parse_datatype_string(f"struct<{', '.join(f'{n}: {_row_type(c)}' for n, c in zip(GUIDANCE, with_context, strict=True))}>")
+    arrow = to_arrow_type(struct)
+
+    def run(texts: pa.Array) -> pa.Array:
+        rows = [(t, scan(t)) for t in (x or "" for x in texts.to_pylist())]
+        columns = [pa.array([[_as_row(t, m, c) for m in found[k]] for t, found in rows], arrow.field(k).type) for k, c in enumerate(with_context)]
+        return pa.StructArray.from_arrays(columns, fields=list(arrow))
+
+    run.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    return F.arrow_udf(struct)(run)
+
+
 @lru_cache(maxsize=64)
 def _finder(pattern: str, context: bool) -> Callable[[Column], Column]:
     """A vectorised function from texts to all matches, so that a text is passed over once."""
-    found = re.compile(pattern.replace("(?iU)", "(?i)").replace("(?U)", ""))  # Python's classes are those of Unicode anyway
-    fields = [("raw", pa.string()), ("start", pa.int32()), ("stop", pa.int32()), *([("left", pa.string()), ("right", pa.string())] if context else [])]
-    kind = pa.list_(pa.struct(fields))
-
-    def one(t: str, m: re.Match) -> dict:
-        a, b = m.span()
-        out = {"raw": m.group(), "start": a, "stop": b}
-        return out | {"left": t[max(0, a - BEFORE) : a], "right": t[b : b + AFTER]} if context else out
+    found = _compiled(pattern)
+    kind = to_arrow_type(T._parse_datatype_string(_row_type(context)))
 
     def run(texts: pa.Array) -> pa.Array:
-        return pa.array([None if t is None else [one(t, m) for m in found.finditer(t)] for t in texts.to_pylist()], kind)
+        return pa.array([None if t is None else [_as_row(t, m, context) for m in found.finditer(t)] for t in texts.to_pylist()], kind)
 
     run.__annotations__ = {"texts": pa.Array, "return": pa.Array}
-    return F.arrow_udf(f"array<struct<raw:string,start:int,stop:int{',left:string,right:string' if context else ''}>>")(run)
+    return F.arrow_udf(_row_type(context))(run)
 
 
 def matches(text: Column, pattern: str, context: bool = False) -> Column:
@@ -195,7 +274,11 @@ def regex_matches(df: DataFrame, text: str, pattern: str) -> DataFrame:
 
 def periods(text: Column) -> Column:
     """Mentions of fiscal years and quarters as (start, period), by position."""
-    years = F.transform(matches(text, FISCAL_YEAR), lambda m: F.struct(m["start"].alias("start"), F.concat(F.lit("FY"), F.regexp_extract(m["raw"], FISCAL_YEAR, 1)).alias("period")))
+    return _periods(matches(text, FISCAL_YEAR), matches(text, QUARTER))
+
+
+def _periods(year_matches: Column, quarter_matches: Column) -> Column:
+    years = F.transform(year_matches, lambda m: F.struct(m["start"].alias("start"), F.concat(F.lit("FY"), F.regexp_extract(m["raw"], FISCAL_YEAR, 1)).alias("period")))
 
     def quarter(m: Column) -> Column:
         raw = F.lower(m["raw"])
@@ -205,7 +288,7 @@ def periods(text: Column) -> Column:
         year = F.concat(F.regexp_extract(m["raw"], QUARTER, 2), F.regexp_extract(m["raw"], QUARTER, 3))
         return F.struct(m["start"].alias("start"), F.concat(F.lit("q"), number, F.lit("_"), year).alias("period"))
 
-    return F.array_sort(F.concat(years, F.transform(matches(text, QUARTER), quarter)))
+    return F.array_sort(F.concat(years, F.transform(quarter_matches, quarter)))
 
 
 def period_mentions(df: DataFrame, text: str = "text") -> DataFrame:
@@ -271,8 +354,8 @@ def _entry(m: Column, ord_: int, category: str, period: Column, metric: Column,
     ).cast(ENTRY)
 
 
-def _guided(pattern: str, make: Callable[[Column], Column]) -> Column:
-    return F.transform(F.filter(matches(F.col("_t"), pattern, context=True), forward_looking), make)
+def _guided(name: str, make: Callable[[Column], Column]) -> Column:
+    return F.transform(F.filter(F.col(f"_found.{name}"), forward_looking), make)
 
 
 def extract_guidance(df: DataFrame, text: str = "text") -> DataFrame:
@@ -282,9 +365,10 @@ def extract_guidance(df: DataFrame, text: str = "text") -> DataFrame:
     (revenue only), else the last one before it, else the one of the document's last revenue
     range. Entries that repeat an earlier one go; a single value goes if its period and metric
     have a range; of per-share and income entries of one period and type the most precise stays.
-    Texts under 50 characters have none.
+    Texts under 50 characters have none. All patterns are looked for in one pass, see together().
     """
-    rows = df.withColumn("_t", F.when(F.length(text) >= 50, F.col(text)).otherwise(F.lit(""))).withColumn("_periods", periods(F.col("_t")))
+    rows = df.withColumn("_found", _guidance_finder()(F.when(F.length(text) >= 50, F.col(text)).otherwise(F.lit(""))))
+    rows = rows.withColumn("_periods", _periods(F.col("_found.fiscal_year"), F.col("_found.quarter")))
 
     def ranged(m: Column, pattern: str) -> tuple[Column, Column]:
         unit = magnitude(F.regexp_extract(m["raw"], pattern, 3))
@@ -295,7 +379,7 @@ def extract_guidance(df: DataFrame, text: str = "text") -> DataFrame:
         period = F.coalesce(_period_after(m["stop"]), _period_at(m["start"]))
         return _entry(m, 0, "revenue", period, revenue_metric(m), "interval", value=(low + high) / 2, low=low, high=high, unit=F.lit("million"))
 
-    rows = rows.withColumn("_ranges", F.filter(_guided(REVENUE_RANGE, revenue_range), lambda e: e["metric"].isNotNull() & e["value"].isNotNull()))
+    rows = rows.withColumn("_ranges", F.filter(_guided("revenue_range", revenue_range), lambda e: e["metric"].isNotNull() & e["value"].isNotNull()))
     rows = rows.withColumn("_last", _period_at(F.try_element_at("_ranges", F.lit(-1))["start"]))
 
     def at(m: Column) -> Column:
@@ -321,13 +405,13 @@ def extract_guidance(df: DataFrame, text: str = "text") -> DataFrame:
 
     passes = [
         F.filter(
-            _guided(REVENUE_SINGLE, revenue_single),
+            _guided("revenue_single", revenue_single),
             lambda e: e["metric"].isNotNull() & ~F.exists("_ranges", lambda r: r["period"].eqNullSafe(e["period"]) & (r["metric"] == e["metric"])),
         ),
-        _guided(EPS_RANGE, lambda m: per_share(m, EPS_RANGE, 2)),
-        _guided(EPS_SINGLE, lambda m: per_share(m, EPS_SINGLE, 3)),
-        _guided(INCOME_WORD, lambda m: _entry(m, 4, "earnings", at(m), kind(m), "qualitative", qualitative=F.lower(F.regexp_extract(m["raw"], INCOME_WORD, 1)))),
-        _guided(INCOME_RANGE, income_range),
+        _guided("eps_range", lambda m: per_share(m, EPS_RANGE, 2)),
+        _guided("eps_single", lambda m: per_share(m, EPS_SINGLE, 3)),
+        _guided("income_word", lambda m: _entry(m, 4, "earnings", at(m), kind(m), "qualitative", qualitative=F.lower(F.regexp_extract(m["raw"], INCOME_WORD, 1)))),
+        _guided("income_range", income_range),
     ]
 
     def margin(m: Column, pattern: str, ord_: int, kind_: str, metric: str, group: int = 1) -> Column:
@@ -339,12 +423,12 @@ def extract_guidance(df: DataFrame, text: str = "text") -> DataFrame:
 
     adjusted, gaap = "adjusted_gross_margin", "gaap_gross_margin"
     passes += [
-        _guided(MARGIN_BOTH, lambda m: margin(m, MARGIN_BOTH, 6, "exact", gaap)),
-        _guided(MARGIN_BOTH, lambda m: margin(m, MARGIN_BOTH, 6, "exact", adjusted, 2)),
-        _guided(MARGIN_RANGE, lambda m: margin(m, MARGIN_RANGE, 7, "interval", adjusted)),
-        _guided(MARGIN_SINGLE, lambda m: margin(m, MARGIN_SINGLE, 8, "exact", adjusted)),
-        _guided(MARGIN_LEAST, lambda m: margin(m, MARGIN_LEAST, 9, "min", adjusted)),
-        _guided(MARGIN_GAAP, lambda m: margin(m, MARGIN_GAAP, 10, "exact", gaap)),
+        _guided("margin_both", lambda m: margin(m, MARGIN_BOTH, 6, "exact", gaap)),
+        _guided("margin_both", lambda m: margin(m, MARGIN_BOTH, 6, "exact", adjusted, 2)),
+        _guided("margin_range", lambda m: margin(m, MARGIN_RANGE, 7, "interval", adjusted)),
+        _guided("margin_single", lambda m: margin(m, MARGIN_SINGLE, 8, "exact", adjusted)),
+        _guided("margin_least", lambda m: margin(m, MARGIN_LEAST, 9, "min", adjusted)),
+        _guided("margin_gaap", lambda m: margin(m, MARGIN_GAAP, 10, "exact", gaap)),
     ]
     every = F.filter(F.concat(F.col("_ranges"), *passes), lambda e: e["value"].isNotNull() | e["qualitative"].isNotNull())
     rows = rows.withColumn("_all", every)

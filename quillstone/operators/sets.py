@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def updated_today(summary: DataFrame, detailed: DataFrame, today: str, key: str = "ticker", stamp: str = "updated_at") -> DataFrame:
-    """Distinct keys that either table updated today."""
+def updated_today(summary: DataFrame, detailed: DataFrame, today: str | DataFrame, key: str = "ticker", stamp: str = "updated_at") -> DataFrame:
+    """Distinct keys that either table updated today, which is a date or a table of one row with it."""
     def of(df: DataFrame) -> DataFrame:
+        if isinstance(today, DataFrame):
+            return df.join(F.broadcast(today.toDF("_today").limit(1)), F.to_date(stamp) == F.col("_today")).select(key)
         return df.where(F.to_date(stamp) == F.lit(today).cast("date")).select(key)
 
     return of(summary).union(of(detailed)).distinct()

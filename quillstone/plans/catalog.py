@@ -357,7 +357,7 @@ def j14_pending_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("u01_updated_today", "SELECT DISTINCT user_id AS ticker FROM events WHERE ts::DATE = (SELECT max(ts)::DATE FROM events) AND event_type IN ('purchase', 'signup')")
 def u01_updated_today(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select(F.col("user_id").alias("ticker"), F.col("ts").alias("updated_at"), "event_type")
-    today = str(events.agg(F.to_date(F.max("updated_at"))).first()[0])
+    today = events.agg(F.to_date(F.max("updated_at")).alias("day"))
     return sets.updated_today(events.where("event_type = 'purchase'"), events.where("event_type = 'signup'"), today)
 
 
