@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstone.operators import aggregate, joins, maintain, select, sets
+from quillstone.operators import aggregate, indexes, joins, maintain, select, sets
+from quillstone.operators.checkpoints import new_folder
 from quillstone.registry import register, table
 
 
@@ -249,6 +250,14 @@ def p11_search_any(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select.search_any(table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment"), "12")
 
 
+@register("p11_indexed_search", "SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_name LIKE '%0012%' OR lower(c_mktsegment) LIKE '%0012%' OR c_custkey::VARCHAR LIKE '%0012%'")
+def p11_indexed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A term in any column of stored rows, found by their trigrams."""
+    root = f"{new_folder(spark, 'indexed')}/text"
+    indexes.index_text(table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment"), root, F.floor(F.col("c_custkey") / 50), buckets=64)
+    return indexes.search_indexed(spark, root, "0012")
+
+
 @register(
     "p27_series_in_roots",
     "SELECT c_custkey AS series_id, c_nationkey AS category_id FROM customer WHERE c_nationkey IN (1, 3, 5, 8)",

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstone.functions import dates, ids, numbers
-from quillstone.operators import aggregate, joins, select
+from quillstone.operators import aggregate, indexes, joins, select
+from quillstone.operators.checkpoints import new_folder
 from quillstone.registry import register, table
 
 
@@ -43,6 +44,15 @@ def p05_read_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select.read_cube(cube, dims={"k": "7"}, key_col="user_id", date_col="ts").select("event_id", "user_id", "ts", "value")
 
 
+@register("p05_indexed_cube", "SELECT event_id, user_id, ts, value FROM events WHERE json_extract_string(props, '$.k') = '7' AND event_type = 'click'")
+def p05_indexed_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two dimensions of a stored cube, found by its index."""
+    root = f"{new_folder(spark, 'indexed')}/cube"
+    own = F.map_concat(F.from_json("props", "map<string,string>"), F.create_map(F.lit("kind"), "event_type"))
+    indexes.index_cube(table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value", own.alias("dimensions")), root, buckets=64)
+    return indexes.read_indexed_cube(spark, root, dims={"k": "7", "kind": "click"}, key_col="user_id", date_col="ts").select("event_id", "user_id", "ts", "value")
+
+
 @register("p06_read_catalog", "SELECT o_orderkey, o_custkey AS category_id, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS o_orderdate FROM orders WHERE o_custkey IN (1, 5, 9, 14)")
 def p06_read_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("category_id"), "o_orderdate")
