@@ -7,7 +7,7 @@ row and shuffle nothing.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import lru_cache
 
 import pyarrow as pa
@@ -213,10 +213,10 @@ def _row_type(context: bool) -> str:
     return f"array<struct<raw:string,start:int,stop:int{',left:string,right:string' if context else ''}>>"
 
 
-@lru_cache(maxsize=1)
-def _guidance_finder() -> Callable[[Column], Column]:
-    """A vectorised function from texts to a struct with the matches of every pattern of GUIDANCE."""
-    scan = together(list(GUIDANCE.values()))
+@lru_cache(maxsize=16)
+def _guidance_finder(patterns: tuple[tuple[str, tuple[str, ...]], ...]) -> Callable[[Column], Column]:
+    """A vectorised function from texts to a struct with the matches of every pattern, by the names of GUIDANCE."""
+    scan = together(patterns)
     with_context = [n not in PERIOD_PATTERNS for n in GUIDANCE]
     struct = T._parse_datatype_string(f"struct<{', '.join(f'{n}: {_row_type(c)}' for n, c in zip(GUIDANCE, with_context, strict=True))}>")
     arrow = to_arrow_type(struct)
@@ -277,15 +277,15 @@ def periods(text: Column) -> Column:
     return _periods(matches(text, FISCAL_YEAR), matches(text, QUARTER))
 
 
-def _periods(year_matches: Column, quarter_matches: Column) -> Column:
-    years = F.transform(year_matches, lambda m: F.struct(m["start"].alias("start"), F.concat(F.lit("FY"), F.regexp_extract(m["raw"], FISCAL_YEAR, 1)).alias("period")))
+def _periods(year_matches: Column, quarter_matches: Column, year_pattern: str = FISCAL_YEAR, quarter_pattern: str = QUARTER) -> Column:
+    years = F.transform(year_matches, lambda m: F.struct(m["start"].alias("start"), F.concat(F.lit("FY"), F.regexp_extract(m["raw"], year_pattern, 1)).alias("period")))
 
     def quarter(m: Column) -> Column:
         raw = F.lower(m["raw"])
-        number = F.when(F.regexp_extract(m["raw"], QUARTER, 1) != "", F.regexp_extract(m["raw"], QUARTER, 1))
+        number = F.when(F.regexp_extract(m["raw"], quarter_pattern, 1) != "", F.regexp_extract(m["raw"], quarter_pattern, 1))
         for i, word in enumerate(("first", "second", "third", "fourth"), 1):
             number = number.when(raw.startswith(word), str(i)) if i == 1 else number.when(raw.startswith(word), str(i))
-        year = F.concat(F.regexp_extract(m["raw"], QUARTER, 2), F.regexp_extract(m["raw"], QUARTER, 3))
+        year = F.concat(F.regexp_extract(m["raw"], quarter_pattern, 2), F.regexp_extract(m["raw"], quarter_pattern, 3))
         return F.struct(m["start"].alias("start"), F.concat(F.lit("q"), number, F.lit("_"), year).alias("period"))
 
     return F.array_sort(F.concat(years, F.transform(quarter_matches, quarter)))
@@ -358,24 +358,37 @@ def _guided(name: str, make: Callable[[Column], Column]) -> Column:
     return F.transform(F.filter(F.col(f"_found.{name}"), forward_looking), make)
 
 
-def extract_guidance(df: DataFrame, text: str = "text") -> DataFrame:
+def guidance_patterns(rows: DataFrame | Iterable[tuple]) -> dict[str, tuple[str, tuple[str, ...]]]:
+    """Patterns for extract_guidance() from a table (name, pattern, words): words that a match begins with, by commas; null or empty if any text may."""
+    found = [tuple(r) for r in (rows.select("name", "pattern", "words").limit(len(GUIDANCE) + 1).collect() if isinstance(rows, DataFrame) else rows)]
+    if len({n for n, _, _ in found}) < len(found) or {n for n, _, _ in found} - set(GUIDANCE):
+        raise ValueError(f"patterns are {', '.join(GUIDANCE)}, each once at most")
+    return {n: (p, tuple(w.strip().lower() for w in (words or "").split(",") if w.strip())) for n, p, words in found}
+
+
+def extract_guidance(df: DataFrame, text: str = "text", patterns: Mapping[str, tuple[str, Sequence[str]]] | None = None) -> DataFrame:
     """One row for each piece of revenue, per-share, net-income and gross-margin guidance in a document, with its columns but the text.
 
     A match needs forward-looking surroundings. Its period is the one mentioned right behind it
     (revenue only), else the last one before it, else the one of the document's last revenue
     range. Entries that repeat an earlier one go; a single value goes if its period and metric
     have a range; of per-share and income entries of one period and type the most precise stays.
-    Texts under 50 characters have none. All patterns are looked for in one pass, see together().
+    Texts under 50 characters have none. All patterns are looked for in one pass, see together();
+    `patterns` replaces some of GUIDANCE by name (see guidance_patterns()), with the same groups.
     """
-    rows = df.withColumn("_found", _guidance_finder()(F.when(F.length(text) >= 50, F.col(text)).otherwise(F.lit(""))))
-    rows = rows.withColumn("_periods", _periods(F.col("_found.fiscal_year"), F.col("_found.quarter")))
+    if unknown := set(patterns or ()) - set(GUIDANCE):
+        raise ValueError(f"unknown patterns: {sorted(unknown)}")
+    known = {n: (p, tuple(words)) for n, (p, words) in (GUIDANCE | dict(patterns or {})).items()}
+    of = {n: p for n, (p, _) in known.items()}
+    rows = df.withColumn("_found", _guidance_finder(tuple(known.values()))(F.when(F.length(text) >= 50, F.col(text)).otherwise(F.lit(""))))
+    rows = rows.withColumn("_periods", _periods(F.col("_found.fiscal_year"), F.col("_found.quarter"), of["fiscal_year"], of["quarter"]))
 
     def ranged(m: Column, pattern: str) -> tuple[Column, Column]:
         unit = magnitude(F.regexp_extract(m["raw"], pattern, 3))
         return tuple(parse_num(F.regexp_extract(m["raw"], pattern, i)) * unit / 1e6 for i in (1, 2))
 
     def revenue_range(m: Column) -> Column:
-        low, high = ranged(m, REVENUE_RANGE)
+        low, high = ranged(m, of["revenue_range"])
         period = F.coalesce(_period_after(m["stop"]), _period_at(m["start"]))
         return _entry(m, 0, "revenue", period, revenue_metric(m), "interval", value=(low + high) / 2, low=low, high=high, unit=F.lit("million"))
 
@@ -386,12 +399,13 @@ def extract_guidance(df: DataFrame, text: str = "text") -> DataFrame:
         return F.coalesce(_period_at(m["start"]), F.col("_last"))
 
     def revenue_single(m: Column) -> Column:
-        value = parse_num(F.regexp_extract(m["raw"], REVENUE_SINGLE, 1)) * magnitude(F.regexp_extract(m["raw"], REVENUE_SINGLE, 2)) / 1e6
+        value = parse_num(F.regexp_extract(m["raw"], of["revenue_single"], 1)) * magnitude(F.regexp_extract(m["raw"], of["revenue_single"], 2)) / 1e6
         return _entry(m, 1, "revenue", F.coalesce(_period_after(m["stop"]), at(m)), revenue_metric(m), "exact", value=value, unit=F.lit("million"))
 
-    def per_share(m: Column, pattern: str, ord_: int) -> Column:
+    def per_share(m: Column, name: str, ord_: int) -> Column:
+        pattern = of[name]
         first = parse_num(F.regexp_extract(m["raw"], pattern, 1))
-        if pattern is EPS_SINGLE:
+        if name == "eps_single":
             return _entry(m, ord_, "earnings", at(m), F.lit("eps"), "exact", value=first)
         second = parse_num(F.regexp_extract(m["raw"], pattern, 2))
         return _entry(m, ord_, "earnings", at(m), F.lit("eps"), "interval", value=(first + second) / 2, low=first, high=second)
@@ -400,7 +414,7 @@ def extract_guidance(df: DataFrame, text: str = "text") -> DataFrame:
         return F.when(F.lower(m["raw"]).contains("adjusted"), "adjusted_net_income").otherwise("net_income")
 
     def income_range(m: Column) -> Column:
-        low, high = ranged(m, INCOME_RANGE)
+        low, high = ranged(m, of["income_range"])
         return _entry(m, 5, "earnings", at(m), kind(m), "interval", value=(low + high) / 2, low=low, high=high, unit=F.lit("million"))
 
     passes = [
@@ -408,13 +422,14 @@ def extract_guidance(df: DataFrame, text: str = "text") -> DataFrame:
             _guided("revenue_single", revenue_single),
             lambda e: e["metric"].isNotNull() & ~F.exists("_ranges", lambda r: r["period"].eqNullSafe(e["period"]) & (r["metric"] == e["metric"])),
         ),
-        _guided("eps_range", lambda m: per_share(m, EPS_RANGE, 2)),
-        _guided("eps_single", lambda m: per_share(m, EPS_SINGLE, 3)),
-        _guided("income_word", lambda m: _entry(m, 4, "earnings", at(m), kind(m), "qualitative", qualitative=F.lower(F.regexp_extract(m["raw"], INCOME_WORD, 1)))),
+        _guided("eps_range", lambda m: per_share(m, "eps_range", 2)),
+        _guided("eps_single", lambda m: per_share(m, "eps_single", 3)),
+        _guided("income_word", lambda m: _entry(m, 4, "earnings", at(m), kind(m), "qualitative", qualitative=F.lower(F.regexp_extract(m["raw"], of["income_word"], 1)))),
         _guided("income_range", income_range),
     ]
 
-    def margin(m: Column, pattern: str, ord_: int, kind_: str, metric: str, group: int = 1) -> Column:
+    def margin(m: Column, name: str, ord_: int, kind_: str, metric: str, group: int = 1) -> Column:
+        pattern = of[name]
         first = parse_num(F.regexp_extract(m["raw"], pattern, group))
         if kind_ != "interval":
             return _entry(m, ord_, "margins", at(m), F.lit(metric), kind_, value=first, unit=F.lit("percent"))
@@ -423,12 +438,12 @@ def extract_guidance(df: DataFrame, text: str = "text") -> DataFrame:
 
     adjusted, gaap = "adjusted_gross_margin", "gaap_gross_margin"
     passes += [
-        _guided("margin_both", lambda m: margin(m, MARGIN_BOTH, 6, "exact", gaap)),
-        _guided("margin_both", lambda m: margin(m, MARGIN_BOTH, 6, "exact", adjusted, 2)),
-        _guided("margin_range", lambda m: margin(m, MARGIN_RANGE, 7, "interval", adjusted)),
-        _guided("margin_single", lambda m: margin(m, MARGIN_SINGLE, 8, "exact", adjusted)),
-        _guided("margin_least", lambda m: margin(m, MARGIN_LEAST, 9, "min", adjusted)),
-        _guided("margin_gaap", lambda m: margin(m, MARGIN_GAAP, 10, "exact", gaap)),
+        _guided("margin_both", lambda m: margin(m, "margin_both", 6, "exact", gaap)),
+        _guided("margin_both", lambda m: margin(m, "margin_both", 6, "exact", adjusted, 2)),
+        _guided("margin_range", lambda m: margin(m, "margin_range", 7, "interval", adjusted)),
+        _guided("margin_single", lambda m: margin(m, "margin_single", 8, "exact", adjusted)),
+        _guided("margin_least", lambda m: margin(m, "margin_least", 9, "min", adjusted)),
+        _guided("margin_gaap", lambda m: margin(m, "margin_gaap", 10, "exact", gaap)),
     ]
     every = F.filter(F.concat(F.col("_ranges"), *passes), lambda e: e["value"].isNotNull() | e["qualitative"].isNotNull())
     rows = rows.withColumn("_all", every)

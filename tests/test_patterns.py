@@ -44,3 +44,16 @@ def test_one_pass_takes_less_time_than_thirteen():
     for p in patterns:
         list(p.finditer(text))
     assert once * 2 < time.perf_counter() - begin
+
+
+def test_patterns_are_inputs(spark):
+    text = "The company expects revenue to grow. For fiscal year 2025 guidance of net earnings per unit of EUR 3 is expected to hold; outlook for 2025."
+    df = spark.createDataFrame([(1, text), (2, None)], "doc int, text string")
+    assert filing_text.extract_guidance(df).count() == 0
+    rows = spark.createDataFrame([("eps_single", r"(?i)earnings\s+per\s+unit\s+of\s+EUR\s+([\d.]+)", "earnings")], "name string, pattern string, words string")
+    got = filing_text.extract_guidance(df, patterns=filing_text.guidance_patterns(rows)).first()
+    assert (got.period, got.metric, got.value) == ("FY2025", "eps", 3.0)
+    free = filing_text.guidance_patterns([("eps_single", r"(?i)per\s+unit\s+of\s+EUR\s+([\d.]+)", None)])
+    assert filing_text.extract_guidance(df, patterns=free).first().value == 3.0
+    with pytest.raises(ValueError):
+        filing_text.guidance_patterns([("no_such", "x", None)])
