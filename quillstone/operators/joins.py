@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import lru_cache
+from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -220,23 +225,56 @@ def first_reconciling_pair(revenues: Column, costs: Column, target: Column, pct:
     return F.try_element_at(fits, F.lit(1))
 
 
+#: Sums that are compared at once.
+SUMS = 2_000_000
+
+
+@lru_cache(maxsize=16)
+def _subset_finder(most: int, terms: int) -> Callable[[Column, Column], Column]:
+    """A vectorised function from values and a target to the best combination: its sum, error and number."""
+    picks = [c for k in range(1, terms + 1) for c in combinations(range(most), k)]
+    # a missing term points to a column of zeros behind the values
+    places = np.array([[*c, *[most] * (terms - len(c))] for c in picks], np.int64).T
+    kind = pa.struct([("s", pa.float64()), ("err", pa.float64()), ("i", pa.int32())])
+
+    def run(values: pa.Array, targets: pa.Array) -> pa.Array:
+        out: list[pa.Array] = []
+        step = max(1, SUMS // len(picks))
+        goals = targets.cast(pa.float64()).to_numpy(zero_copy_only=False)
+        for begin in range(0, len(values), step):
+            part = values.slice(begin, step)
+            sizes = pc.list_value_length(part).to_numpy(zero_copy_only=False).astype(np.int64)
+            held = np.full((len(part), most + 1), np.nan)
+            held[:, most] = 0.0
+            rows = np.repeat(np.arange(len(part)), sizes)
+            held[rows, np.arange(len(rows)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = part.flatten().to_numpy(zero_copy_only=False)
+            sums = held[:, places[0]]
+            for p in places[1:]:
+                sums = sums + held[:, p]
+            err = np.abs(sums - goals[begin : begin + len(part), None].astype(np.float64))
+            best = np.argmin(np.where(np.isnan(err), np.inf, err), axis=1)  # the first of equal ones
+            each = np.arange(len(part))
+            found = err[each, best]
+            columns = [pa.array(sums[each, best]), pa.array(found, mask=np.isnan(found)), pa.array(best.astype(np.int32))]
+            out.append(pa.StructArray.from_arrays(columns, fields=list(kind)))
+        return pa.concat_arrays(out) if out else pa.array([], kind)
+
+    run.__annotations__ = {"values": pa.Array, "targets": pa.Array, "return": pa.Array}
+    return F.arrow_udf("struct<s:double,err:double,i:int>")(run)
+
+
 def best_subset_sum(candidates: DataFrame, targets: DataFrame, by: Sequence[str], value: str, ord_col: str, most: int = 10, terms: int = 3) -> DataFrame:
     """For each group the sum of one to `terms` of its `most` largest values (absolute) that comes closest to its target.
 
-    Groups without candidates have no row. The combinations are positions, so each group
-    holds at most `most` values; of equally close sums the first combination wins.
+    Groups without candidates have no row; a null target gives the largest value and no error. The
+    combinations are positions, so each group holds at most `most` values; all sums of many groups
+    are compared at once, in doubles, and of equally close sums the first combination wins.
     """
-    from itertools import combinations
-
     top = Window.partitionBy(*by).orderBy(F.abs(F.col(value)).desc(), ord_col)
     few = candidates.where(F.col(value).isNotNull()).withColumn("_n", F.row_number().over(top)).where(F.col("_n") <= most)
-    arrays = few.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_n", F.col(value).alias("v")))).alias("_a"))
-    picks = [c for k in range(1, terms + 1) for c in combinations(range(most), k)]
-    sums = F.filter(
-        F.array(*[F.struct(F.lit(i).alias("i"), sum((F.get("_a", F.lit(p))["v"] for p in pick[1:]), F.get("_a", F.lit(pick[0]))["v"]).alias("s")) for i, pick in enumerate(picks)]),
-        lambda x: x["s"].isNotNull(),
-    )
-    scored = arrays.join(targets, list(by)).withColumn("_s", F.array_min(F.transform(sums, lambda x: F.struct(F.abs(x["s"] - F.col("target")).alias("err"), x["i"].alias("i"), x["s"].alias("s")))))
+    arrays = few.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_n", F.col(value).cast("double").alias("v")))).alias("_a"))
+    values = F.transform("_a", lambda x: x["v"])
+    scored = arrays.join(targets, list(by)).withColumn("_s", _subset_finder(most, terms)(values, F.col("target").cast("double")))
     return scored.select(*by, "target", F.col("_s.s").alias("best_sum"), F.col("_s.err").alias("error"), F.col("_s.i").alias("combination"))
 
 

@@ -89,6 +89,30 @@ def test_a_hot_key_is_dealt_out_forwards_too(spark):
     assert rows_of(plain) == rows_of(spread) and plain.where("next is not null").count() > 300
 
 
+# sums
+
+
+@pytest.mark.parametrize(("most", "terms"), [(10, 3), (50, 3), (4, 1), (5, 2)])
+def test_the_best_subset_equals_all_of_them_tried(spark, monkeypatch, most, terms):
+    from itertools import combinations
+
+    monkeypatch.setattr(joins, "SUMS", 1000)
+    joins._subset_finder.cache_clear()
+    r = random.Random(most)
+    rows = [(g, i, r.choice([None, float(r.randint(-30, 30))])) for g in range(12) for i in range(r.randint(0, 60))]
+    goals = {g: r.choice([None, float(r.randint(-60, 60))]) for g in range(13)}
+    got = joins.best_subset_sum(spark.createDataFrame(rows, "g int, i int, v double"), spark.createDataFrame(list(goals.items()), "g int, target double"), ["g"], "v", "i", most, terms)
+    want = []
+    for g, target in goals.items():
+        top = [v for _, _, v in sorted((x for x in rows if x[0] == g and x[2] is not None), key=lambda x: (-abs(x[2]), x[1]))][:most]
+        picks = [c for k in range(1, terms + 1) for c in combinations(range(most), k)]
+        tried = [(abs(sum(top[p] for p in c) - (target or 0.0)), n, sum(top[p] for p in c)) for n, c in enumerate(picks) if c[-1] < len(top)]
+        if top:
+            err, n, s = min(tried) if target is not None else (None, 0, top[0])
+            want.append((g, target, s, err, n))
+    assert rows_of(got) == sorted(want, key=repr)
+
+
 # views
 
 
