@@ -28,6 +28,14 @@ DILUTION = (
 )
 NO_START = "0001-01-01"
 
+# Where a filing's text names its ticker and its exchange.
+TICKER_TAG = r"(?is)name=[\"']dei:TradingSymbol[\"'][^>]*>\s*([A-Za-z0-9]{2,5})\s*<"
+EXCHANGE_TAG = r"(?is)name=[\"']dei:SecurityExchangeName[\"'][^>]*>\s*([^<]+?)\s*<"
+ELEMENT = r"<(\w+):{name}[^>]*>([^<]+)</\1:{name}>"
+TICKER_FILE = r"(?i)<FILENAME>([a-z]{2,5})-\d{8}"
+TICKER_TITLE = r"<title>([a-zA-Z]+)-\d{8}</title>"
+TICKER_DESCRIPTION = r"<DESCRIPTION>\s*([A-Z]{2,5})\s+\d{4}"
+
 
 def share_aggregate(facts: DataFrame, periods: DataFrame) -> DataFrame:
     """(accession, shares_outstanding, buybacks_shares, dilution_shares) at each filing's period; one aggregation.
@@ -105,16 +113,12 @@ def resolve_listing(filings: DataFrame, facts: DataFrame, index: DataFrame, comp
         return F.nullif(F.trim(F.regexp_extract("content", pattern, group)), F.lit(""))
 
     def element(name: str) -> Column:
-        value = found(rf"<(\w+):{name}[^>]*>([^<]+)</\1:{name}>", 2)
+        value = found(ELEMENT.replace("{name}", name), 2)
         return F.when(~value.contains("(ix"), value)
 
-    tag = found(r"(?is)name=[\"']dei:TradingSymbol[\"'][^>]*>\s*([A-Za-z0-9]{2,5})\s*<")
-    place = found(r"(?is)name=[\"']dei:SecurityExchangeName[\"'][^>]*>\s*([^<]+?)\s*<")
-    file = found(r"(?i)<FILENAME>([a-z]{2,5})-\d{8}")
-    title, description = found(r"<title>([a-zA-Z]+)-\d{8}</title>"), found(r"<DESCRIPTION>\s*([A-Z]{2,5})\s+\d{4}")
-    options = [F.when(ids.is_ticker(c), F.upper(c)) for c in (F.col("_t"), element("TradingSymbol"), tag, file, title, description)]
+    options = [F.when(ids.is_ticker(c), F.upper(c)) for c in (F.col("_t"), element("TradingSymbol"), *map(found, (TICKER_TAG, TICKER_FILE, TICKER_TITLE, TICKER_DESCRIPTION)))]
     ticker = F.when(F.col("_none"), "NONE").otherwise(F.coalesce(*options, F.lit("NONE")))
-    return rows.select("accession", ticker.alias("ticker"), F.coalesce("_e", element("SecurityExchangeName"), place, "_x", F.lit("NONE")).alias("exchange"))
+    return rows.select("accession", ticker.alias("ticker"), F.coalesce("_e", element("SecurityExchangeName"), found(EXCHANGE_TAG), "_x", F.lit("NONE")).alias("exchange"))
 
 
 def link_tables(raw: DataFrame) -> dict[str, DataFrame]:

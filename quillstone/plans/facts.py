@@ -280,13 +280,13 @@ def j21_best_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "a06_pivot_facts",
     """
-    WITH sets AS (SELECT l_orderkey AS accession, l_returnflag AS concept, l_linestatus AS dims, arg_max(l_quantity, (l_linenumber * 100000 + l_partkey) * 100000 + l_suppkey) AS value, min((l_linenumber * 100000 + l_partkey) * 100000 + l_suppkey) AS f FROM lineitem GROUP BY 1, 2, 3)
+    WITH sets AS (SELECT l_orderkey AS accession, l_returnflag AS concept, l_linestatus AS dims, arg_max(l_quantity, o) AS value, min(o) AS f FROM (SELECT *, ((l_linenumber * 100000 + l_partkey) * 100000 + l_suppkey) * 2 + CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END AS o FROM lineitem) GROUP BY 1, 2, 3)
     SELECT accession, concept AS label, arg_max(value, f) AS value FROM sets GROUP BY 1, 2
     """,
 )
 def a06_pivot_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
-    facts = lines.select(F.col("l_orderkey").alias("accession"), F.col("l_returnflag").alias("concept"), F.col("l_linestatus").alias("dims"), F.col("l_returnflag").alias("label"), F.col("l_quantity").alias("value"), ((F.col("l_linenumber") * 100000 + F.col("l_partkey")) * 100000 + F.col("l_suppkey")).alias("ord"))
+    facts = lines.select(F.col("l_orderkey").alias("accession"), F.col("l_returnflag").alias("concept"), F.col("l_linestatus").alias("dims"), F.col("l_returnflag").alias("label"), F.col("l_quantity").alias("value"), (((F.col("l_linenumber") * 100000 + F.col("l_partkey")) * 100000 + F.col("l_suppkey")) * 2 + F.when(F.col("l_linestatus") == "O", 1).otherwise(0)).alias("ord"))
     return aggregate.pivot_facts(facts).select("accession", "label", "value")
 
 

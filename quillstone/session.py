@@ -21,6 +21,7 @@ def build_session(master: str = "local[*]", app: str = "quillstone", partitions:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")  # checkpoints go when nothing refers to them
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
