@@ -1,19 +1,21 @@
 """Near copies: documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-In fingerprints of five-word shingles, pairs of a similarity of 0.8 differ in 5 to 18 of 64 bits in
-the given tables, up to 25 in sets of 5 to 400 random shingles; segment cells, which take a radius
-under 8, cannot reach that. So candidates are the sets that share one of their 12 smallest shingle
-hashes: two sets of a similarity of 0.8 share none with a chance of 0.2 ** 12 at most. In a cell,
-candidates must have fitting sizes, fingerprints within the radius, and so many equal slots of
-their signatures (256 slots, each with four bits of the smallest hash that falls into it) as a pair
-of 0.8 has without fail where sets are small, and but for a chance of 1e-8 where they are large.
-What is left is verified by the exact similarity of the texts' shingles before it links.
+SimHash through the segment-popcount embedding of operator 9, for distances that 64 bits cannot
+hold: pairs of a similarity of 0.8 differ in up to a sixth of their bits (FLIP), 5 to 25 of 64,
+and a grid over 64 bits takes a radius under 8. So fingerprints have 2,048 bits, the first 64 of
+which are operator 9's, of five-word shingles. They are embedded as the bit counts of 1,024
+segments of two bits. Candidates share a cell of this grid: the counts of a few segments, in one
+of so many choices of them that a pair of the similarity shares none with a chance of CHANCE at
+most. A cell's pairs are compared by the distance of 192 bits, then of all bits, with radii that
+a pair of the similarity exceeds with that chance. What is left is verified by the exact
+similarity of the texts' shingles before it links.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -21,16 +23,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillstone.llm.common import text_udf, written
-from quillstone.llm.simhash import BLOCK, SEED, components, first_rows, majority, row_key
+from quillstone.llm.simhash import BLOCK, SEED, Forest, components, first_rows, row_key, segment_counts
 
 SHINGLE, SIMILARITY = 5, 0.8
-RADIUS, SKETCH = 30, 12
-#: Slots of a signature, the value of an empty one, and the chance that a pair of the similarity has fewer equal slots than asked for.
-SLOTS, EMPTY, CHANCE = 256, 15, 1e-8
+#: Words of a fingerprint, those that a row of a cell has, and segments.
+WORDS, HEAD = 32, 3
+SEGMENTS = 32 * WORDS
+#: The chance that a pair of the similarity shares no cell, or exceeds a radius.
+CHANCE = 1e-8
+#: The chance that a bit differs between sets of the similarity is at most the second; between sets of FEW shingles or less, at most the first.
+FEW, FLIP_FEW, FLIP = 5, 0.1875, 0.162
+#: A choice has so many segments that a fingerprint meets about this many others in a cell.
+CELL = 1000
+#: Choices of the first round, which links a forest of pairs within FIRST_RADIUS of the head's bits; choices that are read at a time after that.
+FIRST, FIRST_RADIUS, ROUND = 4, 32, 48
 #: The names of so many candidate sets are broadcast to fetch their texts (some 10 MB); more meet them in a shuffle.
 MAX_BROADCAST = 200_000
-#: Links from one set to others of its cell in the first round; the second round takes what is left.
-FAN = 64
 
 
 def shingles(text: str) -> set[bytes]:
@@ -45,90 +53,160 @@ def similar(x: set[bytes], y: set[bytes]) -> bool:
     return 5 * both >= 4 * (len(x) + len(y) - both)
 
 
-def signature(hashes: np.ndarray) -> bytes:
-    """Four bits of the smallest of the sorted hashes in each slot, two slots a byte."""
-    taken, first = np.unique(hashes & np.uint64(SLOTS - 1), return_index=True)
-    slots = np.full(SLOTS, EMPTY, np.uint8)
-    slots[taken.astype(np.int64)] = (hashes[first] >> np.uint64(8)) % np.uint64(EMPTY)
-    return (slots[::2] | slots[1::2] << 4).tobytes()
+def fingerprint(hashes: np.ndarray) -> np.ndarray:
+    """The words of a set's fingerprint: bits set in over half of the hashes, and of what is mixed from them for the further words."""
+    bits = np.zeros(64 * WORDS, np.int64)
+    for i in range(0, len(hashes), 255):  # sums that fit a byte
+        x = hashes[i : i + 255, None] + np.arange(WORDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            x ^= x >> np.uint64(shift)
+            x *= np.uint64(factor)
+        x ^= x >> np.uint64(31)
+        x[:, 0] = hashes[i : i + 255]
+        bits += np.add.reduce(np.unpackbits(x.astype("<u8").view(np.uint8), axis=1, bitorder="little"), axis=0, dtype=np.uint8)
+    return np.packbits(2 * bits > len(hashes), bitorder="little").view("<u8")
 
 
-def slots_of(packed: np.ndarray) -> np.ndarray:
-    """The slots of packed signatures, one row each."""
-    return np.stack([packed & 15, packed >> 4], 2).reshape(len(packed), SLOTS)
+def described(text: str) -> tuple[int, int, bytes]:
+    """A hash of the set of shingles, the set's size and its fingerprint."""
+    from xxhash import xxh64_intdigest
 
+    hashes = np.unique(np.fromiter((xxh64_intdigest(s, SEED) for s in shingles(text)), np.uint64))
+    signed = np.array([xxh64_intdigest(hashes.astype("<u8").tobytes(), SEED)], np.uint64).view(np.int64)
+    return int(signed[0]), len(hashes), fingerprint(hashes).tobytes()
 
-@lru_cache(maxsize=1)
-def least_equal() -> np.ndarray:
-    """For each number of slots that one of two sets fills, the equal ones that a pair of the similarity has but for CHANCE."""
-    p, out = SIMILARITY, [0]
-    for n in range(1, SLOTS + 1):
-        term, total, k = (1 - p) ** n, 0.0, 0
-        while total + term <= CHANCE:
-            total += term
-            term *= (n - k) / (k + 1) * p / (1 - p)
-            k += 1
-        out.append(k)
-    return np.array(out)
 
+@lru_cache
+def radius(bits: int, flip: float) -> int:
+    """The differing bits that a pair exceeds with a chance of CHANCE at most."""
+    term, total, k = (1 - flip) ** bits, 0.0, 0
+    while total + term < 1 - CHANCE:
+        total += term
+        term *= (bits - k) / (k + 1) * flip / (1 - flip)
+        k += 1
+    return k
 
-def described(text: str) -> tuple[int, int, int, list[dict], bytes]:
-    """A hash of the set of shingles, the set's fingerprint and size, its smallest hashes (each with the lower halves of those before it) and its signature."""
-    from xxhash import xxh64_intdigest
 
-    hashes = np.unique(np.fromiter((xxh64_intdigest(s, SEED) for s in shingles(text)), np.uint64))
-    signed = np.array([xxh64_intdigest(hashes.astype("<u8").tobytes(), SEED)], np.uint64).view(np.int64)
-    low = hashes[:SKETCH].astype("<u4").tobytes()
-    cells = [{"key": k, "low": low[: 4 * i]} for i, k in enumerate(hashes[:SKETCH].view(np.int64).tolist())]
-    return int(signed[0]), majority(hashes) if len(hashes) else 0, len(hashes), cells, signature(hashes)
+@lru_cache
+def n_choices(segments: int, flip: float) -> int:
+    """Choices of so many segments, one of which at least a pair shares but for CHANCE.
+
+    A segment's counts are equal with a chance of (1 - flip) ** 2 or more; the number of equal
+    segments of a pair is binomial, and a choice is shared if all of its segments are among them.
+    """
+    same = (1 - flip) ** 2
+    equal = np.arange(SEGMENTS + 1)
+    logs = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, SEGMENTS + 1)))])
+    weight = np.exp(logs[-1] - logs - logs[::-1] + equal * np.log(same) + (SEGMENTS - equal) * np.log(1 - same))
+    shared = np.array([comb(e, segments) / comb(SEGMENTS, segments) for e in equal.tolist()])
+    n = 1
+    while (weight * (1 - shared) ** n).sum() > CHANCE:
+        n += max(1, n // 50)
+    return n
+
+
+def segments_for(points: int) -> int:
+    """The segments of a choice: two fingerprints agree in one with a chance of 3/8."""
+    return max(2, int(np.ceil(np.log(max(points, 1) / CELL) / np.log(8 / 3))))
+
+
+def choices_of(segments: int) -> np.ndarray:
+    """The segments of each choice; every segment is taken once before any is taken again."""
+    n, draw = n_choices(segments, FLIP_FEW), np.random.default_rng(SEED)
+    turns = [draw.permutation(SEGMENTS) for _ in range(n * segments // SEGMENTS + 1)]
+    return np.concatenate(turns)[: n * segments].reshape(n, segments)
+
+
+HEADS = [f"f{i}" for i in range(HEAD)]
+CELLS = ", ".join(f"{c} long" for c in ("key", "id", "label", "n", *HEADS))
 
 
-#: A row of a cell; `low` has the lower halves of the sketch's hashes that are smaller than the cell's, zeros after them.
-SET = np.dtype([("id", "i8"), ("label", "i8"), ("fp", "u8"), ("n", "i8"), ("sig", "u1", SLOTS // 2), ("low", "<u4", SKETCH - 1)])
+def _cells(choices: np.ndarray, start: int, common: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows of CELLS from id, label, n and words, for the choices that are numbered from `start` on; those from `common` on for small sets only."""
 
+    def rows_of(words: np.ndarray, columns: list[np.ndarray], mine: np.ndarray, first: int) -> pa.RecordBatch:
+        fields = segment_counts(words).astype("<u8").view(np.uint8)
+        counts = np.stack([fields >> s & 3 for s in (0, 2, 4, 6)], 2).reshape(len(words), SEGMENTS)
+        key = np.zeros((len(words), len(mine)), np.int64)
+        for j in range(mine.shape[1]):
+            key = 3 * key + counts[:, mine[:, j]]
+        key += np.arange(first, first + len(mine)) << 48
+        flat = [key.ravel(), *(np.repeat(c, len(mine)) for c in (*columns, *words[:, :HEAD].view(np.int64).T))]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in flat], names=["key", "id", "label", "n", *HEADS])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for s in range(0, b.num_rows, 1000):
+                part = b.slice(s, 1000)
+                columns = [part.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3)]
+                words = np.frombuffer(b"".join(part.column(3).to_pylist()), "<u8").reshape(-1, WORDS)
+                split = min(max(common - start, 0), len(choices))
+                if split:
+                    yield rows_of(words, columns, choices[:split], start)
+                few = columns[2] <= FEW
+                if split < len(choices) and few.any():
+                    yield rows_of(words[few], [c[few] for c in columns], choices[split:], start + split)
+
+    return run
+
+
+#: A row of a cell.
+SET = np.dtype([("label", "<i8"), ("id", "<i8"), ("n", "<i8"), ("head", "<u8", HEAD)])
 
-def candidates(a: np.ndarray, b: np.ndarray | None, every: bool) -> list[tuple[int, int]]:
-    """Pairs of ids of a cell, or of two of its blocks, with different labels that may be similar: all, or enough for a forest.
 
-    Of the cells that a pair shares, all pairs come from the one of the smallest hash.
+def candidates(a: np.ndarray, b: np.ndarray | None, most: int | None = None) -> list[tuple[int, int]]:
+    """Pairs of ids of a cell, or of two of its blocks, with different labels that may be similar.
+
+    With `most`, only a forest of the pairs that differ in no more bits than that.
     """
-    own = b is None
-    x = a if own else np.concatenate([a, b])
-    group = np.unique(x["label"], return_inverse=True)[1]
-    size, prints, slots, least = x["n"], x["fp"], slots_of(x["sig"]), least_equal()
-    filled = slots != EMPTY
+    right = a if b is None else b
+    if len(labels := np.unique(np.concatenate([a["label"], right["label"]]))) == 1:
+        return []
+    flip = FLIP_FEW if min(a["n"].min(), right["n"].min()) <= FEW else FLIP
+    first = radius(128, flip) if most is None else most
+    forest = Forest(len(labels))
     found: list[tuple[int, int]] = []
-    for i in range(len(a)):
-        at = i + 1 if own else len(a)
-        n, m = size[at:], size[i]
-        js = np.flatnonzero((group[at:] != group[i]) & (5 * n >= 4 * m) & (5 * m >= 4 * n) & (np.bitwise_count(prints[at:] ^ prints[i]) <= RADIUS)) + at
-        if len(js):
-            either = filled[js] | filled[i]
-            equal, some = ((slots[js] == slots[i]) & either).sum(1), either.sum(1)
-            # all shared hashes that are smallest in their slots are equal ones: at the similarity, no more than a ninth of both sizes is not
-            js = js[(equal >= least[some]) & (9 * equal >= 9 * some - size[js] - m)]
-        if every and len(js):
-            js = js[~((x["low"][js][:, :, None] == x["low"][i]) & (x["low"][i] != 0)).any((1, 2))]
-        elif len(js):
-            js = js[np.unique(group[js], return_index=True)[1]][:FAN]
-            group[np.isin(group, group[js])] = group[i]
-        found += [(int(x["id"][i]), int(j)) for j in x["id"][js]]
+    step = max(1, (1 << 15) // len(right))
+    heads, n = np.ascontiguousarray(right["head"].T), right["n"]
+    for s in range(0, len(a), step):
+        x, y = a[s : s + step], s if b is None else 0
+        near = np.bitwise_count(x["head"][:, :1] ^ heads[0, y:])
+        near += np.bitwise_count(x["head"][:, 1:2] ^ heads[1, y:])
+        i, j = np.divmod(np.flatnonzero(near <= first), near.shape[1])
+        j += y
+        fits = x["label"][i] != right["label"][j]
+        if b is None:
+            fits &= j > i + s
+        m, o = x["n"][i], n[j]
+        fits &= (5 * m >= 4 * o) & (5 * o >= 4 * m)
+        i, j, few = i[fits], j[fits], np.maximum(m, o)[fits] <= FEW
+        d = sum(np.bitwise_count(x["head"][i, w] ^ heads[w][j]).astype(np.int64) for w in range(HEAD))
+        good = d <= (np.where(few, radius(64 * HEAD, FLIP_FEW), radius(64 * HEAD, FLIP)) if most is None else most)
+        i, j = i[good], j[good]
+        if most is not None:
+            at = [np.searchsorted(labels, c).tolist() for c in (x["label"][i], right["label"][j])]
+            made = np.array([forest.join(p, q) for p, q in zip(*at, strict=True)], bool)
+            i, j = i[made], j[made]
+        found += zip(x["id"][i].tolist(), right["id"][j].tolist(), strict=True)
     return found
 
 
-def _cell_pairs(every: bool, block: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _cell_pairs(most: int | None, block: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Candidates of the small cells of a partition sorted by cell; pairs of blocks of the large ones."""
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("u", pa.int64()), ("v", pa.int64())])
 
     def cell(x: np.ndarray) -> Iterator[tuple]:
+        x = x[np.lexsort((x["id"], x["label"]))]  # so that most blocks of a large class have one label
         if len(x) <= block:
-            yield from ((None, None, u, v) for u, v in candidates(x, None, every))
+            yield from ((None, None, u, v) for u, v in candidates(x, None, most))
             return
-        parts = [x[i : i + block].tobytes() for i in range(0, len(x), block)]
+        parts = [x[i : i + block] for i in range(0, len(x), block)]
         for i, p in enumerate(parts):
-            yield p, None, None, None
+            if p["label"][0] != p["label"][-1]:
+                yield p.tobytes(), None, None, None
             for q in parts[i + 1 :]:
-                yield p, q, None, None
+                if p["label"][0] != q["label"][-1]:
+                    yield p.tobytes(), q.tobytes(), None, None
 
     def batch(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
@@ -136,12 +214,11 @@ def _cell_pairs(every: bool, block: int) -> Callable[[Iterator[pa.RecordBatch]],
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         key, held = np.empty(0, np.int64), np.empty(0, SET)  # the last cell may go on in the next batch
         for b in batches:
-            columns = [b.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
+            columns = [b.column(i).to_numpy(zero_copy_only=False) for i in range(4 + HEAD)]
             new = np.empty(b.num_rows, SET)
-            for name, c in zip(SET.names[:4], columns[1:], strict=True):
-                new[name] = c.view(np.uint64) if name == "fp" else c
-            new["sig"] = np.frombuffer(b"".join(b.column(5).to_pylist()), np.uint8).reshape(-1, SLOTS // 2)
-            new["low"] = np.frombuffer(b"".join(x.ljust(4 * (SKETCH - 1), b"\0") for x in b.column(6).to_pylist()), "<u4").reshape(-1, SKETCH - 1)
+            for name, c in zip(("id", "label", "n"), columns[1:4], strict=True):
+                new[name] = c
+            new["head"] = np.stack(columns[4:], 1).view(np.uint64)
             key, held = np.concatenate([key, columns[0]]), np.concatenate([held, new])
             if not len(key):
                 continue
@@ -167,25 +244,50 @@ def _cell_pairs(every: bool, block: int) -> Callable[[Iterator[pa.RecordBatch]],
     return run
 
 
-def _block_pairs(every: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _block_pairs(most: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for p, q in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                if pairs := candidates(np.frombuffer(p, SET), None if q is None else np.frombuffer(q, SET), every):
+                if pairs := candidates(np.frombuffer(p, SET), None if q is None else np.frombuffer(q, SET), most):
                     u, v = zip(*pairs, strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
     return run
 
 
-def candidate_pairs(points: DataFrame, every: bool, block: int = BLOCK) -> DataFrame:
-    """Distinct pairs (u, v) of ids of `points` (id, label, fp, n, sketch, sig) that share a cell, may be similar and differ in label."""
-    dealt_out = points.repartition(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id")
-    spread = dealt_out.select(F.explode("sketch").alias("c"), "id", "label", "fp", "n", "sig").select("c.key", "id", "label", "fp", "n", "sig", "c.low")
-    work = written(spread.repartition("key").sortWithinPartitions("key").mapInArrow(_cell_pairs(every, block), "a binary, b binary, u long, v long"))
-    dealt = work.where("a is not null").select("a", "b").repartition(F.rand(SEED))
-    pairs = work.where("a is null").select("u", "v").unionByName(dealt.mapInArrow(_block_pairs(every), "u long, v long"))
-    return written(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs (u, v, n, m, s, t) that lie within the radius of whole fingerprints."""
+    for b in batches:
+        n, m = (b.column(i).to_numpy() for i in (2, 3))
+        s, t = (np.frombuffer(b"".join(b.column(i).to_pylist()), "<u8").reshape(-1, WORDS) for i in (4, 5))
+        most = np.where(np.maximum(n, m) <= FEW, radius(64 * WORDS, FLIP_FEW), radius(64 * WORDS, FLIP))
+        kept = np.flatnonzero(np.bitwise_count(s ^ t).sum(1, dtype=np.int64) <= most)
+        yield b.select(["u", "v"]).take(pa.array(kept, pa.int64()))
+
+
+def candidate_pairs(points: DataFrame, choices: np.ndarray, most: int | None = None, block: int = BLOCK) -> DataFrame:
+    """Distinct pairs (u, v) of ids of `points` (id, label, n, words) that share a cell of a choice, may be similar and differ in label.
+
+    Of the choices, the first ones that a pair of larger sets needs are taken for all sets. Some
+    choices are read at a time, so that shuffle files of all of them are never held at once. With
+    `most`, a forest of the pairs that differ in no more bits of the head than that.
+    """
+    common = n_choices(choices.shape[1], FLIP)
+    dealt_out = points.repartition(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id").select("id", "label", "n", "words")
+    found = []
+    for start in range(0, len(choices), ROUND):
+        spread = dealt_out.mapInArrow(_cells(choices[start : start + ROUND], start, common), CELLS)
+        work = written(spread.repartition("key").sortWithinPartitions("key").mapInArrow(_cell_pairs(most, block), "a binary, b binary, u long, v long"))
+        dealt = work.where("a is not null").select("a", "b").repartition(F.rand(SEED))
+        pairs = work.where("a is null").select("u", "v").unionByName(dealt.mapInArrow(_block_pairs(most), "u long, v long"))
+        found.append(written(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()))
+    pairs = found[0]
+    for more in found[1:]:
+        pairs = pairs.unionByName(more)
+    left = points.select(F.col("id").alias("u"), "n", F.col("words").alias("s"))
+    right = points.select(F.col("id").alias("v"), F.col("n").alias("m"), F.col("words").alias("t"))
+    both = pairs.distinct().join(left, "u").join(right, "v").select("u", "v", "n", "m", "s", "t")
+    return written(both.mapInArrow(_near, "u long, v long"))
 
 
 def _similar_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,15 +322,16 @@ def verified(pairs: DataFrame, names: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def near_copy_classes(points: DataFrame, names: DataFrame, texts: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(id, root) for each set of `points` (id, fp, n, sketch, sig): the smallest id linked to it, directly or not.
+    """(id, root) for each set of `points` (id, n, words): the smallest id linked to it, directly or not.
 
-    The first round verifies a forest of each cell's candidates; the second all candidates that
-    are still in different classes, so no pair is left out.
+    The first round verifies a forest of near candidates of a few choices; the second all
+    candidates of all choices that are still in different classes, so no pair is left out.
     """
-    links = verified(candidate_pairs(points.withColumn("label", F.col("id")), False, block), names, texts)
+    choices = choices_of(segments_for(points.count()))
+    links = verified(candidate_pairs(points.withColumn("label", F.col("id")), choices[:FIRST], FIRST_RADIUS, block), names, texts)
     roots = components(links).select(F.col("node").alias("id"), "root")
-    labelled = points.join(roots, "id", "left").withColumn("label", F.coalesce("root", "id")).drop("root")
-    links = links.unionByName(verified(candidate_pairs(labelled, True, block), names, texts))
+    labelled = written(points.join(roots, "id", "left").withColumn("label", F.coalesce("root", "id")).drop("root"))
+    links = links.unionByName(verified(candidate_pairs(labelled, choices, None, block), names, texts))
     roots = components(links).select(F.col("node").alias("id"), "root")
     return points.select("id").join(roots, "id", "left").select("id", F.coalesce("root", "id").alias("root"))
 
@@ -239,12 +342,12 @@ def one_of_each(df: DataFrame, text: str = "text", doc_id: str = "doc_id", block
     It is the row of the smallest doc_id, rows without one last; the smallest hash of the text
     decides between rows of one doc_id. Of repeated rows one stays. Null and empty texts are one class.
     """
-    made = text_udf("id long, fp long, n int, sketch array<struct<key:long,low:binary>>, sig binary", lambda: described)(F.col("text"))
+    made = text_udf("id long, n int, words binary", lambda: described)(F.col("text"))
     texts = df.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).withColumn("key", row_key(F.col("text")))
     first = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key").alias("first")
     # equal sets are one point; the text of the first row stands for all of them
-    by_set = texts.withColumn("_made", made).select("doc_id", "key", "_made.*").groupBy("id").agg(F.min(F.struct(first, "fp", "n", "sketch", "sig")).alias("_first"))
-    points = written(by_set.select("id", "_first.fp", "_first.n", "_first.sketch", "_first.sig", F.col("_first.first").alias("first")))
+    by_set = texts.withColumn("_made", made).select("doc_id", "key", "_made.*").groupBy("id").agg(F.min(F.struct(first, "n", "words")).alias("_first"))
+    points = written(by_set.select("id", "_first.n", "_first.words", F.col("_first.first").alias("first")))
     names = points.select("id", "first.doc_id", "first.key")
     classes = near_copy_classes(points.drop("first"), names, texts, block)
     firsts = points.join(classes, "id").groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("_id"), F.col("first.key").alias("_key"))

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import random
+from math import comb
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
-from quillstone.llm import nearcopies
+from quillstone.llm import nearcopies, simhash
 
 
 def plain_kept(rows: list[tuple[int, str]]) -> set[int]:
@@ -60,3 +62,37 @@ def test_the_stage_merges_pairs_that_fingerprints_of_four_bits_miss(spark, sf_di
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("text rlike '[^ ]'")
     got = {r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, docs, sf_dir).collect()}
     assert got == plain_kept([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
+
+
+@pytest.mark.parametrize("block", [nearcopies.BLOCK, 7])
+def test_candidates_come_from_cells_of_segment_counts_alone(spark, block):
+    draw = np.random.default_rng(3)
+    rows, near = [], set()
+    for i in range(60):  # fingerprints of no text: each with one that differs in a sixth of its bits
+        bits = draw.integers(0, 2, 64 * nearcopies.WORDS, dtype=np.uint8)
+        for k, b in enumerate((bits, bits ^ (draw.random(len(bits)) < nearcopies.FLIP).astype(np.uint8))):
+            rows.append((2 * i + k, 2 * i + k, 100, bytearray(np.packbits(b, bitorder="little").tobytes())))
+        near.add((2 * i, 2 * i + 1))
+    points = spark.createDataFrame(rows, "id long, label long, n int, words binary")
+    for segments in (2, 5):
+        got = nearcopies.candidate_pairs(points, nearcopies.choices_of(segments), block=block).collect()
+        assert {tuple(r) for r in got} == near and len(got) == len(near)
+
+
+def test_a_bit_differs_no_more_often_than_the_choices_allow_for():
+    def tosses(n: int) -> np.ndarray:
+        return np.array([comb(n, i) for i in range(n + 1)]) / 2.0**n
+
+    for a in range(4, 60):  # shingles of the smaller set, all of which may be shared
+        for b in range(a, 5 * a // 4 + 1):
+            for both in range(-(-4 * (a + b) // 9), a + 1):
+                x = np.array([tosses(a - both)[2 * (c + np.arange(a - both + 1)) > a].sum() for c in range(both + 1)])
+                y = np.array([tosses(b - both)[2 * (c + np.arange(b - both + 1)) > b].sum() for c in range(both + 1)])
+                flip = (tosses(both) * (x * (1 - y) + y * (1 - x))).sum()
+                assert flip <= (nearcopies.FLIP_FEW if b <= nearcopies.FEW else nearcopies.FLIP)
+
+
+def test_fingerprints_begin_with_that_of_operator_nine():
+    for text in ("", "one", "a b c d e f g h", " ".join(map(str, range(700)))):
+        words = np.frombuffer(nearcopies.described(text)[2], "<u8")
+        assert len(words) == nearcopies.WORDS and int(words[:1].view("<i8")[0]) == simhash.fingerprint(text, nearcopies.SHINGLE)
