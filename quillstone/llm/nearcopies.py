@@ -6,9 +6,10 @@ and a grid over 64 bits takes a radius under 8. So fingerprints have 2,048 bits,
 which are operator 9's, of five-word shingles. They are embedded as the bit counts of 1,024
 segments of two bits. Candidates share a cell of this grid: the counts of a few segments, in one
 of so many choices of them that a pair of the similarity shares none with a chance of CHANCE at
-most. A cell's pairs are compared by the distance of 192 bits, then of all bits, with radii that
-a pair of the similarity exceeds with that chance. What is left is verified by the exact
-similarity of the texts' shingles before it links.
+most. A cell's rows hold whole fingerprints, so a cell gives only a forest of the pairs within a
+radius that a pair of the similarity exceeds with that chance; forests make clusters, in whose
+blocks all pairs are held against the similarity itself. So neither step gives a row for each
+pair of a group.
 """
 
 from __future__ import annotations
@@ -23,20 +24,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillstone.llm.common import text_udf, written
-from quillstone.llm.simhash import BLOCK, SEED, Forest, components, first_rows, row_key, segment_counts
+from quillstone.llm.simhash import SEED, Forest, components, first_rows, row_key, segment_counts
 
 SHINGLE, SIMILARITY = 5, 0.8
-#: Words of a fingerprint, those that a row of a cell has, and segments.
-WORDS, HEAD = 32, 3
+#: Words of a fingerprint, and segments.
+WORDS = 32
 SEGMENTS = 32 * WORDS
 #: The chance that a pair of the similarity shares no cell, or exceeds a radius.
 CHANCE = 1e-8
 #: The chance that a bit differs between sets of the similarity is at most the second; between sets of FEW shingles or less, at most the first.
 FEW, FLIP_FEW, FLIP = 5, 0.1875, 0.162
 #: A choice has so many segments that a fingerprint meets about this many others in a cell.
-CELL = 1000
-#: Choices of the first round, which links a forest of pairs within FIRST_RADIUS of the head's bits; choices that are read at a time after that.
-FIRST, FIRST_RADIUS, ROUND = 4, 32, 48
+CELL = 2000
+#: Choices of the first round, after which only links between different clusters are looked for.
+FIRST = 2
+#: So many choices are read at a time, or more as long as they give no more rows than that: this bounds the shuffle files.
+ROUND, ROUND_ROWS = 4, 500_000
+#: Fingerprints of a cell that one task compares; larger cells are dealt out in pairs of blocks.
+BLOCK = 4096
+#: Sets of a cluster, and their shingles, in a block; shingles that are counted at a time.
+SETS, SHINGLES, COLUMNS = 256, 500_000, 2048
 #: The names of so many candidate sets are broadcast to fetch their texts (some 10 MB); more meet them in a shuffle.
 MAX_BROADCAST = 200_000
 
@@ -47,12 +54,6 @@ def shingles(text: str) -> set[bytes]:
     return {b" ".join(words[i : i + SHINGLE]) for i in range(max(1, len(words) - SHINGLE + 1))} if words else set()
 
 
-def similar(x: set[bytes], y: set[bytes]) -> bool:
-    """Whether two sets reach the exact similarity, in whole numbers."""
-    both = len(x & y)
-    return 5 * both >= 4 * (len(x) + len(y) - both)
-
-
 def fingerprint(hashes: np.ndarray) -> np.ndarray:
     """The words of a set's fingerprint: bits set in over half of the hashes, and of what is mixed from them for the further words."""
     bits = np.zeros(64 * WORDS, np.int64)
@@ -67,11 +68,18 @@ def fingerprint(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(2 * bits > len(hashes), bitorder="little").view("<u8")
 
 
+def hashed(text: str) -> np.ndarray:
+    """The set of shingles as sorted hashes."""
+    from xxhash import xxh64_intdigest
+
+    return np.unique(np.fromiter((xxh64_intdigest(s, SEED) for s in shingles(text)), np.uint64))
+
+
 def described(text: str) -> tuple[int, int, bytes]:
     """A hash of the set of shingles, the set's size and its fingerprint."""
     from xxhash import xxh64_intdigest
 
-    hashes = np.unique(np.fromiter((xxh64_intdigest(s, SEED) for s in shingles(text)), np.uint64))
+    hashes = hashed(text)
     signed = np.array([xxh64_intdigest(hashes.astype("<u8").tobytes(), SEED)], np.uint64).view(np.int64)
     return int(signed[0]), len(hashes), fingerprint(hashes).tobytes()
 
@@ -117,12 +125,11 @@ def choices_of(segments: int) -> np.ndarray:
     return np.concatenate(turns)[: n * segments].reshape(n, segments)
 
 
-HEADS = [f"f{i}" for i in range(HEAD)]
-CELLS = ", ".join(f"{c} long" for c in ("key", "id", "label", "n", *HEADS))
+CELLS = "key long, label long, n long, words binary"
 
 
 def _cells(choices: np.ndarray, start: int, common: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows of CELLS from id, label, n and words, for the choices that are numbered from `start` on; those from `common` on for small sets only."""
+    """Rows of CELLS from label, n and words, for the choices that are numbered from `start` on; those from `common` on for small sets only."""
 
     def rows_of(words: np.ndarray, columns: list[np.ndarray], mine: np.ndarray, first: int) -> pa.RecordBatch:
         fields = segment_counts(words).astype("<u8").view(np.uint8)
@@ -131,19 +138,21 @@ def _cells(choices: np.ndarray, start: int, common: int) -> Callable[[Iterator[p
         for j in range(mine.shape[1]):
             key = 3 * key + counts[:, mine[:, j]]
         key += np.arange(first, first + len(mine)) << 48
-        flat = [key.ravel(), *(np.repeat(c, len(mine)) for c in (*columns, *words[:, :HEAD].view(np.int64).T))]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in flat], names=["key", "id", "label", "n", *HEADS])
+        ends = np.arange(key.size + 1, dtype=np.int32) * (8 * WORDS)
+        held = pa.Array.from_buffers(pa.binary(), key.size, [None, pa.py_buffer(ends), pa.py_buffer(np.repeat(words, len(mine), 0))])
+        flat = [pa.array(c) for c in (key.ravel(), *(np.repeat(c, len(mine)) for c in columns))]
+        return pa.RecordBatch.from_arrays([*flat, held], names=["key", "label", "n", "words"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for s in range(0, b.num_rows, 1000):
                 part = b.slice(s, 1000)
-                columns = [part.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3)]
-                words = np.frombuffer(b"".join(part.column(3).to_pylist()), "<u8").reshape(-1, WORDS)
+                columns = [part.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(2)]
+                words = np.frombuffer(b"".join(part.column(2).to_pylist()), "<u8").reshape(-1, WORDS)
                 split = min(max(common - start, 0), len(choices))
                 if split:
                     yield rows_of(words, columns, choices[:split], start)
-                few = columns[2] <= FEW
+                few = columns[1] <= FEW
                 if split < len(choices) and few.any():
                     yield rows_of(words[few], [c[few] for c in columns], choices[split:], start + split)
 
@@ -151,55 +160,49 @@ def _cells(choices: np.ndarray, start: int, common: int) -> Callable[[Iterator[p
 
 
 #: A row of a cell.
-SET = np.dtype([("label", "<i8"), ("id", "<i8"), ("n", "<i8"), ("head", "<u8", HEAD)])
+SET = np.dtype([("label", "<i8"), ("n", "<i8"), ("words", "<u8", WORDS)])
 
 
-def candidates(a: np.ndarray, b: np.ndarray | None, most: int | None = None) -> list[tuple[int, int]]:
-    """Pairs of ids of a cell, or of two of its blocks, with different labels that may be similar.
-
-    With `most`, only a forest of the pairs that differ in no more bits than that.
-    """
+def candidates(a: np.ndarray, b: np.ndarray | None) -> list[tuple[int, int]]:
+    """A forest, as pairs of labels, of the pairs of a cell, or of two of its blocks, that may be similar."""
     right = a if b is None else b
-    if len(labels := np.unique(np.concatenate([a["label"], right["label"]]))) == 1:
+    labels = np.unique(np.concatenate([a["label"], right["label"]]))
+    if len(labels) == 1:
         return []
-    flip = FLIP_FEW if min(a["n"].min(), right["n"].min()) <= FEW else FLIP
-    first = radius(128, flip) if most is None else most
+    first = radius(128, FLIP_FEW if min(a["n"].min(), right["n"].min()) <= FEW else FLIP)
     forest = Forest(len(labels))
     found: list[tuple[int, int]] = []
     step = max(1, (1 << 15) // len(right))
-    heads, n = np.ascontiguousarray(right["head"].T), right["n"]
+    head, n = np.ascontiguousarray(right["words"][:, :2].T), right["n"]
     for s in range(0, len(a), step):
         x, y = a[s : s + step], s if b is None else 0
-        near = np.bitwise_count(x["head"][:, :1] ^ heads[0, y:])
-        near += np.bitwise_count(x["head"][:, 1:2] ^ heads[1, y:])
+        near = np.bitwise_count(x["words"][:, :1] ^ head[0, y:])
+        near += np.bitwise_count(x["words"][:, 1:2] ^ head[1, y:])
         i, j = np.divmod(np.flatnonzero(near <= first), near.shape[1])
         j += y
         fits = x["label"][i] != right["label"][j]
         if b is None:
             fits &= j > i + s
-        m, o = x["n"][i], n[j]
-        fits &= (5 * m >= 4 * o) & (5 * o >= 4 * m)
-        i, j, few = i[fits], j[fits], np.maximum(m, o)[fits] <= FEW
-        d = sum(np.bitwise_count(x["head"][i, w] ^ heads[w][j]).astype(np.int64) for w in range(HEAD))
-        good = d <= (np.where(few, radius(64 * HEAD, FLIP_FEW), radius(64 * HEAD, FLIP)) if most is None else most)
-        i, j = i[good], j[good]
-        if most is not None:
-            at = [np.searchsorted(labels, c).tolist() for c in (x["label"][i], right["label"][j])]
-            made = np.array([forest.join(p, q) for p, q in zip(*at, strict=True)], bool)
-            i, j = i[made], j[made]
-        found += zip(x["id"][i].tolist(), right["id"][j].tolist(), strict=True)
+        fits &= (5 * x["n"][i] >= 4 * n[j]) & (5 * n[j] >= 4 * x["n"][i])
+        i, j = i[fits], j[fits]
+        if not len(i):
+            continue
+        most = np.where(np.maximum(x["n"][i], n[j]) <= FEW, radius(64 * WORDS, FLIP_FEW), radius(64 * WORDS, FLIP))
+        good = np.bitwise_count(x["words"][i] ^ right["words"][j]).sum(1, dtype=np.int64) <= most
+        at = [np.searchsorted(labels, c).tolist() for c in (x["label"][i[good]], right["label"][j[good]])]
+        found += [(int(labels[p]), int(labels[q])) for p, q in zip(*at, strict=True) if forest.join(p, q)]
     return found
 
 
-def _cell_pairs(most: int | None, block: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _cell_pairs(block: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Candidates of the small cells of a partition sorted by cell; pairs of blocks of the large ones."""
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("u", pa.int64()), ("v", pa.int64())])
 
     def cell(x: np.ndarray) -> Iterator[tuple]:
-        x = x[np.lexsort((x["id"], x["label"]))]  # so that most blocks of a large class have one label
         if len(x) <= block:
-            yield from ((None, None, u, v) for u, v in candidates(x, None, most))
+            yield from ((None, None, u, v) for u, v in candidates(x, None))
             return
+        x = x[np.argsort(x["label"], kind="stable")]  # so that most blocks of a large cluster have one label
         parts = [x[i : i + block] for i in range(0, len(x), block)]
         for i, p in enumerate(parts):
             if p["label"][0] != p["label"][-1]:
@@ -214,12 +217,11 @@ def _cell_pairs(most: int | None, block: int) -> Callable[[Iterator[pa.RecordBat
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         key, held = np.empty(0, np.int64), np.empty(0, SET)  # the last cell may go on in the next batch
         for b in batches:
-            columns = [b.column(i).to_numpy(zero_copy_only=False) for i in range(4 + HEAD)]
             new = np.empty(b.num_rows, SET)
-            for name, c in zip(("id", "label", "n"), columns[1:4], strict=True):
-                new[name] = c
-            new["head"] = np.stack(columns[4:], 1).view(np.uint64)
-            key, held = np.concatenate([key, columns[0]]), np.concatenate([held, new])
+            for i, name in enumerate(("label", "n"), 1):
+                new[name] = b.column(i).to_numpy(zero_copy_only=False)
+            new["words"] = np.frombuffer(b"".join(b.column(3).to_pylist()), "<u8").reshape(-1, WORDS)
+            key, held = np.concatenate([key, b.column(0).to_numpy(zero_copy_only=False)]), np.concatenate([held, new])
             if not len(key):
                 continue
             starts = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1])
@@ -235,7 +237,7 @@ def _cell_pairs(most: int | None, block: int) -> Callable[[Iterator[pa.RecordBat
         for x in cells(batches):
             for row in cell(x):
                 rows.append(row)
-                if len(rows) >= (1000 if row[0] is None else 100):
+                if len(rows) >= (1000 if row[0] is None else 20):
                     yield batch(rows)
                     rows = []
         if rows:
@@ -244,99 +246,112 @@ def _cell_pairs(most: int | None, block: int) -> Callable[[Iterator[pa.RecordBat
     return run
 
 
-def _block_pairs(most: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for p, q in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                if pairs := candidates(np.frombuffer(p, SET), None if q is None else np.frombuffer(q, SET), most):
-                    u, v = zip(*pairs, strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
-
-    return run
-
-
-def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pairs (u, v, n, m, s, t) that lie within the radius of whole fingerprints."""
+def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        n, m = (b.column(i).to_numpy() for i in (2, 3))
-        s, t = (np.frombuffer(b"".join(b.column(i).to_pylist()), "<u8").reshape(-1, WORDS) for i in (4, 5))
-        most = np.where(np.maximum(n, m) <= FEW, radius(64 * WORDS, FLIP_FEW), radius(64 * WORDS, FLIP))
-        kept = np.flatnonzero(np.bitwise_count(s ^ t).sum(1, dtype=np.int64) <= most)
-        yield b.select(["u", "v"]).take(pa.array(kept, pa.int64()))
+        for p, q in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            if pairs := candidates(np.frombuffer(p, SET), None if q is None else np.frombuffer(q, SET)):
+                u, v = zip(*pairs, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
 
-def candidate_pairs(points: DataFrame, choices: np.ndarray, most: int | None = None, block: int = BLOCK) -> DataFrame:
-    """Distinct pairs (u, v) of ids of `points` (id, label, n, words) that share a cell of a choice, may be similar and differ in label.
+def candidate_pairs(points: DataFrame, choices: np.ndarray, start: int = 0, block: int = BLOCK) -> DataFrame:
+    """Distinct pairs (u, v) of labels of `points` (label, n, words): in each cell they join whatever its pairs join that may be similar.
 
-    Of the choices, the first ones that a pair of larger sets needs are taken for all sets. Some
-    choices are read at a time, so that shuffle files of all of them are never held at once. With
-    `most`, a forest of the pairs that differ in no more bits of the head than that.
+    Cells are those of the choices from `start` on. Of the choices, the first ones that a pair of
+    larger sets needs are taken for all sets. Some choices are read at a time, so that shuffle
+    files of all of them are never held at once.
     """
     common = n_choices(choices.shape[1], FLIP)
-    dealt_out = points.repartition(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id").select("id", "label", "n", "words")
+    dealt_out = written(points.repartition(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id").select("label", "n", "words"))
+    round_of = max(ROUND, ROUND_ROWS // max(dealt_out.count(), 1))
     found = []
-    for start in range(0, len(choices), ROUND):
-        spread = dealt_out.mapInArrow(_cells(choices[start : start + ROUND], start, common), CELLS)
-        work = written(spread.repartition("key").sortWithinPartitions("key").mapInArrow(_cell_pairs(most, block), "a binary, b binary, u long, v long"))
+    for at in range(start, len(choices), round_of):
+        spread = dealt_out.mapInArrow(_cells(choices[at : at + round_of], at, common), CELLS)
+        work = written(spread.repartition("key").sortWithinPartitions("key").mapInArrow(_cell_pairs(block), "a binary, b binary, u long, v long"))
         dealt = work.where("a is not null").select("a", "b").repartition(F.rand(SEED))
-        pairs = work.where("a is null").select("u", "v").unionByName(dealt.mapInArrow(_block_pairs(most), "u long, v long"))
-        found.append(written(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()))
+        found.append(work.where("a is null").select("u", "v").unionByName(dealt.mapInArrow(_block_pairs, "u long, v long")))
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)
-    left = points.select(F.col("id").alias("u"), "n", F.col("words").alias("s"))
-    right = points.select(F.col("id").alias("v"), F.col("n").alias("m"), F.col("words").alias("t"))
-    both = pairs.distinct().join(left, "u").join(right, "v").select("u", "v", "n", "m", "s", "t")
-    return written(both.mapInArrow(_near, "u long, v long"))
+    return written(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
 
 
-def _similar_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: tuple = (None, None)  # rows come sorted by the second text
+def candidate_clusters(points: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(id, n, root) for each set of `points` (id, n, words): root is the smallest id that candidates link to it, directly or not."""
+    choices = choices_of(segments_for(points.count()))
+    labelled = points.withColumn("label", F.col("id"))
+    for part, start in ((choices[:FIRST], 0), (choices, FIRST)):
+        roots = components(candidate_pairs(labelled, part, start, block)).withColumnRenamed("node", "label")
+        labelled = written(labelled.join(roots, "label", "left").select("id", "n", "words", F.coalesce("root", "label").alias("label")))
+    return labelled.select("id", "n", F.col("label").alias("root"))
+
+
+def similar_pairs(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the pairs of sets that reach the similarity, in whole numbers: shared shingles are counted by products of incidence matrices."""
+    sizes = np.array([len(s) for s in sets])
+    inverse, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)[1:]
+    kept = np.flatnonzero(counts[inverse] > 1)
+    column = (np.cumsum(counts > 1) - 1)[inverse[kept]]
+    order = np.argsort(column, kind="stable")
+    row, column = np.repeat(np.arange(len(sets)), sizes)[kept][order], column[order]
+    both = np.zeros((len(sets), len(sets)))
+    for s in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, [s, s + COLUMNS])
+        has = np.zeros((len(sets), COLUMNS), np.float32)
+        has[row[a:b], column[a:b] - s] = 1
+        both += has @ has.T
+    return np.nonzero(np.triu(5 * both >= 4 * (sizes[:, None] + sizes - both), 1))
+
+
+def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A forest (u, v) of the links in each group of rows (root, low, high, id, hashes), which come sorted by the first three."""
+    key, ids, sets = None, [], []
+
+    def links() -> Iterator[pa.RecordBatch]:
+        if len(ids) > 1:
+            forest, pairs = Forest(len(ids)), zip(*(x.tolist() for x in similar_pairs(sets)), strict=True)
+            if made := [(ids[i], ids[j]) for i, j in pairs if forest.join(i, j)]:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*made, strict=True)], names=["u", "v"])
+
     for b in batches:
-        kept = []
-        for i in range(b.num_rows):
-            v = b.column(1)[i].as_py()
-            if held[0] != v:
-                held = (v, shingles(b.column(3)[i].as_py() or ""))
-            if similar(shingles(b.column(2)[i].as_py() or ""), held[1]):
-                kept.append(i)
-        yield b.select(["u", "v"]).take(pa.array(kept, pa.int64()))
+        for *new, i, hashes in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if new != key:
+                yield from links()
+                key, ids, sets = new, [], []
+            ids.append(i)
+            sets.append(np.frombuffer(hashes, "<u8"))
+    yield from links()
 
 
-def verified(pairs: DataFrame, names: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (u, v) of ids whose texts reach the similarity.
+def verified(clusters: DataFrame, names: DataFrame, texts: DataFrame, block: int = SETS) -> DataFrame:
+    """Links (u, v) of ids that join what pairs within the clusters (id, n, root) join whose shingles reach the similarity.
 
     `names` (id, doc_id, key) has the row of `texts` (doc_id, key, text) that stands for a set, so
-    that only the texts of candidates are written.
+    that only the texts of clusters are read on. Each two blocks of a cluster meet once.
     """
-    ids = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
-    wanted = names.join(ids, "id", "left_semi").select("id", F.col("doc_id").alias("_doc"), F.col("key").alias("_key"))
-    wanted = written(wanted)
+    blocks = F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("n") / SHINGLES)).alias("blocks")
+    sizes = clusters.groupBy("root").agg(F.count("*").alias("c"), blocks).where("c > 1").drop("c")
+    wanted = written(clusters.join(sizes, "root").join(names, "id").select("id", "root", "blocks", F.col("doc_id").alias("_doc"), F.col("key").alias("_key")))
     if wanted.count() <= MAX_BROADCAST:
         wanted = F.broadcast(wanted)
-    rows = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("key") == F.col("_key"))).select("id", "text")
-    held = written(rows.dropDuplicates(["id"]))
-    left, right = held.select(F.col("id").alias("u"), F.col("text").alias("s")), held.select(F.col("id").alias("v"), F.col("text").alias("t"))
-    both = pairs.join(left, "u").join(right, "v").select("u", "v", "s", "t")
-    return written(both.mapInArrow(_similar_texts, "u long, v long"))
-
-
-def near_copy_classes(points: DataFrame, names: DataFrame, texts: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(id, root) for each set of `points` (id, n, words): the smallest id linked to it, directly or not.
-
-    The first round verifies a forest of near candidates of a few choices; the second all
-    candidates of all choices that are still in different classes, so no pair is left out.
-    """
-    choices = choices_of(segments_for(points.count()))
-    links = verified(candidate_pairs(points.withColumn("label", F.col("id")), choices[:FIRST], FIRST_RADIUS, block), names, texts)
-    roots = components(links).select(F.col("node").alias("id"), "root")
-    labelled = written(points.join(roots, "id", "left").withColumn("label", F.coalesce("root", "id")).drop("root"))
-    links = links.unionByName(verified(candidate_pairs(labelled, choices, None, block), names, texts))
-    roots = components(links).select(F.col("node").alias("id"), "root")
+    made = text_udf("hashes binary", lambda: lambda t: (hashed(t).astype("<u8").tobytes(),))(F.col("text"))
+    rows = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("key") == F.col("_key"))).select("id", "root", "blocks", made.alias("m"))
+    held = written(rows.select("id", "root", "blocks", "m.hashes").dropDuplicates(["id"]))
+    own = held.withColumn("own", F.expr("pmod(id, blocks)"))
+    others = F.expr("if(blocks = 1, array(0L), filter(sequence(0L, blocks - 1), x -> x <> own))")
+    met = own.withColumn("other", F.explode(others)).select("root", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "id", "hashes")
+    group = ["root", "low", "high"]
+    return written(met.repartition(*group).sortWithinPartitions(*group).mapInArrow(_links, "u long, v long"))
+
+
+def near_copy_classes(points: DataFrame, names: DataFrame, texts: DataFrame, block: int | None = None) -> DataFrame:
+    """(id, root) for each set of `points` (id, n, words): the smallest id linked to it, directly or not."""
+    clusters = candidate_clusters(points, block or BLOCK)
+    roots = components(verified(clusters, names, texts, block or SETS)).select(F.col("node").alias("id"), "root")
     return points.select("id").join(roots, "id", "left").select("id", F.coalesce("root", "id").alias("root"))
 
 
-def one_of_each(df: DataFrame, text: str = "text", doc_id: str = "doc_id", block: int = BLOCK) -> DataFrame:
+def one_of_each(df: DataFrame, text: str = "text", doc_id: str = "doc_id", block: int | None = None) -> DataFrame:
     """The rows of `df` without near copies: one row of each class stays, with all its columns.
 
     It is the row of the smallest doc_id, rows without one last; the smallest hash of the text

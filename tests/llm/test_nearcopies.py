@@ -96,3 +96,44 @@ def test_fingerprints_begin_with_that_of_operator_nine():
     for text in ("", "one", "a b c d e f g h", " ".join(map(str, range(700)))):
         words = np.frombuffer(nearcopies.described(text)[2], "<u8")
         assert len(words) == nearcopies.WORDS and int(words[:1].view("<i8")[0]) == simhash.fingerprint(text, nearcopies.SHINGLE)
+
+
+def test_a_group_gives_no_row_for_each_of_its_pairs(spark, monkeypatch):
+    r = random.Random(5)
+    base, rows = [f"w{i}" for i in range(150)], []
+    for i in range(160):  # two words of each are its own: most pairs lie just under the limit
+        w = list(base)
+        for k in r.sample(range(150), 2):
+            w[k] = f"x{i}"
+        rows.append((i, " ".join(w)))
+    made = []
+
+    def counted(step):
+        def run(*a, **k):
+            made.append((out := step(*a, **k)).count())
+            return out
+
+        return run
+
+    for name in ("candidate_pairs", "verified"):
+        monkeypatch.setattr(nearcopies, name, counted(getattr(nearcopies, name)))
+    got = {r.doc_id for r in nearcopies.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == plain_kept(rows) and len(made) > 1 and max(made) < 3 * len(rows)
+
+
+def test_blocks_of_a_cluster_meet_each_other(spark):
+    r = random.Random(7)
+    rows = [(i, " ".join(f"w{k}" for k in range(40)) + " " + " ".join(f"x{r.randrange(3)}" for _ in range(6))) for i in range(90)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    want = plain_kept(rows)
+    for block in (None, 4):
+        assert {r.doc_id for r in nearcopies.one_of_each(frame, block=block).collect()} == want
+
+
+def test_shared_shingles_are_counted_exactly(monkeypatch):
+    monkeypatch.setattr(nearcopies, "COLUMNS", 7)
+    draw = np.random.default_rng(2)
+    sets = [np.unique(draw.choice(24, draw.integers(0, 24)).astype("<u8")) for _ in range(80)]
+    found = {(i, j) for i, j in zip(*(x.tolist() for x in nearcopies.similar_pairs(sets)), strict=True)}
+    plain = [set(s.tolist()) for s in sets]
+    assert found == {(i, j) for i in range(80) for j in range(i + 1, 80) if 5 * len(plain[i] & plain[j]) >= 4 * len(plain[i] | plain[j])}
