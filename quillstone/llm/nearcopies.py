@@ -40,8 +40,8 @@ CELL = 2000
 FIRST = 2
 #: So many choices are read at a time, or more as long as they give no more rows than that: this bounds the shuffle files.
 ROUND, ROUND_ROWS = 4, 500_000
-#: Fingerprints of a cell that one task compares; larger cells are dealt out in pairs of blocks.
-BLOCK = 4096
+#: Fingerprints of a cell that one task compares (9 MB); larger cells are dealt out in pairs of blocks, which unrelated texts do not reach: their largest cell has one in 2 ** segments.
+BLOCK = 1 << 15
 #: Sets of a cluster, and their shingles, in a block; shingles that are counted at a time.
 SETS, SHINGLES, COLUMNS = 256, 500_000, 2048
 #: The names of so many candidate sets are broadcast to fetch their texts (some 10 MB); more meet them in a shuffle.
@@ -172,7 +172,7 @@ def candidates(a: np.ndarray, b: np.ndarray | None) -> list[tuple[int, int]]:
     first = radius(128, FLIP_FEW if min(a["n"].min(), right["n"].min()) <= FEW else FLIP)
     forest = Forest(len(labels))
     found: list[tuple[int, int]] = []
-    step = max(1, (1 << 15) // len(right))
+    step = max(1, (1 << 17) // len(right))
     head, n = np.ascontiguousarray(right["words"][:, :2].T), right["n"]
     for s in range(0, len(a), step):
         x, y = a[s : s + step], s if b is None else 0
@@ -262,28 +262,32 @@ def candidate_pairs(points: DataFrame, choices: np.ndarray, start: int = 0, bloc
     files of all of them are never held at once.
     """
     common = n_choices(choices.shape[1], FLIP)
-    dealt_out = written(points.repartition(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id").select("label", "n", "words"))
-    round_of = max(ROUND, ROUND_ROWS // max(dealt_out.count(), 1))
+    round_of = max(ROUND, ROUND_ROWS // max(points.count(), 1))
     found = []
     for at in range(start, len(choices), round_of):
-        spread = dealt_out.mapInArrow(_cells(choices[at : at + round_of], at, common), CELLS)
+        spread = points.select("label", "n", "words").mapInArrow(_cells(choices[at : at + round_of], at, common), CELLS)
         work = written(spread.repartition("key").sortWithinPartitions("key").mapInArrow(_cell_pairs(block), "a binary, b binary, u long, v long"))
-        dealt = work.where("a is not null").select("a", "b").repartition(F.rand(SEED))
-        found.append(work.where("a is null").select("u", "v").unionByName(dealt.mapInArrow(_block_pairs, "u long, v long")))
+        blocks = work.where("a is not null").select("a", "b").repartition(F.rand(SEED))
+        found.append(work.where("a is null").select("u", "v").unionByName(blocks.mapInArrow(_block_pairs, "u long, v long")))
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)
     return written(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
 
 
+def dealt(points: DataFrame) -> DataFrame:
+    """Points give many rows each, so they are dealt to as many tasks as a shuffle has."""
+    return points.repartition(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id")
+
+
 def candidate_clusters(points: DataFrame, block: int = BLOCK) -> DataFrame:
     """(id, n, root) for each set of `points` (id, n, words): root is the smallest id that candidates link to it, directly or not."""
     choices = choices_of(segments_for(points.count()))
     labelled = points.withColumn("label", F.col("id"))
-    for part, start in ((choices[:FIRST], 0), (choices, FIRST)):
+    for part, start, columns in ((choices[:FIRST], 0, ["id", "n", "words"]), (choices, FIRST, ["id", "n"])):
         roots = components(candidate_pairs(labelled, part, start, block)).withColumnRenamed("node", "label")
-        labelled = written(labelled.join(roots, "label", "left").select("id", "n", "words", F.coalesce("root", "label").alias("label")))
-    return labelled.select("id", "n", F.col("label").alias("root"))
+        labelled = written(dealt(labelled.join(roots, "label", "left").select(*columns, F.coalesce("root", "label").alias("label"))))
+    return labelled.withColumnRenamed("label", "root")
 
 
 def similar_pairs(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -362,7 +366,7 @@ def one_of_each(df: DataFrame, text: str = "text", doc_id: str = "doc_id", block
     first = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key").alias("first")
     # equal sets are one point; the text of the first row stands for all of them
     by_set = texts.withColumn("_made", made).select("doc_id", "key", "_made.*").groupBy("id").agg(F.min(F.struct(first, "n", "words")).alias("_first"))
-    points = written(by_set.select("id", "_first.n", "_first.words", F.col("_first.first").alias("first")))
+    points = written(dealt(by_set.select("id", "_first.n", "_first.words", F.col("_first.first").alias("first"))))
     names = points.select("id", "first.doc_id", "first.key")
     classes = near_copy_classes(points.drop("first"), names, texts, block)
     firsts = points.join(classes, "id").groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("_id"), F.col("first.key").alias("_key"))
