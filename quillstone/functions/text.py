@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column
@@ -46,9 +47,19 @@ def strip_tags(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(c, "<[^>]+>", " "), r"(?U)\s+", " "))
 
 
-def strip_html(c: Column) -> Column:
-    """strip_tags() with character references decoded."""
-    return F.trim(unescape(F.regexp_replace(F.regexp_replace(c, "<[^>]+>", " "), r"(?U)\s+", " ")))
+def unescape_listed(c: Column, names: Sequence[str]) -> Column:
+    """Decodes these of the common references only, and only where a semicolon closes them."""
+    if unknown := set(names) - {r for r, _ in REFERENCES}:
+        raise ValueError(f"unknown references: {sorted(unknown)}")
+    for reference, character in REFERENCES:
+        c = F.replace(c, F.lit(reference), F.lit(character)) if reference in names else c
+    return c
+
+
+def strip_html(c: Column, names: Sequence[str] | None = None) -> Column:
+    """strip_tags() with character references decoded, all that there are or the listed ones only."""
+    plain = F.regexp_replace(F.regexp_replace(c, "<[^>]+>", " "), r"(?U)\s+", " ")
+    return F.trim(unescape(plain) if names is None else unescape_listed(plain, names))
 
 
 def snippet(c: Column, n: int = 500) -> Column:
