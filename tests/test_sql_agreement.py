@@ -21,3 +21,14 @@ def test_page_text_keeps_references_that_no_semicolon_closes(spark, tmp_path):
     pages = ["<p>a &amp;&amp b</p>", "<p>&amp</p>", "x &am<b>p; y</b>", "&lt;b&gt; &quot;&#39; &nbsp;&copy;&middot; &amp;lt;", "&mdash;&apos;&eacute;&rsquo;&#8217;", "", None]
     rows = pa.table({"page_id": list(range(len(pages))), "html": pages})
     assert _differences(spark, tmp_path, "f07_page_text", pages=rows) == ""
+
+
+def _lines(rows: list[tuple]) -> pa.Table:
+    """Of lines (order, line number, price, discount, tax, flag)."""
+    names = ("l_orderkey", "l_linenumber", "l_extendedprice", "l_discount", "l_tax", "l_returnflag")
+    return pa.table(dict(zip(names, map(list, zip(*rows, strict=True)), strict=True)))
+
+
+def test_a_reported_nonoperating_total_may_be_zero(spark, tmp_path):
+    rows = [(1, 1, 50.0, 0.0, 0.0, "A"), (2, 1, 50.0, 0.0, 0.0, "A"), (2, 2, 70.0, 0.0, 0.0, "N"), (3, 1, 50.0, 0.1, 0.02, "N"), (4, 1, 50.0, 0.1, 0.02, "R"), (4, 2, 10.0, 0.0, 0.02, "R")]
+    assert _differences(spark, tmp_path, "a16_nonoperating_total", lineitem=_lines(rows)) == ""
