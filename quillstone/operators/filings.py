@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quillstone.functions import ids
 from quillstone.functions.dates import document_period_end, period_key
 from quillstone.operators.aggregate import choose_period, is_empty_statement, pivot_facts, rank_periods
-from quillstone.operators.joins import exchange_for_accessions, inline_contexts, with_units
+from quillstone.operators.joins import exchange_for_accessions, inline_contexts, per_filing, with_units
 from quillstone.operators.select import is_bad_value, is_currency_unit, is_share_unit, no_symbol_filers, not_text_block
 
 # Share concepts, in order of preference.
@@ -45,7 +45,7 @@ def share_aggregate(facts: DataFrame, periods: DataFrame) -> DataFrame:
     buybacks by the latest start, and dilution is the sum at the latest start; half-even rounding.
     """
     end = period_key(F.col("period_instant"), F.col("period_end"))
-    rows = facts.where(is_share_unit(F.col("unitRef"), F.col("numerator")) & ~is_bad_value(F.col("value"))).join(periods, "accession").where(F.substring(end, 1, 10) == F.substring("period", 1, 10))
+    rows = facts.where(is_share_unit(F.col("unitRef"), F.col("numerator")) & ~is_bad_value(F.col("value"))).join(per_filing(periods), "accession").where(F.substring(end, 1, 10) == F.substring("period", 1, 10))
     v = F.trim("value").try_cast("double")
     start = F.coalesce(F.substring("period_start", 1, 10), F.lit(NO_START))
     place = F.array_position(F.array(*map(F.lit, OUTSTANDING)), F.col("concept"))

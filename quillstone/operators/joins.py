@@ -116,6 +116,11 @@ def leaf_series(paths: DataFrame, analysis: DataFrame, series: DataFrame, like:
     return rows.join(chosen.select("category_id").join(leaves, "category_id"), "category_id").select("series_id").orderBy("series_id")
 
 
+def per_filing(rows: DataFrame) -> DataFrame:
+    """Rows that grow with the filings, never to be broadcast: a packed file of 8 MB may hold more rows than a driver does."""
+    return rows.hint("merge")
+
+
 def inline_contexts(facts: DataFrame, contexts: DataFrame) -> DataFrame:
     """Facts with their context's entity, scheme suffix, period and dimensions; facts of unknown contexts stay."""
     c = contexts.select(
@@ -128,12 +133,12 @@ def inline_contexts(facts: DataFrame, contexts: DataFrame) -> DataFrame:
         F.col("endDate").alias("period_end"),
         "dimensions",
     )
-    return facts.join(c, ["accession", "contextRef"], "left")
+    return facts.join(per_filing(c), ["accession", "contextRef"], "left")
 
 
 def with_units(facts: DataFrame, units: DataFrame) -> DataFrame:
     """Facts with the numerator and denominator of their unit."""
-    return facts.join(units.select("accession", "unitRef", "numerator", "denominator"), ["accession", "unitRef"], "left")
+    return facts.join(per_filing(units.select("accession", "unitRef", "numerator", "denominator")), ["accession", "unitRef"], "left")
 
 
 def with_labels(facts: DataFrame, labels: DataFrame) -> DataFrame:

@@ -49,3 +49,9 @@ def test_lines_are_added_in_the_order_of_the_table(spark, tmp_path):
         got = queries()["c10_cash_flow"](spark, str(tmp_path / name)).collect()
         assert sorted(map(tuple, got)) == sorted(want)
         assert [r.passed for r in got if r.accession == "5488"] == [name == "b"]
+
+
+def test_filings_are_not_broadcast(spark, sf_dir):
+    """Of tables that the planner takes for small."""
+    for name in ("a10_shares",):
+        assert "Broadcast" not in queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString(), name
