@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quillstone.operators.joins import per_filing
+
 
 def or_unknown(c: str) -> Column:
     return F.coalesce(F.nullif(F.trim(c), F.lit("")), F.lit("Unknown"))
@@ -151,7 +153,7 @@ def rank_periods(facts: DataFrame, doc_end: DataFrame) -> DataFrame:
 
     Without a document end the order of appearance counts.
     """
-    first = facts.where(F.col("period").isNotNull()).groupBy("accession", "period").agg(F.min("ord").alias("first_ord")).join(doc_end, "accession", "left")
+    first = facts.where(F.col("period").isNotNull()).groupBy("accession", "period").agg(F.min("ord").alias("first_ord")).join(per_filing(doc_end), "accession", "left")
     gap = F.datediff(F.col("period").try_cast("date"), F.col("doc_end"))
     order = Window.partitionBy("accession").orderBy(F.when(gap.isNull(), 0).when(gap >= 0, 0).otherwise(1), F.when(gap.isNotNull(), F.abs(gap)), "first_ord")
     return first.withColumn("rank", F.row_number().over(order)).select("accession", "period", "rank")
@@ -159,7 +161,7 @@ def rank_periods(facts: DataFrame, doc_end: DataFrame) -> DataFrame:
 
 def choose_period(ranked: DataFrame, empties: DataFrame) -> DataFrame:
     """The first candidate whose statement is not empty, else the first."""
-    rows = ranked.join(empties, ["accession", "period"], "left")
+    rows = ranked.join(per_filing(empties), ["accession", "period"], "left")
     return rows.groupBy("accession").agg(F.min_by("period", F.struct(F.coalesce("is_empty", F.lit(True)), "rank")).alias("period"))
 
 

@@ -90,7 +90,7 @@ def adjust_filings(facts: DataFrame, contexts: DataFrame, units: DataFrame) -> D
     numeric = numeric.withColumn("period", F.substring(period_key(F.col("period_instant"), F.col("period_end")), 1, 10)).withColumn("value", F.trim("value").try_cast("double")).where("period is not null")
     ranked = rank_periods(numeric, document_period_end(facts.select("accession", "concept", "value", "ord")))
     chosen = choose_period(ranked, is_empty_statement(numeric))
-    mine = numeric.join(chosen, ["accession", "period"])
+    mine = numeric.join(per_filing(chosen), ["accession", "period"])
     labelled = mine.select("accession", "period", "section", "concept", ids.dimension_key(F.col("dimensions")).alias("dims"), ids.fact_label(F.col("concept"), F.col("dimensions")).alias("label"), "value", "ord")
     return pivot_facts(labelled, ("accession", "period", "section")).select("accession", "period", "section", F.col("label").alias("concept"), "value", "ord")
 

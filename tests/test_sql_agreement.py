@@ -53,5 +53,5 @@ def test_lines_are_added_in_the_order_of_the_table(spark, tmp_path):
 
 def test_filings_are_not_broadcast(spark, sf_dir):
     """Of tables that the planner takes for small."""
-    for name in ("a10_shares",):
+    for name in ("a10_shares", "c19_adjusted_filings"):
         assert "Broadcast" not in queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString(), name
