@@ -434,7 +434,7 @@ def s23_zip_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def xbrl_files(spark: SparkSession, sf_dir: str) -> str:
-    """A fact file for each customer: three facts, two contexts, two units."""
+    """A fact file for each customer, in 256 folders, as a pattern: three facts, two contexts, two units."""
     k, number = F.col("c_custkey"), _text("c_acctbal")
 
     def fact(concept: str, unit: str, value: Column, context: str | None = None) -> Column:
@@ -455,7 +455,9 @@ def xbrl_files(spark: SparkSession, sf_dir: str) -> str:
         contexts=F.create_map(F.lit("c0"), context("1998-12-31", none), F.lit("c1"), context("1999-03-31", member)),
         units=F.create_map(F.lit("usd"), unit("iso4217:USD"), F.lit("shares"), unit("xbrli:shares")),
     )
-    return _files(table(spark, sf_dir, "customer"), new_folder(spark, "landed"), F.concat("c_name", F.lit(".xbrl.json")), doc)
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    name = F.concat(F.format_string("%02x/", F.pmod(F.xxhash64("c_name"), F.lit(256))), "c_name", F.lit(".xbrl.json"))
+    return _files(table(spark, sf_dir, "customer").repartition(tasks, "c_custkey"), new_folder(spark, "landed"), name, doc) + "/*"
 
 
 @register(

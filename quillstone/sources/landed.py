@@ -304,16 +304,73 @@ def read_filings_zip(spark: SparkSession, path: str | Sequence[str], members_at_
     return ranges.mapInPandas(members, "archive string, accession string, content string")
 
 
+#: Bytes of files that are handed on together.
+BYTES_AT_ONCE = 4 << 20
+
+
+def read_whole_files(spark: SparkSession, path: str) -> DataFrame:
+    """(name, value): files as bytes, of a file, a folder, or all files and folders that a pattern names.
+
+    The driver sees only what the pattern names. Folders are listed and files opened by tasks, so
+    that millions of files need no memory of the driver; a folder's list is held by its task. As
+    with Spark's readers hidden files go, and folders in a folder are not entered.
+    """
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(path)
+    named = [(s.getPath().toString(), s.isDirectory()) for s in pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or ()]
+    named = [(a, folder) for a, folder in named if not a.rsplit("/", 1)[-1].startswith(("_", "."))]
+    if not named:
+        raise FileNotFoundError(path)
+
+    def listed(batches):
+        import pyarrow as pa
+        from pyarrow import fs
+
+        for b in batches:
+            for address, folder in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                found = [address]
+                if folder:
+                    system, inner = file_system(address)
+                    infos = system.get_file_info(fs.FileSelector(inner))
+                    found = [f"{address}/{i.base_name}" for i in infos if i.type == fs.FileType.File and not i.base_name.startswith(("_", "."))]
+                for k in range(0, len(found), 10_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(found[k : k + 10_000], pa.string())], names=["address"])
+
+    def opened(batches):
+        import pyarrow as pa
+
+        def batch():
+            return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(values, pa.binary())], names=["name", "value"])
+
+        names, values, size = [], [], 0
+        for b in batches:
+            for address in b.column(0).to_pylist():
+                system, inner = file_system(address)
+                with system.open_input_stream(inner) as f:
+                    values.append(f.read())
+                names.append(address.rsplit("/", 1)[-1])
+                size += len(values[-1])
+                if size >= BYTES_AT_ONCE or len(names) >= 10_000:
+                    yield batch()
+                    names, values, size = [], [], 0
+        if names:
+            yield batch()
+
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    addresses = spark.createDataFrame(named, "address string, folder boolean").mapInArrow(listed, "address string")
+    return addresses.repartition(tasks, "address").mapInArrow(opened, "name string, value binary")
+
+
 FACT = "struct<concept:string,contextRef:string,unitRef:string,decimals:string,format:string,label:string,value:string>"
 CONTEXT = "struct<entity:struct<scheme:string,identifier:string>,period:struct<instant:string,startDate:string,endDate:string>,dimensions:map<string,string>>"
 UNIT = "struct<measures:struct<numerator:array<string>,denominator:array<string>>>"
 
 
 def read_xbrl_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Facts (accession, section, ord, …), contexts and units of raw fact files, one file for each filing."""
+    """Facts (accession, section, ord, …), contexts and units of raw fact files, one file for each filing; see read_whole_files() for the path."""
     sections = ("balance_sheet", "income_statement", "cash_flow", "other")
     schema = ", ".join(f"{s} array<{FACT}>" for s in sections) + f", contexts map<string,{CONTEXT}>, units map<string,{UNIT}>"
-    text = spark.read.text(path, wholetext=True).select(F.regexp_replace(file_name(), r"(\.xbrl)?\.json$", "").alias("accession"), F.from_json("value", f"struct<{', '.join(x.replace(' ', ':', 1) for x in schema.split(', '))}>").alias("d"))
+    content = F.from_json(F.col("value").cast("string"), f"struct<{', '.join(x.replace(' ', ':', 1) for x in schema.split(', '))}>")
+    text = read_whole_files(spark, path).select(F.regexp_replace("name", r"(\.xbrl)?\.json$", "").alias("accession"), content.alias("d"))
     each = F.array(*[F.struct(F.lit(s).alias("section"), F.col(f"d.{s}").alias("facts")) for s in sections])
     facts = text.select("accession", F.posexplode(each).alias("_n", "_s")).select("accession", "_n", "_s.section", F.posexplode("_s.facts").alias("_i", "f"))
     contexts = text.select("accession", F.explode("d.contexts").alias("contextRef", "c")).select("accession", "contextRef", "c.entity.scheme", "c.entity.identifier", "c.period.instant", "c.period.startDate", "c.period.endDate", "c.dimensions")

@@ -217,3 +217,15 @@ def test_a_cluster_without_a_shared_folder_is_an_error():
         use_checkpoints(SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *a: None)))
     use_checkpoints(SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *a: "hdfs:/shared")))
     assert held == ["hdfs:/shared"]
+
+
+def test_fact_files_are_listed_by_tasks(spark, tmp_path):
+    doc = {"balance_sheet": [{"concept": "us-gaap:Assets", "value": "5"}]}
+    for name in ("a/one 1+%20é.xbrl.json", "a/two.json", "b/three.xbrl.json", "b/_hidden.json", "b/.hidden.json", "b/c/deeper.json"):
+        put(tmp_path / name, doc)
+    facts = landed.read_xbrl_json(spark, f"{tmp_path}/*")[0]
+    assert sorted(r.accession for r in facts.collect()) == ["one 1+%20é", "three", "two"]
+    assert [r.accession for r in landed.read_xbrl_json(spark, f"{tmp_path}/b")[0].collect()] == ["three"]
+    assert "FileScan" not in facts._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(FileNotFoundError):
+        landed.read_xbrl_json(spark, f"{tmp_path}/no*")
