@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable, Mapping, Sequence
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -49,6 +49,10 @@ RESULTS_CONTEXT = (
     r"Diluted\s+earnings\s+per\s+share\s+\$",
     r"(?:Unaudited|Preliminary)\s*[,;]?\s*\(?\$",
 )
+#: Words, in small letters, one of which each match of these patterns has.
+RESULTS_WORDS = ("months", "reported", "achieved", "actual", "sales", "creased", "diluted", "unaudited", "preliminary")
+GUIDANCE_WORDS = ("expect", "outlook", "guidance", "anticipate", "project", "forecast")
+CHANGE_WORDS = {"raised": ("rais",), "lowered": ("lower", "reduc"), "reiterated": ("reiterat", "reaffirm"), "maintained": ("maintain", "confirm"), "narrowed": ("narrow", "tighten")}
 GUIDANCE_CONTEXT = (
     r"\b(?:expects?|expecting)\s+(?:net\s+sales|revenue|to\s+report|to\s+deliver)",
     r"\b(?:expects?|expecting)\s+\w+\s+to\s+",
@@ -252,20 +256,6 @@ def matches(text: Column, pattern: str, context: bool = False) -> Column:
     return _finder(pattern, context)(text)
 
 
-def matches_in_window(text: Column, pattern: str) -> Column:
-    """matches() of a short text, by expressions that may stand inside a lambda; its time grows with the square of the number of matches."""
-    found, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-
-    def length(xs: Column) -> Column:
-        return F.length(F.array_join(xs, ""))
-
-    def one(m: Column, i: Column) -> Column:
-        start = length(F.slice(gaps, F.lit(1), i + 1)) + length(F.slice(found, F.lit(1), i))
-        return F.struct(m.alias("raw"), start.alias("start"), (start + F.length(m)).alias("stop"))
-
-    return F.transform(found, one)
-
-
 def regex_matches(df: DataFrame, text: str, pattern: str) -> DataFrame:
     """One row for each match: the other columns, ord, raw, start and stop."""
     rows = df.withColumn("_m", matches(F.col(text), pattern))
@@ -311,35 +301,58 @@ def _around(m: Column, before: int, after: int) -> Column:
     return F.concat(F.right(m["left"], F.lit(before)), m["raw"], F.left(m["right"], F.lit(after)))
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), where the value is computed once and not at each place that names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _with_small_letters(text: Column, use: Callable[[Column], Column]) -> Column:
+    """use() of a text and its small letters, which are null beyond ASCII, where case is more than small letters."""
+    return _bound(text, lambda t: _bound(F.struct(t.alias("text"), F.when(F.length(t) == F.octet_length(t), F.lower(t)).alias("low")), use))
+
+
+def _may_have(x: Column, words: Sequence[str]) -> Column:
+    """Whether a pattern that needs one of the words is worth a pass over the text."""
+    return reduce(Column.__or__, [x["low"].contains(w) for w in words], x["low"].isNull())
+
+
 def forward_looking(m: Column) -> Column:
     """Whether a match's surroundings speak of guidance and not of results."""
-    context = _around(m, 500, 100)
-    return ~_has_any(context, RESULTS_CONTEXT) & _has_any(context, GUIDANCE_CONTEXT)
+    def told(x: Column, patterns: Sequence[str], words: Sequence[str]) -> Column:
+        return _may_have(x, words) & _has_any(x["text"], patterns)
+
+    return _with_small_letters(_around(m, 500, 100), lambda x: ~told(x, RESULTS_CONTEXT, RESULTS_WORDS) & told(x, GUIDANCE_CONTEXT, GUIDANCE_WORDS))
 
 
 def vs_prior(m: Column) -> Column:
     """How guidance changed, by the first pattern in order; a change told of the past is maintained."""
-    context = _around(m, 200, 200)
-    case = F.lit(None).cast("string")
-    for label, pattern in reversed(CHANGES):
-        value = F.when(_has(context, HISTORICAL), "maintained").otherwise(label) if label in ("raised", "lowered") else F.lit(label)
-        case = F.when(_has(context, pattern), value).otherwise(case)
-    return case
+    def change(x: Column) -> Column:
+        case = F.lit(None).cast("string")
+        for label, pattern in reversed(CHANGES):
+            value = F.when(_has(x["text"], HISTORICAL), "maintained").otherwise(label) if label in ("raised", "lowered") else F.lit(label)
+            case = F.when(_may_have(x, CHANGE_WORDS[label]) & _has(x["text"], pattern), value).otherwise(case)
+        return case
 
+    return _with_small_letters(_around(m, 200, 200), change)
 
-def _distance(m: Column, pattern: str) -> Column:
-    """Characters between the last mention that ends before a match and the match; null without one in reach."""
-    before = F.right(m["left"], F.lit(150))
-    last = F.try_element_at(matches_in_window(before, pattern), F.lit(-1))
-    return F.length(before) - last["stop"]
+
+def _distance(x: Column, pattern: str, word: str) -> Column:
+    """Characters of a text after the last mention, which needs the word; null without one."""
+    return F.when(_may_have(x, [word]), _bound(F.split(x["text"], pattern, -1), lambda gaps: F.when(F.size(gaps) > 1, F.length(F.element_at(gaps, -1)))))
 
 
 def revenue_metric(m: Column) -> Column:
     """The revenue metric mentioned next before a match; null without one, or if the match goes on to another subject."""
+    def nearest(d: Column) -> Column:
+        special, plain = d["special"], d["plain"]
+        name = F.when((special < 70) | plain.isNull() | (special <= plain), F.when(special.isNotNull(), SPECIAL_METRIC[0])).otherwise(PLAIN_METRIC[0])
+        return F.coalesce(name, F.when(plain.isNotNull(), PLAIN_METRIC[0]))
+
+    def named(x: Column) -> Column:
+        return _bound(F.struct(_distance(x, SPECIAL_METRIC[1], "exome").alias("special"), _distance(x, PLAIN_METRIC[1], "revenue").alias("plain")), nearest)
+
     after = F.left(m["right"], F.lit(35))
-    special, plain = _distance(m, SPECIAL_METRIC[1]), _distance(m, PLAIN_METRIC[1])
-    name = F.when((special < 70) | plain.isNull() | (special <= plain), F.when(special.isNotNull(), SPECIAL_METRIC[0])).otherwise(PLAIN_METRIC[0])
-    return F.when(~_has_any(after, METRIC_STOPS), F.coalesce(name, F.when(plain.isNotNull(), PLAIN_METRIC[0])))
+    return F.when(~_bound(after, lambda t: _has_any(t, METRIC_STOPS)), _with_small_letters(F.right(m["left"], F.lit(150)), named))
 
 
 ENTRY = "struct<ord:int,category:string,period:string,metric:string,type_value:string,value:double,low:double,high:double,unit:string,qualitative:string,vs_prior:string,raw:string,start:int>"

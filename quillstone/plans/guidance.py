@@ -38,7 +38,10 @@ _SQL_N, _SQL_FY = "(o_orderkey % 800 + 100)::DOUBLE", "'FY' || (year(o_orderdate
 
 
 def _texts(spark: SparkSession, sf_dir: str, *parts: Column | str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select(_key().alias("doc"), F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts]).alias("text"))
+    """A text for each order. Orders are dealt out first, as a small table is one task's and its texts are long to read."""
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate").repartition(tasks, "o_orderkey")
+    return orders.select(_key().alias("doc"), F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts]).alias("text"))
 
 
 def _found(df: DataFrame) -> DataFrame:
